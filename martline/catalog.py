@@ -34,8 +34,8 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-def cents(*cols: str):
-    return {c: F.round(F.col(c), 2) for c in cols}
+def cents(*cols: str, digits: int = 2):
+    return {c: F.round(F.col(c), digits) for c in cols}
 
 
 # ---- composite data products ---------------------------------------------------
@@ -79,11 +79,14 @@ def q_fact_sales(spark, sf_dir):
 
 @register("fact_sales_enriched", oracle.sql(
     "SELECT * REPLACE (round(total_payment_value, 2) AS total_payment_value, "
-    "round(avg_payment_value, 2) AS avg_payment_value) FROM fact_sales_enriched",
+    "round(avg_payment_value, 4) AS avg_payment_value) FROM fact_sales_enriched",
     "fact_sales_enriched"))
 def q_fact_sales_enriched(spark, sf_dir):
-    return wh.fact_sales(spark, sf_dir, enriched=True).withColumns(
-        cents("total_payment_value", "avg_payment_value"))
+    # An average of cents can sit exactly on a half cent, where the last bit
+    # of an order-dependent sum decides the rounding: compare it at 4 digits.
+    return (wh.fact_sales(spark, sf_dir, enriched=True)
+            .withColumns(cents("total_payment_value"))
+            .withColumns(cents("avg_payment_value", digits=4)))
 
 
 # ---- quality ---------------------------------------------------------------------
