@@ -1,39 +1,28 @@
 """Deterministic deduplication by key.
 
 ``first_per_key`` keeps, per key, the row that sorts first by an explicit
-tie-break order (NULLs last). It is a hash aggregation of ``min(struct)``,
-so every map task pre-reduces its rows to one per key before the shuffle:
-a key holding a third of all rows costs one row per task on the wire, and
-no task ever holds a whole group."""
+tie-break order (NULLs last), then by every other column, so the pick is
+total and reproducible.
+
+Plan: ``row_number() over (partition by key order by …) = 1``. Catalyst
+turns the filter into a *partial* ``WindowGroupLimit`` below the shuffle,
+so every map task first cuts each key down to its best row; a key holding a
+third of all rows costs one row per map task on the wire, and the final
+task sees at most one row per map task for it."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _order_fields(order: list[str | Column], df: DataFrame) -> list[Column]:
-    fields = []
-    for i, o in enumerate(order):
-        c = F.col(o) if isinstance(o, str) else o
-        # (is-null flag, value) puts NULLs after every value, in both engines'
-        # ascending order.
-        fields += [c.isNull().alias(f"_n{i}"), c.alias(f"_v{i}")]
-    return fields
-
-
 def first_per_key(df: DataFrame, keys: list[str], order: list[str | Column] | None = None) -> DataFrame:
-    """One row per ``keys``: the first by ``order`` then by every other
-    column, so the pick is total and reproducible. Output keeps the input's
-    column order."""
-    rest = [c for c in df.columns if c not in keys]
-    order = list(order or [])
-    # Remaining columns break any tie left by ``order``.
-    order += [c for c in rest if c not in [o for o in order if isinstance(o, str)]]
-    pick = F.struct(*_order_fields(order, df), *[F.col(c).alias(f"_r_{c}") for c in rest])
-    agg = df.groupBy(*keys).agg(F.min(pick).alias("_pick"))
-    return agg.select(*[F.col(c) if c in keys else F.col(f"_pick._r_{c}").alias(c)
-                        for c in df.columns])
+    named = [o for o in (order or []) if isinstance(o, str)]
+    exprs = [F.col(o) if isinstance(o, str) else o for o in (order or [])]
+    exprs += [F.col(c) for c in df.columns if c not in keys and c not in named]
+    w = Window.partitionBy(*keys).orderBy(*[e.asc_nulls_last() for e in exprs])
+    return (df.withColumn("_rn", F.row_number().over(w))
+            .filter(F.col("_rn") == 1).drop("_rn"))
 
 
 def any_per_key(df: DataFrame, keys: list[str]) -> DataFrame:

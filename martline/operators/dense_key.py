@@ -1,10 +1,14 @@
 """Dense surrogate key: ``row_number() over (order by k1, k2, …)`` without a
 window over one partition.
 
-1. Count the rows and pick a bucket count B (about ``rows_per_bucket`` rows
-   each, at most ``max_buckets``).
+1. Count the rows (or take a given upper bound) and pick a bucket count B:
+   at most ``rows_per_bucket`` rows each, and at least one bucket per core
+   while buckets keep ``min_rows_per_bucket`` rows; never more than
+   ``max_buckets``.
 2. Sample the full order key (a bounded sample: ~``samples_per_bucket`` x B
-   keys) and take B-1 range boundaries from it. Boundaries come from the
+   keys) and take B-1 range boundaries from it. The sample may come from a
+   cheaper superset of the rows (e.g. the raw input): boundaries only decide
+   the balance, while the per-bucket counts below are exact. Boundaries come from the
    whole key, not the leading column, so a leading value that holds a third
    of all rows still spreads over many buckets.
 3. ``bucket`` = number of boundaries <= key, as a binary-search CASE tree
@@ -68,21 +72,35 @@ def _sort_key(row):
     return tuple((x is None, x) if not isinstance(x, bool) else (False, x) for x in row)
 
 
+def bucket_count(n: int, parallelism: int, rows_per_bucket: int, min_rows_per_bucket: int,
+                 max_buckets: int) -> int:
+    by_size = math.ceil(n / max(1, rows_per_bucket))
+    by_cores = min(parallelism, n // max(1, min_rows_per_bucket))
+    return max(1, min(max_buckets, max(by_size, by_cores)))
+
+
 def range_buckets(keys_src: DataFrame, order: list[str | Column], *,
-                  rows_per_bucket: int = 1_000_000, max_buckets: int = 4096,
-                  samples_per_bucket: int = 32, seed: int = 7) -> tuple[Column, int]:
+                  rows_per_bucket: int = 1_000_000, min_rows_per_bucket: int = 10_000,
+                  max_buckets: int = 4096, samples_per_bucket: int = 32, seed: int = 7,
+                  size_hint: int | None = None,
+                  sample_src: DataFrame | None = None) -> tuple[Column, int]:
     """Plan the bucket column for ``order`` from a key-only DataFrame.
-    Returns ``(bucket_column, row_count)``. Runs a count and, when more than
-    one bucket is needed, one bounded sampling job."""
-    n = keys_src.count()
-    if n > INT_MAX:
+    Returns ``(bucket_column, bucket_count)``. Runs a count unless
+    ``size_hint`` (any upper bound of the row count, e.g. the input table's
+    count) is given, and one bounded sampling job when more than one bucket
+    is needed."""
+    n = size_hint if size_hint is not None else keys_src.count()
+    if size_hint is None and n > INT_MAX:
         raise ValueError(f"{n} rows do not fit an INT surrogate key")
-    b = max(1, min(max_buckets, math.ceil(n / max(1, rows_per_bucket))))
+    # With only a bound, the ANSI cast of the final key to INT still fails
+    # loudly on overflow.
+    parallelism = keys_src.sparkSession.sparkContext.defaultParallelism
+    b = bucket_count(n, parallelism, rows_per_bucket, min_rows_per_bucket, max_buckets)
     if b == 1:
-        return F.lit(0), n
+        return F.lit(0), 1
     key = _key_struct(order)
     frac = min(1.0, 1.2 * b * samples_per_bucket / n)
-    keyed = keys_src.select(key.alias("k"))
+    keyed = (sample_src if sample_src is not None else keys_src).select(key.alias("k"))
     sample = [tuple(r.k) for r in keyed.sample(False, frac, seed).collect()]
     sample.sort(key=_sort_key)
     bounds, last = [], None
@@ -93,27 +111,37 @@ def range_buckets(keys_src: DataFrame, order: list[str | Column], *,
             last = cand
     types = [f.dataType for f in keyed.schema["k"].dataType.fields][1::2]
     lits = [_literal_struct(r, types) for r in bounds]
-    return _bucket_expr(key, lits), n
+    return _bucket_expr(key, lits), len(lits) + 1
 
 
 def dense_key(df: DataFrame, order: list[str | Column], name: str, *,
-              keys_src: DataFrame | None = None, rows_per_bucket: int = 1_000_000,
-              max_buckets: int = 4096, samples_per_bucket: int = 32) -> DataFrame:
+              keys_src: DataFrame | None = None, sample_src: DataFrame | None = None,
+              rows_per_bucket: int = 1_000_000, min_rows_per_bucket: int = 10_000,
+              max_buckets: int = 4096, samples_per_bucket: int = 32,
+              size_hint: int | None = None) -> DataFrame:
     """Add ``name`` = dense 1-based INT rank of each row by ``order``.
 
     ``keys_src`` may give a cheaper DataFrame with the same rows' order
     columns (e.g. the join keys only); by default the order columns of
-    ``df`` are used, which Catalyst prunes to a key-only scan."""
+    ``df`` are used, which Catalyst prunes to a key-only scan.
+    ``size_hint``: an upper bound of the row count that saves the count job.
+    ``sample_src``: a cheaper superset of the rows to sample boundaries from."""
     src = keys_src if keys_src is not None else df.select(*_cols(order))
-    bucket, _ = range_buckets(src, order, rows_per_bucket=rows_per_bucket,
-                              max_buckets=max_buckets, samples_per_bucket=samples_per_bucket)
+    bucket, nb = range_buckets(src, order, rows_per_bucket=rows_per_bucket,
+                               min_rows_per_bucket=min_rows_per_bucket, max_buckets=max_buckets,
+                               samples_per_bucket=samples_per_bucket, size_hint=size_hint,
+                               sample_src=sample_src)
+    w = Window.partitionBy("_bucket").orderBy(*[c.asc_nulls_last() for c in _cols(order)])
+    if nb == 1:
+        # At most ``rows_per_bucket`` rows: one bucket, offset 0.
+        return (df.withColumn("_bucket", bucket)
+                .withColumn(name, F.row_number().over(w).cast("int")).drop("_bucket"))
     counts = (src.select(bucket.alias("_bucket")).groupBy("_bucket")
               .agg(F.count(F.lit(1)).alias("_cnt")))
     # Window over the per-bucket counts only (<= max_buckets rows).
     offsets = counts.select(
         "_bucket",
         (F.sum("_cnt").over(Window.orderBy("_bucket")) - F.col("_cnt")).alias("_off"))
-    w = Window.partitionBy("_bucket").orderBy(*[c.asc_nulls_last() for c in _cols(order)])
     return (df.withColumn("_bucket", bucket)
             .join(F.broadcast(offsets), "_bucket")
             .withColumn(name, (F.row_number().over(w) + F.col("_off")).cast("int"))

@@ -26,8 +26,10 @@ def customer(raw: DataFrame, **key_opts) -> DataFrame:
         title_text("customer_city").alias("customer_city"),
         code_text("customer_state").alias("customer_state"),
     )
-    df = first_per_key(filter_not_null(df, ["customer_id", "customer_unique_id"]), ["customer_id"])
-    return dense_key(df, ["customer_id"], "customer_key", **key_opts).select(
+    valid = filter_not_null(df, ["customer_id", "customer_unique_id"])
+    df = first_per_key(valid, ["customer_id"])
+    return dense_key(df, ["customer_id"], "customer_key", sample_src=valid,
+                     **key_opts).select(
         *schemas.DIM_CUSTOMER.names)
 
 
@@ -55,8 +57,10 @@ def product(raw: DataFrame, raw_translation: DataFrame, **key_opts) -> DataFrame
           .withColumn("product_category_name",
                       F.coalesce("product_category_name_en", "product_category_name_pt"))
           .drop("product_category_name_en"))
+    valid = filter_not_null(p, ["product_id"])
     df = first_per_key(filter_not_null(df, ["product_id"]), ["product_id"])
-    return dense_key(df, ["product_id"], "product_key", **key_opts).select(
+    return dense_key(df, ["product_id"], "product_key", sample_src=valid,
+                     **key_opts).select(
         *schemas.DIM_PRODUCT.names)
 
 
@@ -67,6 +71,8 @@ def seller(raw: DataFrame, **key_opts) -> DataFrame:
         title_text("seller_city").alias("seller_city"),
         code_text("seller_state").alias("seller_state"),
     )
-    df = first_per_key(filter_not_null(df, ["seller_id"]), ["seller_id"])
-    return dense_key(df, ["seller_id"], "seller_key", **key_opts).select(
+    valid = filter_not_null(df, ["seller_id"])
+    df = first_per_key(valid, ["seller_id"])
+    return dense_key(df, ["seller_id"], "seller_key", sample_src=valid,
+                     **key_opts).select(
         *schemas.DIM_SELLER.names)

@@ -28,17 +28,26 @@ def staged(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     return df.select(*stage.TABLE_SCHEMA[entity].names)
 
 
+def _bound(df: DataFrame, key_opts: dict) -> dict:
+    """Dense-key options with the input's row count as the size bound: a
+    scan-only count of the input instead of a count of the whole derived
+    plan (a dimension or fact never has more rows than its input)."""
+    return {"size_hint": df.count(), **key_opts}
+
+
 def dim_customer(spark: SparkSession, sf_dir: str, **key_opts) -> DataFrame:
-    return dims.customer(raw(spark, sf_dir, "customers"), **key_opts)
+    r = raw(spark, sf_dir, "customers")
+    return dims.customer(r, **_bound(r, key_opts))
 
 
 def dim_product(spark: SparkSession, sf_dir: str, **key_opts) -> DataFrame:
-    return dims.product(raw(spark, sf_dir, "products"), raw(spark, sf_dir, "translation"),
-                        **key_opts)
+    r = raw(spark, sf_dir, "products")
+    return dims.product(r, raw(spark, sf_dir, "translation"), **_bound(r, key_opts))
 
 
 def dim_seller(spark: SparkSession, sf_dir: str, **key_opts) -> DataFrame:
-    return dims.seller(raw(spark, sf_dir, "sellers"), **key_opts)
+    r = raw(spark, sf_dir, "sellers")
+    return dims.seller(r, **_bound(r, key_opts))
 
 
 def fact_sales(spark: SparkSession, sf_dir: str, enriched: bool = False, **key_opts) -> DataFrame:
@@ -46,7 +55,10 @@ def fact_sales(spark: SparkSession, sf_dir: str, enriched: bool = False, **key_o
         staged(spark, sf_dir, "orders"), staged(spark, sf_dir, "items"),
         dim_customer(spark, sf_dir, **key_opts), dim_product(spark, sf_dir, **key_opts),
         dim_seller(spark, sf_dir, **key_opts),
-        staged(spark, sf_dir, "payments") if enriched else None, **key_opts)
+        staged(spark, sf_dir, "payments") if enriched else None,
+        **_bound(raw(spark, sf_dir, "items"), {
+            "sample_src": raw(spark, sf_dir, "items").select("order_id", "order_item_id"),
+            **key_opts}))
 
 
 def payments_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
