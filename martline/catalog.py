@@ -348,3 +348,110 @@ def q_dense_key_composite(spark, sf_dir):
     f"order_estimated_delivery_date NULLS LAST LIMIT 100", "clean_orders"))
 def q_sample_head(spark, sf_dir):
     return sample_head(wh.cleaned(spark, sf_dir, "orders"), clean.SEND_ORDER["orders"], 100)
+
+
+# ---- streaming -------------------------------------------------------------------------
+
+from martline.session import scratch_path  # noqa: E402
+from martline.streaming import replay  # noqa: E402
+from martline.streaming.sources import (MESSAGE_FILE_SCHEMA, file_stream,  # noqa: E402
+                                       message_file_stream)
+
+# Full scenario: even keys, odd keys, replay, replay with updates, malformed;
+# the consumer restarts from its checkpoint after each batch.
+_ALL_STEPS = [[0], [1], [2], [3], [4]]
+
+for _e in ["orders", "items", "payments"]:
+    register(f"upsert_{_e}", oracle.sql(f"SELECT * FROM staged_{_e}", f"staged_{_e}"))(
+        lambda spark, sf_dir, e=_e: replay.run_scenario(spark, sf_dir, e, "first", _ALL_STEPS))
+
+
+@register("upsert_orders_last", oracle.sql(
+    "SELECT * REPLACE (CASE WHEN order_status = 'shipped' THEN 'delivered' ELSE order_status END "
+    "AS order_status) FROM staged_orders", "staged_orders"))
+def q_upsert_orders_last(spark, sf_dir):
+    return replay.run_scenario(spark, sf_dir, "orders", "last", _ALL_STEPS)
+
+
+@register("stream_replay_idempotent", oracle.sql(
+    "SELECT * FROM (" + " UNION ALL ".join(
+        f"SELECT 'staged_{e}' AS table_name, count(*) AS row_count FROM staged_{e}"
+        for e in ["orders", "items", "payments"]) + ") t",
+    "staged_orders", "staged_items", "staged_payments"))
+def q_stream_replay_idempotent(spark, sf_dir):
+    out = None
+    for e in ["orders", "items", "payments"]:
+        t = replay.run_scenario(spark, sf_dir, e, "last", [[0, 1], [2]])
+        c = t.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(f"staged_{e}").alias("table_name"), "row_count")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+@register("stream_restart_exactly_once", oracle.sql("SELECT * FROM staged_orders", "staged_orders"))
+def q_stream_restart_exactly_once(spark, sf_dir):
+    """Drain, restart with nothing new, re-run batch 1's body as a retry of
+    the same batch id, then a replay: the table must equal one clean load."""
+    from martline.streaming import consumer, upsert
+    root = scratch_path(spark, "topic-orders")
+    target = scratch_path(spark, "staging-orders")
+    ckpt = scratch_path(spark, "ckpt-orders")
+    off = replay.publish_batches(spark, sf_dir, "orders", root, [0])
+    consumer.drain("orders", message_file_stream(spark, root), target, ckpt)
+    off = replay.publish_batches(spark, sf_dir, "orders", root, [1], off)
+    consumer.drain("orders", message_file_stream(spark, root), target, ckpt)
+    consumer.drain("orders", message_file_stream(spark, root), target, ckpt)
+    # A foreachBatch retry: batch id 1 again with the same input rows.
+    batch1 = spark.read.schema(MESSAGE_FILE_SCHEMA).json(f"{root}/batch-000001")
+    parsed = stage.validate("orders", stage.parse("orders", batch1.select(
+        "value", F.col("partition").alias("_partition"), F.col("offset").alias("_offset")),
+        carry=["_partition", "_offset"]))
+    upsert.write_batch(parsed, 1, target, schemas.KEYS["orders"],
+                       stage.TABLE_SCHEMA["orders"].names, "first")
+    off = replay.publish_batches(spark, sf_dir, "orders", root, [2], off)
+    consumer.drain("orders", message_file_stream(spark, root), target, ckpt)
+    return consumer.staged_table(spark, "orders", target).drop("kafka_ingested_at")
+
+
+@register("stream_parse_orders", oracle.sql("SELECT * FROM staged_orders", "staged_orders"))
+def q_stream_parse_orders(spark, sf_dir):
+    """Bytes -> text -> struct -> columns, rules applied, malformed dropped;
+    written by the exactly-once file sink."""
+    root = scratch_path(spark, "topic-orders")
+    replay.publish_batches(spark, sf_dir, "orders", root, [0, 1, 4])
+    out, ckpt = scratch_path(spark, "parsed-orders"), scratch_path(spark, "ckpt-parse")
+    msgs = message_file_stream(spark, root).select(
+        F.col("value").cast("binary").alias("value"))  # as the broker delivers it
+    parsed = stage.validate("orders", stage.parse("orders", msgs))
+    q = (parsed.writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+@register("stream_dedup_items", oracle.sql("SELECT * FROM staged_items", "staged_items"))
+def q_stream_dedup_items(spark, sf_dir):
+    """Stateful dedup across micro-batches: the replay never reaches the
+    sink."""
+    root = scratch_path(spark, "topic-items")
+    replay.publish_batches(spark, sf_dir, "items", root, [0, 1, 2])
+    out, ckpt = scratch_path(spark, "dedup-items"), scratch_path(spark, "ckpt-dedup")
+    from martline.streaming import consumer
+    stream = consumer.consumer_stream("items", message_file_stream(spark, root, 1), "first")
+    q = (stream.drop("_partition", "_offset").writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out)
+
+
+@register("stream_file_source", oracle.sql("SELECT * FROM raw_payments", "raw_payments"))
+def q_stream_file_source(spark, sf_dir):
+    """CSV folder as a stream with a declared schema."""
+    src = scratch_path(spark, "csv-payments")
+    wh.raw(spark, sf_dir, "payments").write.mode("overwrite").option("header", True).csv(src)
+    out, ckpt = scratch_path(spark, "csv-stream-out"), scratch_path(spark, "ckpt-csv")
+    stream = file_stream(spark, src, schemas.PAYMENTS, "csv", header="true")
+    q = (stream.writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out)
