@@ -455,3 +455,143 @@ def q_stream_file_source(spark, sf_dir):
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(out)
+
+
+# ---- sources and sinks -------------------------------------------------------------------
+
+from martline.sources import files, jdbc  # noqa: E402
+
+
+@register("scan_csv_roundtrip", oracle.sql("SELECT * FROM raw_customers", "raw_customers"))
+def q_scan_csv_roundtrip(spark, sf_dir):
+    """Customers through CSV text and back with a declared schema; padded
+    ids keep their spaces."""
+    path = scratch_path(spark, "csv-customers")
+    files.write_csv(wh.raw(spark, sf_dir, "customers"), path)
+    return files.read_csv(spark, path, schemas.CUSTOMERS)
+
+
+@register("scan_csv_strict", oracle.sql("SELECT * FROM raw_orders", "raw_orders"))
+def q_scan_csv_strict(spark, sf_dir):
+    """Orders through CSV, read back in FAILFAST mode (a value that does not
+    fit the declared type fails the job instead of becoming NULL)."""
+    path = scratch_path(spark, "csv-orders")
+    files.write_csv(wh.raw(spark, sf_dir, "orders"), path)
+    return files.read_csv(spark, path, schemas.ORDERS, strict=True)
+
+
+@register("jdbc_roundtrip", oracle.sql("SELECT * FROM raw_sellers", "raw_sellers"))
+def q_jdbc_roundtrip(spark, sf_dir):
+    """Sellers appended to a relational table and read back in parallel
+    partitions (MOD predicates). Embedded Derby: the database lives in this
+    JVM only, so on a cluster point ``url`` at the warehouse database."""
+    url = jdbc.derby_url(scratch_path(spark, "derby"))
+    jdbc.write_table(wh.raw(spark, sf_dir, "sellers"), url, "SELLERS", jdbc.DERBY_PROPS,
+                     mode="overwrite")
+    back = jdbc.read_table(spark, url, "SELLERS", jdbc.DERBY_PROPS,
+                           mod_column="\"seller_zip_code_prefix\"", num_partitions=4)
+    return back
+
+
+@register("overwrite_reload", oracle.sql("SELECT * FROM staged_orders", "staged_orders"))
+def q_overwrite_reload(spark, sf_dir):
+    """Write the staged orders twice with overwrite (the second replaces the
+    first) and read back: equals one load."""
+    path = scratch_path(spark, "orders-table")
+    df = wh.staged(spark, sf_dir, "orders")
+    files.overwrite_table(df, path)
+    return files.overwrite_table(df, path)
+
+
+@register("conform_schema", oracle.sql("SELECT * FROM raw_items", "raw_items"))
+def q_conform_schema(spark, sf_dir):
+    """Items as text with an extra column, conformed to the declared items
+    schema: declared order and types, extra column dropped."""
+    raw = wh.raw(spark, sf_dir, "items")
+    text = raw.select(*[F.col(c).cast("string").alias(c) for c in reversed(raw.columns)],
+                      F.lit("x").alias("unexpected"))
+    return schemas.conform(text, schemas.ITEMS)
+
+
+# The reference's nine input folders and the driver table each
+# one is derived from here (None: downloaded but never read).
+INPUT_MANIFEST = [
+    ("orders", "orders.parquet"),
+    ("customers", "customer.parquet"),
+    ("payments", "lineitem.parquet"),
+    ("items", "lineitem.parquet"),
+    ("geolocation", None),
+    ("order_review", None),
+    ("products", "part.parquet"),
+    ("sellers", "supplier.parquet"),
+    ("product_category", None),
+]
+
+
+@register("manifest_missing")
+def q_manifest_missing(spark, sf_dir):
+    """Expected inputs vs the files found (metadata only)."""
+    expected = spark.createDataFrame([(n, f) for n, f in INPUT_MANIFEST if f],
+                                     "input_name string, file_name string")
+    return files.missing_inputs(spark, sf_dir, expected)
+
+
+@register("literal_rows", oracle.sql(
+    "SELECT coalesce(t.en, trim(p.product_category_name)) AS product_category_name, "
+    "count(*) AS products FROM raw_products p LEFT JOIN translation t "
+    "ON trim(p.product_category_name) = t.pt GROUP BY 1", "raw_products", "translation"))
+def q_literal_rows(spark, sf_dir):
+    """Literal rows (the translation list) as a table, used on the products."""
+    return (dims.product(wh.raw(spark, sf_dir, "products"), wh.raw(spark, sf_dir, "translation"))
+            .groupBy("product_category_name").agg(F.count(F.lit(1)).alias("products")))
+
+
+def _json_str(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN 'null' ELSE '\"' || {c} || '\"' END"
+
+
+def _json_ts(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN 'null' ELSE '\"' || strftime({c}, '%Y-%m-%dT%H:%M:%S') || '\"' END"
+
+
+def _json_num(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN 'null' ELSE CAST({c} AS VARCHAR) END"
+
+
+def _json_sql(fields: list[tuple[str, str]]) -> str:
+    parts = " || ',' || ".join(f"'\"{n}\":' || {f(n)}" for n, f in fields)
+    return f"'{{' || {parts} || '}}'"
+
+
+_MSG_FIELDS = {
+    "orders": [("order_id", _json_str), ("customer_id", _json_str), ("order_status", _json_str)]
+    + [(c, _json_ts) for c in schemas.ORDER_TS_COLS],
+    "items": [("order_id", _json_str), ("order_item_id", _json_num), ("product_id", _json_str),
+              ("seller_id", _json_str), ("shipping_limit_date", _json_ts), ("price", _json_num),
+              ("freight_value", _json_num)],
+    "payments": [("order_id", _json_str), ("payment_sequential", _json_num),
+                 ("payment_type", _json_str), ("payment_installments", _json_num),
+                 ("payment_value", _json_num)],
+}
+_MSG_KEY_SQL = {"orders": "order_id", "items": "order_id || '_' || CAST(order_item_id AS VARCHAR)",
+                "payments": "order_id || '_' || CAST(payment_sequential AS VARCHAR)"}
+
+for _e in ["orders", "items", "payments"]:
+    register(f"encode_{_e}_json", oracle.sql(
+        f"SELECT {_MSG_KEY_SQL[_e]} AS key, {_json_sql(_MSG_FIELDS[_e])} AS value FROM clean_{_e}",
+        f"clean_{_e}"))(
+        lambda spark, sf_dir, e=_e: stage.encode(e, wh.cleaned(spark, sf_dir, e)))
+
+
+@register("stage_orders_batch", oracle.sql("SELECT * FROM staged_orders", "staged_orders"))
+def q_stage_orders_batch(spark, sf_dir):
+    """Batch staging from text: orders as CSV text (timestamps as ISO text)
+    -> cast and parse -> not-null -> one row per order -> overwrite the
+    staging table -> read back. The producer's cleaning runs first, as
+    in the streamed path."""
+    src = scratch_path(spark, "csv-orders-text")
+    clean_df = wh.cleaned(spark, sf_dir, "orders")
+    files.write_csv(clean_df.select(*[F.col(c).cast("string").alias(c) for c in clean_df.columns]),
+                    src)
+    text = files.read_csv(spark, src, schemas.ORDERS_MSG)
+    return files.overwrite_table(stage.orders_batch(text), scratch_path(spark, "orders-batch"))
