@@ -595,3 +595,184 @@ def q_stage_orders_batch(spark, sf_dir):
                     src)
     text = files.read_csv(spark, src, schemas.ORDERS_MSG)
     return files.overwrite_table(stage.orders_batch(text), scratch_path(spark, "orders-batch"))
+
+
+# ---- reconciliation, key checks, run log, RFM, event time -------------------------------
+
+from martline.plans import rfm, runlog  # noqa: E402
+from martline.streaming import upsert as _upsert  # noqa: E402
+from martline.streaming import watermark  # noqa: E402
+
+
+@register("reconcile_counts", oracle.sql(
+    "SELECT * FROM (" + " UNION ALL ".join(
+        f"SELECT '{e}' AS entity, (SELECT count(*) FROM raw_{e}) AS raw_count, "
+        f"(SELECT count(*) FROM staged_{e}) AS valid_count, "
+        f"(SELECT count(*) FROM staged_{e}) AS stored_count"
+        for e in ["orders", "items", "payments"]) + ") t",
+    "raw_orders", "raw_items", "raw_payments", "staged_orders", "staged_items", "staged_payments"))
+def q_reconcile_counts(spark, sf_dir):
+    """Raw vs valid vs stored (written, read back) counts per entity."""
+    out = None
+    for e in ["orders", "items", "payments"]:
+        valid = wh.staged(spark, sf_dir, e)
+        stored = files.overwrite_table(valid, scratch_path(spark, f"reconcile-{e}"))
+        long = quality.reconcile({"raw_count": wh.raw(spark, sf_dir, e), "valid_count": valid,
+                                  "stored_count": stored})
+        wide = (long.groupBy().pivot("stage", ["raw_count", "valid_count", "stored_count"])
+                .agg(F.sum("row_count")).select(F.lit(e).alias("entity"), "*"))
+        out = wide if out is None else out.unionByName(wide)
+    return out
+
+
+_KEY_TABLES = [
+    ("staged_orders", ["order_id"], None),
+    ("staged_items", ["order_id", "order_item_id"], None),
+    ("staged_payments", ["order_id", "payment_sequential"], None),
+    ("dim_customer", ["customer_key"], ["customer_id"]),
+    ("dim_product", ["product_key"], ["product_id"]),
+    ("dim_seller", ["seller_key"], ["seller_id"]),
+    ("fact_sales", ["fact_sales_key"], None),
+]
+
+
+def _key_sql() -> str:
+    parts = []
+    for t, pk, nk in _KEY_TABLES:
+        null = " OR ".join(f"{c} IS NULL" for c in pk)
+        parts.append(f"SELECT '{t}' AS table_name, '{t}.pk_null' AS check_name, "
+                     f"(SELECT count(*) FROM {t} WHERE {null}) AS result")
+        parts.append(f"SELECT '{t}', '{t}.pk_duplicate', ({_dup_sql(t, ', '.join(pk))})")
+        if nk:
+            parts.append(f"SELECT '{t}', '{t}.natural_key_duplicate', ({_dup_sql(t, ', '.join(nk))})")
+    return ("SELECT table_name, check_name AS \"check\", CAST(result AS BIGINT) AS result, "
+            "CAST(0 AS BIGINT) AS expected, result = 0 AS passed FROM ("
+            + " UNION ALL ".join(parts) + ") t")
+
+
+@register("quality_keys", oracle.sql(_key_sql(), *[t for t, _, _ in _KEY_TABLES]))
+def q_quality_keys(spark, sf_dir):
+    """PRIMARY KEY (not null, unique) and UNIQUE natural keys of the staging
+    and warehouse tables, as checks."""
+    frames = {
+        "staged_orders": wh.staged(spark, sf_dir, "orders"),
+        "staged_items": wh.staged(spark, sf_dir, "items"),
+        "staged_payments": wh.staged(spark, sf_dir, "payments"),
+        "dim_customer": wh.dim_customer(spark, sf_dir),
+        "dim_product": wh.dim_product(spark, sf_dir),
+        "dim_seller": wh.dim_seller(spark, sf_dir),
+        "fact_sales": wh.fact_sales(spark, sf_dir),
+    }
+    out = None
+    for t, pk, nk in _KEY_TABLES:
+        r = quality.run(frames[t], quality.key_checks(t, pk, nk)).select(
+            F.lit(t).alias("table_name"), "*")
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+oracle._def("runlog_tasks", ["raw_runlog"], """
+SELECT run_id, task_id, start_date, end_date, state,
+       coalesce(CAST(round((epoch_us(end_date) - epoch_us(start_date)) / 1000000.0) AS INT), 0) AS secs
+FROM raw_runlog""")
+oracle._def("run_summary", ["runlog_tasks"], """
+SELECT a.run_id, a.task_count, a.failed_tasks,
+       CASE WHEN a.slowest_seconds > 0 THEN s.task_id ELSE '' END AS slowest_task,
+       greatest(a.slowest_seconds, 0) AS slowest_seconds, a.total_seconds,
+       printf('%02dm %02ds', CAST(floor(a.total_seconds / 60) AS INT),
+              CAST(a.total_seconds % 60 AS INT)) AS duration_text
+FROM (SELECT run_id, count(*) AS task_count, count(*) FILTER (WHERE state = 'failed') AS failed_tasks,
+             max(secs) AS slowest_seconds,
+             CAST(round((epoch_us(max(end_date)) - epoch_us(min(start_date))) / 1000000.0) AS INT)
+               AS total_seconds
+      FROM runlog_tasks GROUP BY run_id) a
+JOIN (SELECT run_id, task_id FROM (
+        SELECT run_id, task_id, row_number() OVER (PARTITION BY run_id
+               ORDER BY secs DESC, start_date NULLS LAST, task_id) AS rn FROM runlog_tasks) x
+      WHERE rn = 1) s ON a.run_id = s.run_id""")
+
+
+@register("run_summary", oracle.sql("SELECT * FROM run_summary", "run_summary"))
+def q_run_summary(spark, sf_dir):
+    return runlog.summary(wh.raw(spark, sf_dir, "runlog"))
+
+
+_PASS = "CASE WHEN {} THEN 'PASS' ELSE 'FAIL' END"
+_ROWS_OK = f"final_rows >= {runlog.MIN_ROWS}"
+_TIME_OK = f"total_seconds <= {runlog.MAX_SECONDS}"
+_STATE_OK = "failed_tasks = 0"
+
+
+@register("row_count_gate", oracle.sql(
+    f"SELECT run_id, final_rows, total_seconds, {_PASS.format(_ROWS_OK)} AS pass_rows, "
+    f"{_PASS.format(_TIME_OK)} AS pass_runtime, {_PASS.format(_STATE_OK)} AS pass_state, "
+    f"{_PASS.format(' AND '.join([_ROWS_OK, _TIME_OK, _STATE_OK]))} AS overall "
+    "FROM run_summary, (SELECT count(*) AS final_rows FROM fact_sales_enriched) n",
+    "run_summary", "fact_sales_enriched"))
+def q_row_count_gate(spark, sf_dir):
+    final_rows = wh.fact_sales(spark, sf_dir, enriched=True).count()
+    return runlog.gates(runlog.summary(wh.raw(spark, sf_dir, "runlog")), final_rows)
+
+
+_SEGMENT_SQL = "CASE " + " ".join(f"WHEN {rule} THEN '{name}'" for name, rule in rfm.SEGMENTS) \
+    + f" ELSE '{rfm.OTHER_SEGMENT}' END"
+
+
+@register("rfm_segments", oracle.sql(f"""
+WITH m AS (
+  SELECT o.customer_id,
+         CAST(date_diff('day', max(o.order_purchase_timestamp),
+              (SELECT max(order_purchase_timestamp) FROM staged_orders)) AS INT) AS recency_days,
+         count(DISTINCT o.order_id) AS frequency,
+         round(coalesce(sum(p.total_payment_value), 0.0), 2) AS monetary
+  FROM staged_orders o LEFT JOIN payments_agg p ON o.order_id = p.order_id
+  GROUP BY o.customer_id),
+s AS (
+  SELECT *, CAST(ntile(5) OVER (ORDER BY recency_days DESC, customer_id) AS INT) AS r_score,
+            CAST(ntile(5) OVER (ORDER BY frequency, customer_id) AS INT) AS f_score,
+            CAST(ntile(5) OVER (ORDER BY monetary, customer_id) AS INT) AS m_score
+  FROM m)
+SELECT *, {_SEGMENT_SQL} AS segment FROM s""", "staged_orders", "payments_agg"))
+def q_rfm_segments(spark, sf_dir):
+    return rfm.segments(wh.staged(spark, sf_dir, "orders"), wh.staged(spark, sf_dir, "payments"))
+
+
+# The injected clock fault (tasks that ended within their first
+# second carry a start time shifted by this many years) and the stream split.
+CLOCK_FAULT_YEARS = 1968
+SPLIT_DAY = 15
+
+
+@register("stream_watermark_guard", oracle.sql(
+    f"SELECT date_trunc('hour', start_date) AS window_start, state, count(*) AS row_count "
+    f"FROM raw_runlog WHERE end_date <> start_date GROUP BY 1, 2", "raw_runlog"))
+def q_stream_watermark_guard(spark, sf_dir):
+    """Run-log events streamed in two batches (first half of the month,
+    then the rest) with a 10-minute watermark and hourly counts per state.
+    Implausible event times are dropped before the watermark; without the
+    guard the first batch would push the watermark ~2000 years ahead and
+    the whole second batch would be dropped as late."""
+    events = wh.raw(spark, sf_dir, "runlog").withColumn(
+        "event_time", F.when(F.col("end_date") == F.col("start_date"),
+                             F.timestamp_add("YEAR", F.lit(CLOCK_FAULT_YEARS), "start_date"))
+        .otherwise(F.col("start_date")))
+    root = scratch_path(spark, "runlog-stream")
+    target, ckpt = scratch_path(spark, "runlog-windows"), scratch_path(spark, "ckpt-runlog")
+    first = F.dayofmonth("start_date") <= SPLIT_DAY
+    for i, part in enumerate([events.filter(first), events.filter(~first)]):
+        part.write.mode("overwrite").parquet(f"{root}/batch-{i:06d}")
+        stream = spark.readStream.schema(events.schema).parquet(f"{root}/*")
+        counts = watermark.windowed_counts(watermark.guard(stream, "event_time"), "event_time",
+                                           "10 minutes", "1 hour", ["state"])
+        q = (counts.writeStream.outputMode("update")
+             .foreachBatch(lambda df, bid: _upsert.write_batch(
+                 df.withColumn("_partition", F.lit(0)).withColumn("_offset", F.lit(0).cast("long")),
+                 bid, target, ["window_start", "state"], ["window_start", "state", "row_count"],
+                 "last"))
+             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        q.awaitTermination()
+    from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampNTZType
+    schema = StructType([StructField("window_start", TimestampNTZType()),
+                         StructField("state", StringType()), StructField("row_count", LongType())])
+    return _upsert.read(spark, target, ["window_start", "state"], schema, "last") \
+        .drop("kafka_ingested_at")

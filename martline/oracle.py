@@ -178,4 +178,9 @@ def sql(body: str, *names: str) -> str:
     for n in names:
         visit(n)
     ctes = ",\n".join(f"{n} AS ({CTE[n][1]}\n)" for n in order)
-    return f"WITH {ctes}\n{body.strip()}" if order else body.strip()
+    body = body.strip()
+    if not order:
+        return body
+    if body[:5].upper() == "WITH ":
+        return f"WITH {ctes},\n{body[5:]}"
+    return f"WITH {ctes}\n{body}"

@@ -84,7 +84,7 @@ def run(df: DataFrame, checks: list[Check]) -> DataFrame:
     for fr in frames:
         cols = fr.columns
         long = fr.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("check"), F.col(c).cast("long").alias("result"))
+            F.struct(F.lit(c).alias("check"), F.col(f"`{c}`").cast("long").alias("result"))
             for c in cols])).alias("r")).select("r.*")
         rows = long if rows is None else rows.unionByName(long)
     order = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("check"))
