@@ -320,25 +320,24 @@ def q_dup_keys(spark, sf_dir):
     return out
 
 
-# Small buckets here so the bucketed (multi-task) path of the dense key runs
-# even on the test scale; the result does not depend on the bucket size.
-_DEMO_BUCKET_ROWS = 2048
-
-
 @register("dense_key_single", oracle.sql(
     "SELECT CAST(row_number() OVER (ORDER BY order_id) AS INT) AS order_key, order_id, customer_id "
     "FROM staged_orders", "staged_orders"))
 def q_dense_key_single(spark, sf_dir):
+    raw = wh.raw(spark, sf_dir, "orders")
     o = wh.staged(spark, sf_dir, "orders").select("order_id", "customer_id")
-    return dense_key(o, ["order_id"], "order_key", rows_per_bucket=_DEMO_BUCKET_ROWS)
+    return dense_key(o, ["order_id"], "order_key", size_hint=raw.count(),
+                     sample_src=raw.select("order_id"))
 
 
 @register("dense_key_composite", oracle.sql(
     "SELECT CAST(row_number() OVER (ORDER BY order_id, order_item_id) AS INT) AS item_key, "
     "order_id, order_item_id FROM staged_items", "staged_items"))
 def q_dense_key_composite(spark, sf_dir):
+    raw = wh.raw(spark, sf_dir, "items")
     i = wh.staged(spark, sf_dir, "items").select("order_id", "order_item_id")
-    return dense_key(i, ["order_id", "order_item_id"], "item_key", rows_per_bucket=_DEMO_BUCKET_ROWS)
+    return dense_key(i, ["order_id", "order_item_id"], "item_key", size_hint=raw.count(),
+                     sample_src=raw.select("order_id", "order_item_id"))
 
 
 @register("sample_head", oracle.sql(
@@ -431,16 +430,18 @@ def q_stream_parse_orders(spark, sf_dir):
 
 @register("stream_dedup_items", oracle.sql("SELECT * FROM staged_items", "staged_items"))
 def q_stream_dedup_items(spark, sf_dir):
-    """Stateful dedup across micro-batches: the replay never reaches the
-    sink."""
+    """Stateful dedup across micro-batches and restarts: the first load,
+    then a full replay; the replay never reaches the sink."""
+    from martline.streaming import consumer
     root = scratch_path(spark, "topic-items")
-    replay.publish_batches(spark, sf_dir, "items", root, [0, 1, 2])
     out, ckpt = scratch_path(spark, "dedup-items"), scratch_path(spark, "ckpt-dedup")
-    from martline.streaming import consumer
-    stream = consumer.consumer_stream("items", message_file_stream(spark, root, 1), "first")
-    q = (stream.drop("_partition", "_offset").writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
+    offset = 0
+    for group in ([0, 1], [2]):
+        offset = replay.publish_batches(spark, sf_dir, "items", root, group, offset)
+        stream = consumer.consumer_stream("items", message_file_stream(spark, root), "first")
+        q = (stream.drop("_partition", "_offset").writeStream.format("parquet").option("path", out)
+             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        q.awaitTermination()
     return spark.read.parquet(out)
 
 
