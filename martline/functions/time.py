@@ -12,10 +12,29 @@ def _c(c: str | Column) -> Column:
 
 
 def iso_text(c: str | Column) -> Column:
-    """Timestamp -> ISO-8601 text ``yyyy-MM-ddTHH:mm:ss`` with a fraction of
-    six digits only when it is not zero; NULL stays NULL (JSON null)."""
-    full = F.date_format(_c(c), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return F.regexp_replace(full, r"\.000000$", "")
+    """Zone-less timestamp -> ISO-8601 text ``yyyy-MM-ddTHH:mm:ss`` with a
+    six-digit fraction only when it is not zero; NULL stays NULL (JSON
+    null). The wall clock is printed as is: no session time zone is applied
+    (``date_format`` would convert, and shift times in a DST gap)."""
+    text = F.regexp_replace(_c(c).cast("timestamp_ntz").cast("string"), " ", "T")
+    # The cast prints the fraction without trailing zeros; pad it to six.
+    return F.when(F.instr(text, ".") > 0, F.rpad(text, 26, "0")).otherwise(text)
+
+
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def ntz_to_instant(c: str | Column) -> Column:
+    """Zone-less wall clock -> the instant with that wall clock in UTC,
+    independent of the session time zone."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), _c(c)))
+
+
+def instant_to_ntz(c: str | Column) -> Column:
+    """Inverse of ``ntz_to_instant``."""
+    micros = F.timestamp_diff("MICROSECOND", F.timestamp_micros(F.lit(0)), _c(c))
+    return F.timestamp_add("MICROSECOND", micros, _epoch_ntz())
 
 
 def parse_ts(c: str | Column) -> Column:
@@ -31,8 +50,9 @@ def calendar_days(end: str | Column, start: str | Column) -> Column:
 
 
 def elapsed_seconds(end: str | Column, start: str | Column) -> Column:
-    """Seconds between two timestamps, rounded to an integer."""
-    micros = F.unix_micros(_c(end).cast("timestamp")) - F.unix_micros(_c(start).cast("timestamp"))
+    """Seconds between two timestamps, rounded to an integer (computed on
+    the values as given: no session time zone is involved)."""
+    micros = F.timestamp_diff("MICROSECOND", _c(start), _c(end))
     return F.round(micros / F.lit(1_000_000.0)).cast("int")
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martline.functions.time import instant_to_ntz, ntz_to_instant
+
 # The default range of plausible event times.
 EARLIEST = "1970-01-01 00:00:00"
 LATEST = "2100-01-01 00:00:00"
@@ -32,13 +34,14 @@ def implausible(df: DataFrame, col: str, earliest: str = EARLIEST, latest: str =
 def windowed_counts(df: DataFrame, time_col: str, delay: str, width: str,
                     by: list[str]) -> DataFrame:
     """Tumbling-window counts per ``by`` under a watermark of ``delay``:
-    ``(window_start, *by, row_count)``. A zone-less event time is read as
-    session-zone time for the watermark and the window start is returned
-    zone-less again (the wall clock is unchanged)."""
+    ``(window_start, *by, row_count)``. The watermark needs a zoned
+    timestamp: a zone-less event time is mapped to the instant with the same
+    UTC wall clock and the window start mapped back, so the session time
+    zone never shifts an event."""
     ntz = df.schema[time_col].dataType.typeName() == "timestamp_ntz"
     if ntz:
-        df = df.withColumn(time_col, F.col(time_col).cast("timestamp"))
-    start = F.col("w.start").cast("timestamp_ntz") if ntz else F.col("w.start")
+        df = df.withColumn(time_col, ntz_to_instant(time_col))
+    start = instant_to_ntz(F.col("w.start")) if ntz else F.col("w.start")
     return (df.withWatermark(time_col, delay)
             .groupBy(F.window(time_col, width).alias("w"), *by)
             .agg(F.count(F.lit(1)).alias("row_count"))

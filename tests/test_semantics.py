@@ -155,3 +155,20 @@ def test_skewed_key_dedup_keeps_one_row(spark):
     out = first_per_key(df, ["k"], ["v"])
     assert out.count() == 2001
     assert out.filter("k = 0").first().v == 0
+
+
+def test_zone_less_times_ignore_session_zone(spark):
+    """A wall clock inside a DST gap of the session zone is printed, parsed
+    and windowed unchanged."""
+    from martline.functions.time import instant_to_ntz, ntz_to_instant
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([("2024-03-10T02:30:00",)], "s string") \
+            .select(parse_ts("s").alias("t"))
+        r = df.select(iso_text("t").alias("iso"),
+                      instant_to_ntz(ntz_to_instant("t")).alias("back")).first()
+        assert r.iso == "2024-03-10T02:30:00"
+        assert r.back == ts("2024-03-10 02:30:00")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
