@@ -21,20 +21,39 @@ def iso_text(c: str | Column) -> Column:
     return F.when(F.instr(text, ".") > 0, F.rpad(text, 26, "0")).otherwise(text)
 
 
-def _epoch_ntz() -> Column:
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+def wall_micros(c: str | Column) -> Column:
+    """Microseconds from 1970-01-01 00:00 to a zone-less wall clock, built
+    from its date and clock parts (each zone-free for TIMESTAMP_NTZ;
+    ``timestamp_diff`` would pass NTZ values through the session zone)."""
+    t = _c(c)
+    day = F.unix_date(F.to_date(t)).cast("long")
+    secs = F.date_part(F.lit("SECOND"), t)          # seconds with fraction
+    return (day * 86_400_000_000 + F.hour(t).cast("long") * 3_600_000_000
+            + F.minute(t).cast("long") * 60_000_000
+            + (secs * 1_000_000).cast("long"))
+
+
+def wall_clock(micros: Column) -> Column:
+    """Inverse of ``wall_micros``: a TIMESTAMP_NTZ from microseconds."""
+    day = F.floor(micros / F.lit(86_400_000_000)).cast("long")
+    rem = micros - day * 86_400_000_000
+    d = F.date_from_unix_date(day.cast("int"))
+    return F.make_timestamp_ntz(
+        F.year(d), F.month(d), F.dayofmonth(d),
+        F.floor(rem / F.lit(3_600_000_000)).cast("int"),
+        F.floor((rem % 3_600_000_000) / F.lit(60_000_000)).cast("int"),
+        ((rem % 60_000_000) / F.lit(1_000_000)).cast("decimal(16,6)"))
 
 
 def ntz_to_instant(c: str | Column) -> Column:
     """Zone-less wall clock -> the instant with that wall clock in UTC,
     independent of the session time zone."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), _c(c)))
+    return F.timestamp_micros(wall_micros(c))
 
 
 def instant_to_ntz(c: str | Column) -> Column:
     """Inverse of ``ntz_to_instant``."""
-    micros = F.timestamp_diff("MICROSECOND", F.timestamp_micros(F.lit(0)), _c(c))
-    return F.timestamp_add("MICROSECOND", micros, _epoch_ntz())
+    return wall_clock(F.unix_micros(_c(c)))
 
 
 def parse_ts(c: str | Column) -> Column:
@@ -50,9 +69,9 @@ def calendar_days(end: str | Column, start: str | Column) -> Column:
 
 
 def elapsed_seconds(end: str | Column, start: str | Column) -> Column:
-    """Seconds between two timestamps, rounded to an integer (computed on
-    the values as given: no session time zone is involved)."""
-    micros = F.timestamp_diff("MICROSECOND", _c(start), _c(end))
+    """Seconds between two zone-less timestamps (wall-clock difference, as
+    for SQL ``TIMESTAMP`` without zone), rounded to an integer."""
+    micros = wall_micros(end) - wall_micros(start)
     return F.round(micros / F.lit(1_000_000.0)).cast("int")
 
 
