@@ -11,9 +11,10 @@ window over one partition.
    the balance, while the per-bucket counts below are exact. Boundaries come from the
    whole key, not the leading column, so a leading value that holds a third
    of all rows still spreads over many buckets.
-3. ``bucket`` = number of boundaries <= key, as a binary-search CASE tree
-   over literal boundaries: a pure function of the row, so a recomputed task
-   gets the same bucket.
+3. ``bucket`` = number of boundaries <= key: a binary-search CASE tree over
+   literal boundaries for up to 64 buckets, else a small coarse CASE tree
+   plus a broadcast range lookup (<= max_buckets rows). A pure function of
+   the row, so a recomputed task gets the same bucket.
 4. Per-bucket counts (<= B rows) -> exclusive running sum -> broadcast join
    (the broadcast side is bounded by B).
 5. ``row_number() over (partition by bucket order by key) + offset``.
@@ -24,11 +25,12 @@ last, as in the warehouse's ``ORDER BY``.
 
 from __future__ import annotations
 
+import bisect
 import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import TimestampNTZType
+from pyspark.sql.types import IntegerType, StructField, StructType, TimestampNTZType
 
 INT_MAX = 2**31 - 1
 
@@ -79,25 +81,64 @@ def bucket_count(n: int, parallelism: int, rows_per_bucket: int, min_rows_per_bu
     return max(1, min(max_buckets, max(by_size, by_cores)))
 
 
+# Up to this many buckets the lookup is one binary-search CASE tree; beyond
+# it a two-level lookup keeps the per-row expression small (see _assigner).
+TREE_MAX_BUCKETS = 64
+
+
+def _assigner(key: Column, bounds: list[tuple], key_type, spark):
+    """Function adding ``_bucket`` (= number of boundaries <= key) to a
+    DataFrame.
+
+    Small B: a binary-search CASE tree. Large B: a CASE tree over every
+    ~sqrt(B)-th boundary gives a coarse id, then a broadcast hash join on the
+    coarse id with the table of fine ranges ``[lo, hi)`` (at most B rows:
+    bounded by ``max_buckets``) picks the one fine bucket; each row probes
+    about sqrt(B) candidate ranges, all in generated code."""
+    types = [f.dataType for f in key_type.fields][1::2]
+    nb = len(bounds) + 1
+    if nb <= TREE_MAX_BUCKETS:
+        expr = _bucket_expr(key, [_literal_struct(r, types) for r in bounds])
+        return lambda df: df.withColumn("_bucket", expr)
+    step = math.ceil(math.sqrt(nb))
+    coarse = bounds[step - 1::step]
+    coarse_expr = _bucket_expr(key, [_literal_struct(r, types) for r in coarse])
+    coarse_keys = [_sort_key(r) for r in coarse]
+    rows = []
+    for j in range(nb):
+        lo = bounds[j - 1] if j > 0 else None
+        hi = bounds[j] if j < nb - 1 else None
+        rows.append((bisect.bisect_right(coarse_keys, _sort_key(lo)) if lo else 0, j, lo, hi))
+    schema = StructType([StructField("_rc", IntegerType(), False),
+                         StructField("_bucket", IntegerType(), False),
+                         StructField("_lo", key_type, True), StructField("_hi", key_type, True)])
+    ranges = F.broadcast(spark.createDataFrame(rows, schema))
+    cond = ((F.col("_c") == F.col("_rc"))
+            & (F.col("_lo").isNull() | (F.col("_k") >= F.col("_lo")))
+            & (F.col("_hi").isNull() | (F.col("_k") < F.col("_hi"))))
+    return lambda df: (df.withColumns({"_c": coarse_expr, "_k": key})
+                       .join(ranges, cond).drop("_c", "_k", "_rc", "_lo", "_hi"))
+
+
 def range_buckets(keys_src: DataFrame, order: list[str | Column], *,
                   rows_per_bucket: int = 1_000_000, min_rows_per_bucket: int = 10_000,
                   max_buckets: int = 4096, samples_per_bucket: int = 32, seed: int = 7,
-                  size_hint: int | None = None,
-                  sample_src: DataFrame | None = None) -> tuple[Column, int]:
-    """Plan the bucket column for ``order`` from a key-only DataFrame.
-    Returns ``(bucket_column, bucket_count)``. Runs a count unless
-    ``size_hint`` (any upper bound of the row count, e.g. the input table's
-    count) is given, and one bounded sampling job when more than one bucket
-    is needed."""
+                  size_hint: int | None = None, sample_src: DataFrame | None = None):
+    """Plan the bucketing for ``order`` from a key-only DataFrame. Returns
+    ``(assign, bucket_count)`` where ``assign(df)`` adds ``_bucket``. Runs a
+    count unless ``size_hint`` (any upper bound of the row count, e.g. the
+    input table's count) is given, and one bounded sampling job when more
+    than one bucket is needed."""
     n = size_hint if size_hint is not None else keys_src.count()
     if size_hint is None and n > INT_MAX:
         raise ValueError(f"{n} rows do not fit an INT surrogate key")
     # With only a bound, the ANSI cast of the final key to INT still fails
     # loudly on overflow.
-    parallelism = keys_src.sparkSession.sparkContext.defaultParallelism
-    b = bucket_count(n, parallelism, rows_per_bucket, min_rows_per_bucket, max_buckets)
+    spark = keys_src.sparkSession
+    b = bucket_count(n, spark.sparkContext.defaultParallelism, rows_per_bucket,
+                     min_rows_per_bucket, max_buckets)
     if b == 1:
-        return F.lit(0), 1
+        return (lambda df: df.withColumn("_bucket", F.lit(0))), 1
     key = _key_struct(order)
     frac = min(1.0, 1.2 * b * samples_per_bucket / n)
     keyed = (sample_src if sample_src is not None else keys_src).select(key.alias("k"))
@@ -109,9 +150,7 @@ def range_buckets(keys_src: DataFrame, order: list[str | Column], *,
         if cand is not None and cand != last:
             bounds.append(cand)
             last = cand
-    types = [f.dataType for f in keyed.schema["k"].dataType.fields][1::2]
-    lits = [_literal_struct(r, types) for r in bounds]
-    return _bucket_expr(key, lits), len(lits) + 1
+    return _assigner(key, bounds, keyed.schema["k"].dataType, spark), len(bounds) + 1
 
 
 def dense_key(df: DataFrame, order: list[str | Column], name: str, *,
@@ -127,22 +166,21 @@ def dense_key(df: DataFrame, order: list[str | Column], name: str, *,
     ``size_hint``: an upper bound of the row count that saves the count job.
     ``sample_src``: a cheaper superset of the rows to sample boundaries from."""
     src = keys_src if keys_src is not None else df.select(*_cols(order))
-    bucket, nb = range_buckets(src, order, rows_per_bucket=rows_per_bucket,
+    assign, nb = range_buckets(src, order, rows_per_bucket=rows_per_bucket,
                                min_rows_per_bucket=min_rows_per_bucket, max_buckets=max_buckets,
                                samples_per_bucket=samples_per_bucket, size_hint=size_hint,
                                sample_src=sample_src)
     w = Window.partitionBy("_bucket").orderBy(*[c.asc_nulls_last() for c in _cols(order)])
     if nb == 1:
         # At most ``rows_per_bucket`` rows: one bucket, offset 0.
-        return (df.withColumn("_bucket", bucket)
-                .withColumn(name, F.row_number().over(w).cast("int")).drop("_bucket"))
-    counts = (src.select(bucket.alias("_bucket")).groupBy("_bucket")
-              .agg(F.count(F.lit(1)).alias("_cnt")))
+        return (assign(df).withColumn(name, F.row_number().over(w).cast("int"))
+                .drop("_bucket"))
+    counts = assign(src).groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
     # Window over the per-bucket counts only (<= max_buckets rows).
     offsets = counts.select(
         "_bucket",
         (F.sum("_cnt").over(Window.orderBy("_bucket")) - F.col("_cnt")).alias("_off"))
-    return (df.withColumn("_bucket", bucket)
+    return (assign(df)
             .join(F.broadcast(offsets), "_bucket")
             .withColumn(name, (F.row_number().over(w) + F.col("_off")).cast("int"))
             .drop("_bucket", "_off"))

@@ -76,3 +76,13 @@ def test_plan_has_no_global_window_over_rows(spark):
     # PARTITION BY is the running sum over the per-bucket counts.
     assert len(partitioned) == 1 and "row_number()" in partitioned[0]
     assert len(unpartitioned) == 1 and "sum(_cnt" in unpartitioned[0]
+
+
+def test_two_level_lookup_many_buckets(spark):
+    # 120 buckets: coarse CASE tree + broadcast range lookup.
+    rows = [("hot" if i % 3 == 0 else f"k{i:05d}", i) for i in range(6000)]
+    df = spark.createDataFrame(rows, "a string, b int")
+    _check(df, ["a", "b"], rows_per_bucket=50, min_rows_per_bucket=1)
+    plan = dense_key(df, ["a", "b"], "k", rows_per_bucket=50, min_rows_per_bucket=1) \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [_c" in plan
