@@ -13,7 +13,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martline import schemas
@@ -25,6 +25,7 @@ class Run:
     def __init__(self, spark: SparkSession, out: str, run_id: str | None = None):
         self.spark, self.out = spark, out.rstrip("/")
         self.run_id = run_id or uuid.uuid4().hex[:12]
+        self.rows_written: dict[str, int] = {}
 
     def path(self, table: str) -> str:
         return f"{self.out}/{table}"
@@ -47,7 +48,12 @@ class Run:
         self._log(task_id, start, dt.datetime.now(), "success")
 
     def write(self, table: str, df: DataFrame) -> None:
-        df.write.mode("overwrite").parquet(self.path(table))
+        """Overwrite ``table``; its row count is observed during the write
+        (no second pass over the data) and kept in ``rows_written``."""
+        obs = Observation(f"rows_{table}")
+        df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
+            .parquet(self.path(table))
+        self.rows_written[table] = obs.get["rows"]
 
 
 def build_warehouse(spark: SparkSession, sf_dir: str, out: str, run_id: str | None = None,

@@ -32,6 +32,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType, TimestampNTZType
 
+from martline.session import default_parallelism
+
 INT_MAX = 2**31 - 1
 
 
@@ -135,7 +137,7 @@ def range_buckets(keys_src: DataFrame, order: list[str | Column], *,
     # With only a bound, the ANSI cast of the final key to INT still fails
     # loudly on overflow.
     spark = keys_src.sparkSession
-    b = bucket_count(n, spark.sparkContext.defaultParallelism, rows_per_bucket,
+    b = bucket_count(n, default_parallelism(spark), rows_per_bucket,
                      min_rows_per_bucket, max_buckets)
     if b == 1:
         return (lambda df: df.withColumn("_bucket", F.lit(0))), 1

@@ -39,24 +39,44 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None on a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Connect sessions have no context
+        return None
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    if sc is not None:
+        return sc.defaultParallelism
+    return int(spark.conf.get("spark.default.parallelism",
+                              spark.conf.get("spark.sql.shuffle.partitions", "200")))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster it must be set by the deployment (a shared file system);
     only a local-mode session without one gets a fresh private folder.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    sc = _context(spark)
+    current = (sc.getCheckpointDir() if sc is not None else None) \
+        or spark.conf.get("spark.checkpoint.dir", None)
     if current:
-        if not sc.getCheckpointDir():
+        if sc is not None and not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
-        return sc.getCheckpointDir()
-    if not sc.master.startswith("local"):
+        return (sc.getCheckpointDir() if sc is not None else None) or current
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
     path = tempfile.mkdtemp(prefix="martline-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir()
+    if sc is not None:
+        sc.setCheckpointDir(path)
+        return sc.getCheckpointDir()
+    return path
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -14,7 +14,7 @@ def test_build_warehouse_matches_queries_and_logs(spark, scratch):
     for table in ["dim_customer", "dim_product", "dim_seller", "fact_sales"]:
         assert digest(run.read(table).toPandas()) == digest(qs[table](spark, SF_SMALL).toPandas())
     enriched = run.read("fact_sales_enriched")
-    assert enriched.count() == run.read("fact_sales").count()
+    assert enriched.count() == run.read("fact_sales").count() == run.rows_written["fact_sales"]
     summary = runlog.summary(run.read("runlog")).collect()
     assert len(summary) == 1 and summary[0].task_count == 9 and summary[0].failed_tasks == 0
     results = {(r.table_name, r.check): r.passed for r in run.read("quality_results").collect()}
