@@ -39,11 +39,15 @@ def consumer_stream(entity: str, messages: DataFrame, policy: str = "first",
 
 
 def run(entity: str, messages: DataFrame, target: str, checkpoint: str, policy: str = "first",
-        available_now: bool = True, interval: str = "10 seconds") -> StreamingQuery:
+        available_now: bool = True, interval: str = "10 seconds",
+        compact_every: int | None = None) -> StreamingQuery:
+    """Start the consumer. ``compact_every=N`` folds the upsert log into a
+    snapshot after every N-th micro-batch."""
     keys = schemas.KEYS[entity]
     columns = stage.TABLE_SCHEMA[entity].names
     w = (consumer_stream(entity, messages, policy).writeStream
-         .foreachBatch(partial(_batch, target=target, keys=keys, columns=columns, policy=policy))
+         .foreachBatch(partial(_batch, target=target, keys=keys, columns=columns, policy=policy,
+                               schema=stage.TABLE_SCHEMA[entity], compact_every=compact_every))
          .option("checkpointLocation", checkpoint)
          .queryName(f"consumer_{entity}_{policy}"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
@@ -51,14 +55,17 @@ def run(entity: str, messages: DataFrame, target: str, checkpoint: str, policy:
 
 
 def _batch(df: DataFrame, batch_id: int, *, target: str, keys: list[str], columns: list[str],
-           policy: str) -> None:
+           policy: str, schema=None, compact_every: int | None = None) -> None:
     upsert.write_batch(df, batch_id, target, keys, columns, policy)
+    if compact_every and (batch_id + 1) % compact_every == 0:
+        upsert.compact(df.sparkSession, target, keys, schema, policy)
 
 
 def drain(entity: str, messages: DataFrame, target: str, checkpoint: str,
-          policy: str = "first") -> None:
+          policy: str = "first", compact_every: int | None = None) -> None:
     """Run to the end of the available input and wait for it."""
-    q = run(entity, messages, target, checkpoint, policy, available_now=True)
+    q = run(entity, messages, target, checkpoint, policy, available_now=True,
+            compact_every=compact_every)
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))

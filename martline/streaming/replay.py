@@ -72,15 +72,17 @@ def publish_batches(spark: SparkSession, sf_dir: str, entity: str, root: str,
 
 
 def run_scenario(spark: SparkSession, sf_dir: str, entity: str, policy: str,
-                 steps: list[list[int]]) -> DataFrame:
+                 steps: list[list[int]], compact_every: int | None = 2) -> DataFrame:
     """Publish the batch groups in ``steps`` one after another, draining the
     consumer (same checkpoint: a restart each time) after each group, and
-    return the staged table without its insert time."""
+    return the staged table without its insert time. The upsert log is
+    compacted every ``compact_every`` micro-batches."""
     root = scratch_path(spark, f"topic-{entity}")
     target = scratch_path(spark, f"staging-{entity}")
     ckpt = scratch_path(spark, f"ckpt-{entity}")
     offset = 0
     for group in steps:
         offset = publish_batches(spark, sf_dir, entity, root, group, offset)
-        consumer.drain(entity, message_file_stream(spark, root), target, ckpt, policy)
+        consumer.drain(entity, message_file_stream(spark, root), target, ckpt, policy,
+                       compact_every)
     return consumer.staged_table(spark, entity, target, policy).drop("kafka_ingested_at")

@@ -17,10 +17,15 @@ Exactly once: a retried batch id overwrites its own folder with the same
 rows (the stream's offset log fixes the batch content), so replays and
 retries never double-count. Resolution is a grouped aggregate with
 map-side combining, so a key with many versions is pre-reduced per task.
-``compact`` writes the resolved snapshot as a new table (a new path)."""
+
+``compact`` folds the log into a snapshot (one winning version per key) and
+records it in a manifest; reads then take the newest snapshot plus only the
+batches after it, so read cost follows the table size, not its history."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -58,30 +63,93 @@ def write_batch(batch: DataFrame, batch_id: int, target: str, keys: list[str],
         batch.unpersist()
 
 
-def read(spark: SparkSession, target: str, keys: list[str], schema: StructType,
-         policy: str) -> DataFrame:
-    """Current table: one row per key, ``schema`` columns +
-    ``kafka_ingested_at``."""
-    columns = schema.names
+def _log_versions(spark: SparkSession, target: str, columns: list[str], after: int | None):
+    """Rows of the log as versions ``(columns…, merge_batch, _partition,
+    _offset, _ingested_at)``; only batches after ``after`` (partition
+    pruning on ``merge_batch``)."""
     try:
         log = spark.read.parquet(target)
     except Exception as e:  # noqa: BLE001 - an empty table has no folder yet
         if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
             raise
-        empty = spark.createDataFrame([], schema)
-        return empty.withColumn("kafka_ingested_at", F.lit(None).cast("timestamp_ntz"))
+        return None
+    if after is not None:
+        log = log.filter(F.col(BATCH_COL) > after)
+    return log.select(*columns, BATCH_COL, *META)
+
+
+def _latest_snapshot(spark: SparkSession, target: str):
+    """``(upto, path)`` of the newest completed snapshot, or None."""
+    try:
+        m = spark.read.parquet(manifest_path(target))
+    except Exception as e:  # noqa: BLE001 - no compaction yet
+        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
+            raise
+        return None
+    row = m.orderBy(F.col("upto").desc()).first()
+    return None if row is None else (row["upto"], row["path"])
+
+
+def manifest_path(target: str) -> str:
+    return f"{target.rstrip('/')}_manifest"
+
+
+def _versions(spark: SparkSession, target: str, columns: list[str]):
+    snap = _latest_snapshot(spark, target)
+    log = _log_versions(spark, target, columns, snap[0] if snap else None)
+    if snap is None:
+        return log
+    base = spark.read.parquet(snap[1]).select(*columns, BATCH_COL, *META)
+    return base if log is None else base.unionByName(log)
+
+
+def _resolve(versions: DataFrame, keys: list[str], columns: list[str], policy: str) -> DataFrame:
     version = F.struct(F.col(BATCH_COL), F.col("_partition"), F.col("_offset"))
     rest = [c for c in columns if c not in keys]
     pick = F.min_by if policy == "first" else F.max_by
-    resolved = log.groupBy(*keys).agg(
-        pick(F.struct(*rest), version).alias("_row"),
-        F.min("_ingested_at").alias("kafka_ingested_at"))
+    return versions.groupBy(*keys).agg(
+        pick(F.struct(*rest, BATCH_COL, "_partition", "_offset"), version).alias("_row"),
+        F.min("_ingested_at").alias("_ingested_at"))
+
+
+def read(spark: SparkSession, target: str, keys: list[str], schema: StructType,
+         policy: str) -> DataFrame:
+    """Current table: one row per key, ``schema`` columns +
+    ``kafka_ingested_at``."""
+    columns = schema.names
+    versions = _versions(spark, target, columns)
+    if versions is None:
+        empty = spark.createDataFrame([], schema)
+        return empty.withColumn("kafka_ingested_at", F.lit(None).cast("timestamp_ntz"))
+    resolved = _resolve(versions, keys, columns, policy)
     return resolved.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c)
-                             for c in columns], "kafka_ingested_at")
+                             for c in columns], F.col("_ingested_at").alias("kafka_ingested_at"))
 
 
 def compact(spark: SparkSession, target: str, keys: list[str], schema: StructType,
-            policy: str, out: str) -> DataFrame:
-    """Write the resolved table to a new path and return it read back."""
-    read(spark, target, keys, schema, policy).write.mode("overwrite").parquet(out)
-    return spark.read.parquet(out)
+            policy: str) -> int | None:
+    """Fold every batch written so far into a snapshot. The snapshot keeps
+    each key's winning version and first insert time, so later batches still
+    resolve against it exactly as against the full log. The manifest row is
+    appended only after the snapshot is written, so readers never see a
+    partial snapshot; log folders up to ``upto`` are then skipped by
+    partition pruning. Returns the batch id covered, or None if empty."""
+    columns = schema.names
+    snap = _latest_snapshot(spark, target)
+    tail = _log_versions(spark, target, columns, snap[0] if snap else None)
+    newest = tail.agg(F.max(BATCH_COL)).first()[0] if tail is not None else None
+    if newest is None:
+        return snap[0] if snap else None   # nothing newer than the last snapshot
+    versions = _versions(spark, target, columns)
+    upto = newest
+    resolved = _resolve(versions.filter(F.col(BATCH_COL) <= upto), keys, columns, policy)
+    snap = resolved.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in columns if c not in keys],
+                           F.col(f"_row.{BATCH_COL}").alias(BATCH_COL),
+                           F.col("_row._partition").alias("_partition"),
+                           F.col("_row._offset").alias("_offset"), "_ingested_at")
+    # A fresh folder per snapshot: never overwrite what a reader may be using.
+    path = f"{target.rstrip('/')}_snapshots/upto={upto}-{uuid.uuid4().hex[:8]}"
+    snap.write.mode("overwrite").parquet(path)
+    (spark.createDataFrame([(int(upto), path)], "upto long, path string")
+     .write.mode("append").parquet(manifest_path(target)))
+    return int(upto)

@@ -86,3 +86,22 @@ def test_watermark_guard_keeps_later_batches(spark, scratch):
     unguarded = _run_windows(spark, scratch, False)
     # Without the guard the stray year makes the whole second batch late.
     assert unguarded.filter(F.hour("window_start") == 5).count() == 0
+
+
+@pytest.mark.parametrize("policy", ["first", "last"])
+def test_compaction_keeps_results(spark, scratch, policy):
+    target = scratch("upsert-compact")
+    upsert.write_batch(_batch(spark, [("a", "created", 1), ("b", "created", 2)]), 0,
+                       target, KEYS, COLS, policy)
+    upsert.write_batch(_batch(spark, [("a", "paid", 3)]), 1, target, KEYS, COLS, policy)
+    t0 = upsert.read(spark, target, KEYS, schemas.ORDERS, "last").first().kafka_ingested_at
+    before = _table(spark, target, policy)
+    assert upsert.compact(spark, target, KEYS, schemas.ORDERS, policy) == 1
+    assert _table(spark, target, policy) == before
+    upsert.write_batch(_batch(spark, [("a", "shipped", 4), ("c", "created", 5)]), 2,
+                       target, KEYS, COLS, policy)
+    after = _table(spark, target, policy)
+    expected_a = "created" if policy == "first" else "shipped"
+    assert after == {"a": expected_a, "b": "created", "c": "created"}
+    row = upsert.read(spark, target, KEYS, schemas.ORDERS, policy).filter("order_id = 'a'").first()
+    assert row.kafka_ingested_at <= t0 or policy == "first"
