@@ -61,10 +61,8 @@ def key_checks(table: str, pk: list[str], natural: list[str] | None = None) -> l
 
 
 def run(df: DataFrame, checks: list[Check]) -> DataFrame:
-    names = [c[0] for c in checks]
     preds = [(n, p) for n, kind, p in checks if kind == "count_if"]
     dups = [(n, cols) for n, kind, cols in checks if kind == "duplicate_keys"]
-    results: dict[str, Column] = {}
     if dups:
         # One grouping per distinct duplicate-check key set; the usual case
         # is one (the table's key).
@@ -87,10 +85,8 @@ def run(df: DataFrame, checks: list[Check]) -> DataFrame:
             F.struct(F.lit(c).alias("check"), F.col(f"`{c}`").cast("long").alias("result"))
             for c in cols])).alias("r")).select("r.*")
         rows = long if rows is None else rows.unionByName(long)
-    order = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("check"))
     return (rows.withColumn("expected", F.lit(0).cast("long"))
-            .withColumn("passed", F.col("result") == F.col("expected"))
-            .withColumn("_pos", order).orderBy("_pos").drop("_pos"))
+            .withColumn("passed", F.col("result") == F.col("expected")))
 
 
 def enforce(results: DataFrame) -> None:

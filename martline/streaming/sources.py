@@ -24,9 +24,12 @@ MESSAGE_FILE_SCHEMA = StructType([
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str,
                  starting_offsets: str = "earliest", fail_on_data_loss: bool = False,
-                 max_offsets_per_trigger: int | None = None) -> DataFrame:
+                 max_offsets_per_trigger: int | None = None,
+                 min_partitions: int | None = None) -> DataFrame:
     """Kafka topic as a stream of text messages. ``failOnDataLoss=false``
-    tolerates a recreated topic (offsets going back)."""
+    tolerates a recreated topic (offsets going back). ``min_partitions``
+    splits large topic partitions over several tasks, so one partition
+    holding most of a batch does not become one task."""
     r = (spark.readStream.format("kafka")
          .option("kafka.bootstrap.servers", servers)
          .option("subscribe", topic)
@@ -34,6 +37,8 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str,
          .option("failOnDataLoss", str(fail_on_data_loss).lower()))
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    if min_partitions:
+        r = r.option("minPartitions", str(min_partitions))
     return r.load().select(
         F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"),
         "topic", "partition", "offset", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
