@@ -24,6 +24,26 @@ DEFAULT_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict:
+    """Settings for a cluster run over ``input_bytes`` of Parquet on
+    ``cores`` executor cores: scan splits and shuffle partitions of about
+    ``partition_bytes`` (so a task's input fits executor memory and spills
+    rarely), at least two waves of tasks, AQE coalescing small partitions and
+    splitting skewed ones (a key with a third of the rows), broadcasts only
+    under Spark's size check."""
+    shuffle = max(2 * cores, -(-input_bytes * 2 // partition_bytes))  # shuffles ~2x parquet
+    return {
+        **DEFAULT_CONF,
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+    }
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "martline", extra: dict | None = None) -> SparkSession:
     """Local session for tests and the bench; cluster jobs get theirs from
