@@ -31,7 +31,10 @@ def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 256 << 20)
     rarely), at least two waves of tasks, AQE coalescing small partitions and
     splitting skewed ones (a key with a third of the rows), broadcasts only
     under Spark's size check."""
-    shuffle = max(2 * cores, -(-input_bytes * 2 // partition_bytes))  # shuffles ~2x parquet
+    # Shuffled bytes are ~2x the compressed Parquet. Map x reduce shuffle
+    # blocks grow quadratically, so past ~50k reducers partitions grow
+    # instead (sorts and aggregations spill rather than fail).
+    shuffle = min(50_000, max(2 * cores, -(-input_bytes * 2 // partition_bytes)))
     return {
         **DEFAULT_CONF,
         "spark.sql.files.maxPartitionBytes": str(partition_bytes),
