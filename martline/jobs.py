@@ -56,11 +56,29 @@ class Run:
         self.rows_written[table] = obs.get["rows"]
 
 
+def _stream_stage(spark: SparkSession, sf_dir: str, run: Run, entity: str) -> None:
+    """Producer -> topic -> streaming consumer -> keyed upsert table, then the
+    resolved staging table written for the downstream jobs."""
+    from martline.streaming import consumer, replay
+    from martline.streaming.sources import message_file_stream
+    root, target = run.path(f"topic_{entity}"), run.path(f"upsert_{entity}")
+    replay.publish_batches(spark, sf_dir, entity, root, [2])      # one full load
+    consumer.drain(entity, message_file_stream(spark, root), target,
+                   run.path(f"_checkpoint_{entity}"))
+    run.write(f"staged_{entity}",
+              consumer.staged_table(spark, entity, target).drop("kafka_ingested_at"))
+
+
 def build_warehouse(spark: SparkSession, sf_dir: str, out: str, run_id: str | None = None,
-                    enforce: bool = False) -> Run:
+                    enforce: bool = False, via_stream: bool = False) -> Run:
+    """Staging (batch path, or ``via_stream``: published messages consumed by
+    the streaming consumers), dimensions, facts, quality."""
     run = Run(spark, out, run_id)
     for e in ["orders", "items", "payments"]:
-        run.task(f"stage_{e}", lambda e=e: run.write(f"staged_{e}", wh.staged(spark, sf_dir, e)))
+        if via_stream:
+            run.task(f"stage_{e}", lambda e=e: _stream_stage(spark, sf_dir, run, e))
+        else:
+            run.task(f"stage_{e}", lambda e=e: run.write(f"staged_{e}", wh.staged(spark, sf_dir, e)))
 
     def bound(table: str) -> dict:
         return {"size_hint": run.read(table).count()}

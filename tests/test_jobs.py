@@ -20,3 +20,10 @@ def test_build_warehouse_matches_queries_and_logs(spark, scratch):
     results = {(r.table_name, r.check): r.passed for r in run.read("quality_results").collect()}
     assert results[("fact_sales", "duplicate_order_item_rows")] is True
     assert results[("fact_sales_enriched", "duplicate_order_item_rows")] is True
+
+
+def test_build_via_stream_equals_batch(spark, scratch):
+    batch = build_warehouse(spark, SF_SMALL, scratch("wh-batch"), run_id="b")
+    stream = build_warehouse(spark, SF_SMALL, scratch("wh-stream"), run_id="s", via_stream=True)
+    for table in ["staged_orders", "staged_items", "staged_payments", "fact_sales"]:
+        assert digest(stream.read(table).toPandas()) == digest(batch.read(table).toPandas())
