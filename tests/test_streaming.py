@@ -105,3 +105,25 @@ def test_compaction_keeps_results(spark, scratch, policy):
     assert after == {"a": expected_a, "b": "created", "c": "created"}
     row = upsert.read(spark, target, KEYS, schemas.ORDERS, policy).filter("order_id = 'a'").first()
     assert row.kafka_ingested_at <= t0 or policy == "first"
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.sampled_from(["x", "y", "z"])),
+                min_size=1, max_size=12), st.randoms())
+def test_last_wins_is_order_independent_within_a_batch(spark, scratch, msgs, rnd):
+    rows = [(k, s, off) for off, (k, s) in enumerate(msgs)]
+    shuffled = rows[:]
+    rnd.shuffle(shuffled)
+    results = []
+    for order in (rows, shuffled):
+        target = scratch("upsert-prop")
+        upsert.write_batch(_batch(spark, order), 0, target, KEYS, COLS, "last")
+        results.append(_table(spark, target, "last"))
+    expected = {}
+    for k, s, _ in rows:
+        expected[k] = s                       # highest offset wins
+    assert results[0] == results[1] == expected
