@@ -107,11 +107,13 @@ def test_compaction_keeps_results(spark, scratch, policy):
     assert row.kafka_ingested_at <= t0 or policy == "first"
 
 
-from hypothesis import given, settings  # noqa: E402
+from hypothesis import HealthCheck, given, settings  # noqa: E402
 from hypothesis import strategies as st  # noqa: E402
 
 
-@settings(max_examples=5, deadline=None)
+# ``scratch`` hands out a fresh folder per call, so sharing it is safe.
+@settings(max_examples=5, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", "c"]), st.sampled_from(["x", "y", "z"])),
                 min_size=1, max_size=12), st.randoms())
 def test_last_wins_is_order_independent_within_a_batch(spark, scratch, msgs, rnd):
