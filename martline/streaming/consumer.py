@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martline import schemas
+from martline.functions.time import ntz_to_instant
 from martline.plans import stage
 from martline.streaming import upsert
 
@@ -34,7 +35,11 @@ def consumer_stream(entity: str, messages: DataFrame, policy: str = "first",
     keys = schemas.KEYS[entity]
     if dedup_watermark:
         col, delay = dedup_watermark
-        return valid.withWatermark(col, delay).dropDuplicatesWithinWatermark(keys)
+        # The watermark needs a zoned timestamp: use the zone-free instant
+        # of the (zone-less) event time.
+        timed = valid.withColumn("_event_time", ntz_to_instant(col))
+        return (timed.withWatermark("_event_time", delay)
+                .dropDuplicatesWithinWatermark(keys).drop("_event_time"))
     return valid.dropDuplicates(keys)
 
 

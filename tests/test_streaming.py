@@ -129,3 +129,22 @@ def test_last_wins_is_order_independent_within_a_batch(spark, scratch, msgs, rnd
     for k, s, _ in rows:
         expected[k] = s                       # highest offset wins
     assert results[0] == results[1] == expected
+
+
+def test_bounded_state_dedup_within_watermark(spark, scratch):
+    from martline.streaming import consumer
+    from martline.streaming.sources import message_file_stream, publish
+    orders = spark.createDataFrame([
+        ("o1", "c", "created", dt.datetime(2024, 1, 1, 10), None, None, None, None),
+        ("o2", "c", "created", dt.datetime(2024, 1, 1, 11), None, None, None, None)],
+        schemas.ORDERS)
+    msgs = stage.encode("orders", orders).withColumn("o", F.col("key"))
+    root, out, ckpt = scratch("wm-topic"), scratch("wm-out"), scratch("wm-ckpt")
+    off = publish(msgs, root, 0, "t", 0, ["o"])
+    publish(msgs, root, 1, "t", off, ["o"])              # the same messages again
+    s = consumer.consumer_stream("orders", message_file_stream(spark, root, 1), "first",
+                                 dedup_watermark=("order_purchase_timestamp", "1 day"))
+    q = (s.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert sorted(r.order_id for r in spark.read.parquet(out).collect()) == ["o1", "o2"]
