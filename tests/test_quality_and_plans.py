@@ -78,3 +78,26 @@ def test_enriched_fact_shares_order_id_partitioning(spark):
     no exchange re-shuffles the joined rows by order_id."""
     plan = _plan(entry.queries()["fact_sales_enriched"](spark, SF_SMALL))
     assert plan.count("hashpartitioning(order_id") <= 4
+
+
+def test_jdbc_append_and_parallel_read(spark, scratch):
+    from martline.sources import jdbc
+    url = jdbc.derby_url(scratch("derby-append"))
+    df = spark.range(100).selectExpr("CAST(id AS INT) AS k", "CAST(id * 2 AS STRING) AS v")
+    jdbc.write_table(df, url, "T", jdbc.DERBY_PROPS, mode="append")
+    jdbc.write_table(df, url, "T", jdbc.DERBY_PROPS, mode="append")
+    back = jdbc.read_table(spark, url, "T", jdbc.DERBY_PROPS, mod_column='"k"', num_partitions=4)
+    assert back.rdd.getNumPartitions() == 5 and back.count() == 200
+    ranged = jdbc.read_table(spark, url, "T", jdbc.DERBY_PROPS, partition_column='"k"',
+                             lower=0, upper=100, num_partitions=4)
+    assert ranged.count() == 200
+
+
+def test_failed_job_task_is_logged(spark, scratch):
+    from martline.jobs import Run
+    run = Run(spark, scratch("failing"), run_id="f")
+    run.task("ok", lambda: None)
+    with pytest.raises(ZeroDivisionError):
+        run.task("boom", lambda: 1 / 0)
+    states = {r.task_id: r.state for r in run.read("runlog").collect()}
+    assert states == {"ok": "success", "boom": "failed"}

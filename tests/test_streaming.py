@@ -148,3 +148,19 @@ def test_bounded_state_dedup_within_watermark(spark, scratch):
          .trigger(availableNow=True).start())
     q.awaitTermination()
     assert sorted(r.order_id for r in spark.read.parquet(out).collect()) == ["o1", "o2"]
+
+
+def test_processing_time_trigger(spark, scratch):
+    from martline.streaming import consumer
+    from martline.streaming.sources import message_file_stream, publish
+    orders = spark.createDataFrame([("o1", "c", "created", None, None, None, None, None)],
+                                   schemas.ORDERS)
+    root, target, ckpt = scratch("pt-topic"), scratch("pt-target"), scratch("pt-ckpt")
+    publish(stage.encode("orders", orders), root, 0, "t", 0, ["key"])
+    q = consumer.run("orders", message_file_stream(spark, root), target, ckpt, "last",
+                     available_now=False, interval="1 second")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert consumer.staged_table(spark, "orders", target, "last").count() == 1
