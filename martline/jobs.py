@@ -21,6 +21,11 @@ from martline.plans import dims, facts, quality
 from martline.plans import warehouse as wh
 
 
+# Above this many dimension rows a dimension is not broadcast (about 64 MB of
+# key pairs), and the fact looks its keys up on a narrow projection.
+NARROW_LOOKUP_MIN_DIM_ROWS = 2_000_000
+
+
 class Run:
     def __init__(self, spark: SparkSession, out: str, run_id: str | None = None):
         self.spark, self.out = spark, out.rstrip("/")
@@ -93,11 +98,18 @@ def build_warehouse(spark: SparkSession, sf_dir: str, out: str, run_id: str | No
     run.task("dim_seller", lambda: run.write(
         "dim_seller", dims.seller(wh.raw(spark, sf_dir, "sellers"),
                                   size_hint=wh.raw(spark, sf_dir, "sellers").count())))
-    run.task("fact_sales", lambda: run.write("fact_sales", facts.sales(
-        run.read("staged_orders"), run.read("staged_items"), run.read("dim_customer"),
-        run.read("dim_product"), run.read("dim_seller"),
-        sample_src=run.read("staged_items").select("order_id", "order_item_id"),
-        **bound("staged_items"))))
+    def fact() -> None:
+        # Dimensions too big to broadcast: look keys up on a narrow
+        # projection instead of shuffling the wide fact once per dimension.
+        big = max(run.read(d).count() for d in ["dim_customer", "dim_product", "dim_seller"])
+        run.write("fact_sales", facts.sales(
+            run.read("staged_orders"), run.read("staged_items"), run.read("dim_customer"),
+            run.read("dim_product"), run.read("dim_seller"),
+            narrow_lookup=big > NARROW_LOOKUP_MIN_DIM_ROWS,
+            sample_src=run.read("staged_items").select("order_id", "order_item_id"),
+            **bound("staged_items")))
+
+    run.task("fact_sales", fact)
     run.task("fact_sales_enriched", lambda: run.write("fact_sales_enriched", facts.enrich(
         run.read("fact_sales"), run.read("staged_payments"))))
 

@@ -59,14 +59,28 @@ def _derived(df: DataFrame) -> DataFrame:
     })
 
 
+def _dim_keys(df: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
+              dim_seller: DataFrame) -> DataFrame:
+    return (df
+            .join(dim_customer.select("customer_key", "customer_id"), "customer_id", "left")
+            .join(dim_product.select("product_key", "product_id"), "product_id", "left")
+            .join(dim_seller.select("seller_key", "seller_id"), "seller_id", "left"))
+
+
 def sales(orders: DataFrame, items: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
           dim_seller: DataFrame, payments: DataFrame | None = None, *,
-          dedup_inputs: bool = False, **key_opts) -> DataFrame:
+          dedup_inputs: bool = False, narrow_lookup: bool = False, **key_opts) -> DataFrame:
     """``fact_sales`` (22 columns), or ``fact_sales_enriched`` (26) when
     ``payments`` (staged payment rows) is given.
 
     ``dedup_inputs`` re-applies one-row-per-key to orders and items; staged
-    tables are already unique by key, so it is off by default."""
+    tables are already unique by key, so it is off by default.
+
+    ``narrow_lookup``: for dimensions too large to broadcast. The surrogate
+    keys are looked up on a narrow projection (item key + the three natural
+    keys), so the three dimension joins shuffle five columns instead of the
+    wide fact, and the keys are joined back on ``(order_id, order_item_id)``:
+    the wide rows move once instead of once per dimension."""
     o = orders.select(*ORDER_COLS)
     i = items.select(*ITEM_COLS)
     if dedup_inputs:
@@ -75,10 +89,13 @@ def sales(orders: DataFrame, items: DataFrame, dim_customer: DataFrame, dim_prod
     base = i.join(o, "order_id", "inner")
     if payments is not None:
         base = _payment_measures(base.join(payments_per_order(payments), "order_id", "left"))
-    base = (base
-            .join(dim_customer.select("customer_key", "customer_id"), "customer_id", "left")
-            .join(dim_product.select("product_key", "product_id"), "product_id", "left")
-            .join(dim_seller.select("seller_key", "seller_id"), "seller_id", "left"))
+    if narrow_lookup:
+        ids = ["order_id", "order_item_id"]
+        narrow = _dim_keys(base.select(*ids, "customer_id", "product_id", "seller_id"),
+                           dim_customer, dim_product, dim_seller)
+        base = base.join(narrow.select(*ids, "customer_key", "product_key", "seller_key"), ids)
+    else:
+        base = _dim_keys(base, dim_customer, dim_product, dim_seller)
     base = _derived(base)
     # Key-only copy of the fact's rows for the dense key's count and sample.
     keys_src = i.select("order_id", "order_item_id").join(o.select("order_id"), "order_id")

@@ -27,3 +27,14 @@ def test_build_via_stream_equals_batch(spark, scratch):
     stream = build_warehouse(spark, SF_SMALL, scratch("wh-stream"), run_id="s", via_stream=True)
     for table in ["staged_orders", "staged_items", "staged_payments", "fact_sales"]:
         assert digest(stream.read(table).toPandas()) == digest(batch.read(table).toPandas())
+
+
+def test_narrow_lookup_equals_direct(spark):
+    from martline.plans import facts
+    from martline.plans import warehouse as wh
+    args = [wh.staged(spark, SF_SMALL, "orders"), wh.staged(spark, SF_SMALL, "items"),
+            wh.dim_customer(spark, SF_SMALL), wh.dim_product(spark, SF_SMALL),
+            wh.dim_seller(spark, SF_SMALL), wh.staged(spark, SF_SMALL, "payments")]
+    direct = facts.sales(*args).toPandas()
+    narrow = facts.sales(*args, narrow_lookup=True).toPandas()
+    assert len(direct) > 0 and digest(direct) == digest(narrow)
