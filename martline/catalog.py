@@ -17,7 +17,7 @@ from martline.operators.dedup import first_per_key
 from martline.operators.dense_key import dense_key
 from martline.operators.filters import (dropna_subset, filter_non_negative, filter_not_null)
 from martline.operators.sample import sample_head
-from martline.plans import clean, dims, facts, quality, stage
+from martline.plans import clean, dims, quality, stage
 from martline.plans import warehouse as wh
 
 Query = Callable[[SparkSession, str], DataFrame]
