@@ -72,8 +72,15 @@ def _bucket_expr(key: Column, bounds: list[Column]) -> Column:
 
 
 def _sort_key(row):
-    # (is-null flag, value) pairs; a NULL value only meets another NULL.
-    return tuple((x is None, x) if not isinstance(x, bool) else (False, x) for x in row)
+    """Python sort key matching Spark's ascending order of the key struct:
+    NULL after every value, NaN above every other double."""
+    def one(x):
+        if x is None:
+            return (1, 0, 0)
+        if isinstance(x, float) and math.isnan(x):
+            return (0, 1, 0)
+        return (0, 0, x)
+    return tuple(one(x) for x in row)
 
 
 def bucket_count(n: int, parallelism: int, rows_per_bucket: int, min_rows_per_bucket: int,

@@ -86,3 +86,11 @@ def test_two_level_lookup_many_buckets(spark):
     plan = dense_key(df, ["a", "b"], "k", rows_per_bucket=50, min_rows_per_bucket=1) \
         ._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin [_c" in plan
+
+
+def test_double_keys_with_nan_and_nulls(spark):
+    vals = [float("nan") if i % 11 == 0 else (None if i % 13 == 0 else (i % 97) / 7.0)
+            for i in range(4000)]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(vals)], "d double, i int")
+    _check(df, ["d", "i"], join_on=["i"], rows_per_bucket=100, min_rows_per_bucket=1)
+    _check(df, ["d", "i"], join_on=["i"], rows_per_bucket=30, min_rows_per_bucket=1)  # two-level
