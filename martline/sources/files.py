@@ -6,7 +6,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+# The strings pandas' CSV reader takes as missing by default
+# (the producers read their CSVs with pandas); Spark's reader takes only the
+# empty string.
+PANDAS_NA_VALUES = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
+                    "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
+                    "nan", "null"]
 
 # CSV text keeps leading/trailing spaces both ways (Spark's writer trims by
 # default, which would change padded ids).
@@ -14,11 +21,24 @@ CSV_KEEP_SPACES = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None,
-             strict: bool = False, **options) -> DataFrame:
+             strict: bool = False, na_values: list[str] | None = None, **options) -> DataFrame:
     """CSV folder with a header. With ``schema`` the types are declared (no
     inference pass); without one they are inferred (one extra read; a zip
     code ``01409`` becomes the integer 1409). ``strict`` fails the job on the
-    first value that does not fit the schema instead of reading NULL."""
+    first value that does not fit the schema instead of reading NULL.
+    ``na_values`` (e.g. ``PANDAS_NA_VALUES``): text read as NULL; the file is
+    read as text, the tokens nulled, then the text cast to ``schema``
+    (``try_cast``, or ANSI ``cast`` when ``strict``)."""
+    if na_values is not None and schema is not None:
+        text = read_csv(spark, path, StructType([StructField(f.name, StringType(), True)
+                                                 for f in schema.fields]), **options)
+        cols = []
+        for f in schema.fields:
+            c = F.when(~F.col(f.name).isin(na_values), F.col(f.name))
+            if not isinstance(f.dataType, StringType):
+                c = c.cast(f.dataType) if strict else c.try_cast(f.dataType)
+            cols.append(c.alias(f.name))
+        return text.select(cols)
     r = spark.read.option("header", "true").options(**CSV_KEEP_SPACES).options(**options)
     if schema is not None:
         r = r.schema(schema)

@@ -101,3 +101,16 @@ def test_failed_job_task_is_logged(spark, scratch):
         run.task("boom", lambda: 1 / 0)
     states = {r.task_id: r.state for r in run.read("runlog").collect()}
     assert states == {"ok": "success", "boom": "failed"}
+
+
+def test_csv_pandas_missing_tokens(spark, scratch):
+    from martline.sources import files
+    path = scratch("na-csv")
+    spark.createDataFrame([("o1", "NA", "3"), ("o2", "null", "N/A"), ("o3", "x", "4")],
+                          "id string, c string, n string").write.option("header", True).csv(path)
+    sch = schemas._struct(("id", schemas.S), ("c", schemas.S), ("n", schemas.I))
+    rows = {r.id: (r.c, r.n) for r in
+            files.read_csv(spark, path, sch, na_values=files.PANDAS_NA_VALUES).collect()}
+    assert rows == {"o1": (None, 3), "o2": (None, None), "o3": ("x", 4)}
+    plain = {r.id: r.c for r in files.read_csv(spark, path, sch).collect()}
+    assert plain["o1"] == "NA"                      # Spark alone keeps the token
