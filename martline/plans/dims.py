@@ -52,7 +52,8 @@ def product(raw: DataFrame, raw_translation: DataFrame, **key_opts) -> DataFrame
           ["product_photos_qty", "product_weight_g", "product_length_cm",
            "product_height_cm", "product_width_cm"]],
     )
-    t = bounded_broadcast(translation(raw_translation), TRANSLATION_BROADCAST_MAX_ROWS)
+    t = bounded_broadcast(translation(raw_translation), TRANSLATION_BROADCAST_MAX_ROWS,
+                          bound_src=raw_translation)
     df = (p.join(t, "product_category_name_pt", "left")
           .withColumn("product_category_name",
                       F.coalesce("product_category_name_en", "product_category_name_pt"))

@@ -5,6 +5,7 @@ caller writes it."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from martline.plans import clean as clean_plans
 from martline.plans import dims, facts, stage
@@ -28,35 +29,62 @@ def staged(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     return df.select(*stage.TABLE_SCHEMA[entity].names)
 
 
-def _bound(df: DataFrame, key_opts: dict) -> dict:
-    """Dense-key options with the input's row count as the size bound: a
-    scan-only count of the input instead of a count of the whole derived
-    plan (a dimension or fact never has more rows than its input)."""
-    return {"size_hint": df.count(), **key_opts}
+# The driver table each entity is derived from: its row count bounds the
+# entity's rows (the derivations only map or filter rows).
+BASE_TABLE = {"customers": "customer", "products": "part", "sellers": "supplier",
+              "items": "lineitem", "orders": "orders", "payments": "lineitem"}
 
 
-def dim_customer(spark: SparkSession, sf_dir: str, **key_opts) -> DataFrame:
-    r = raw(spark, sf_dir, "customers")
-    return dims.customer(r, **_bound(r, key_opts))
+def input_bounds(spark: SparkSession, sf_dir: str) -> dict[str, int]:
+    """Row counts of the base tables, all in one job (a union of per-table
+    counts over footer-only scans)."""
+    frames = [fixtures.read_table(spark, sf_dir, t).select(F.lit(t).alias("t"))
+              for t in sorted(set(BASE_TABLE.values()))]
+    union = frames[0]
+    for f in frames[1:]:
+        union = union.unionByName(f)
+    counts = {r.t: r["count"] for r in union.groupBy("t").count().collect()}
+    return {e: counts.get(t, 0) for e, t in BASE_TABLE.items()}
 
 
-def dim_product(spark: SparkSession, sf_dir: str, **key_opts) -> DataFrame:
-    r = raw(spark, sf_dir, "products")
-    return dims.product(r, raw(spark, sf_dir, "translation"), **_bound(r, key_opts))
+def _bound(bounds: dict[str, int] | None, spark: SparkSession, sf_dir: str, entity: str,
+           key_opts: dict) -> dict:
+    """Dense-key options with the entity's input row count as the size bound
+    (a dimension or fact never has more rows than its input), instead of a
+    count of the whole derived plan."""
+    if "size_hint" in key_opts:
+        return key_opts
+    bounds = bounds or input_bounds(spark, sf_dir)
+    return {"size_hint": bounds[entity], **key_opts}
 
 
-def dim_seller(spark: SparkSession, sf_dir: str, **key_opts) -> DataFrame:
-    r = raw(spark, sf_dir, "sellers")
-    return dims.seller(r, **_bound(r, key_opts))
+def dim_customer(spark: SparkSession, sf_dir: str, bounds: dict | None = None,
+                 **key_opts) -> DataFrame:
+    return dims.customer(raw(spark, sf_dir, "customers"),
+                         **_bound(bounds, spark, sf_dir, "customers", key_opts))
+
+
+def dim_product(spark: SparkSession, sf_dir: str, bounds: dict | None = None,
+                **key_opts) -> DataFrame:
+    return dims.product(raw(spark, sf_dir, "products"), raw(spark, sf_dir, "translation"),
+                        **_bound(bounds, spark, sf_dir, "products", key_opts))
+
+
+def dim_seller(spark: SparkSession, sf_dir: str, bounds: dict | None = None,
+               **key_opts) -> DataFrame:
+    return dims.seller(raw(spark, sf_dir, "sellers"),
+                       **_bound(bounds, spark, sf_dir, "sellers", key_opts))
 
 
 def fact_sales(spark: SparkSession, sf_dir: str, enriched: bool = False, **key_opts) -> DataFrame:
+    bounds = input_bounds(spark, sf_dir)
     return facts.sales(
         staged(spark, sf_dir, "orders"), staged(spark, sf_dir, "items"),
-        dim_customer(spark, sf_dir, **key_opts), dim_product(spark, sf_dir, **key_opts),
-        dim_seller(spark, sf_dir, **key_opts),
+        dim_customer(spark, sf_dir, bounds, **key_opts),
+        dim_product(spark, sf_dir, bounds, **key_opts),
+        dim_seller(spark, sf_dir, bounds, **key_opts),
         staged(spark, sf_dir, "payments") if enriched else None,
-        **_bound(raw(spark, sf_dir, "items"), {
+        **_bound(bounds, spark, sf_dir, "items", {
             "sample_src": raw(spark, sf_dir, "items").select("order_id", "order_item_id"),
             **key_opts}))
 

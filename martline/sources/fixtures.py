@@ -16,8 +16,23 @@ from martline import schemas
 from martline.session import table_path
 
 
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(table_path(sf_dir, name))
+_SCHEMAS: dict[str, object] = {}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table. Its schema is inferred once per path and declared on
+    later reads: each inference is a Spark job of its own (footer reads),
+    and a query touches the same tables many times."""
+    path = table_path(sf_dir, name)
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
+
+
+_read = read_table
 
 
 def _secs(n) -> F.Column:
