@@ -472,6 +472,19 @@ def q_scan_csv_roundtrip(spark, sf_dir):
     return files.read_csv(spark, path, schemas.CUSTOMERS)
 
 
+@register("scan_csv_inferred", oracle.sql(
+    "SELECT CAST(seller_id AS INTEGER) AS seller_id, seller_zip_code_prefix, seller_city, "
+    "seller_state FROM raw_sellers", "raw_sellers"))
+def q_scan_csv_inferred(spark, sf_dir):
+    """Sellers through CSV read back with inferred types, as the dimension
+    loads did: numeric-looking ids come back as integers (an id like
+    ``01409`` would lose its zero) — the reason the declared-schema read is
+    the default."""
+    path = scratch_path(spark, "csv-sellers")
+    files.write_csv(wh.raw(spark, sf_dir, "sellers"), path)
+    return files.read_csv(spark, path)
+
+
 @register("scan_csv_strict", oracle.sql("SELECT * FROM raw_orders", "raw_orders"))
 def q_scan_csv_strict(spark, sf_dir):
     """Orders through CSV, read back in FAILFAST mode (a value that does not
