@@ -460,7 +460,7 @@ def q_stream_file_source(spark, sf_dir):
 
 # ---- sources and sinks -------------------------------------------------------------------
 
-from martline.sources import files, jdbc  # noqa: E402
+from martline.sources import files, fixtures, jdbc  # noqa: E402
 
 
 @register("scan_csv_roundtrip", oracle.sql("SELECT * FROM raw_customers", "raw_customers"))
@@ -542,12 +542,30 @@ INPUT_MANIFEST = [
 ]
 
 
-@register("manifest_missing")
+_TABLE_OF_FILE = {f: f.removesuffix(".parquet") for _, f in INPUT_MANIFEST if f}
+
+
+@register("manifest_missing", "SELECT * FROM (" + " UNION ALL ".join(
+    f"SELECT '{n}' AS input_name, '{f}' AS file_name, true AS present, "
+    f"(SELECT count(*) FROM {_TABLE_OF_FILE[f]}) AS row_count"
+    for n, f in INPUT_MANIFEST if f) + ") t")
 def q_manifest_missing(spark, sf_dir):
-    """Expected inputs vs the files found (metadata only)."""
+    """Expected inputs vs the files found (metadata), with the row count of
+    every input that is present (one job over all present tables)."""
     expected = spark.createDataFrame([(n, f) for n, f in INPUT_MANIFEST if f],
                                      "input_name string, file_name string")
-    return files.missing_inputs(spark, sf_dir, expected)
+    status = files.missing_inputs(spark, sf_dir, expected)
+    present = sorted({r.file_name for r in status.filter("present").select("file_name").collect()})
+    counts = None
+    for f in present:   # bounded by the manifest, not by the data
+        c = fixtures.read_table(spark, sf_dir, f.removesuffix(".parquet")).select(
+            F.lit(f).alias("file_name"))
+        counts = c if counts is None else counts.unionByName(c)
+    status = status.drop("file_bytes")     # sizes are not visible to SQL
+    if counts is None:
+        return status.withColumn("row_count", F.lit(None).cast("long"))
+    return status.join(counts.groupBy("file_name").agg(F.count(F.lit(1)).alias("row_count")),
+                       "file_name", "left")
 
 
 @register("literal_rows", oracle.sql(
