@@ -172,3 +172,28 @@ def test_zone_less_times_ignore_session_zone(spark):
         assert r.back == ts("2024-03-10 02:30:00")
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_fact_with_one_order_holding_a_third_of_items(spark):
+    from pyspark.sql import Window
+    n = 3000
+    items = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("o"), F.col("id").cast("string"))).alias("order_id"),
+        F.col("id").cast("int").alias("order_item_id"),
+        F.lit("p1").alias("product_id"), F.lit("s1").alias("seller_id"),
+        F.lit(None).cast("timestamp_ntz").alias("shipping_limit_date"),
+        F.lit(1.0).alias("price"), F.lit(0.5).alias("freight_value"))
+    orders = items.select("order_id").distinct().select(
+        "order_id", F.lit("c1").alias("customer_id"), F.lit("delivered").alias("order_status"),
+        *[F.lit(None).cast("timestamp_ntz").alias(c) for c in schemas.ORDER_TS_COLS])
+    pays = spark.createDataFrame([("hot", 1, "boleto", 1, 10.0), ("hot", 2, "boleto", 2, 5.0)],
+                                 schemas.PAYMENTS)
+    c, p, s = _dims(spark)
+    fact = facts.sales(orders, items, c, p, s, pays, rows_per_bucket=200, min_rows_per_bucket=1)
+    w = Window.orderBy("order_id", "order_item_id")
+    checked = fact.withColumn("rn", F.row_number().over(w))
+    assert checked.count() == n
+    assert checked.filter("fact_sales_key <> rn").count() == 0
+    hot = fact.filter("order_id = 'hot'").agg(F.count(F.lit(1)).alias("n"),
+                                              F.min("total_payment_value").alias("t")).first()
+    assert hot.n == n // 3 and hot.t == 15.0
