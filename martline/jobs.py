@@ -11,7 +11,9 @@ state)`` to the ``runlog`` table, which ``plans.runlog.summary`` reads."""
 from __future__ import annotations
 
 import datetime as dt
+import threading
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +33,8 @@ class Run:
         self.spark, self.out = spark, out.rstrip("/")
         self.run_id = run_id or uuid.uuid4().hex[:12]
         self.rows_written: dict[str, int] = {}
+        self._pending: list[tuple] = []
+        self._lock = threading.Lock()
 
     def path(self, table: str) -> str:
         return f"{self.out}/{table}"
@@ -39,11 +43,18 @@ class Run:
         return self.spark.read.parquet(self.path(table))
 
     def _log(self, task: str, start: dt.datetime, end: dt.datetime, state: str) -> None:
-        row = [(self.run_id, task, start, end, state)]
-        (self.spark.createDataFrame(row, schemas.RUNLOG).write.mode("append")
-         .parquet(self.path("runlog")))
-
-    def task(self, task_id: str, fn) -> None:
+        with self._lock:
+            self._pending.append((self.run_id, task, start, end, state))
+
+    def flush_log(self) -> None:
+        """Append the buffered task rows to the run log in one write."""
+        with self._lock:
+            rows, self._pending = self._pending, []
+        if rows:
+            (self.spark.createDataFrame(rows, schemas.RUNLOG).write.mode("append")
+             .parquet(self.path("runlog")))
+
+    def _run_task(self, task_id: str, fn) -> None:
         start = dt.datetime.now()
         try:
             fn()
@@ -52,6 +63,27 @@ class Run:
             raise
         self._log(task_id, start, dt.datetime.now(), "success")
 
+    def task(self, task_id: str, fn) -> None:
+        try:
+            self._run_task(task_id, fn)
+        finally:
+            self.flush_log()
+
+    def layer(self, tasks: dict, parallel: bool = True) -> None:
+        """Independent tasks of one dependency layer, run concurrently (the
+        Spark scheduler is thread-safe; their jobs share the cluster). The
+        layer's run-log rows are appended together afterwards — concurrent
+        appends to one folder could collide in the commit protocol."""
+        if not parallel or len(tasks) < 2:
+            for task_id, fn in tasks.items():
+                self.task(task_id, fn)
+            return
+        with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+            futures = [pool.submit(self._run_task, t, fn) for t, fn in tasks.items()]
+        self.flush_log()
+        for f in futures:
+            f.result()                      # re-raise the first failure
+
     def write(self, table: str, df: DataFrame) -> None:
         """Overwrite ``table``; its row count is observed during the write
         (no second pass over the data) and kept in ``rows_written``."""
@@ -75,29 +107,34 @@ def _stream_stage(spark: SparkSession, sf_dir: str, run: Run, entity: str) -> No
 
 
 def build_warehouse(spark: SparkSession, sf_dir: str, out: str, run_id: str | None = None,
-                    enforce: bool = False, via_stream: bool = False) -> Run:
+                    enforce: bool = False, via_stream: bool = False,
+                    parallel: bool = True) -> Run:
     """Staging (batch path, or ``via_stream``: published messages consumed by
-    the streaming consumers), dimensions, facts, quality."""
+    the streaming consumers), dimensions, facts, quality. Within a layer
+    (the three staging tables; the three dimensions) tasks run concurrently
+    unless ``parallel`` is False."""
     run = Run(spark, out, run_id)
-    for e in ["orders", "items", "payments"]:
-        if via_stream:
-            run.task(f"stage_{e}", lambda e=e: _stream_stage(spark, sf_dir, run, e))
-        else:
-            run.task(f"stage_{e}", lambda e=e: run.write(f"staged_{e}", wh.staged(spark, sf_dir, e)))
+    entities = ["orders", "items", "payments"]
+    if via_stream:
+        run.layer({f"stage_{e}": (lambda e=e: _stream_stage(spark, sf_dir, run, e))
+                   for e in entities}, parallel)
+    else:
+        run.layer({f"stage_{e}": (lambda e=e: run.write(f"staged_{e}", wh.staged(spark, sf_dir, e)))
+                   for e in entities}, parallel)
 
     def bound(table: str) -> dict:
         return {"size_hint": run.read(table).count()}
 
-    run.task("dim_customer", lambda: run.write(
-        "dim_customer", dims.customer(wh.raw(spark, sf_dir, "customers"),
-                                      size_hint=wh.raw(spark, sf_dir, "customers").count())))
-    run.task("dim_product", lambda: run.write(
-        "dim_product", dims.product(wh.raw(spark, sf_dir, "products"),
-                                    wh.raw(spark, sf_dir, "translation"),
-                                    size_hint=wh.raw(spark, sf_dir, "products").count())))
-    run.task("dim_seller", lambda: run.write(
-        "dim_seller", dims.seller(wh.raw(spark, sf_dir, "sellers"),
-                                  size_hint=wh.raw(spark, sf_dir, "sellers").count())))
+    bounds = wh.input_bounds(spark, sf_dir)
+    run.layer({
+        "dim_customer": lambda: run.write("dim_customer", dims.customer(
+            wh.raw(spark, sf_dir, "customers"), size_hint=bounds["customers"])),
+        "dim_product": lambda: run.write("dim_product", dims.product(
+            wh.raw(spark, sf_dir, "products"), wh.raw(spark, sf_dir, "translation"),
+            size_hint=bounds["products"])),
+        "dim_seller": lambda: run.write("dim_seller", dims.seller(
+            wh.raw(spark, sf_dir, "sellers"), size_hint=bounds["sellers"])),
+    }, parallel)
     def fact() -> None:
         # Dimensions too big to broadcast: look keys up on a narrow
         # projection instead of shuffling the wide fact once per dimension.

@@ -38,3 +38,14 @@ def test_narrow_lookup_equals_direct(spark):
     direct = facts.sales(*args).toPandas()
     narrow = facts.sales(*args, narrow_lookup=True).toPandas()
     assert len(direct) > 0 and digest(direct) == digest(narrow)
+
+
+def test_parallel_layer_logs_every_task_and_reraises(spark, scratch):
+    import pytest
+    from martline.jobs import Run
+    run = Run(spark, scratch("layer"), run_id="L")
+    with pytest.raises(ValueError):
+        run.layer({"a": lambda: None, "b": lambda: (_ for _ in ()).throw(ValueError("x")),
+                   "c": lambda: None})
+    states = {r.task_id: r.state for r in run.read("runlog").collect()}
+    assert states == {"a": "success", "b": "failed", "c": "success"}
