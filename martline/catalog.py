@@ -657,15 +657,10 @@ def q_reconcile_counts(spark, sf_dir):
     return out
 
 
-_KEY_TABLES = [
-    ("staged_orders", ["order_id"], None),
-    ("staged_items", ["order_id", "order_item_id"], None),
-    ("staged_payments", ["order_id", "payment_sequential"], None),
-    ("dim_customer", ["customer_key"], ["customer_id"]),
-    ("dim_product", ["product_key"], ["product_id"]),
-    ("dim_seller", ["seller_key"], ["seller_id"]),
-    ("fact_sales", ["fact_sales_key"], None),
-]
+# (table, primary key, UNIQUE natural key) as declared in ``schemas``.
+_KEY_TABLES = [(f"staged_{e}", schemas.KEYS[e], None) for e in ["orders", "items", "payments"]] + [
+    (t, schemas.KEYS[t], schemas.NATURAL_KEYS.get(t))
+    for t in ["dim_customer", "dim_product", "dim_seller", "fact_sales"]]
 
 
 def _key_sql() -> str:

@@ -23,9 +23,3 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str | Column] | No
     w = Window.partitionBy(*keys).orderBy(*[e.asc_nulls_last() for e in exprs])
     return (df.withColumn("_rn", F.row_number().over(w))
             .filter(F.col("_rn") == 1).drop("_rn"))
-
-
-def any_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Spark's ``dropDuplicates``: one arbitrary row per key (map-side
-    combined). Use only where any row is acceptable."""
-    return df.dropDuplicates(keys)

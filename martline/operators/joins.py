@@ -16,9 +16,3 @@ def bounded_broadcast(df: DataFrame, max_rows: int, bound_src: DataFrame | None
     if the shuffled side turns out small)."""
     n = (bound_src if bound_src is not None else df).limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
-
-
-def lookup_left(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataFrame:
-    """Left equi-join for a key lookup: right-side NULL keys never match, and
-    left rows without a match are kept with NULL right columns."""
-    return left.join(right, on=on, how="left")

@@ -22,7 +22,6 @@ from martline.operators.dense_key import dense_key
 ORDER_COLS = ["order_id", "customer_id", "order_status", *schemas.ORDER_TS_COLS]
 ITEM_COLS = ["order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date",
              "price", "freight_value"]
-PAYMENT_MEASURES = ["total_payment_value", "payment_count", "max_installments", "avg_payment_value"]
 
 
 def payments_per_order(payments: DataFrame) -> DataFrame:

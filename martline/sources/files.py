@@ -61,10 +61,6 @@ def overwrite_table(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def append_table(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
-
-
 def input_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     """Files present in ``folder``: ``(file_name, length)``. Only metadata is
     read (the content column is pruned)."""

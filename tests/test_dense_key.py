@@ -94,3 +94,13 @@ def test_double_keys_with_nan_and_nulls(spark):
     df = spark.createDataFrame([(v, i) for i, v in enumerate(vals)], "d double, i int")
     _check(df, ["d", "i"], join_on=["i"], rows_per_bucket=100, min_rows_per_bucket=1)
     _check(df, ["d", "i"], join_on=["i"], rows_per_bucket=30, min_rows_per_bucket=1)  # two-level
+
+
+def test_cluster_conf_sizes():
+    from martline.session import cluster_conf
+    small = cluster_conf(10 << 30, 64)
+    big = cluster_conf(100 << 40, 4000)
+    # 20 GB shuffled / 256 MB = 80, below the floor of two waves of 64 cores.
+    assert int(small["spark.sql.shuffle.partitions"]) == 128
+    assert int(big["spark.sql.shuffle.partitions"]) == 50_000       # capped
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
