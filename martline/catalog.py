@@ -15,10 +15,16 @@ from martline.functions.text import clean_text, code_text, composite_key, title_
 from martline.functions.time import calendar_days
 from martline.operators.dedup import first_per_key
 from martline.operators.dense_key import dense_key
-from martline.operators.filters import (dropna_subset, filter_non_negative, filter_not_null)
+from martline.operators.filters import dropna_subset, filter_non_negative, filter_not_null
 from martline.operators.sample import sample_head
-from martline.plans import clean, dims, quality, stage
+from martline.plans import clean, dims, quality, rfm, runlog, stage
 from martline.plans import warehouse as wh
+from martline.session import scratch_path
+from martline.sources import files, fixtures, jdbc
+from martline.streaming import replay
+from martline.streaming import upsert as _upsert
+from martline.streaming import watermark
+from martline.streaming.sources import MESSAGE_FILE_SCHEMA, file_stream, message_file_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -351,10 +357,6 @@ def q_sample_head(spark, sf_dir):
 
 # ---- streaming -------------------------------------------------------------------------
 
-from martline.session import scratch_path  # noqa: E402
-from martline.streaming import replay  # noqa: E402
-from martline.streaming.sources import (MESSAGE_FILE_SCHEMA, file_stream,  # noqa: E402
-                                       message_file_stream)
 
 # Full scenario: even keys, odd keys, replay, replay with updates, malformed;
 # the consumer restarts from its checkpoint after each batch.
@@ -460,7 +462,6 @@ def q_stream_file_source(spark, sf_dir):
 
 # ---- sources and sinks -------------------------------------------------------------------
 
-from martline.sources import files, fixtures, jdbc  # noqa: E402
 
 
 @register("scan_csv_roundtrip", oracle.sql("SELECT * FROM raw_customers", "raw_customers"))
@@ -631,9 +632,6 @@ def q_stage_orders_batch(spark, sf_dir):
 
 # ---- reconciliation, key checks, run log, RFM, event time -------------------------------
 
-from martline.plans import rfm, runlog  # noqa: E402
-from martline.streaming import upsert as _upsert  # noqa: E402
-from martline.streaming import watermark  # noqa: E402
 
 
 @register("reconcile_counts", oracle.sql(
