@@ -197,3 +197,25 @@ def test_fact_with_one_order_holding_a_third_of_items(spark):
     hot = fact.filter("order_id = 'hot'").agg(F.count(F.lit(1)).alias("n"),
                                               F.min("total_payment_value").alias("t")).first()
     assert hot.n == n // 3 and hot.t == 15.0
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["k1", "k2", "k3"]),
+                          st.one_of(st.none(), st.integers(-3, 3)),
+                          st.one_of(st.none(), st.sampled_from(["x", "y"]))),
+                min_size=1, max_size=40))
+def test_first_per_key_equals_brute_force(spark, rows):
+    df = spark.createDataFrame(rows, "k string, a int, b string")
+    got = {r.k: (r.a, r.b) for r in first_per_key(df, ["k"], ["a"]).collect()}
+    want = {}
+    for k, a, b in rows:
+        cand = (a, b)
+        best = want.get(k)
+        nl = lambda v: (v[0] is None, v[0] or 0, v[1] is None, v[1] or "")
+        if best is None or nl(cand) < nl(best):
+            want[k] = cand
+    assert got == want
