@@ -181,6 +181,25 @@ def q_stage_rejects(spark, sf_dir):
     return rej.withColumn("reject_reasons", F.concat_ws(",", "reject_reasons"))
 
 
+_ORDER_RULE_SQL = [("order_id_is_null", "order_id IS NULL"),
+                   ("customer_id_is_null", "customer_id IS NULL")]
+_PAYMENT_RULE_SQL = [
+    ("order_id_is_null", "order_id IS NULL"),
+    ("payment_sequential_is_null", "payment_sequential IS NULL"),
+    ("payment_value_negative_or_null", "payment_value IS NULL OR payment_value < 0"),
+    ("payment_installments_negative_or_null",
+     "payment_installments IS NULL OR payment_installments < 0"),
+]
+
+for _e, _rules in [("orders", _ORDER_RULE_SQL), ("payments", _PAYMENT_RULE_SQL)]:
+    register(f"stage_rejects_{_e}", oracle.sql(
+        "SELECT * FROM (SELECT *, concat_ws(',', "
+        + ", ".join(f"CASE WHEN {p} THEN '{n}' END" for n, p in _rules)
+        + f") AS reject_reasons FROM raw_{_e}) r WHERE reject_reasons <> ''", f"raw_{_e}"))(
+        lambda spark, sf_dir, e=_e: stage.reject_rows(e, wh.raw(spark, sf_dir, e))
+        .withColumn("reject_reasons", F.concat_ws(",", "reject_reasons")))
+
+
 @register("dedup_items", oracle.sql("""
 SELECT order_id, order_item_id, product_id, seller_id, shipping_limit_date, price, freight_value
 FROM (SELECT *, row_number() OVER (PARTITION BY order_id, order_item_id ORDER BY product_id NULLS LAST,
