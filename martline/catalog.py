@@ -466,6 +466,27 @@ def q_stream_dedup_items(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@register("stream_dedup_bounded_orders", oracle.sql("SELECT * FROM staged_orders", "staged_orders"))
+def q_stream_dedup_bounded_orders(spark, sf_dir):
+    """Dedup with bounded state: keys are remembered only within the
+    watermark on the purchase time (here the whole span of the data), so
+    the replay is still dropped while state can expire on a live stream."""
+    from martline.streaming import consumer
+    root = scratch_path(spark, "topic-orders")
+    out, ckpt = scratch_path(spark, "dedup-bounded"), scratch_path(spark, "ckpt-bounded")
+    offset = 0
+    for group in ([0, 1], [2]):
+        offset = replay.publish_batches(spark, sf_dir, "orders", root, group, offset)
+        stream = consumer.consumer_stream(
+            "orders", message_file_stream(spark, root), "first",
+            dedup_watermark=("order_purchase_timestamp", "36500 days"))
+        q = (stream.drop("_partition", "_offset").writeStream.format("parquet")
+             .option("path", out).option("checkpointLocation", ckpt)
+             .trigger(availableNow=True).start())
+        q.awaitTermination()
+    return spark.read.parquet(out)
+
+
 @register("stream_file_source", oracle.sql("SELECT * FROM raw_payments", "raw_payments"))
 def q_stream_file_source(spark, sf_dir):
     """CSV folder as a stream with a declared schema."""
