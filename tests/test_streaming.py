@@ -164,3 +164,16 @@ def test_processing_time_trigger(spark, scratch):
     finally:
         q.stop()
     assert consumer.staged_table(spark, "orders", target, "last").count() == 1
+
+
+def test_compaction_prunes_old_batches(spark, scratch):
+    target = scratch("upsert-prune")
+    for b in range(3):
+        upsert.write_batch(_batch(spark, [("a", f"s{b}", b), (f"k{b}", "x", 10 + b)]), b,
+                           target, KEYS, COLS, "last")
+    assert upsert.compact(spark, target, KEYS, schemas.ORDERS, "last") == 2
+    upsert.write_batch(_batch(spark, [("a", "s3", 20)]), 3, target, KEYS, COLS, "last")
+    df = upsert.read(spark, target, KEYS, schemas.ORDERS, "last")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(merge_batch" in plan and "(merge_batch" in plan
+    assert _table(spark, target, "last") == {"a": "s3", "k0": "x", "k1": "x", "k2": "x"}
