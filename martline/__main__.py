@@ -2,6 +2,9 @@
 
     python -m martline build --sf-dir DIR --out DIR [--stream] [--enforce]
     python -m martline query NAME --sf-dir DIR [--show N]
+    python -m martline consume ENTITY --target DIR --checkpoint DIR
+        (--kafka SERVERS TOPIC | --messages DIR) [--policy first|last]
+        [--continuous [--interval "10 seconds"]] [--compact-every N]
 
 On a cluster, submit with spark-submit (the session then comes from the
 submit configuration, and ``spark.checkpoint.dir`` must name a shared
@@ -37,6 +40,17 @@ def main(argv: list[str] | None = None) -> None:
     q.add_argument("name")
     q.add_argument("--sf-dir", required=True)
     q.add_argument("--show", type=int, default=20)
+    c = sub.add_parser("consume", help="stream one entity into its keyed staging table")
+    c.add_argument("entity", choices=["orders", "items", "payments"])
+    c.add_argument("--target", required=True)
+    c.add_argument("--checkpoint", required=True)
+    src = c.add_mutually_exclusive_group(required=True)
+    src.add_argument("--kafka", nargs=2, metavar=("SERVERS", "TOPIC"))
+    src.add_argument("--messages", help="folder of message files (test double)")
+    c.add_argument("--policy", choices=["first", "last"], default="first")
+    c.add_argument("--continuous", action="store_true", help="keep polling (default: drain and stop)")
+    c.add_argument("--interval", default="10 seconds")
+    c.add_argument("--compact-every", type=int, default=None)
     args = p.parse_args(argv)
 
     spark = _session()
@@ -48,6 +62,16 @@ def main(argv: list[str] | None = None) -> None:
         for table, rows in run.rows_written.items():
             print(f"{table}: {rows} rows")
         runlog.summary(run.read("runlog").filter(f"run_id = '{run.run_id}'")).show(truncate=False)
+    elif args.cmd == "consume":
+        from martline.streaming import consumer
+        from martline.streaming.sources import kafka_stream, message_file_stream
+        messages = (kafka_stream(spark, *args.kafka) if args.kafka
+                    else message_file_stream(spark, args.messages))
+        q = consumer.run(args.entity, messages, args.target, args.checkpoint, args.policy,
+                         available_now=not args.continuous, interval=args.interval,
+                         compact_every=args.compact_every)
+        q.awaitTermination()
+        print(f"{args.entity}: {consumer.staged_table(spark, args.entity, args.target, args.policy).count()} rows staged")
     else:
         from martline.catalog import QUERIES
         QUERIES[args.name](spark, args.sf_dir).show(args.show, truncate=False)
