@@ -49,3 +49,12 @@ def test_parallel_layer_logs_every_task_and_reraises(spark, scratch):
                    "c": lambda: None})
     states = {r.task_id: r.state for r in run.read("runlog").collect()}
     assert states == {"a": "success", "b": "failed", "c": "success"}
+
+
+def test_command_line(spark, scratch, capsys):
+    from martline.__main__ import main
+    main(["query", "payments_agg", "--sf-dir", SF_SMALL, "--show", "2"])
+    assert "total_payment_value" in capsys.readouterr().out
+    main(["build", "--sf-dir", SF_SMALL, "--out", scratch("cli-wh"), "--enforce"])
+    out = capsys.readouterr().out
+    assert "fact_sales_enriched: 4435 rows" in out and "00m" in out
