@@ -36,4 +36,4 @@ def partitions(spark: SparkSession) -> int:
 
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row."""
-    return F.transform(F.array(value), body)[0]
+    return F.transform(F.array(value), lambda v: body(v))[0]

@@ -5,11 +5,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martline.llm import sharding
+from martline.llm import bpe, langid, licenses, pii, quality, sharding, token_files
 from martline.llm.common import documents
+from martline.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,3 +37,143 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shuffle_shards(docs, 24).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+def _quality_sql() -> str:
+    """Counts, sketches, fences and verdicts, with the module's figures."""
+    sp = "[\\x20\\x09-\\x0D]"
+    bucket = "v - v % CAST(power(2, greatest(length(bin(v)) - 7, 0)) AS BIGINT)"
+    exprs = {m: e.replace(" div ", " // ") for m, (e, _) in quality.MEASURES.items()}
+    rows = " UNION ALL ".join(
+        f"SELECT doc_id, g_lang, g_source, '{m}' AS measure, {e} AS v FROM m WHERE n_words > 0"
+        for m, e in exprs.items())
+    slack = "CASE measure " + " ".join(
+        f"WHEN '{m}' THEN {x}" for m, (_, x) in quality.MEASURES.items()) + " END"
+    return f"""
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, lang, source FROM documents),
+w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '{sp}+'), lambda x: x <> '') AS w FROM t),
+p AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS p, w FROM w WHERE len(w) >= 3),
+g AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, w[p], w[p + 1], w[p + 2]) AS n FROM p),
+r AS (SELECT doc_id, least(3, p - coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p), -10)) AS x
+      FROM g WHERE n > 1),
+rep AS (SELECT doc_id, sum(x) AS n FROM r GROUP BY 1),
+l AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM t),
+m AS (SELECT doc_id, len(w) AS n_words,
+        length(regexp_replace(text, '{sp}', '', 'g')) AS word_chars,
+        length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+        len(l) - len(list_distinct(l)) AS n_dup_lines,
+        CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
+        coalesce('=' || lang, 'null') AS g_lang, coalesce('=' || source, 'null') AS g_source
+      FROM t JOIN w USING (doc_id) JOIN l USING (doc_id) LEFT JOIN rep USING (doc_id)),
+v AS ({rows}),
+b AS (SELECT *, {bucket} AS b FROM v),
+k AS (SELECT 2 AS level, g_lang, g_source, measure, b FROM b
+      UNION ALL SELECT 1, g_lang, NULL, measure, b FROM b
+      UNION ALL SELECT 0, NULL, NULL, measure, b FROM b),
+q AS (SELECT level, g_lang, g_source, measure, count(*) AS total,
+        quantile_disc(b, 0.25) AS q1, quantile_disc(b, 0.75) AS q3 FROM k GROUP BY ALL),
+f AS (SELECT level, g_lang, g_source, measure, total,
+        q1 - {quality.SPREAD} * (q3 - q1) - {slack} AS low,
+        q3 + {quality.SPREAD} * (q3 - q1) + {slack} AS high FROM q),
+o AS (SELECT v.doc_id, count(*) FILTER (
+        v < CASE WHEN a.total >= {quality.MIN_GROUP} THEN a.low WHEN c.total >= {quality.MIN_GROUP} THEN c.low ELSE d.low END
+        OR v > CASE WHEN a.total >= {quality.MIN_GROUP} THEN a.high WHEN c.total >= {quality.MIN_GROUP} THEN c.high ELSE d.high END) AS n
+      FROM v JOIN f a ON a.level = 2 AND a.measure = v.measure AND a.g_lang = v.g_lang AND a.g_source = v.g_source
+      JOIN f c ON c.level = 1 AND c.measure = v.measure AND c.g_lang = v.g_lang
+      JOIN f d ON d.level = 0 AND d.measure = v.measure GROUP BY 1)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND coalesce(o.n, 0) = 0 AS kept
+FROM m LEFT JOIN o USING (doc_id)"""
+
+
+@register("op5_adaptive_quality", _quality_sql())
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of every document and the verdict of its group's fences."""
+    docs = documents(spark, sf_dir).select("doc_id", "text", "lang", "source")
+    return quality.verdicts(quality.measure(docs)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept")
+
+
+def _license_sql() -> str:
+    q = lambda s: "'" + s.replace("'", "''") + "'"
+    known = ", ".join(f"({q(s)}, {q(i)})" for i, s in licenses.SENTENCES.items())
+    end, line_end = licenses._END, licenses._LINE_END
+    rules = []
+    for name, group in licenses.RULES.items():
+        for rule in group:
+            joins = " ".join(
+                f"JOIN s s{k} ON s{k}.doc_id = s0.doc_id AND s{k}.cut = s0.cut AND s{k}.id = {q(i)} "
+                f"AND s{k}.i > s{k - 1}.i AND s{k}.i <= s{k - 1}.i + 1 + {licenses.GAP}"
+                for k, i in enumerate(rule) if k)
+            rules.append(f"SELECT s0.doc_id, {q(name)} AS license FROM s s0 {joins} WHERE s0.id = {q(rule[0])}")
+    return f"""
+WITH known(s, id) AS (VALUES {known}),
+c AS (SELECT doc_id, 'l' AS cut, regexp_split_to_array(coalesce(text, ''), {q(line_end)}) AS s FROM documents
+      UNION ALL SELECT doc_id, 'w', regexp_split_to_array(regexp_replace(coalesce(text, ''), '[\r\n]+', ' ', 'g'), {q(end)}) FROM documents),
+u AS (SELECT doc_id, cut, unnest(s) AS s, generate_subscripts(s, 1) AS i FROM c),
+s AS (SELECT doc_id, cut, i, id FROM u JOIN known
+      ON known.s = trim(regexp_replace(lower(u.s), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))),
+n AS (SELECT doc_id, max(n) AS n FROM (SELECT doc_id, cut, count(*) AS n FROM s GROUP BY 1, 2) GROUP BY 1),
+r AS ({" UNION ".join(rules)}),
+a AS (SELECT doc_id, string_agg(license, ',' ORDER BY license) AS licenses FROM r GROUP BY 1)
+SELECT doc_id, coalesce(n.n, 0) AS n_sentences, coalesce(licenses, '') AS licenses
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN a USING (doc_id)"""
+
+
+@register("op6_license_scan", _license_sql())
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences that every document's sentences declare."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return licenses.scan(docs).select(
+        "doc_id", F.size("sentence_ids").cast("long").alias("n_sentences"),
+        F.array_join("licenses", ",").alias("licenses"))
+
+
+#: Key of the registered query; a deployment passes its own secret.
+PII_KEY = "registered-query"
+
+
+@register("op1_feistel_pseudonyms")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced by pseudonyms."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return pii.pseudonymise(docs, PII_KEY).select(
+        "doc_id", "text", F.size("pii").cast("long").alias("n_found"), "pii")
+
+
+RANKS = "byte_bpe_50k.tiktoken"
+WORD_BPE = "word_bpe_49k.json"
+WORD_BPE_END = 2
+
+
+@register("op2_prefix_bpe")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded to byte-level BPE ids and decoded again."""
+    path = public_tokenizers.path(RANKS)
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    coded = bpe.decode(bpe.encode(docs, path, public_tokenizers.PATTERN), path)
+    decimals = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return coded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(decimals.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@register("op7_patched_token_files")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids, written to token files and read back."""
+    path = scratch_path(spark, "token-files")
+    token_files.write(documents(spark, sf_dir).select("doc_id", "text"),
+                      public_tokenizers.path(WORD_BPE), WORD_BPE_END, path)
+    return token_files.digests(spark, path)
+
+
+@register("op8_language_mixture")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from four fifths of them."""
+    docs = documents(spark, sf_dir).withColumn("held_out", langid.held_out(F.col("doc_id")))
+    model = langid.fit(docs.where("NOT held_out"))
+    return langid.predict(docs.select("doc_id", "held_out", "text"), model).select(
+        "doc_id", "held_out", "lang_pred", "score")
