@@ -6,6 +6,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -109,5 +110,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/martline/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, wherever the driver
+    was started: a zip of its sources goes to each executor, once a context."""
+    sc = _context(spark)
+    if sc is None or getattr(sc, "_martline_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="martline-src-"), "martline.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    file = os.path.join(folder, name)
+                    z.write(file, os.path.relpath(file, os.path.dirname(root)))
+    sc.addPyFile(path)
+    sc._martline_shipped = True
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
