@@ -19,6 +19,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,10 +28,19 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-#: Words and token pairs that a worker remembers; a full cache starts anew.
-CACHE_WORDS = 300_000
-CACHE_PAIRS = 500_000
-CACHED_BYTES = 64
+#: Entries of a worker's caches (strings without white space inside, matches
+#: of the pattern, token pairs); a full cache starts anew.
+CACHE_WORDS = 200_000
+CACHE_PAIRS = 300_000
+CACHED_CHARS = 64
+#: Characters of texts that are encoded together.
+PIECE = 1 << 20
+
+# A run without white space and the space before it, or white space: the
+# pattern's matches never reach across these, so they are cut and cached first.
+# The characters with the White_Space property.
+_SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_RUN = re.compile(f" ?[^{_SPACES}]+|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+")
 
 
 class Vocabulary:
@@ -39,39 +50,37 @@ class Vocabulary:
         self.ranks = ranks
         self.tokens = {i: b for b, i in ranks.items()}
         self.longest = max(map(len, ranks))
-        self._pairs: dict[tuple[bytes, bytes], bool] = {}
-        self._single: dict[bytes, bool] = {}
+        self.pairs: dict[int, bool] = {}
+        self._single: dict[int, bool] = {}
 
-    def merge(self, data: bytes) -> list[bytes]:
+    def merge(self, data: bytes) -> list[int]:
         """Encoding by merging the lowest-ranked neighbours, again and again;
         used on the few bytes of a token pair."""
         parts = [data[i:i + 1] for i in range(len(data))]
         while len(parts) > 1:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                rank = self.ranks.get(parts[i] + parts[i + 1])
-                if rank is not None and (best is None or rank < best):
-                    best, at = rank, i
-            if best is None:
+            ranks = [self.ranks.get(a + b, 1 << 40) for a, b in zip(parts, parts[1:])]
+            best = min(ranks)
+            if best == 1 << 40:
                 break
+            at = ranks.index(best)
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        return parts
+        return [self.ranks[p] for p in parts]
 
-    def reachable(self, token: bytes) -> bool:
+    def reachable(self, token: int) -> bool:
         """Whether merging the token's own bytes gives the token."""
         ok = self._single.get(token)
         if ok is None:
-            ok = self._single[token] = self.merge(token) == [token]
+            ok = self._single[token] = self.merge(self.tokens[token]) == [token]
         return ok
 
-    def apart(self, left: bytes, right: bytes) -> bool:
+    def apart(self, left: int, right: int) -> bool:
         """Whether merging the bytes of both gives just these two tokens."""
-        pair = (left, right)
-        ok = self._pairs.get(pair)
+        key = left << 32 | right
+        ok = self.pairs.get(key)
         if ok is None:
-            if len(self._pairs) >= CACHE_PAIRS:
-                self._pairs.clear()
-            ok = self._pairs[pair] = self.merge(left + right) == [left, right]
+            if len(self.pairs) >= CACHE_PAIRS:
+                self.pairs.clear()
+            ok = self.pairs[key] = self.merge(self.tokens[left] + self.tokens[right]) == [left, right]
         return ok
 
 
@@ -79,17 +88,25 @@ class PrefixTable:
     """The last token of the encoding of each prefix of ``data``."""
 
     def __init__(self, vocabulary: Vocabulary, data: bytes = b""):
-        self.vocabulary, self.data, self.last = vocabulary, b"", [b""]
+        self.vocabulary, self.data, self.last = vocabulary, b"", [-1]
         self.append(data)
 
     def append(self, more: bytes) -> None:
         v, last = self.vocabulary, self.last
-        ranks, longest, start = v.ranks, v.longest, len(self.data)
+        rank, known, longest, start = v.ranks.get, v.pairs.get, v.longest, len(self.data)
         self.data = data = self.data + more
         for end in range(start + 1, len(data) + 1):
-            for begin in range(max(0, end - longest), end):
-                token = data[begin:end]
-                if token in ranks and (v.apart(last[begin], token) if begin else v.reachable(token)):
+            for begin in range(end - longest if end > longest else 0, end):
+                token = rank(data[begin:end])
+                if token is None:
+                    continue
+                if begin:
+                    ok = known(last[begin] << 32 | token)
+                    if ok is None:
+                        ok = v.apart(last[begin], token)
+                else:
+                    ok = v.reachable(token)
+                if ok:
                     last.append(token)
                     break
             else:
@@ -105,11 +122,17 @@ class PrefixTable:
         self.truncate(begin)
         self.append(new + tail)
 
-    def tokens(self) -> list[bytes]:
-        out, at = [], len(self.data)
+    def become(self, data: bytes) -> None:
+        """Change to ``data``, keeping the table of the common prefix."""
+        size = len(os.path.commonprefix([self.data, data]))
+        self.truncate(size)
+        self.append(data[size:])
+
+    def tokens(self) -> list[int]:
+        out, at, sizes = [], len(self.data), self.vocabulary.tokens
         while at:
             out.append(self.last[at])
-            at -= len(self.last[at])
+            at -= len(sizes[self.last[at]])
         return out[::-1]
 
 
@@ -119,27 +142,53 @@ class Encoder:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.vocabulary = Vocabulary(ranks)
         self.pattern = regex.compile(pattern)
-        self._words: dict[str, list[int]] = {}
+        self.table = PrefixTable(self.vocabulary)
+        #: Ids of runs and of matches, as little-endian 32-bit integers.
+        self._runs: dict[str, bytes] = {}
+        self._words: dict[str, bytes] = {}
+
+    def _new_words(self, words) -> dict[str, bytes]:
+        """Ids of matches. A whole word of the vocabulary is its own token;
+        the others are encoded in order, so that neighbours share a prefix."""
+        out, ranks, table = {}, self.vocabulary.ranks, self.table
+        for data, word in sorted((w.encode(), w) for w in words):
+            whole = ranks.get(data)
+            if whole is None:
+                table.become(data)
+                ids = table.tokens()
+            else:
+                ids = [whole]
+            out[word] = np.array(ids, "<i4").tobytes()
+        if len(table.data) > 1 << 16:
+            table.truncate(0)
+        return out
 
-    def word(self, word: str) -> list[int]:
-        """Ids of one match; a whole word of the vocabulary is its own token."""
-        ids = self._words.get(word)
-        if ids is None:
-            data, ranks = word.encode(), self.vocabulary.ranks
-            ids = [ranks[data]] if data in ranks else [
-                ranks[t] for t in PrefixTable(self.vocabulary, data).tokens()]
-            if len(data) <= CACHED_BYTES:
-                if len(self._words) >= CACHE_WORDS:
-                    self._words.clear()
-                self._words[word] = ids
-        return ids
+    def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text, as an array."""
+        runs = [_RUN.findall(t) for t in texts]
+        known = self._runs
+        if len(known) >= CACHE_WORDS:
+            known.clear()
+        if len(self._words) >= CACHE_WORDS:
+            self._words.clear()
+        fresh = {r for rs in runs for r in rs if r not in known}
+        cut = {r: self.pattern.findall(r) for r in fresh}
+        words = {w for ws in cut.values() for w in ws}
+        ids = self._new_words(w for w in words if w not in self._words)
+        ids.update((w, self._words[w]) for w in words if w in self._words)
+        new = {r: b"".join([ids[w] for w in ws]) for r, ws in cut.items()}
+        both = known | new if any(len(r) > CACHED_CHARS for r in fresh) else known
+        known.update((r, b) for r, b in new.items() if len(r) <= CACHED_CHARS)
+        self._words.update((w, b) for w, b in ids.items() if len(w) <= CACHED_CHARS)
+        look = both.__getitem__
+        return [np.frombuffer(b"".join(map(look, rs)), "<i4") for rs in runs]
 
     def encode(self, text: str) -> list[int]:
-        out: list[int] = []
-        known, word = self._words.get, self.word
-        for w in self.pattern.findall(text):
-            out += known(w) or word(w)
-        return out
+        return self.encode_batch([text])[0].tolist()
+
+    def word(self, word: str) -> list[int]:
+        """Ids of one match of the pattern."""
+        return np.frombuffer(self._new_words([word])[word], "<i4").tolist()
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.vocabulary.tokens.__getitem__, ids))
@@ -210,6 +259,19 @@ def _shared(df: DataFrame, ranks_path: str):
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
+def _pieces(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """(first row, texts) of about PIECE characters at a time."""
+    texts, first, size = [], 0, 0
+    for i in range(len(column)):
+        texts.append(column[i].as_py() or "")
+        size += len(texts[-1])
+        if size >= PIECE:
+            yield first, texts
+            texts, first, size = [], i + 1, 0
+    if texts:
+        yield first, texts
+
+
 def _replace(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
     names = [c for c in batch.schema.names if c != name]
     return pa.RecordBatch.from_arrays([batch.column(c) for c in names] + [values], [*names, name])
@@ -233,18 +295,12 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value, pattern)
         for batch in batches:
-            column, rows = batch.column(text), []
-            for i in range(len(column)):
-                value = column[i].as_py()
-                rows.append(np.array(encoder.encode(value) if value else [], np.int32))
-                if i + 1 == len(column) or sum(map(len, rows[-64:])) > 1 << 20:
-                    done = i + 1 - len(rows)
-                    ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
-                    lists = pa.ListArray.from_arrays(
-                        pa.array(ends), pa.array(np.concatenate(rows)))
-                    part = batch.slice(done, len(rows)).select(keep)
-                    yield pa.RecordBatch.from_arrays([*part.columns, lists], [*keep, ids])
-                    rows = []
+            for at, texts in _pieces(batch.column(text)):
+                rows = encoder.encode_batch(texts)
+                ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))
+                part = batch.slice(at, len(rows)).select(keep)
+                yield pa.RecordBatch.from_arrays([*part.columns, lists], [*keep, ids])
 
     return df.select(*keep, text).mapInArrow(run, _schema(df, text, f"{ids} array<int>"))
 
@@ -255,15 +311,13 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decoded
     shared = _shared(df, ranks_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = _encoder(shared.value, "").vocabulary.tokens
-        look = tokens.__getitem__
+        decode = _encoder(shared.value, "").decode
         for batch in batches:
-            column = batch.column(ids)
-            flat = column.values.to_numpy(zero_copy_only=False).tolist() if len(column) else []
-            ends = column.offsets.to_pylist()
-            valid = column.is_valid().to_pylist()
-            values = [b"".join(map(look, flat[ends[i]:ends[i + 1]])) if valid[i] else None
-                      for i in range(len(column))]
-            yield _replace(batch, out, pa.array(values, pa.binary()))
+            step = max(1, batch.num_rows * PIECE // max(1, 2 * batch.nbytes))
+            for at in range(0, batch.num_rows, step):
+                part = batch.slice(at, step)
+                values = [decode(x.values.to_numpy().tolist()) if x.is_valid else None
+                          for x in part.column(ids)]
+                yield _replace(part, out, pa.array(values, pa.binary()))
 
     return df.mapInArrow(run, _schema(df, out, f"{out} binary"))
