@@ -1,10 +1,73 @@
-"""Corpus pipeline: STAGES and run(spark, sf_dir)."""
+"""Corpus pipeline: language, near duplicates, benchmark leaks, personal data,
+token ids.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which ``run``
+writes as Parquet under the shared checkpoint folder and reads again as the
+next stage's documents. All stages but the last return the columns of the
+documents; rows pass through whole, whatever other columns they carry. Null
+and empty texts, which have no language, go in the first stage.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from martline.llm import bpe, decontaminate, langid, ngram_join, pii
+from martline.llm.common import documents, materialise
+from martline.session import ensure_checkpoint_dir, table_path
+
+#: Key of the registered pipeline; a deployment passes its own secret.
+PII_KEY = "registered-query"
+RANKS = "byte_bpe_50k.tiktoken"
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language: no text or letters, or no language with half
+    of the words, and a document goes."""
+    model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))))
+    return langid.accepted(docs, model) if model.languages else docs
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, the first, of each group of linked ones."""
+    return ngram_join.representatives(docs)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    return decontaminate.clean(docs, spark.read.parquet(table_path(sf_dir, "benchmark")))
+
+
+def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data replaced by format-preserving pseudonyms."""
+    return pii.pseudonymise(docs, PII_KEY, found="_found").drop("_found")
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' columns without the text, plus ``ids`` and ``n_tokens``."""
+    path = public_tokenizers.path(RANKS)
+    return bpe.encode(docs, path, public_tokenizers.PATTERN).withColumn(
+        "n_tokens", F.size("ids").cast("long"))
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("near_duplicates", near_duplicates),
+    ("benchmark_leaks", benchmark_leaks),
+    ("pseudonyms", pseudonyms),
+    ("token_ids", token_ids),
+]
+
+# The language model, the shuffle-based join and the tokenizer are beyond SQL;
+# tests/llm hold the stages against brute-force versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_checkpoint_dir(spark)
+    docs = documents(spark, sf_dir)
+    for name, stage in STAGES:
+        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs

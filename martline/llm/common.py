@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,3 +38,15 @@ def partitions(spark: SparkSession) -> int:
 def let(value: Column, body) -> Column:
     """``body(value)`` with ``value`` computed once per row."""
     return F.transform(F.array(value), lambda v: body(v))[0]
+
+
+def keep_rows(df: DataFrame, text: str, verdicts) -> DataFrame:
+    """The rows of ``df`` that ``verdicts()(texts)``, a list of booleans for a
+    list of texts (null as empty), keeps; all columns pass unchanged."""
+    def run(batches):
+        keep = verdicts()
+        for batch in batches:
+            texts = [t or "" for t in batch.column(text).to_pylist()]
+            yield batch.filter(pa.array(keep(texts), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

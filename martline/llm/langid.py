@@ -6,9 +6,8 @@ character n-gram probabilities there. Expectation-maximisation estimates the
 proportion of each language; languages join the set in the order of their
 proportions as long as the likelihood gains more than the penalty (a multiple
 of the logarithm of the word count for each further language). The language
-with the largest proportion in the chosen set is the prediction, its
-proportion times the document's margin over a text that no language explains
-is not needed: the score is the proportion alone.
+with the largest proportion in the chosen set is the prediction, and that
+proportion is the score.
 
 The n-gram counts come from labelled documents. They are taken from a sample
 with a documented bound, ``per_language`` documents or so of each language
@@ -31,6 +30,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martline.llm.common import keep_rows
+
 #: Cells of the n-gram table of a language, and the orders counted.
 BITS = 16
 ORDERS = (2, 3)
@@ -223,5 +224,24 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return df.select(*keep, text).mapInPandas(run, schema)
 
 
+def accepted(df: DataFrame, model: Model, text: str = "text", least: float = 0.5) -> DataFrame:
+    """The rows whose text has a language: not ``und``, and one language that
+    holds at least the share ``least`` of the words."""
+    shared = df.sparkSession.sparkContext.broadcast((model.languages, model.logs))
+
+    def verdicts():
+        m = Model(*shared.value)
+
+        def keep(texts: list[str]) -> list[bool]:
+            out: list[bool] = []
+            for a, b in _pieces(texts):
+                best, score, _ = infer(m, [t.replace("\0", " ") for t in texts[a:b]])
+                out += [x != "und" and s >= least for x, s in zip(best, score, strict=True)]
+            return out
+        return keep
+
+    return keep_rows(df, text, verdicts)
+
+
 def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0

@@ -247,26 +247,25 @@ def pseudonym(value: Column, key: str) -> Column:
     return F.coalesce(*map(named, PATTERNS))
 
 
-def pseudonymise(df: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """``df`` with ``text`` rewritten, plus ``pii``: array of (kind,
+def pseudonymise(df: DataFrame, key: str, text: str = "text", found: str = "pii") -> DataFrame:
+    """``df`` with ``text`` rewritten, plus the column ``found``: array of (kind,
     pseudonym) structs in the order of the text. The key is a secret of the
     caller; the same key gives the same pseudonyms in every run."""
     t = F.col(text)
-    marked = t.rlike("[0-9@]")
-    found = df.withColumn("_pii_raw", F.when(marked, F.regexp_extract_all(t, F.lit(ANY), F.lit(0))))
-    # (match, kind, pseudonym): null kind where the match isn't valid.
-    moved = F.when(F.size("_pii_raw") > 0, F.transform(
-        "_pii_raw", lambda v: let(pseudonym(v, key), lambda p: F.struct(
+    raw = F.when(t.rlike("[0-9@]"), F.regexp_extract_all(t, F.lit(ANY), F.lit(0)))
+    # (match, kind, pseudonym) of each match; null kind where it isn't valid.
+    moved = F.when(F.size(raw) > 0, F.transform(
+        raw, lambda v: let(pseudonym(v, key), lambda p: F.struct(
             v.alias("value"), p["kind"].alias("kind"), p["pseudonym"].alias("pseudonym")))))
-    found = found.withColumn("_pii_new", moved)
-    gaps = F.split(t, ANY, -1)
-    joined = let(gaps, lambda g: F.array_join(F.transform(
-        g, lambda x, i: F.concat(x, F.coalesce(F.get("_pii_new", i)["pseudonym"],
-                                               F.get("_pii_new", i)["value"], F.lit("")))), ""))
+    work = df.withColumn("_pii_new", moved)
+    new = F.col("_pii_new")
+    joined = F.array_join(F.transform(
+        F.split(t, ANY, -1),
+        lambda x, i: F.concat(x, F.coalesce(F.get(new, i)["pseudonym"], F.get(new, i)["value"], F.lit("")))), "")
+    valid = F.filter(new, lambda x: x["kind"].isNotNull())
     none = F.array().cast("array<struct<kind:string,pseudonym:string>>")
-    return (found.withColumns({
-        text: F.when(F.exists("_pii_new", lambda x: x["kind"].isNotNull()), joined).otherwise(t),
-        "pii": F.coalesce(F.transform(
-            F.filter("_pii_new", lambda x: x["kind"].isNotNull()),
-            lambda x: F.struct(x["kind"].alias("kind"), x["pseudonym"].alias("pseudonym"))), none)})
-        .drop("_pii_raw", "_pii_new"))
+    return (work.withColumns({
+        text: F.when(F.size(valid) > 0, joined).otherwise(t),
+        found: F.coalesce(F.transform(valid, lambda x: F.struct(
+            x["kind"].alias("kind"), x["pseudonym"].alias("pseudonym"))), none)})
+        .drop("_pii_new"))

@@ -9,9 +9,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martline.llm import bpe, langid, licenses, pii, quality, sharding, token_files
+from martline.llm import (
+    bpe,
+    decontaminate,
+    langid,
+    licenses,
+    ngram_join,
+    pii,
+    quality,
+    sharding,
+    token_files,
+    toxicity,
+)
 from martline.llm.common import documents
-from martline.session import scratch_path
+from martline.session import scratch_path, table_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -177,3 +188,29 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.fit(docs.where("NOT held_out"))
     return langid.predict(docs.select("doc_id", "held_out", "text"), model).select(
         "doc_id", "held_out", "lang_pred", "score")
+
+
+@register("op3_ngram_jaccard")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size, class and component of every document."""
+    return ngram_join.join(documents(spark, sf_dir).select("doc_id", "text")).select(
+        "doc_id", "n_shingles", "component_id", "class_id")
+
+
+@register("op4_qgram_decontamination")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark passages found in the documents."""
+    benchmark = spark.read.parquet(table_path(sf_dir, "benchmark")).select("item_id", "text")
+    return decontaminate.find(documents(spark, sf_dir).select("doc_id", "text"), benchmark)
+
+
+@register("op10_toxic_spans")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from three quarters of the labels."""
+    docs = documents(spark, sf_dir).select("doc_id", "text").withColumn(
+        "held_out", toxicity.held_out(F.col("doc_id")))
+    labels = spark.read.parquet(table_path(sf_dir, "labels")).select("doc_id", "toxic")
+    model = toxicity.fit(docs.where("NOT held_out").join(labels, "doc_id"))
+    return toxicity.score(docs, model).select(
+        "doc_id", "held_out", "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
+        F.size("spans").cast("long").alias("n_spans"))
