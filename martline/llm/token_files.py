@@ -58,11 +58,12 @@ def pack(ids: np.ndarray, share: float = SHARE) -> tuple[bytes, bytes]:
     values = values.reshape(count, BLOCK)
     low = values.min(axis=1)
     diff = values - low[:, None]
-    need = np.sort(_bits(diff), axis=1)
-    # The percentile's width, or a wider one if exceptions cost more there.
+    # Of each block: how many differences need more than so many bits.
     widths = np.arange(33)
-    over = (need[:, :, None] > widths).sum(axis=1, dtype=np.int64)
-    least = need[:, min(BLOCK - 1, int(share * BLOCK))]
+    need = _bits(diff) + np.arange(count)[:, None] * 33
+    over = BLOCK - np.bincount(need.ravel(), minlength=count * 33).reshape(count, 33).cumsum(axis=1)
+    # The percentile's width, or a wider one if exceptions cost more there.
+    least = (over > (1 - share) * BLOCK).sum(axis=1)
     cost = widths * (BLOCK // 8) + over * 5
     cost[widths[None, :] < least[:, None]] = 1 << 40
     cost[over > 255] = 1 << 40
@@ -102,11 +103,13 @@ def unpack(blocks: bytes, index: bytes, first: int = 0, last: int | None = None)
         size = int(w) * (BLOCK // 8)
         if size:
             body = data[starts[rows][:, None] + _HEAD.itemsize + np.arange(size)]
-            bits = np.unpackbits(body, axis=1, bitorder="little").reshape(len(rows), BLOCK, int(w))
-            wide = 16 if w <= 16 else 32
-            padded = np.zeros((len(rows), BLOCK, wide), np.uint8)
-            padded[:, :, :int(w)] = bits
-            out[rows] = np.packbits(padded, axis=2, bitorder="little").view(f"<u{wide // 8}")[:, :, 0]
+            # A value lies in the bytes from its first bit's on: five at most.
+            body = np.concatenate((body, np.zeros((len(rows), 5), np.uint8)), axis=1)
+            bit = np.arange(BLOCK) * int(w)
+            value = np.zeros((len(rows), BLOCK), np.uint32 if w <= 17 else np.uint64)
+            for k in range(3 if w <= 17 else 5):
+                value |= body[:, (bit >> 3) + k].astype(value.dtype) << value.dtype.type(8 * k)
+            out[rows] = (value >> (bit & 7).astype(value.dtype)) & value.dtype.type((1 << int(w)) - 1)
         else:
             out[rows] = 0
     for k in np.flatnonzero(heads["extra"]):
@@ -120,41 +123,53 @@ def unpack(blocks: bytes, index: bytes, first: int = 0, last: int | None = None)
 
 
 class _Words:
-    """Ids of a text by the tokenizers library, word by word: ASCII white
-    space always parts the pattern's matches and has no id, so a text's ids
-    are those of its words in a row; words met before come from a bounded
-    cache, the others go to the library in batches."""
+    """Ids of a text by the tokenizers library, word by word: white space
+    always parts the pattern's matches and has no id, so a text's ids are
+    those of its words in a row. Words met before come from a bounded cache;
+    the others go to the library some hundreds at a time, and each id belongs
+    to the word that its offset lies in."""
 
-    LIMIT = 400_000
+    LIMIT = 800_000
+    CACHED_CHARS = 64
+    AT_ONCE = 500
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, list[int]] = {}
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        split = list(map(_ASCII_SPACE.split, texts))
+        #: Ids of words, as little-endian 32-bit integers.
+        self.known: dict[str, bytes] = {}
+
+    def _fresh(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        for i in range(0, len(words), self.AT_ONCE):
+            part = words[i:i + self.AT_ONCE]
+            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            starts = np.cumsum([0, *[len(w) + 1 for w in part]])
+            at = np.fromiter((x for x, _ in found.offsets), np.int64)
+            cut = (np.searchsorted(at, starts) * 4).tolist()
+            data = np.array(found.ids, "<u4").tobytes()
+            for w, x, y in zip(part, cut, cut[1:]):
+                yield w, data[x:y]
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        split = [_CONTROL.split(t) if _SEPARATOR.search(t) else t.split() for t in texts]
+        if len(self.known) >= self.LIMIT:
+            self.known.clear()
         known = self.known
-        if len(known) > self.LIMIT:
-            known.clear()
-        new = list({w for ws in split for w in ws if w not in known})
-        batch = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        for i in range(0, len(new), 10_000):
-            part = new[i:i + 10_000]
-            for w, e in zip(part, batch(part, add_special_tokens=False), strict=True):
-                known[w] = e.ids
-        out = []
-        for ws in split:
-            ids: list[int] = []
-            for w in ws:
-                ids += known[w]
-            out.append(ids)
+        new = dict(self._fresh(list({w for ws in split for w in ws if w not in known})))
+        self.known.update(new)
+        look = self.known.__getitem__
+        out = [np.frombuffer(b"".join(map(look, ws)), "<u4") for ws in split]
+        for w in new:
+            if len(w) > self.CACHED_CHARS:
+                del self.known[w]
         return out
 
 
-_ASCII_SPACE = re.compile(r"[\x20\x09-\x0D]+")
+# str.split() parts words at these too, which are no white space elsewhere.
+_SEPARATOR = re.compile(r"[\x1c-\x1f]")
+_CONTROL = re.compile(r"[\x20\x09-\x0D]+")
 _tokenizers: dict[str, _Words] = {}
 
 
@@ -197,10 +212,9 @@ def write(df: DataFrame, tokenizer_path: str, end_id: int, path: str, *, doc_id:
                     size += len(texts[upto])
                     upto += 1
                 for key, one in zip(keys[at:upto], words.encode(texts[at:upto]), strict=True):
-                    one.append(end_id)
                     docs.append(None if key is None or key != key else int(key))
-                    ids.append(np.array(one, np.uint32))
-                    held += len(one)
+                    ids.append(np.append(one, np.uint32(end_id)))
+                    held += len(one) + 1
                     if held >= SEGMENT_IDS:
                         yield segment()
                         seq, docs, ids, held = seq + 1, [], [], 0
