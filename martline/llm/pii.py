@@ -80,37 +80,34 @@ def _pair(d: Column, r) -> Column:
     return F.struct(d.cast("bigint").alias("d"), r.cast("bigint").alias("r"))
 
 
-def _codes(s: Column) -> Column:
-    return F.transform(F.filter(F.split(s, ""), lambda c: c != ""),
-                       lambda c: F.struct(F.ascii(c).cast("bigint").alias("c"), c.alias("s")))
-
-
-def _start(c: Column) -> Column:
-    """First code point of the run that holds code point ``c``, else -1."""
-    out = F.lit(-1)
-    for start, n in RUNS:
-        out = F.when((c >= start) & (c < start + n), F.lit(start)).otherwise(out)
-    return out.cast("bigint")
+# Start and size of the run of each Latin-1 code point (itself
+# and 1 where it has none), as SQL arrays that a row's characters index.
+_RUN = [next(((a, n) for a, n in RUNS if a <= c < a + n), (c, 1)) for c in range(256)]
+_STARTS = "array(" + ",".join(f"{a}L" for a, _ in _RUN) + ")"
+_SIZES = "array(" + ",".join(f"{n}L" for _, n in _RUN) + ")"
 
 
-def _radix(start: Column) -> Column:
-    out = F.lit(1)
-    for s, n in RUNS:
-        out = F.when(start == s, F.lit(n)).otherwise(out)
-    return out
+def _codes(s: Column) -> Column:
+    """Characters of ``s`` as (s, c: code point, d: place in its run, r: size
+    of the run); r is 1 for a character that stays."""
+    def one(x: Column) -> Column:
+        c = F.ascii(x)
+        return F.struct(x.alias("s"), c.cast("bigint").alias("c"),
+                        (c - F.coalesce(F.get(F.expr(_STARTS), c), c)).cast("bigint").alias("d"),
+                        F.coalesce(F.get(F.expr(_SIZES), c), F.lit(1)).cast("bigint").alias("r"))
+    return F.transform(F.filter(F.split(s, ""), lambda x: x != ""), one)
 
 
 def permute_text(s: Column, key: str, tweak: str) -> Column:
     """``s`` with each letter or digit moved within its run; the rest stays."""
     def body(cs: Column) -> Column:
-        movable = F.filter(cs, lambda x: _start(x["c"]) >= 0)
-        moved = feistel(F.transform(movable, lambda x: _pair(x["c"] - _start(x["c"]), _radix(_start(x["c"])))),
+        moved = feistel(F.transform(F.filter(cs, lambda x: x["r"] > 1), lambda x: _pair(x["d"], x["r"])),
                         key, F.lit(tweak))
         return let(moved, lambda m: F.aggregate(
             cs, F.struct(F.lit(0).alias("i"), F.lit("").alias("o")),
-            lambda a, x: F.when(_start(x["c"]) < 0, F.struct(a["i"].alias("i"), F.concat(a["o"], x["s"]).alias("o")))
-            .otherwise(F.struct((a["i"] + 1).alias("i"),
-                                F.concat(a["o"], _letter(_start(x["c"]) + F.get(m, a["i"])["d"])).alias("o"))),
+            lambda a, x: F.when(x["r"] == 1, F.struct(a["i"].alias("i"), F.concat(a["o"], x["s"]).alias("o")))
+            .otherwise(F.struct((a["i"] + 1).alias("i"), F.concat(
+                a["o"], _letter(x["c"] - x["d"] + F.get(m, a["i"])["d"])).alias("o"))),
             lambda a: a["o"]))
     return let(_codes(s), body)
 

@@ -6,7 +6,8 @@ the seven leading bits of a value, so a quantile is off by under 1 % and two
 sketches merge by adding counts (which is what the partial aggregation and the
 roll-up to language and corpus do). The cutoff of a measure is Tukey's outer
 fence, upper quartile + ``spread`` x interquartile range, plus a slack of the
-measure's own scale for groups with no spread at all; a group with fewer than
+measure's own scale, since most texts repeat nothing and have no symbols, and a
+group without any spread says nothing about how much would be too much; a group with fewer than
 ``min_group`` documents uses the merged sketch of its language, then that of
 the corpus. A document is kept when it passes the base rule and lies within
 all fences of its group.
@@ -31,8 +32,8 @@ SPREAD = 3
 #: thousandths; a wordless document has no measures.
 MEASURES = {
     "symbol_rate": ("n_symbols * 1000 div word_chars", 20),
-    "dup_line_rate": ("n_dup_lines * 1000 div n_words", 5),
-    "repeat_rate": ("n_repeat_words * 1000 div n_words", 50),
+    "dup_line_rate": ("n_dup_lines * 1000 div n_words", 50),
+    "repeat_rate": ("n_repeat_words * 1000 div n_words", 300),
     "word_length": ("word_chars * 1000 div n_words", 1000),
 }
 

@@ -63,8 +63,10 @@ def _quality_sql() -> str:
     return f"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text, lang, source FROM documents),
 w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '{sp}+'), lambda x: x <> '') AS w FROM t),
-p AS (SELECT doc_id, unnest(range(1, len(w) - 1)) AS p, w FROM w WHERE len(w) >= 3),
-g AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, w[p], w[p + 1], w[p + 2]) AS n FROM p),
+p AS (SELECT doc_id, unnest(w) AS a, generate_subscripts(w, 1) AS p FROM w),
+x AS (SELECT doc_id, p, a, lead(a) OVER o AS b, lead(a, 2) OVER o AS c FROM p
+      WINDOW o AS (PARTITION BY doc_id ORDER BY p)),
+g AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, a, b, c) AS n FROM x WHERE c IS NOT NULL),
 r AS (SELECT doc_id, least(3, p - coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p), -10)) AS x
       FROM g WHERE n > 1),
 rep AS (SELECT doc_id, sum(x) AS n FROM r GROUP BY 1),

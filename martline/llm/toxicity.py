@@ -8,7 +8,8 @@ tokens, and its spans are the tokens whose marginal is at least one half.
 
 Features come from labelled documents: for a token, and for its prefixes and
 suffixes of three to five letters, how much oftener it occurs in toxic than in
-other documents (log odds of document counts, counted by Spark). Token labels
+other documents (log odds of document counts, shrunk towards none, counted by
+Spark). Token labels
 for training: in a toxic document the tokens that are clearly oftener in toxic
 ones; everywhere else none. The chain's weights are fitted on a bounded number
 of labelled documents by gradient ascent, the document score by a logistic
@@ -32,21 +33,23 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 COUNT_DOCS = 60_000
-FIT_DOCS = 300
+FIT_DOCS = 500
 LEXICON = 200_000
 MIN_DOCS = 3
 CHUNK = 128
 PIECE_TOKENS = 400_000
 CACHE = 300_000
-TAU = 3.0  # log odds from which a token of a toxic document is labelled toxic
+TAU = 2.3  # log odds from which a token of a toxic document is labelled toxic
 STEPS = 80
+SHRINK = 5.0  # documents of the base rate that each count is mixed with
 
 _TOKEN = re.compile(r"[^\W\d_]+")
-N_FEATURES = 5  # constant, token, affix, known token, strong token
+N_FEATURES = 6  # constant, token, prefix, suffix, known token, strong token
 
 
 def units(token: str) -> list[str]:
@@ -67,9 +70,10 @@ class Lexicon:
         if f is None:
             keys = units(token)
             own = self.odds.get(keys[0])
-            affix = max([self.odds.get(k, -1.0) for k in keys[1:]] or [-1.0])
-            f = (1.0, own if own is not None else 0.0, affix, float(own is not None),
-                 float((own if own is not None else affix) >= TAU))
+            prefix = max([self.odds.get(k, -1.0) for k in keys if k[0] == "<"] or [-1.0])
+            suffix = max([self.odds.get(k, -1.0) for k in keys if k[0] == ">"] or [-1.0])
+            f = (1.0, own or 0.0, prefix, suffix, float(own is not None),
+                 float((max(prefix, suffix) if own is None else own) >= TAU))
             if len(self._seen) >= CACHE:
                 self._seen.clear()
             self._seen[token] = f
@@ -162,7 +166,7 @@ def forward_backward(emit: np.ndarray, starts: np.ndarray, ends: np.ndarray,
 
 
 class Model:
-    def __init__(self, odds: dict[str, float], weights=None, pair=None, curve=(0.0, 0.0), prior=0.0):
+    def __init__(self, odds: dict[str, float], weights=None, pair=None, curve=(0.0,) * 4, prior=0.0):
         self.lexicon = Lexicon(odds)
         self.weights = np.zeros(N_FEATURES) if weights is None else weights
         self.pair = np.zeros((2, 2)) if pair is None else pair
@@ -200,9 +204,21 @@ class Model:
         return self.scores(marginal, starts, ends), hits
 
     def scores(self, marginal, starts, ends) -> np.ndarray:
-        total = np.concatenate(([0.0], np.cumsum(marginal)))
-        expected = total[ends] - total[starts]
-        return _logistic(self.curve[0] + self.curve[1] * np.log(np.maximum(expected, 0) + 0.01))
+        return _logistic(_aggregate(marginal, starts, ends) @ np.array(self.curve))
+
+
+def _aggregate(marginal, starts, ends) -> np.ndarray:
+    """What a document's score weighs: constant, logarithm of the expected
+    number of toxic tokens, log odds of the likeliest one, log length."""
+    total = np.concatenate(([0.0], np.cumsum(marginal)))
+    most = np.zeros(len(ends))
+    some = np.flatnonzero(ends > starts)
+    if len(some):
+        most[some] = np.maximum.reduceat(marginal, starts[some])
+    most = np.clip(most, 1e-4, 1 - 1e-4)
+    expected = np.maximum(total[ends] - total[starts], 0)
+    return np.stack([np.ones(len(ends)), np.log(expected + 0.01), np.log(most / (1 - most)),
+                     np.log1p(ends - starts)], 1)
 
 
 def _sample(labelled: DataFrame, docs: int, key: str) -> DataFrame:
@@ -226,33 +242,43 @@ def fit(labelled: DataFrame, text: str = "text", toxic: str = "toxic", key: str
     sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
     if not n0 or not n1:
-        return Model({}, curve=(0.0, 0.0), prior=float(bool(n1)))
-    counted = _sample(rows, count_docs, "key")
+        return Model({}, prior=float(bool(n1)))
+    # A fifth of the documents, by hash, is for the weights alone: counts that
+    # hold by chance must not look reliable there.
+    apart = F.pmod(F.xxhash64(F.lit(31), "key"), F.lit(5)) == 0
+    counted = _sample(rows.where(~apart), count_docs, "key")
 
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, list[int]] = {}
+
+        def held() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(list(totals), pa.string()), *[
+                    pa.array([v[k] for v in totals.values()], pa.int64()) for k in (0, 1)]],
+                ["unit", "n0", "n1"])
+
         for batch in batches:
-            for t, label in zip(batch["text"], batch["toxic"], strict=True):
+            for t, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(),
+                                strict=True):
                 for u in {u for w in set(_TOKEN.findall(t.lower())) for u in units(w)}:
                     totals.setdefault(u, [0, 0])[label] += 1
-                if len(totals) > 500_000:
-                    yield _frame(totals)
-                    totals = {}
-        yield _frame(totals)
-
-    def _frame(totals):
-        return pd.DataFrame({"unit": list(totals), "n0": [v[0] for v in totals.values()],
-                             "n1": [v[1] for v in totals.values()]})
+                if len(totals) > 200_000:
+                    yield held()
+                    totals.clear()
+        yield held()
 
     used = {r["toxic"]: r["count"] for r in counted.groupBy("toxic").count().collect()}
-    counts = (counted.select("text", "toxic").mapInPandas(count, "unit string, n0 long, n1 long")
+    base = used.get(1, 0) / max(1, used.get(0, 0) + used.get(1, 0))
+    if not 0 < base < 1:
+        return Model({}, prior=n1 / (n0 + n1))
+    counts = (counted.select("text", "toxic").mapInArrow(count, "unit string, n0 long, n1 long")
               .groupBy("unit").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
               .where(F.col("n1") >= MIN_DOCS)
-              .withColumn("odds", F.log((F.col("n1") + 0.5) / (used[1] + 1.0))
-                          - F.log((F.col("n0") + 0.5) / (used[0] + 1.0)))
+              .withColumn("p", (F.col("n1") + SHRINK * base) / (F.col("n0") + F.col("n1") + SHRINK))
+              .withColumn("odds", F.log(F.col("p") / (1 - F.col("p"))) - math.log(base / (1 - base)))
               .where("odds > 0").orderBy(F.desc("n1"), "unit").limit(LEXICON).toPandas())
     model = Model(dict(zip(counts["unit"], counts["odds"], strict=True)))
-    sample = _sample(rows, fit_docs, "key").select("text", "toxic").orderBy("toxic", "text").toPandas()
+    sample = _sample(rows.where(apart), fit_docs, "key").select("text", "toxic").orderBy("toxic", "text").toPandas()
     _fit_chain(model, sample["text"].tolist(), sample["toxic"].to_numpy())
     return model
 
@@ -264,7 +290,7 @@ def _fit_chain(model: Model, texts: list[str], toxic: np.ndarray) -> None:
     x = np.array([model.lexicon.features(w) for ws in tokens for w in ws]).reshape(-1, N_FEATURES)
     ends = np.cumsum([len(ws) for ws in tokens])
     starts = ends - [len(ws) for ws in tokens]
-    y = ((x[:, 4] > 0) & np.repeat(toxic == 1, ends - starts)).astype(float)
+    y = ((x[:, -1] > 0) & np.repeat(toxic == 1, ends - starts)).astype(float)
     gold = np.zeros((2, 2))
     for s, e in zip(starts, ends, strict=True):
         tags = y[s:e].astype(int)
@@ -284,14 +310,13 @@ def _fit_chain(model: Model, texts: list[str], toxic: np.ndarray) -> None:
         pair += 0.1 * gp / np.sqrt(seen_p)
     model.weights, model.pair = w, pair
     marginal, _, _ = forward_backward(x @ w, starts, ends, pair)
-    total = np.concatenate(([0.0], np.cumsum(marginal)))
-    z = np.log(np.maximum(total[ends] - total[starts], 0) + 0.01)
-    design, c = np.stack([np.ones_like(z), z], 1), np.zeros(2)
+    design = _aggregate(marginal, starts, ends)
+    c = np.zeros(design.shape[1])
     for _ in range(30):
         p = _logistic(design @ c)
-        hess = design.T @ (design * (p * (1 - p))[:, None]) + 1e-2 * np.eye(2)
-        c += np.linalg.solve(hess, design.T @ (toxic - p) - 1e-2 * c)
-    model.curve = (float(c[0]), float(c[1]))
+        hess = design.T @ (design * (p * (1 - p))[:, None]) + 0.1 * np.eye(len(c))
+        c += np.linalg.solve(hess, design.T @ (toxic - p) - 0.1 * c)
+    model.curve = tuple(c.tolist())
 
 
 def score(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
