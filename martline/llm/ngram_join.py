@@ -2,32 +2,36 @@
 
 A text's tokens are its distinct shingles of four words, as 64-bit hashes. All
 tokens have one order: rare ones first, then by how many sets hold them, then
-by hash. Of a set of n tokens, take the first n - ceil(t n) + 1 (its prefix at
-the threshold t): two sets that link share a token there; with the prefix one
-longer they share two. So
+by hash. Two sets of sizes n <= m link at the threshold t when they share at
+least t / (1 + t) (n + m) tokens, which is at least 2 t / (1 + t) n and t m. So
+they share one token of the first n - ceil(2 t / (1 + t) n) + 1 of the smaller
+(its short prefix) and the first m - ceil(t m) + 1 of the larger (its long
+prefix), and two tokens when both prefixes are one longer. So
 
-* rare tokens of the longer prefix are indexed singly,
+* rare tokens of the longer prefixes are indexed singly,
 * tokens of a frequent class are indexed as pairs of tokens of one set: a link
   whose shared prefix tokens are all frequent shares two of them,
 * a set with more than ``MANY`` frequent tokens in its prefix would have too
   many pairs: it indexes them singly in an index of its own, which the other
   sets look up with theirs.
 
-Every link therefore shares an index key, whatever the classes, which come
-from counts of all texts but only steer the amount of work. Sets that share a
-key are verified on their whole sets.
+An entry knows its ``room``: how many tokens its set can share with another if
+the key's tokens are the first that both share. Two sets meet at a key only if
+both rooms hold the overlap that their sizes ask for, so a link is met at its
+first shared tokens, and others at few keys. Every link shares an index key,
+whatever the classes, which come from counts of all texts but only steer the
+amount of work. Sets that meet are verified whole.
 
 Work is saved where groups are large. Equal sets are one class, found by a
 128-bit hash. Verification runs in rounds: first every set of a key meets only
-the key's leader, and what links falls into one component; later rounds take
-other leaders; at last each two sets of a key that are still in different
-components meet, unless the distances to a common leader rule a link out (the
-Jaccard distance obeys the triangle inequality). Components are those of all
-links, as pairs inside a component change nothing.
+the key's leader, and what links falls into one component; a second round
+takes another leader; at last each two sets of a key that are still in
+different components meet. Components are those of all links, as pairs inside
+a component change nothing.
 
-Data that grows moves through Spark's shuffles only. Two tables stay bounded:
-the dictionary of frequent tokens (``DICTIONARY`` entries; beyond, the class
-bound rises) and nothing else is broadcast.
+Data that grows moves through Spark's shuffles only. What is broadcast is the
+dictionary of frequent tokens, of ``DICTIONARY`` entries at most: beyond, only
+tokens of more sets are in it, and the others count as rare.
 
 Edges: null, empty and wordless texts have the empty set and link with
 nothing; texts of one to three words are one shingle; equal texts link; very
@@ -264,95 +268,97 @@ def _dictionary(frequent: DataFrame, bits: int) -> Dictionary:
                       np.concatenate([np.empty(0, np.uint8), *levels]))
 
 
-def prefix_keys(s: np.ndarray, level: np.ndarray, percent: int = PERCENT
-                ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(rare tokens, keys of the frequent ones, look-up keys) of a set."""
-    none = np.empty(0, np.uint64)
+def prefix_keys(s: np.ndarray, level: np.ndarray, percent: int = PERCENT):
+    """Index entries of a set: ((rare tokens, room), (keys of the frequent
+    ones, room, role)); role 1: an entry that others find, 0: a look-up of
+    entries only."""
     n = len(s)
-    need = -(-percent * n // 100)
+    none = (np.empty(0, np.uint64), np.empty(0, np.int64))
     if n == 0 or 100 * n < percent * (n + 1):
-        return none, none, none  # nothing but an equal set can link
-    order = np.lexsort((s, level))
-    ext, level = s[order[:n - need + 2]], level[order[:n - need + 2]]
-    rare = ext[level <= FREQUENT]
-    heavy = ext[level > FREQUENT]
-    inside = heavy[:max(0, n - need + 1 - len(rare))]  # those in the shorter prefix
-    if not len(inside):
+        return none, (*none, np.empty(0, np.int64))  # only an equal set can link
+    long = n + 1 + (-percent * n) // 100
+    order = np.lexsort((s, level))[:long + 1]  # the long prefix and one more
+    ext, frequent, place = s[order], level[order] > FREQUENT, np.arange(len(order))
+    first = ~frequent & (place < long)
+    rare = (ext[first], n - place[first])
+    heavy, at = ext[frequent], place[frequent]
+    inside = at < long
+    if not inside.any():
         # No link can have a frequent token as its first shared one.
-        return rare, none, none
+        return rare, (*none, np.empty(0, np.int64))
+    single, room = _mix(heavy[inside] ^ _A[4]), n - at[inside]
     if len(heavy) > MANY:
-        return rare, _mix(inside ^ _A[4]), none
+        return rare, (single, room, np.ones(len(single), np.int64))
     i, j = np.triu_indices(len(heavy), 1)
     low, high = np.minimum(heavy[i], heavy[j]), np.maximum(heavy[i], heavy[j])
-    return rare, _mix(low * _A[0] + high * _A[1]), _mix(inside ^ _A[4])
+    return rare, (np.concatenate([_mix(low * _A[0] + high * _A[1]), single]),
+                  np.concatenate([n + 1 - at[j], room]), np.repeat([1, 0], [len(i), len(single)]))
 
 
-def _index(docs: DataFrame, words: Dictionary) -> DataFrame:
+def _index(docs: DataFrame, words: Dictionary, percent: int) -> DataFrame:
     """A second pass. Rows of kind 0: an index key of a frequent class (role 1)
     or a look-up (role 0); of kind 1: a bucket's rare tokens and their ids."""
     shared = docs.sparkSession.sparkContext.broadcast((words.bits, words.keys, words.levels))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         d = Dictionary(*shared.value)
-        keys, owners, size, seen = [], [], 0, set()
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        size = 0
 
         def flush():
-            k, o = np.concatenate(keys), np.concatenate(owners)
+            k, o, f = (np.concatenate(x) for x in zip(*held, strict=True))
             order = np.argsort(k, kind="stable")
-            k, o = k[order], o[order]
-            return pd.DataFrame([(1, bucket, _short(k[a:b], d.bits).tobytes(), o[a:b].astype("<i8").tobytes())
-                                 for bucket, a, b in _cut(k, d.bits)],
-                                columns=["kind", "bucket", "tokens", "ids"])
+            k, o, f = k[order], o[order], f[order]
+            return pd.DataFrame([(1, bucket, _short(k[a:b], d.bits).tobytes(), o[a:b].astype("<i8").tobytes(),
+                                  f[a:b].astype("<u4").tobytes()) for bucket, a, b in _cut(k, d.bits)],
+                                columns=["kind", "bucket", "tokens", "ids", "rooms"])
 
         for ids, sets in _pieces(batches):
             flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
-            levels, at = d.level(flat), 0
-            more = []
+            levels, at, more = d.level(flat), 0, []
             for i, s in zip(ids, sets, strict=True):
-                c = _digest(s)
-                if c not in seen:
-                    if len(seen) < 1_000_000:
-                        seen.add(c)
-                    rare, frequent, look = prefix_keys(s, levels[at:at + len(s)])
-                    if len(rare):
-                        keys.append(rare)
-                        owners.append(np.full(len(rare), i, np.int64))
-                        size += len(rare)
-                    if len(frequent) or len(look):
-                        more.append(pd.DataFrame({
-                            "kind": 0, "key": np.concatenate([frequent, look]).view(np.int64),
-                            "doc_id": i, "role": [1] * len(frequent) + [0] * len(look)}))
+                (rare, space), (keys, room, role) = prefix_keys(s, levels[at:at + len(s)], percent)
                 at += len(s)
+                if len(rare):
+                    held.append((rare, np.full(len(rare), i, np.int64), space))
+                    size += len(rare)
+                if len(keys):
+                    more.append(pd.DataFrame({"kind": 0, "key": keys.view(np.int64), "doc_id": i,
+                                              "room": room, "role": role}))
             if more:
                 yield pd.concat(more)
             if size >= FLUSH:
                 yield flush()
-                keys, owners, size = [], [], 0
-        if keys:
+                held, size = [], 0
+        if held:
             yield flush()
 
     def filled(batches):
         for frame in run(batches):
-            yield frame.reindex(columns=["kind", "key", "doc_id", "role", "bucket", "tokens", "ids"])
+            yield frame.reindex(columns=["kind", "key", "doc_id", "room", "role", "bucket", "tokens",
+                                         "ids", "rooms"])
 
     return docs.mapInPandas(
-        filled, "kind int, key long, doc_id long, role int, bucket long, tokens binary, ids binary")
+        filled, "kind int, key long, doc_id long, room long, role int, bucket long, "
+                "tokens binary, ids binary, rooms binary")
 
 
 def _shared_tokens(index: DataFrame) -> DataFrame:
-    """(key, doc_id, role) of the rare tokens that two documents have."""
+    """(key, doc_id, room, role) of the rare tokens that two documents have."""
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         t = np.concatenate([np.frombuffer(b, "<u4") for b in frame["tokens"]])
         i = np.concatenate([np.frombuffer(b, "<i8") for b in frame["ids"]])
+        r = np.concatenate([np.frombuffer(b, "<u4") for b in frame["rooms"]])
         order = np.argsort(t, kind="stable")
-        t, i = t[order], i[order]
+        t, i, r = t[order], i[order], r[order].astype(np.int64)
         same = t[1:] == t[:-1]
         keep = np.concatenate((same, [False])) | np.concatenate(([False], same))
-        key = (t[keep].astype(np.uint64) + (np.uint64(frame["bucket"].iloc[0]) << np.uint64(32)))
-        return pd.DataFrame({"key": _mix(key + _A[5]).view(np.int64), "doc_id": i[keep], "role": 1})
+        key = t[keep].astype(np.uint64) + (np.uint64(frame["bucket"].iloc[0]) << np.uint64(32))
+        return pd.DataFrame({"key": _mix(key + _A[5]).view(np.int64), "doc_id": i[keep],
+                             "room": r[keep], "role": 1})
 
-    return index.where("kind = 1").select("bucket", "tokens", "ids").groupBy("bucket").applyInPandas(
-        run, "key long, doc_id long, role int")
+    return index.where("kind = 1").select("bucket", "tokens", "ids", "rooms").groupBy("bucket").applyInPandas(
+        run, "key long, doc_id long, room long, role int")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -411,50 +417,58 @@ def links(docs: DataFrame, members: DataFrame, survey: DataFrame, bits: int,
     """(links found, component labels) between class representatives. Links
     inside a component beyond those that join it are not all listed."""
     words = _dictionary(materialise(_frequent(survey), "ngram-frequent"), bits)
-    index = materialise(_index(docs, words), "ngram-index")
-    reps = members.where("doc_id = rep").select("doc_id", "n")
-    entries = (index.where("kind = 0").select("key", "doc_id", "role")
-               .unionByName(_shared_tokens(index)).join(reps, "doc_id"))
-    shared = entries.groupBy("key").agg(F.count("*").alias("c"), F.max("role").alias("r")).where(
-        "c > 1 AND r = 1").select("key")
-    entries = materialise(entries.join(shared, "key").select("key", "doc_id", "role", "n"), "ngram-entries")
+    index = materialise(_index(docs, words, percent), "ngram-index")
+    # Copies give the entries of their representative.
+    entries = (index.where("kind = 0").select("key", "doc_id", "room", "role")
+               .unionByName(_shared_tokens(index)).join(members, "doc_id")
+               .groupBy("key", F.col("rep").alias("doc_id"), "n")
+               .agg(F.max("room").alias("room"), F.max("role").alias("role"))
+               .withColumn("short", F.expr(f"room * (100 + {percent}) >= {2 * percent} * n")))
+    entries = materialise(entries, "ngram-entries")
+    shared = entries.groupBy("key").agg(
+        F.count("*").alias("c"), F.max("role").alias("r"), F.max("short").alias("s")).where(
+        "c > 1 AND r = 1 AND s").select("key")
+    entries = materialise(entries.join(shared, "key"), "ngram-shared")
     wanted = entries.select("doc_id").distinct()
     sets = materialise(_sets(docs.join(wanted, "doc_id", "left_semi")), "ngram-sets")
     spark = docs.sparkSession
-    close = F.expr(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    close = F.expr(f"""role_a + role_b > 0 AND 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)
+        AND least(room_a, room_b) * (100 + {percent}) >= {percent} * (n_a + n_b)""")
     found = spark.createDataFrame([], "a long, b long, common long, total long")
     labels, seen = None, None
     for rnd in range(ROUNDS + 1):
         e = entries.withColumn("label", F.col("doc_id")) if labels is None else (
             entries.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
             .withColumn("label", F.coalesce("label", "doc_id")))
+        # The leader: of the entries with an index role and a short prefix the
+        # one with the most room, then, in the second round, one by hash. A key
+        # within one component has nothing left to join.
+        size = F.expr("n - room") if rnd == 0 else F.xxhash64(F.lit(rnd), "label")
         mixed = e.groupBy("key").agg(
             F.min("label").alias("l0"), F.max("label").alias("l1"),
-            F.min(F.when(F.col("role") == 1, F.struct(
-                F.xxhash64(F.lit(rnd), "label", "doc_id").alias("h"), F.col("doc_id").alias("lead"),
-                F.col("n").alias("lead_n"), F.col("label").alias("lead_label")))).alias("x")
-        ).where("l0 < l1").select("key", "x.lead", "x.lead_n", "x.lead_label")
-        if rnd < ROUNDS:
-            both = (e.join(mixed, "key").where("label <> lead_label")
-                    .withColumnsRenamed({"n": "n_a", "lead_n": "n_b"}).where(close))
-            pairs = both.select(F.least("doc_id", "lead").alias("a"), F.greatest("doc_id", "lead").alias("b"))
-        else:
-            e = materialise(e.join(mixed.select("key"), "key"), "ngram-open")
-            side = lambda x: e.select("key", *[F.col(c).alias(f"{c}_{x}") for c in ("doc_id", "role", "n", "label")])
-            both = side("a").join(side("b"), "key").where(
-                (F.col("doc_id_a") < F.col("doc_id_b")) & (F.col("label_a") != F.col("label_b"))
-                & (F.col("role_a") + F.col("role_b") > 0)).where(close)
-            pairs = both.select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b"))
-        pairs = pairs.distinct()
+            F.min(F.when((F.col("role") == 1) & F.col("short"), F.struct(
+                size.alias("size"), F.xxhash64("doc_id").alias("h"), F.col("doc_id").alias("b"),
+                F.col("n").alias("n_b"), F.col("room").alias("room_b"), F.col("role").alias("role_b"),
+                F.col("label").alias("label_b")))).alias("x")
+        ).where("l0 < l1").select("key", "x.*").drop("size", "h")
+        side = e.select("key", *[F.col(c).alias(f"{c}_a") for c in ("n", "room", "role", "label")],
+                        F.col("doc_id").alias("a"))
+        if rnd == ROUNDS:
+            open_ = materialise(side.join(mixed.select("key"), "key"), "ngram-open")
+            side = open_
+            mixed = open_.withColumnsRenamed({c: c[:-1] + "b" for c in open_.columns if c != "key"})
+        both = side.join(mixed, "key").where((F.col("label_a") != F.col("label_b")) & close)
+        if rnd == ROUNDS:
+            both = both.where("a < b")
+        pairs = both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if seen is not None:
             pairs = pairs.join(seen.select("a", "b"), ["a", "b"], "left_anti")
         checked = materialise(_verify(pairs, sets), f"ngram-checked-{rnd}")
         seen = checked if seen is None else seen.unionByName(checked)
         new = checked.where(f"100 * common >= {percent} * total")
         found = found.unionByName(new)
-        if new.isEmpty() and labels is not None:
-            continue
-        labels = connected(found.select("a", "b"))
+        if labels is None or not new.isEmpty():
+            labels = connected(found.select("a", "b"))
     return found, labels
 
 
