@@ -129,7 +129,7 @@ class _Words:
     the others go to the library some hundreds at a time, and each id belongs
     to the word that its offset lies in."""
 
-    LIMIT = 800_000
+    LIMIT = 1_500_000
     CACHED_CHARS = 64
     AT_ONCE = 500
 
@@ -156,15 +156,14 @@ class _Words:
         split = [_CONTROL.split(t) if _SEPARATOR.search(t) else t.split() for t in texts]
         if len(self.known) >= self.LIMIT:
             self.known.clear()
-        known = self.known
-        new = dict(self._fresh(list({w for ws in split for w in ws if w not in known})))
-        self.known.update(new)
-        look = self.known.__getitem__
-        out = [np.frombuffer(b"".join(map(look, ws)), "<u4") for ws in split]
-        for w in new:
-            if len(w) > self.CACHED_CHARS:
-                del self.known[w]
-        return out
+        found = [list(map(self.known.get, ws)) for ws in split]
+        new = dict(self._fresh(sorted({  # neighbours share merges
+            w for ws, ids in zip(split, found, strict=True) if None in ids
+            for w, x in zip(ws, ids, strict=True) if x is None})))
+        self.known.update((w, b) for w, b in new.items() if len(w) <= self.CACHED_CHARS)
+        return [np.frombuffer(b"".join(
+            [new[w] if x is None else x for w, x in zip(ws, ids, strict=True)] if None in ids else ids), "<u4")
+            for ws, ids in zip(split, found, strict=True)]
 
 
 # str.split() parts words at these too, which are no white space elsewhere.
