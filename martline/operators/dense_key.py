@@ -2,22 +2,26 @@
 window over one partition.
 
 1. Count the rows (or take a given upper bound) and pick a bucket count B:
-   at most ``rows_per_bucket`` rows each, and at least one bucket per core
-   while buckets keep ``min_rows_per_bucket`` rows; never more than
-   ``max_buckets``.
-2. Sample the full order key (a bounded sample: ~``samples_per_bucket`` x B
-   keys) and take B-1 range boundaries from it. The sample may come from a
+   at most ``rows_per_bucket`` rows each, at any size, and at least one bucket
+   per core while buckets keep ``min_rows_per_bucket`` rows.
+2. Sample the full order key (~``samples_per_bucket`` x B keys, a few per
+   million rows) and take B-1 range boundaries from it. The sample may come from a
    cheaper superset of the rows (e.g. the raw input): boundaries only decide
    the balance, while the per-bucket counts below are exact. Boundaries come from the
    whole key, not the leading column, so a leading value that holds a third
    of all rows still spreads over many buckets.
 3. ``bucket`` = number of boundaries <= key: a binary-search CASE tree over
    literal boundaries for up to 64 buckets, else a small coarse CASE tree
-   plus a broadcast range lookup (<= max_buckets rows). A pure function of
+   plus a broadcast range lookup (B rows). A pure function of
    the row, so a recomputed task gets the same bucket.
 4. Per-bucket counts (<= B rows) -> exclusive running sum -> broadcast join
    (the broadcast side is bounded by B).
-5. ``row_number() over (partition by bucket order by key) + offset``.
+5. ``row_number() over (partition by bucket order by key) + offset``, a
+   BIGINT. A row whose bucket was not counted (``keys_src`` lacks its key)
+   fails the job instead of vanishing.
+
+Order expressions are named first, so a key may be an expression, and the
+rows, the key-only source and the sample all use the same columns.
 
 Contract: equal to ``row_number()`` when the order key is unique. NULLs sort
 last, as in the warehouse's ``ORDER BY``.
@@ -34,8 +38,6 @@ from pyspark.sql.types import IntegerType, StructField, StructType, TimestampNTZ
 
 from martline.session import default_parallelism
 
-INT_MAX = 2**31 - 1
-
 
 def _cols(order: list[str | Column]) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
@@ -83,11 +85,15 @@ def _sort_key(row):
     return tuple(one(x) for x in row)
 
 
-def bucket_count(n: int, parallelism: int, rows_per_bucket: int, min_rows_per_bucket: int,
-                 max_buckets: int) -> int:
+def _named(df: DataFrame, order: list[str | Column]) -> DataFrame:
+    """``df`` with the order expressions as columns ``_k0``, ``_k1``, …"""
+    return df.withColumns({f"_k{i}": c for i, c in enumerate(_cols(order))})
+
+
+def bucket_count(n: int, parallelism: int, rows_per_bucket: int, min_rows_per_bucket: int) -> int:
     by_size = math.ceil(n / max(1, rows_per_bucket))
     by_cores = min(parallelism, n // max(1, min_rows_per_bucket))
-    return max(1, min(max_buckets, max(by_size, by_cores)))
+    return max(1, by_size, by_cores)
 
 
 # Up to this many buckets the lookup is one binary-search CASE tree; beyond
@@ -101,8 +107,8 @@ def _assigner(key: Column, bounds: list[tuple], key_type, spark):
 
     Small B: a binary-search CASE tree. Large B: a CASE tree over every
     ~sqrt(B)-th boundary gives a coarse id, then a broadcast hash join on the
-    coarse id with the table of fine ranges ``[lo, hi)`` (at most B rows:
-    bounded by ``max_buckets``) picks the one fine bucket; each row probes
+    coarse id with the table of fine ranges ``[lo, hi)`` (B rows: one per
+    ``rows_per_bucket`` rows of the table) picks the one fine bucket; each row probes
     about sqrt(B) candidate ranges, all in generated code."""
     types = [f.dataType for f in key_type.fields][1::2]
     nb = len(bounds) + 1
@@ -131,7 +137,7 @@ def _assigner(key: Column, bounds: list[tuple], key_type, spark):
 
 def range_buckets(keys_src: DataFrame, order: list[str | Column], *,
                   rows_per_bucket: int = 1_000_000, min_rows_per_bucket: int = 10_000,
-                  max_buckets: int = 4096, samples_per_bucket: int = 32, seed: int = 7,
+                  samples_per_bucket: int = 32, seed: int = 7,
                   size_hint: int | None = None, sample_src: DataFrame | None = None):
     """Plan the bucketing for ``order`` from a key-only DataFrame. Returns
     ``(assign, bucket_count)`` where ``assign(df)`` adds ``_bucket``. Runs a
@@ -139,13 +145,8 @@ def range_buckets(keys_src: DataFrame, order: list[str | Column], *,
     input table's count) is given, and one bounded sampling job when more
     than one bucket is needed."""
     n = size_hint if size_hint is not None else keys_src.count()
-    if size_hint is None and n > INT_MAX:
-        raise ValueError(f"{n} rows do not fit an INT surrogate key")
-    # With only a bound, the ANSI cast of the final key to INT still fails
-    # loudly on overflow.
     spark = keys_src.sparkSession
-    b = bucket_count(n, default_parallelism(spark), rows_per_bucket,
-                     min_rows_per_bucket, max_buckets)
+    b = bucket_count(n, default_parallelism(spark), rows_per_bucket, min_rows_per_bucket)
     if b == 1:
         return (lambda df: df.withColumn("_bucket", F.lit(0))), 1
     key = _key_struct(order)
@@ -165,31 +166,32 @@ def range_buckets(keys_src: DataFrame, order: list[str | Column], *,
 def dense_key(df: DataFrame, order: list[str | Column], name: str, *,
               keys_src: DataFrame | None = None, sample_src: DataFrame | None = None,
               rows_per_bucket: int = 1_000_000, min_rows_per_bucket: int = 10_000,
-              max_buckets: int = 4096, samples_per_bucket: int = 32,
+              samples_per_bucket: int = 32,
               size_hint: int | None = None) -> DataFrame:
-    """Add ``name`` = dense 1-based INT rank of each row by ``order``.
+    """Add ``name`` = dense 1-based BIGINT rank of each row by ``order``.
 
     ``keys_src`` may give a cheaper DataFrame with the same rows' order
     columns (e.g. the join keys only); by default the order columns of
     ``df`` are used, which Catalyst prunes to a key-only scan.
     ``size_hint``: an upper bound of the row count that saves the count job.
     ``sample_src``: a cheaper superset of the rows to sample boundaries from."""
-    src = keys_src if keys_src is not None else df.select(*_cols(order))
-    assign, nb = range_buckets(src, order, rows_per_bucket=rows_per_bucket,
-                               min_rows_per_bucket=min_rows_per_bucket, max_buckets=max_buckets,
-                               samples_per_bucket=samples_per_bucket, size_hint=size_hint,
-                               sample_src=sample_src)
-    w = Window.partitionBy("_bucket").orderBy(*[c.asc_nulls_last() for c in _cols(order)])
+    keys = [f"_k{i}" for i in range(len(order))]
+    src = _named(keys_src if keys_src is not None else df, order).select(*keys)
+    assign, nb = range_buckets(
+        src, keys, rows_per_bucket=rows_per_bucket, min_rows_per_bucket=min_rows_per_bucket,
+        samples_per_bucket=samples_per_bucket, size_hint=size_hint,
+        sample_src=None if sample_src is None else _named(sample_src, order).select(*keys))
+    rows = assign(_named(df, order))
+    w = Window.partitionBy("_bucket").orderBy(*[F.col(k).asc_nulls_last() for k in keys])
+    rank = F.row_number().over(w).cast("long")
     if nb == 1:
         # At most ``rows_per_bucket`` rows: one bucket, offset 0.
-        return (assign(df).withColumn(name, F.row_number().over(w).cast("int"))
-                .drop("_bucket"))
+        return rows.withColumn(name, rank).drop("_bucket", *keys)
     counts = assign(src).groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
-    # Window over the per-bucket counts only (<= max_buckets rows).
+    # Window over the per-bucket counts only (B rows).
     offsets = counts.select(
         "_bucket",
         (F.sum("_cnt").over(Window.orderBy("_bucket")) - F.col("_cnt")).alias("_off"))
-    return (assign(df)
-            .join(F.broadcast(offsets), "_bucket")
-            .withColumn(name, (F.row_number().over(w) + F.col("_off")).cast("int"))
-            .drop("_bucket", "_off"))
+    known = F.coalesce("_off", F.raise_error(F.lit("a key is missing from keys_src")).cast("long"))
+    return (rows.join(F.broadcast(offsets), "_bucket", "left")
+            .withColumn(name, rank + known).drop("_bucket", "_off", *keys))

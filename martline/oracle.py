@@ -73,7 +73,7 @@ SELECT order_id, sum(payment_value) AS total_payment_value, count(*) AS payment_
 FROM staged_payments GROUP BY order_id""")
 
 _def("dim_customer", ["raw_customers"], f"""
-SELECT CAST(row_number() OVER (ORDER BY customer_id) AS INT) AS customer_key, customer_id,
+SELECT CAST(row_number() OVER (ORDER BY customer_id) AS BIGINT) AS customer_key, customer_id,
        customer_unique_id, customer_zip_code_prefix, customer_city, customer_state FROM (
   SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY customer_unique_id NULLS LAST,
            customer_zip_code_prefix NULLS LAST, customer_city NULLS LAST, customer_state NULLS LAST) AS rn
@@ -94,7 +94,7 @@ SELECT pt, en FROM (
 WHERE rn = 1""")
 
 _def("dim_product", ["raw_products", "translation"], """
-SELECT CAST(row_number() OVER (ORDER BY product_id) AS INT) AS product_key, product_id,
+SELECT CAST(row_number() OVER (ORDER BY product_id) AS BIGINT) AS product_key, product_id,
        product_category_name_pt, product_category_name, product_name_length,
        product_description_length, product_photos_qty, product_weight_g, product_length_cm,
        product_height_cm, product_width_cm FROM (
@@ -119,7 +119,7 @@ SELECT CAST(row_number() OVER (ORDER BY product_id) AS INT) AS product_key, prod
 WHERE rn = 1""")
 
 _def("dim_seller", ["raw_sellers"], f"""
-SELECT CAST(row_number() OVER (ORDER BY seller_id) AS INT) AS seller_key, seller_id,
+SELECT CAST(row_number() OVER (ORDER BY seller_id) AS BIGINT) AS seller_key, seller_id,
        seller_zip_code_prefix, seller_city, seller_state FROM (
   SELECT *, row_number() OVER (PARTITION BY seller_id ORDER BY seller_zip_code_prefix NULLS LAST,
            seller_city NULLS LAST, seller_state NULLS LAST) AS rn
@@ -138,7 +138,7 @@ FACT_COLS = (f"fact_sales_key, order_id, order_item_id, customer_key, product_ke
 
 _def("fact_sales", ["staged_orders", "staged_items", "dim_customer", "dim_product", "dim_seller"], f"""
 SELECT {FACT_COLS} FROM (
-  SELECT CAST(row_number() OVER (ORDER BY i.order_id, i.order_item_id) AS INT) AS fact_sales_key,
+  SELECT CAST(row_number() OVER (ORDER BY i.order_id, i.order_item_id) AS BIGINT) AS fact_sales_key,
          i.order_id, i.order_item_id, dc.customer_key, dp.product_key, ds.seller_key,
          o.customer_id, i.product_id, i.seller_id, o.order_status,
          o.order_purchase_timestamp, o.order_approved_at, o.order_delivered_carrier_date,

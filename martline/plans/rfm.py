@@ -1,7 +1,7 @@
 """Customer recency / frequency / monetary segments.
 
 Per customer: ``recency_days`` = days from the last purchase to the latest
-purchase in the data, ``frequency`` = distinct orders, ``monetary`` = sum of
+purchase in the data, ``frequency`` = orders (staged orders are unique), ``monetary`` = sum of
 the customer's payments (from the payments table, not from the item-level
 fact, where order totals repeat per item). Each measure gets a quintile
 score 1..5 (5 = best: most recent, most frequent, highest spend), equal to
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from martline.functions.time import calendar_days
 from martline.operators.dense_key import dense_key
 from martline.plans.facts import payments_per_order
+from martline.session import written
 
 QUINTILES = 5
 
@@ -53,19 +54,22 @@ def measures(orders: DataFrame, payments: DataFrame) -> DataFrame:
         payments_per_order(payments).select("order_id", "total_payment_value"), "order_id", "left")
     return per_order.groupBy("customer_id").agg(
         calendar_days(_ts_literal(latest), F.max("order_purchase_timestamp")).alias("recency_days"),
-        F.count_distinct("order_id").alias("frequency"),
+        F.count("order_id").alias("frequency"),
         F.round(F.coalesce(F.sum("total_payment_value"), F.lit(0.0)), 2).alias("monetary"),
     )
 
 
 def segments(orders: DataFrame, payments: DataFrame, **key_opts) -> DataFrame:
-    m = measures(orders, payments)
-    n = m.count()
+    m = table = written(measures(orders, payments), "rfm-measures")
+    n = table.count()
     # Ascending rank r means a better score for frequency and monetary; for
     # recency fewer days is better, so rank by descending days.
-    m = dense_key(m, [-F.col("recency_days"), F.col("customer_id")], "_rr", size_hint=n, **key_opts)
-    m = dense_key(m, ["frequency", "customer_id"], "_fr", size_hint=n, **key_opts)
-    m = dense_key(m, ["monetary", "customer_id"], "_mr", size_hint=n, **key_opts)
+    # Three narrow rank tables over the written measures, joined by customer.
+    for rank, order in (("_rr", -F.col("recency_days")), ("_fr", F.col("frequency")),
+                        ("_mr", F.col("monetary"))):
+        narrow = table.select("customer_id", order.alias("_measure"))
+        m = m.join(dense_key(narrow, ["_measure", "customer_id"], rank, size_hint=n, **key_opts)
+                   .drop("_measure"), "customer_id")
     scored = m.select(
         "customer_id", "recency_days", "frequency", "monetary",
         ntile_from_rank(F.col("_rr"), n).alias("r_score"),

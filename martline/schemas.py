@@ -51,17 +51,17 @@ ITEMS_MSG = _struct(("order_id", S), ("order_item_id", I), ("product_id", S), ("
 PAYMENTS_MSG = PAYMENTS
 
 # Warehouse tables.
-DIM_CUSTOMER = _struct(("customer_key", I), ("customer_id", S), ("customer_unique_id", S),
+DIM_CUSTOMER = _struct(("customer_key", L), ("customer_id", S), ("customer_unique_id", S),
                        ("customer_zip_code_prefix", I), ("customer_city", S), ("customer_state", S))
-DIM_PRODUCT = _struct(("product_key", I), ("product_id", S), ("product_category_name_pt", S),
+DIM_PRODUCT = _struct(("product_key", L), ("product_id", S), ("product_category_name_pt", S),
                       ("product_category_name", S), ("product_name_length", I),
                       ("product_description_length", I), ("product_photos_qty", I),
                       ("product_weight_g", I), ("product_length_cm", I),
                       ("product_height_cm", I), ("product_width_cm", I))
-DIM_SELLER = _struct(("seller_key", I), ("seller_id", S), ("seller_zip_code_prefix", I),
+DIM_SELLER = _struct(("seller_key", L), ("seller_id", S), ("seller_zip_code_prefix", I),
                      ("seller_city", S), ("seller_state", S))
-FACT_SALES = _struct(("fact_sales_key", I), ("order_id", S), ("order_item_id", I),
-                     ("customer_key", I), ("product_key", I), ("seller_key", I),
+FACT_SALES = _struct(("fact_sales_key", L), ("order_id", S), ("order_item_id", I),
+                     ("customer_key", L), ("product_key", L), ("seller_key", L),
                      ("customer_id", S), ("product_id", S), ("seller_id", S), ("order_status", S),
                      *[(c, T) for c in ORDER_TS_COLS], ("shipping_limit_date", T),
                      ("price", D), ("freight_value", D), ("gross_sales_value", D),

@@ -8,7 +8,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every martline job expects. On a cluster these come from the
 # submit config; here they are the defaults for a fresh session.
@@ -110,6 +110,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/martline/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to a fresh folder under the shared checkpoint folder
+    and read back: later plans start from the table, whatever executors are
+    lost."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Make this package importable in the Python workers, wherever the driver
     was started: a zip of its sources goes to each executor, once a context."""

@@ -16,20 +16,9 @@ from martline import schemas
 from martline.session import table_path
 
 
-_SCHEMAS: dict[str, object] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table. Its schema is inferred once per path and declared on
-    later reads: each inference is a Spark job of its own (footer reads),
-    and a query touches the same tables many times."""
-    path = table_path(sf_dir, name)
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-        return df
-    return spark.read.schema(schema).parquet(path)
+    """A driver table, with the schema that its files have now."""
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 _read = read_table
@@ -78,8 +67,9 @@ def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _read(spark, sf_dir, "lineitem")
     rf = F.col("l_returnflag")
-    return li.filter(F.col("l_orderkey") % 10 != 0).select(
-        F.col("l_orderkey").cast("string").alias("order_id"),
+    k = F.col("l_orderkey")
+    return li.select(
+        F.when(k % 10 != 0, k.cast("string")).alias("order_id"),  # lost references: unpaid orders
         F.col("l_linenumber").alias("payment_sequential"),
         F.when(rf == "A", "credit_card").when(rf == "N", "boleto")
          .otherwise("voucher").alias("payment_type"),
@@ -189,13 +179,12 @@ SELECT CAST(l_orderkey AS VARCHAR) AS order_id,
        CASE WHEN l_partkey % 89 = 0 THEN NULL ELSE l_quantity END AS freight_value
 FROM lineitem""",
     "payments": """
-SELECT CAST(l_orderkey AS VARCHAR) AS order_id,
+SELECT CASE WHEN l_orderkey % 10 = 0 THEN NULL ELSE CAST(l_orderkey AS VARCHAR) END AS order_id,
        l_linenumber AS payment_sequential,
        CASE l_returnflag WHEN 'A' THEN 'credit_card' WHEN 'N' THEN 'boleto' ELSE 'voucher' END AS payment_type,
        CAST(l_partkey % 12 AS INT) AS payment_installments,
        CASE WHEN l_suppkey % 53 = 0 THEN -l_extendedprice ELSE l_extendedprice END AS payment_value
-FROM lineitem
-WHERE l_orderkey % 10 <> 0""",
+FROM lineitem""",
     "customers": """
 SELECT '  ' || CAST(c_custkey AS VARCHAR) || ' ' AS customer_id,
        CAST(c_custkey % 1200 AS VARCHAR) AS customer_unique_id,
@@ -231,12 +220,3 @@ SELECT CAST(user_id AS VARCHAR) AS run_id,
        CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS state
 FROM events""",
 }
-
-
-def with_raw(body: str, *names: str) -> str:
-    """Prefix an oracle query with ``raw_<name>`` CTEs for the named inputs."""
-    ctes = ",\n".join(f"raw_{n} AS ({SQL[n]}\n)" for n in names)
-    body = body.strip()
-    if body.upper().startswith("WITH "):
-        return f"WITH {ctes},\n{body[5:]}"
-    return f"WITH {ctes}\n{body}"

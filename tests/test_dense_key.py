@@ -4,6 +4,7 @@ import datetime as dt
 import random
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
@@ -60,9 +61,25 @@ def test_property_equals_row_number(spark, rows, per_bucket):
 
 
 def test_bucket_count_rules():
-    assert bucket_count(10, 8, 1_000_000, 10_000, 4096) == 1
-    assert bucket_count(80_000, 8, 1_000_000, 10_000, 4096) == 8
-    assert bucket_count(10**11, 4000, 1_000_000, 10_000, 4096) == 4096
+    assert bucket_count(10, 8, 1_000_000, 10_000) == 1
+    assert bucket_count(80_000, 8, 1_000_000, 10_000) == 8
+    assert bucket_count(10**11, 4000, 1_000_000, 10_000) == 100_000  # rows per task stay bounded
+
+
+def test_expression_keys_in_many_buckets(spark):
+    df = spark.createDataFrame([(i % 50, f"c{i:04d}") for i in range(2000)], "days int, c string")
+    got = dense_key(df, [-F.col("days"), F.col("c")], "k", rows_per_bucket=100)
+    w = Window.orderBy(F.col("days").desc(), "c")
+    assert got.withColumn("want", F.row_number().over(w)).filter("k <> want").count() == 0
+    assert dict(got.dtypes)["k"] == "bigint" and got.columns == ["days", "c", "k"]
+
+
+def test_uncounted_key_fails(spark):
+    df = spark.createDataFrame([(i,) for i in range(3000)], "a int")
+    few = df.filter("a < 100")
+    with pytest.raises(Exception, match="missing from keys_src"):
+        dense_key(df, ["a"], "k", keys_src=few, sample_src=df, size_hint=3000,
+                  rows_per_bucket=300).collect()
 
 
 def test_plan_has_no_global_window_over_rows(spark):
