@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame
 
 #: Entries of a worker's caches (strings without white space inside, matches
 #: of the pattern, token pairs); a full cache starts anew.
-CACHE_WORDS = 200_000
+CACHE_RUNS = 700_000
+CACHE_WORDS = 300_000
 CACHE_PAIRS = 300_000
 CACHED_CHARS = 64
 #: Characters of texts that are encoded together.
@@ -165,23 +166,26 @@ class Encoder:
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, as an array."""
-        runs = [_RUN.findall(t) for t in texts]
-        known = self._runs
-        if len(known) >= CACHE_WORDS:
-            known.clear()
+        if len(self._runs) >= CACHE_RUNS:
+            self._runs.clear()
         if len(self._words) >= CACHE_WORDS:
             self._words.clear()
-        fresh = {r for rs in runs for r in rs if r not in known}
-        cut = {r: self.pattern.findall(r) for r in fresh}
+        runs = [_RUN.findall(t) for t in texts]
+        found = [list(map(self._runs.get, rs)) for rs in runs]
+        cut = {r: self.pattern.findall(r) for r in {
+            r for rs, ids in zip(runs, found, strict=True) if None in ids
+            for r, x in zip(rs, ids, strict=True) if x is None}}
+        known = self._words
         words = {w for ws in cut.values() for w in ws}
-        ids = self._new_words(w for w in words if w not in self._words)
-        ids.update((w, self._words[w]) for w in words if w in self._words)
+        ids = {w: known[w] for w in words if w in known}
+        fresh = self._new_words(words.difference(ids))
+        known.update((w, b) for w, b in fresh.items() if len(w) <= CACHED_CHARS)
+        ids.update(fresh)
         new = {r: b"".join([ids[w] for w in ws]) for r, ws in cut.items()}
-        both = known | new if any(len(r) > CACHED_CHARS for r in fresh) else known
-        known.update((r, b) for r, b in new.items() if len(r) <= CACHED_CHARS)
-        self._words.update((w, b) for w, b in ids.items() if len(w) <= CACHED_CHARS)
-        look = both.__getitem__
-        return [np.frombuffer(b"".join(map(look, rs)), "<i4") for rs in runs]
+        self._runs.update((r, b) for r, b in new.items() if len(r) <= CACHED_CHARS)
+        return [np.frombuffer(b"".join(
+            [new[r] if x is None else x for r, x in zip(rs, ids_of, strict=True)] if None in ids_of else ids_of),
+            "<i4") for rs, ids_of in zip(runs, found, strict=True)]
 
     def encode(self, text: str) -> list[int]:
         return self.encode_batch([text])[0].tolist()
