@@ -239,14 +239,14 @@ class Dictionary:
         return np.where(self.keys[at] == short, self.levels[at], 0).astype(np.uint8)
 
 
-def _dictionary(frequent: DataFrame, bits: int) -> Dictionary:
-    """At most DICTIONARY tokens, the most frequent: the least level is set
+def _dictionary(frequent: DataFrame, bits: int, most: int = DICTIONARY) -> Dictionary:
+    """At most ``most`` tokens, the most frequent: the least level is set
     from the counts by level, then only the tokens from it on are fetched."""
     sizes = frequent.select(F.posexplode("sizes").alias("level", "n")).groupBy("level").agg(
         F.sum("n").alias("n")).collect()  # 64 rows
     total, least = 0, 64
     for level, n in sorted(((r["level"], r["n"]) for r in sizes), reverse=True):
-        if total + n > DICTIONARY:
+        if total + n > most:
             break
         total, least = total + n, level
 
@@ -268,7 +268,8 @@ def _dictionary(frequent: DataFrame, bits: int) -> Dictionary:
                       np.concatenate([np.empty(0, np.uint8), *levels]))
 
 
-def prefix_keys(s: np.ndarray, level: np.ndarray, percent: int = PERCENT):
+def prefix_keys(s: np.ndarray, level: np.ndarray, percent: int = PERCENT, frequent_level: int = FREQUENT,
+                many: int = MANY):
     """Index entries of a set: ((rare tokens, room), (keys of the frequent
     ones, room, role)); role 1: an entry that others find, 0: a look-up of
     entries only."""
@@ -278,7 +279,7 @@ def prefix_keys(s: np.ndarray, level: np.ndarray, percent: int = PERCENT):
         return none, (*none, np.empty(0, np.int64))  # only an equal set can link
     long = n + 1 + (-percent * n) // 100
     order = np.lexsort((s, level))[:long + 1]  # the long prefix and one more
-    ext, frequent, place = s[order], level[order] > FREQUENT, np.arange(len(order))
+    ext, frequent, place = s[order], level[order] > frequent_level, np.arange(len(order))
     first = ~frequent & (place < long)
     rare = (ext[first], n - place[first])
     heavy, at = ext[frequent], place[frequent]
@@ -287,7 +288,7 @@ def prefix_keys(s: np.ndarray, level: np.ndarray, percent: int = PERCENT):
         # No link can have a frequent token as its first shared one.
         return rare, (*none, np.empty(0, np.int64))
     single, room = _mix(heavy[inside] ^ _A[4]), n - at[inside]
-    if len(heavy) > MANY:
+    if len(heavy) > many:
         return rare, (single, room, np.ones(len(single), np.int64))
     i, j = np.triu_indices(len(heavy), 1)
     low, high = np.minimum(heavy[i], heavy[j]), np.maximum(heavy[i], heavy[j])
@@ -295,7 +296,7 @@ def prefix_keys(s: np.ndarray, level: np.ndarray, percent: int = PERCENT):
                   np.concatenate([n + 1 - at[j], room]), np.repeat([1, 0], [len(i), len(single)]))
 
 
-def _index(docs: DataFrame, words: Dictionary, percent: int) -> DataFrame:
+def _index(docs: DataFrame, words: Dictionary, *options: int) -> DataFrame:
     """A second pass. Rows of kind 0: an index key of a frequent class (role 1)
     or a look-up (role 0); of kind 1: a bucket's rare tokens and their ids."""
     shared = docs.sparkSession.sparkContext.broadcast((words.bits, words.keys, words.levels))
@@ -317,7 +318,7 @@ def _index(docs: DataFrame, words: Dictionary, percent: int) -> DataFrame:
             flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
             levels, at, more = d.level(flat), 0, []
             for i, s in zip(ids, sets, strict=True):
-                (rare, space), (keys, room, role) = prefix_keys(s, levels[at:at + len(s)], percent)
+                (rare, space), (keys, room, role) = prefix_keys(s, levels[at:at + len(s)], *options)
                 at += len(s)
                 if len(rare):
                     held.append((rare, np.full(len(rare), i, np.int64), space))
@@ -413,11 +414,12 @@ def classes(survey: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, members: DataFrame, survey: DataFrame, bits: int,
-          percent: int = PERCENT) -> tuple[DataFrame, DataFrame]:
+          percent: int = PERCENT, frequent_level: int = FREQUENT, many: int = MANY,
+          dictionary: int = DICTIONARY) -> tuple[DataFrame, DataFrame]:
     """(links found, component labels) between class representatives. Links
     inside a component beyond those that join it are not all listed."""
-    words = _dictionary(materialise(_frequent(survey), "ngram-frequent"), bits)
-    index = materialise(_index(docs, words, percent), "ngram-index")
+    words = _dictionary(materialise(_frequent(survey), "ngram-frequent"), bits, dictionary)
+    index = materialise(_index(docs, words, percent, frequent_level, many), "ngram-index")
     # Copies give the entries of their representative.
     entries = (index.where("kind = 0").select("key", "doc_id", "room", "role")
                .unionByName(_shared_tokens(index)).join(members, "doc_id")
@@ -472,12 +474,12 @@ def links(docs: DataFrame, members: DataFrame, survey: DataFrame, bits: int,
     return found, labels
 
 
-def _members(docs: DataFrame, percent: int) -> DataFrame:
+def _members(docs: DataFrame, percent: int, **classes_of_tokens: int) -> DataFrame:
     """(doc_id, n, rep, label) of documents with unique ids."""
     bits = min(24, max(6, math.ceil(math.log2(docs.count() / 2000 + 1))))
     survey = materialise(_survey(docs, bits), "ngram-survey")
     members = materialise(classes(survey), "ngram-classes")
-    _, labels = links(docs, members, survey, bits, percent)
+    _, labels = links(docs, members, survey, bits, percent, **classes_of_tokens)
     return members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
         "label", F.coalesce("label", "rep"))
 
@@ -491,18 +493,20 @@ def _numbered(df: DataFrame, doc_id: str) -> DataFrame | None:
     return materialise(df.withColumn("_row", F.monotonically_increasing_id()), "ngram-numbered")
 
 
-def join(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+def join(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT,
+         **classes_of_tokens: int) -> DataFrame:
     """(doc_id, n_shingles, class_id, component_id) of every row: equal sets
     share a class, and linked classes a component; both are named by the least
-    doc_id (null where no row has one)."""
+    doc_id (null where no row has one). ``classes_of_tokens``: frequent_level,
+    many and dictionary, which change the work and not the result."""
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = _numbered(docs, "doc_id")
     if rows is None:
-        return _members(docs, percent).select(
+        return _members(docs, percent, **classes_of_tokens).select(
             "doc_id", F.col("n").alias("n_shingles"), F.col("rep").alias("class_id"),
             F.col("label").alias("component_id"))
     found = materialise(
-        _members(rows.select(F.col("_row").alias("doc_id"), "text"), percent)
+        _members(rows.select(F.col("_row").alias("doc_id"), "text"), percent, **classes_of_tokens)
         .withColumnRenamed("doc_id", "_row").join(rows.select("_row", "doc_id"), "_row"), "ngram-rows")
     name = lambda c, out: found.groupBy(c).agg(F.min("doc_id").alias(out))
     return (found.join(name("rep", "class_id"), "rep").join(name("label", "component_id"), "label")

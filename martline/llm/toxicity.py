@@ -30,6 +30,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from operator import mul
 
 import numpy as np
 import pandas as pd
@@ -43,7 +44,7 @@ LEXICON = 200_000
 MIN_DOCS = 3
 CHUNK = 128
 PIECE_TOKENS = 400_000
-CACHE = 300_000
+CACHE = 1_000_000
 TAU = 2.3  # log odds from which a token of a toxic document is labelled toxic
 STEPS = 80
 SHRINK = 5.0  # documents of the base rate that each count is mixed with
@@ -63,21 +64,18 @@ def units(token: str) -> list[str]:
 
 class Lexicon:
     def __init__(self, odds: dict[str, float]):
-        self.odds, self._seen = odds, {}
+        self.odds = odds
 
     def features(self, token: str) -> tuple[float, ...]:
-        f = self._seen.get(token)
-        if f is None:
-            keys = units(token)
-            own = self.odds.get(keys[0])
-            prefix = max([self.odds.get(k, -1.0) for k in keys if k[0] == "<"] or [-1.0])
-            suffix = max([self.odds.get(k, -1.0) for k in keys if k[0] == ">"] or [-1.0])
-            f = (1.0, own or 0.0, prefix, suffix, float(own is not None),
-                 float((max(prefix, suffix) if own is None else own) >= TAU))
-            if len(self._seen) >= CACHE:
-                self._seen.clear()
-            self._seen[token] = f
-        return f
+        look = self.odds.get
+        own = look("=" + token)
+        prefix = suffix = -1.0
+        for n in (3, 4, 5):
+            if len(token) > n:
+                prefix = max(prefix, look("<" + token[:n], -1.0))
+                suffix = max(suffix, look(">" + token[-n:], -1.0))
+        return (1.0, own or 0.0, prefix, suffix, float(own is not None),
+                float((max(prefix, suffix) if own is None else own) >= TAU))
 
 
 def _logistic(z):
@@ -168,7 +166,7 @@ def forward_backward(emit: np.ndarray, starts: np.ndarray, ends: np.ndarray,
 class Model:
     def __init__(self, odds: dict[str, float], weights=None, pair=None, curve=(0.0,) * 4, prior=0.0):
         self.lexicon = Lexicon(odds)
-        self.weights = np.zeros(N_FEATURES) if weights is None else weights
+        self.weights = [0.0] * N_FEATURES if weights is None else [float(w) for w in weights]
         self.pair = np.zeros((2, 2)) if pair is None else pair
         self.curve, self.prior = curve, prior
         self._emit: dict[str, float] = {}
@@ -180,7 +178,7 @@ class Model:
         """Log potential of the toxic tag of a token, from a bounded cache."""
         value = self._emit.get(token)
         if value is None:
-            value = float(np.dot(self.lexicon.features(token.lower()), self.weights))
+            value = sum(map(mul, self.lexicon.features(token.lower()), self.weights))
             if len(self._emit) >= CACHE:
                 self._emit.clear()
             self._emit[token] = value
@@ -190,9 +188,11 @@ class Model:
         """(score of each text, character spans of its toxic tokens)."""
         known, emission, emit, ends = self._emit.get, self.emission, [], []
         for t in texts:
-            for w in _TOKEN.findall(t):
-                value = known(w)
-                emit.append(emission(w) if value is None else value)
+            tokens = _TOKEN.findall(t)
+            values = list(map(known, tokens))
+            if None in values:
+                values = [emission(w) if x is None else x for w, x in zip(tokens, values, strict=True)]
+            emit += values
             ends.append(len(emit))
         ends = np.array(ends, np.int64)
         starts = np.concatenate(([0], ends[:-1])).astype(np.int64)
@@ -308,7 +308,7 @@ def _fit_chain(model: Model, texts: list[str], toxic: np.ndarray) -> None:
         seen_p += gp ** 2
         w += 0.5 * gw / np.sqrt(seen_w)
         pair += 0.1 * gp / np.sqrt(seen_p)
-    model.weights, model.pair = w, pair
+    model.weights, model.pair = w.tolist(), pair
     marginal, _, _ = forward_backward(x @ w, starts, ends, pair)
     design = _aggregate(marginal, starts, ends)
     c = np.zeros(design.shape[1])
