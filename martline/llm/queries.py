@@ -124,10 +124,10 @@ def _license_sql() -> str:
     return f"""
 WITH known(s, id) AS (VALUES {known}),
 c AS (SELECT doc_id, 'l' AS cut, regexp_split_to_array(coalesce(text, ''), {q(line_end)}) AS s FROM documents
-      UNION ALL SELECT doc_id, 'w', regexp_split_to_array(regexp_replace(coalesce(text, ''), '[\r\n]+', ' ', 'g'), {q(end)}) FROM documents),
+      UNION ALL SELECT doc_id, 'w', regexp_split_to_array(regexp_replace(coalesce(text, ''), '[\\r\\n]+', ' ', 'g'), {q(end)}) FROM documents),
 u AS (SELECT doc_id, cut, unnest(s) AS s, generate_subscripts(s, 1) AS i FROM c),
 s AS (SELECT doc_id, cut, i, id FROM u JOIN known
-      ON known.s = trim(regexp_replace(lower(u.s), '[^\p{{L}}\p{{N}}]+', ' ', 'g'))),
+      ON known.s = trim(regexp_replace(lower(u.s), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))),
 n AS (SELECT doc_id, max(n) AS n FROM (SELECT doc_id, cut, count(*) AS n FROM s GROUP BY 1, 2) GROUP BY 1),
 r AS ({" UNION ".join(rules)}),
 a AS (SELECT doc_id, string_agg(license, ',' ORDER BY license) AS licenses FROM r GROUP BY 1)
