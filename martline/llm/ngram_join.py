@@ -30,8 +30,9 @@ different components meet. Components are those of all links, as pairs inside
 a component change nothing.
 
 Data that grows moves through Spark's shuffles only. What is broadcast is the
-dictionary of frequent tokens, of ``DICTIONARY`` entries at most: beyond, only
-tokens of more sets are in it, and the others count as rare.
+dictionary of frequent tokens, of ``DICTIONARY`` entries at most (beyond, only
+tokens of more sets are in it, and the others count as rare), and up to
+``BROADCAST_IDS`` ids of the documents to verify, beyond which they are joined.
 
 Edges: null, empty and wordless texts have the empty set and link with
 nothing; texts of one to three words are one shingle; equal texts link; very
@@ -61,8 +62,10 @@ FREQUENT = 5
 DICTIONARY = 4_000_000
 MANY = 48
 ROUNDS = 2
+#: Ids (8 bytes each) that may be broadcast instead of shuffling the texts.
+BROADCAST_IDS = 2_000_000
 PIECE = 1 << 20
-FLUSH = 1 << 21
+FLUSH = 1 << 20
 
 _TABLE = np.random.default_rng(20_240_229).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _A = np.random.default_rng(5).integers(1, 1 << 63, 8, dtype=np.uint64) | np.uint64(1)
@@ -153,10 +156,32 @@ def _cut(keys: np.ndarray, bits: int) -> Iterator[tuple[int, int, int]]:
 
 
 def _short(keys: np.ndarray, bits: int) -> np.ndarray:
-    """The 32 bits after the bucket's: enough to count and index by."""
+    """The 32 bits after the bucket's: enough to index by."""
     return ((keys >> np.uint64(32 - bits)) & np.uint64(0xFFFFFFFF)).astype("<u4")
 
 
+def _three_bytes(keys: np.ndarray, bits: int) -> bytes:
+    """The 24 bits after the bucket's: enough to count by, as counts only set
+    the order of the tokens."""
+    return (_short(keys, bits) >> np.uint32(8)).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes()
+
+
+def _from_three(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 3, 4), np.uint8)
+    out[:, :3] = np.frombuffer(data, np.uint8).reshape(-1, 3)
+    return out.view("<u4").ravel()
+
+
+def _packed(ids: np.ndarray) -> bytes:
+    """Ids in four bytes each where they fit, else in eight."""
+    small = len(ids) == 0 or (ids.min() >= 0 and ids.max() < 1 << 32)
+    return ids.astype("<u4" if small else "<i8").tobytes()
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(data, "<u4" if len(data) == 4 * n else "<i8").astype(np.int64)
+
+
 def _survey(docs: DataFrame, bits: int) -> DataFrame:
     """One pass over the texts. Rows of kind 0: a document's set size and set
     hash; of kind 1: a bucket's tokens of some thousand sets, each once, with
@@ -169,7 +194,7 @@ def _survey(docs: DataFrame, bits: int) -> DataFrame:
             rows = []
             for bucket, a, b in _cut(keys, bits):
                 more = np.flatnonzero(counts[a:b] > 1)
-                rows.append((bucket, _short(keys[a:b], bits).tobytes(), more.astype("<u4").tobytes(),
+                rows.append((bucket, _three_bytes(keys[a:b], bits), more.astype("<u4").tobytes(),
                              counts[a:b][more].astype("<u4").tobytes()))
             return pd.DataFrame(rows, columns=["bucket", "tokens", "more", "counts"]).assign(kind=1)
 
@@ -204,7 +229,7 @@ def _frequent(survey: DataFrame) -> DataFrame:
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         tokens, counts = [], []
         for row in frame.itertuples():
-            t = np.frombuffer(row.tokens, "<u4")
+            t = _from_three(row.tokens)
             c = np.ones(len(t), np.int64)
             c[np.frombuffer(row.more, "<u4")] = np.frombuffer(row.counts, "<u4")
             tokens.append(t)
@@ -225,7 +250,7 @@ def _frequent(survey: DataFrame) -> DataFrame:
 
 
 class Dictionary:
-    """Levels of the frequent tokens, by bucket and the 32 bits behind."""
+    """Levels of the frequent tokens, by bucket and the 24 bits behind."""
 
     def __init__(self, bits: int, keys: np.ndarray, levels: np.ndarray):
         self.bits, self.keys, self.levels = bits, keys, levels
@@ -233,7 +258,7 @@ class Dictionary:
     def level(self, tokens: np.ndarray) -> np.ndarray:
         if not len(self.keys):
             return np.zeros(len(tokens), np.uint8)
-        short = tokens >> np.uint64(32 - self.bits)
+        short = tokens >> np.uint64(40 - self.bits)
         at = np.searchsorted(self.keys, short)
         at[at == len(self.keys)] = 0
         return np.where(self.keys[at] == short, self.levels[at], 0).astype(np.uint8)
@@ -261,7 +286,7 @@ def _dictionary(frequent: DataFrame, bits: int, most: int = DICTIONARY) -> Dicti
 
     rows = sorted(frequent.select("bucket", "tokens", "levels").mapInPandas(
         only, "bucket long, tokens binary, levels binary").collect(), key=lambda r: r["bucket"])
-    keys = [np.frombuffer(r["tokens"], "<u4").astype(np.uint64) + (np.uint64(r["bucket"]) << np.uint64(32))
+    keys = [np.frombuffer(r["tokens"], "<u4").astype(np.uint64) + (np.uint64(r["bucket"]) << np.uint64(24))
             for r in rows]
     levels = [np.frombuffer(r["levels"], np.uint8) for r in rows]
     return Dictionary(bits, np.concatenate([np.empty(0, np.uint64), *keys]),
@@ -270,8 +295,9 @@ def _dictionary(frequent: DataFrame, bits: int, most: int = DICTIONARY) -> Dicti
 
 def prefix_keys(s: np.ndarray, level: np.ndarray, percent: int = PERCENT, frequent_level: int = FREQUENT,
                 many: int = MANY):
-    """Index entries of a set: ((rare tokens, room), (keys of the frequent
-    ones, room, role)); role 1: an entry that others find, 0: a look-up of
+    """Index entries of a set: ((rare tokens, place), (keys of the frequent
+    ones, place, role)); the room at a key is the set's size less its place;
+    role 1: an entry that others find, 0: a look-up of
     entries only."""
     n = len(s)
     none = (np.empty(0, np.uint64), np.empty(0, np.int64))
@@ -281,19 +307,19 @@ def prefix_keys(s: np.ndarray, level: np.ndarray, percent: int = PERCENT, freque
     order = np.lexsort((s, level))[:long + 1]  # the long prefix and one more
     ext, frequent, place = s[order], level[order] > frequent_level, np.arange(len(order))
     first = ~frequent & (place < long)
-    rare = (ext[first], n - place[first])
+    rare = (ext[first], place[first])
     heavy, at = ext[frequent], place[frequent]
     inside = at < long
     if not inside.any():
         # No link can have a frequent token as its first shared one.
         return rare, (*none, np.empty(0, np.int64))
-    single, room = _mix(heavy[inside] ^ _A[4]), n - at[inside]
+    single, near = _mix(heavy[inside] ^ _A[4]), at[inside]
     if len(heavy) > many:
-        return rare, (single, room, np.ones(len(single), np.int64))
+        return rare, (single, near, np.ones(len(single), np.int64))
     i, j = np.triu_indices(len(heavy), 1)
     low, high = np.minimum(heavy[i], heavy[j]), np.maximum(heavy[i], heavy[j])
     return rare, (np.concatenate([_mix(low * _A[0] + high * _A[1]), single]),
-                  np.concatenate([n + 1 - at[j], room]), np.repeat([1, 0], [len(i), len(single)]))
+                  np.concatenate([at[j] - 1, near]), np.repeat([1, 0], [len(i), len(single)]))
 
 
 def _index(docs: DataFrame, words: Dictionary, *options: int) -> DataFrame:
@@ -310,22 +336,22 @@ def _index(docs: DataFrame, words: Dictionary, *options: int) -> DataFrame:
             k, o, f = (np.concatenate(x) for x in zip(*held, strict=True))
             order = np.argsort(k, kind="stable")
             k, o, f = k[order], o[order], f[order]
-            return pd.DataFrame([(1, bucket, _short(k[a:b], d.bits).tobytes(), o[a:b].astype("<i8").tobytes(),
-                                  f[a:b].astype("<u4").tobytes()) for bucket, a, b in _cut(k, d.bits)],
-                                columns=["kind", "bucket", "tokens", "ids", "rooms"])
+            return pd.DataFrame([(1, bucket, _short(k[a:b], d.bits).tobytes(), _packed(o[a:b]),
+                                  _packed(f[a:b]) if f.max() >= 1 << 16 else f[a:b].astype("<u2").tobytes()) for bucket, a, b in _cut(k, d.bits)],
+                                columns=["kind", "bucket", "tokens", "ids", "places"])
 
         for ids, sets in _pieces(batches):
             flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
             levels, at, more = d.level(flat), 0, []
             for i, s in zip(ids, sets, strict=True):
-                (rare, space), (keys, room, role) = prefix_keys(s, levels[at:at + len(s)], *options)
+                (rare, space), (keys, place, role) = prefix_keys(s, levels[at:at + len(s)], *options)
                 at += len(s)
                 if len(rare):
                     held.append((rare, np.full(len(rare), i, np.int64), space))
                     size += len(rare)
                 if len(keys):
                     more.append(pd.DataFrame({"kind": 0, "key": keys.view(np.int64), "doc_id": i,
-                                              "room": room, "role": role}))
+                                              "place": place, "role": role}))
             if more:
                 yield pd.concat(more)
             if size >= FLUSH:
@@ -336,30 +362,32 @@ def _index(docs: DataFrame, words: Dictionary, *options: int) -> DataFrame:
 
     def filled(batches):
         for frame in run(batches):
-            yield frame.reindex(columns=["kind", "key", "doc_id", "room", "role", "bucket", "tokens",
-                                         "ids", "rooms"])
+            yield frame.reindex(columns=["kind", "key", "doc_id", "place", "role", "bucket", "tokens",
+                                         "ids", "places"])
 
     return docs.mapInPandas(
-        filled, "kind int, key long, doc_id long, room long, role int, bucket long, "
-                "tokens binary, ids binary, rooms binary")
+        filled, "kind int, key long, doc_id long, place long, role int, bucket long, "
+                "tokens binary, ids binary, places binary")
 
 
 def _shared_tokens(index: DataFrame) -> DataFrame:
-    """(key, doc_id, room, role) of the rare tokens that two documents have."""
+    """(key, doc_id, place, role) of the rare tokens that two documents have."""
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         t = np.concatenate([np.frombuffer(b, "<u4") for b in frame["tokens"]])
-        i = np.concatenate([np.frombuffer(b, "<i8") for b in frame["ids"]])
-        r = np.concatenate([np.frombuffer(b, "<u4") for b in frame["rooms"]])
+        sizes = [len(b) // 4 for b in frame["tokens"]]
+        i = np.concatenate([_unpacked(b, n) for b, n in zip(frame["ids"], sizes, strict=True)])
+        r = np.concatenate([np.frombuffer(b, f"<u{len(b) // n}") for b, n in zip(
+            frame["places"], sizes, strict=True)])
         order = np.argsort(t, kind="stable")
         t, i, r = t[order], i[order], r[order].astype(np.int64)
         same = t[1:] == t[:-1]
         keep = np.concatenate((same, [False])) | np.concatenate(([False], same))
         key = t[keep].astype(np.uint64) + (np.uint64(frame["bucket"].iloc[0]) << np.uint64(32))
         return pd.DataFrame({"key": _mix(key + _A[5]).view(np.int64), "doc_id": i[keep],
-                             "room": r[keep], "role": 1})
+                             "place": r[keep], "role": 1})
 
-    return index.where("kind = 1").select("bucket", "tokens", "ids", "rooms").groupBy("bucket").applyInPandas(
-        run, "key long, doc_id long, room long, role int")
+    return index.where("kind = 1").select("bucket", "tokens", "ids", "places").groupBy("bucket").applyInPandas(
+        run, "key long, doc_id long, place long, role int")
 
 
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -421,17 +449,19 @@ def links(docs: DataFrame, members: DataFrame, survey: DataFrame, bits: int,
     words = _dictionary(materialise(_frequent(survey), "ngram-frequent"), bits, dictionary)
     index = materialise(_index(docs, words, percent, frequent_level, many), "ngram-index")
     # Copies give the entries of their representative.
-    entries = (index.where("kind = 0").select("key", "doc_id", "room", "role")
+    entries = (index.where("kind = 0").select("key", "doc_id", "place", "role")
                .unionByName(_shared_tokens(index)).join(members, "doc_id")
                .groupBy("key", F.col("rep").alias("doc_id"), "n")
-               .agg(F.max("room").alias("room"), F.max("role").alias("role"))
+               .agg((F.col("n") - F.min("place")).alias("room"), F.max("role").alias("role"))
                .withColumn("short", F.expr(f"room * (100 + {percent}) >= {2 * percent} * n")))
     entries = materialise(entries, "ngram-entries")
     shared = entries.groupBy("key").agg(
         F.count("*").alias("c"), F.max("role").alias("r"), F.max("short").alias("s")).where(
         "c > 1 AND r = 1 AND s").select("key")
     entries = materialise(entries.join(shared, "key"), "ngram-shared")
-    wanted = entries.select("doc_id").distinct()
+    wanted = materialise(entries.select("doc_id").distinct(), "ngram-wanted")
+    if wanted.count() <= BROADCAST_IDS:
+        wanted = F.broadcast(wanted)  # saves a shuffle of the texts
     sets = materialise(_sets(docs.join(wanted, "doc_id", "left_semi")), "ngram-sets")
     spark = docs.sparkSession
     close = F.expr(f"""role_a + role_b > 0 AND 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)

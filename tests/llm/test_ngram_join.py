@@ -98,10 +98,10 @@ def test_a_shared_key_exists_for_every_link():
         class_of = {int(x): int(c) for x, c in zip(np.union1d(a, b), rnd.integers(0, 9, 400))}
         entries = []
         for s in (a, b):
-            (rare, room), (keys, room2, role) = J.prefix_keys(
+            (rare, place), (keys, place2, role) = J.prefix_keys(
                 s, np.array([class_of[int(x)] for x in s], np.uint8))
-            e = {("r", int(k)): (int(x), 1) for k, x in zip(rare, room)}
-            e.update({("f", int(k)): (int(x), int(y)) for k, x, y in zip(keys, room2, role)})
+            e = {("r", int(k)): (len(s) - int(x), 1) for k, x in zip(rare, place)}
+            e.update({("f", int(k)): (len(s) - int(x), int(y)) for k, x, y in zip(keys, place2, role)})
             entries.append(e)
         meet = [k for k in entries[0].keys() & entries[1].keys()
                 if entries[0][k][1] + entries[1][k][1] > 0
