@@ -4,7 +4,10 @@
     python -m martline query NAME --sf-dir DIR [--show N]
     python -m martline consume ENTITY --target DIR --checkpoint DIR
         (--kafka SERVERS TOPIC | --messages DIR) [--policy first|last]
-        [--continuous [--interval "10 seconds"]] [--compact-every N]
+        [--continuous [--interval "10 seconds"]] [--rejects DIR]
+        [--starting-offsets JSON] [--max-offsets N] [--min-partitions N]
+    python -m martline produce ENTITY --sf-dir DIR --kafka SERVERS TOPIC
+    python -m martline runs --out DIR [--run-id ID]
 
 On a cluster, submit with spark-submit (the session then comes from the
 submit configuration, and ``spark.checkpoint.dir`` must name a shared
@@ -50,7 +53,17 @@ def main(argv: list[str] | None = None) -> None:
     c.add_argument("--policy", choices=["first", "last"], default="first")
     c.add_argument("--continuous", action="store_true", help="keep polling (default: drain and stop)")
     c.add_argument("--interval", default="10 seconds")
-    c.add_argument("--compact-every", type=int, default=None)
+    c.add_argument("--rejects", help="folder for messages that break a rule or can't be parsed")
+    c.add_argument("--starting-offsets", default="earliest")
+    c.add_argument("--max-offsets", type=int, help="offsets per micro-batch")
+    c.add_argument("--min-partitions", type=int, help="tasks of a micro-batch, at least")
+    pr = sub.add_parser("produce", help="publish one entity's cleaned rows as keyed messages")
+    pr.add_argument("entity", choices=["orders", "items", "payments"])
+    pr.add_argument("--sf-dir", required=True)
+    pr.add_argument("--kafka", nargs=2, metavar=("SERVERS", "TOPIC"), required=True)
+    r = sub.add_parser("runs", help="summary of one run of the log, the latest by default")
+    r.add_argument("--out", required=True)
+    r.add_argument("--run-id")
     args = p.parse_args(argv)
 
     spark = _session()
@@ -65,13 +78,24 @@ def main(argv: list[str] | None = None) -> None:
     elif args.cmd == "consume":
         from martline.streaming import consumer
         from martline.streaming.sources import kafka_stream, message_file_stream
-        messages = (kafka_stream(spark, *args.kafka) if args.kafka
+        messages = (kafka_stream(spark, *args.kafka, starting_offsets=args.starting_offsets,
+                                 max_offsets_per_trigger=args.max_offsets,
+                                 min_partitions=args.min_partitions) if args.kafka
                     else message_file_stream(spark, args.messages))
         q = consumer.run(args.entity, messages, args.target, args.checkpoint, args.policy,
                          available_now=not args.continuous, interval=args.interval,
-                         compact_every=args.compact_every)
+                         rejects=args.rejects)
         q.awaitTermination()
         print(f"{args.entity}: {consumer.staged_table(spark, args.entity, args.target, args.policy).count()} rows staged")
+    elif args.cmd == "produce":
+        from martline.plans import stage
+        from martline.plans import warehouse as wh
+        from martline.streaming.sources import kafka_publish
+        kafka_publish(stage.encode(args.entity, wh.cleaned(spark, args.sf_dir, args.entity)), *args.kafka)
+    elif args.cmd == "runs":
+        from martline.plans import runlog
+        log = spark.read.parquet(f"{args.out.rstrip('/')}/runlog")
+        runlog.summary(runlog.one_run(log, args.run_id)).show(truncate=False)
     else:
         from martline.catalog import QUERIES
         QUERIES[args.name](spark, args.sf_dir).show(args.show, truncate=False)

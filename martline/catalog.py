@@ -19,7 +19,7 @@ from martline.operators.filters import dropna_subset, filter_non_negative, filte
 from martline.operators.sample import sample_head
 from martline.plans import clean, dims, quality, rfm, runlog, stage
 from martline.plans import warehouse as wh
-from martline.session import scratch_path
+from martline.session import scratch_path, written
 from martline.sources import files, fixtures, jdbc
 from martline.streaming import replay
 from martline.streaming import upsert as _upsert
@@ -386,11 +386,62 @@ for _e in ["orders", "items", "payments"]:
         lambda spark, sf_dir, e=_e: replay.run_scenario(spark, sf_dir, e, "first", _ALL_STEPS))
 
 
-@register("upsert_orders_last", oracle.sql(
-    "SELECT * REPLACE (CASE WHEN order_status = 'shipped' THEN 'delivered' ELSE order_status END "
-    "AS order_status) FROM staged_orders", "staged_orders"))
-def q_upsert_orders_last(spark, sf_dir):
-    return replay.run_scenario(spark, sf_dir, "orders", "last", _ALL_STEPS)
+_SHIPPED = ("SELECT * REPLACE (CASE WHEN order_status = 'shipped' THEN 'delivered' ELSE order_status END "
+            "AS order_status) FROM staged_orders")
+for _e, _sql in (("orders", _SHIPPED),
+                 ("items", "SELECT * REPLACE (price + 1.0 AS price) FROM staged_items"),
+                 ("payments", "SELECT * REPLACE (payment_value + 1.0 AS payment_value) FROM staged_payments")):
+    register(f"upsert_{_e}_last", oracle.sql(_sql, f"staged_{_e}"))(
+        lambda spark, sf_dir, e=_e: replay.run_scenario(spark, sf_dir, e, "last", _ALL_STEPS))
+
+
+def _both_policies(spark, sf_dir, steps, **how):
+    """Orders staged under both policies, told apart by ``policy``."""
+    return (replay.run_scenario(spark, sf_dir, "orders", "first", steps, **how)
+            .select(F.lit("first").alias("policy"), "order_id", "order_status")
+            .unionByName(replay.run_scenario(spark, sf_dir, "orders", "last", steps, **how)
+                         .select(F.lit("last").alias("policy"), "order_id", "order_status")))
+
+
+_BOTH_SQL = oracle.sql(
+    "SELECT 'first' AS policy, order_id, order_status FROM staged_orders UNION ALL "
+    f"SELECT 'last', order_id, order_status FROM ({_SHIPPED}) u", "staged_orders")
+
+
+@register("upsert_update_in_batch", _BOTH_SQL)
+def q_upsert_update_in_batch(spark, sf_dir):
+    """Originals and updates in one micro-batch, both policies."""
+    return _both_policies(spark, sf_dir, [[2, 3]])
+
+
+@register("upsert_lost_checkpoint", _BOTH_SQL)
+def q_upsert_lost_checkpoint(spark, sf_dir):
+    """A new checkpoint at every step: all messages are read again each time,
+    and batch ids restart."""
+    return _both_policies(spark, sf_dir, [[0], [1], [3]], lose_checkpoint=True)
+
+
+@register("upsert_recreated_topic", _BOTH_SQL)
+def q_upsert_recreated_topic(spark, sf_dir):
+    """Offsets start anew at every step: the message time keeps the order."""
+    return _both_policies(spark, sf_dir, [[2], [3]], recreate_topic=True)
+
+
+@register("stream_rejects", oracle.sql(
+    "SELECT reject_reasons, count(*) AS row_count FROM ("
+    "SELECT 'order_id,customer_id' AS reject_reasons FROM clean_orders "
+    "UNION ALL SELECT 'customer_id' FROM clean_orders) t GROUP BY 1", "clean_orders"))
+def q_stream_rejects(spark, sf_dir):
+    """Malformed messages kept in the reject stream, by the rules they break:
+    truncated JSON lacks both keys, the other half lacks its customer."""
+    root, bad = scratch_path(spark, "topic-orders"), scratch_path(spark, "rejects")
+    replay.publish_batches(spark, sf_dir, "orders", root, [0, 4])
+    from martline.streaming import consumer
+    consumer.drain("orders", message_file_stream(spark, root), scratch_path(spark, "staging"),
+                   scratch_path(spark, "ckpt"), rejects=bad)
+    names = F.transform("reject_reasons", lambda r: F.regexp_extract(r, "[a-z_]+_id", 0))
+    return (spark.read.parquet(bad).select(F.array_join(names, ",").alias("reject_reasons"))
+            .groupBy("reject_reasons").agg(F.count(F.lit(1)).alias("row_count")))
 
 
 @register("stream_replay_idempotent", oracle.sql(
@@ -423,11 +474,10 @@ def q_stream_restart_exactly_once(spark, sf_dir):
     consumer.drain("orders", message_file_stream(spark, root), target, ckpt)
     # A foreachBatch retry: batch id 1 again with the same input rows.
     batch1 = spark.read.schema(MESSAGE_FILE_SCHEMA).json(f"{root}/batch-000001")
-    parsed = stage.validate("orders", stage.parse("orders", batch1.select(
-        "value", F.col("partition").alias("_partition"), F.col("offset").alias("_offset")),
-        carry=["_partition", "_offset"]))
+    parsed = stage.validate("orders", consumer.parsed_stream("orders", batch1))
     upsert.write_batch(parsed, 1, target, schemas.KEYS["orders"],
-                       stage.TABLE_SCHEMA["orders"].names, "first")
+                       stage.TABLE_SCHEMA["orders"].names, "first",
+                       consumer._stream_id(spark, ckpt))
     off = replay.publish_batches(spark, sf_dir, "orders", root, [2], off)
     consumer.drain("orders", message_file_stream(spark, root), target, ckpt)
     return consumer.staged_table(spark, "orders", target).drop("kafka_ingested_at")
@@ -460,27 +510,44 @@ def q_stream_dedup_items(spark, sf_dir):
     for group in ([0, 1], [2]):
         offset = replay.publish_batches(spark, sf_dir, "items", root, group, offset)
         stream = consumer.consumer_stream("items", message_file_stream(spark, root), "first")
-        q = (stream.drop("_partition", "_offset").writeStream.format("parquet").option("path", out)
+        q = (stream.drop(*consumer.CARRY).writeStream.format("parquet").option("path", out)
              .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
         q.awaitTermination()
     return spark.read.parquet(out)
 
 
-@register("stream_dedup_bounded_orders", oracle.sql("SELECT * FROM staged_orders", "staged_orders"))
+# The delay of the bounded dedup, and the span after which its
+# replay comes: the second replay meets expired state.
+BOUNDED_DELAY = "1 second"
+REPLAY_GAP_DAYS = 20_000
+
+
+@register("stream_dedup_bounded_orders", oracle.sql(
+    "SELECT * FROM staged_orders UNION ALL SELECT * REPLACE ("
+    f"order_purchase_timestamp + {REPLAY_GAP_DAYS} * INTERVAL '1' DAY AS order_purchase_timestamp) "
+    "FROM staged_orders WHERE order_purchase_timestamp < (SELECT max(order_purchase_timestamp) "
+    "FROM staged_orders)", "staged_orders"))
 def q_stream_dedup_bounded_orders(spark, sf_dir):
-    """Dedup with bounded state: keys are remembered only within the
-    watermark on the purchase time (here the whole span of the data), so
-    the replay is still dropped while state can expire on a live stream."""
+    """Dedup with bounded state: keys are remembered within the watermark on
+    the purchase time only. All orders, then all of them again 20,000 days
+    later, then those again. A key is forgotten when the watermark, the newest
+    time less the delay, reaches its own time plus the delay: so the second
+    load passes but for the newest order, and all of the third is late or
+    remembered."""
     from martline.streaming import consumer
     root = scratch_path(spark, "topic-orders")
     out, ckpt = scratch_path(spark, "dedup-bounded"), scratch_path(spark, "ckpt-bounded")
+    clean_df = wh.cleaned(spark, sf_dir, "orders")
+    later = clean_df.withColumn("order_purchase_timestamp", F.col("order_purchase_timestamp")
+                                + F.make_dt_interval(days=F.lit(REPLAY_GAP_DAYS)))
     offset = 0
-    for group in ([0, 1], [2]):
-        offset = replay.publish_batches(spark, sf_dir, "orders", root, group, offset)
+    for i, df in enumerate((clean_df, later, later)):
+        msgs = stage.encode("orders", df).withColumn("order_id", F.col("key"))
+        offset = replay.publish(msgs, root, i, "retail.orders", offset, ["order_id"])
         stream = consumer.consumer_stream(
             "orders", message_file_stream(spark, root), "first",
-            dedup_watermark=("order_purchase_timestamp", "36500 days"))
-        q = (stream.drop("_partition", "_offset").writeStream.format("parquet")
+            dedup_watermark=("order_purchase_timestamp", BOUNDED_DELAY))
+        q = (stream.drop(*consumer.CARRY).writeStream.format("parquet")
              .option("path", out).option("checkpointLocation", ckpt)
              .trigger(availableNow=True).start())
         q.awaitTermination()
@@ -727,7 +794,8 @@ def q_quality_keys(spark, sf_dir):
         "fact_sales": wh.fact_sales(spark, sf_dir),
     }
     out = None
-    for t, pk, nk in _KEY_TABLES:
+    for t, pk, nk in _KEY_TABLES:  # each key set reads the written table
+        frames[t] = written(frames[t], f"keys-{t}")
         r = quality.run(frames[t], quality.key_checks(t, pk, nk)).select(
             F.lit(t).alias("table_name"), "*")
         out = r if out is None else out.unionByName(r)
@@ -755,6 +823,14 @@ JOIN (SELECT run_id, task_id FROM (
       WHERE rn = 1) s ON a.run_id = s.run_id""")
 
 
+@register("run_summary_latest", oracle.sql(
+    "SELECT * FROM run_summary WHERE run_id = (SELECT run_id FROM raw_runlog GROUP BY run_id "
+    "ORDER BY min(start_date) DESC NULLS LAST, run_id DESC LIMIT 1)", "run_summary", "raw_runlog"))
+def q_run_summary_latest(spark, sf_dir):
+    """The summary of the run that started last."""
+    return runlog.summary(runlog.one_run(wh.raw(spark, sf_dir, "runlog")))
+
+
 @register("run_summary", oracle.sql("SELECT * FROM run_summary", "run_summary"))
 def q_run_summary(spark, sf_dir):
     return runlog.summary(wh.raw(spark, sf_dir, "runlog"))
@@ -773,7 +849,7 @@ _STATE_OK = "failed_tasks = 0"
     "FROM run_summary, (SELECT count(*) AS final_rows FROM fact_sales_enriched) n",
     "run_summary", "fact_sales_enriched"))
 def q_row_count_gate(spark, sf_dir):
-    final_rows = wh.fact_sales(spark, sf_dir, enriched=True).count()
+    final_rows = wh.fact_rows(spark, sf_dir)
     return runlog.gates(runlog.summary(wh.raw(spark, sf_dir, "runlog")), final_rows)
 
 
@@ -829,7 +905,8 @@ def q_stream_watermark_guard(spark, sf_dir):
                                            "10 minutes", "1 hour", ["state"])
         q = (counts.writeStream.outputMode("update")
              .foreachBatch(lambda df, bid: _upsert.write_batch(
-                 df.withColumn("_partition", F.lit(0)).withColumn("_offset", F.lit(0).cast("long")),
+                 df.withColumns({"_time": F.lit("1970-01-01").cast("timestamp_ntz"),
+                                 "_partition": F.lit(0), "_offset": F.lit(bid).cast("long")}),
                  bid, target, ["window_start", "state"], ["window_start", "state", "row_count"],
                  "last"))
              .option("checkpointLocation", ckpt).trigger(availableNow=True).start())

@@ -1,13 +1,12 @@
 """Sales fact (one row per order item) and the payment-enriched fact.
 
-Plan shape: items and orders are joined on ``order_id``; the per-order
-payment aggregate is joined on the same key right after, so both joins share
-one hash partitioning of ``order_id`` (one shuffle of each input, no
-re-shuffle of the joined rows). The three dimension lookups follow; the
-planner broadcasts a dimension when it is small (AQE measures the shuffled
-side at run time) and shuffles otherwise. A key holding a third of all items
-is split by AQE's skew-join handling, since the other side has one row per
-key."""
+Plan shape: staged orders and items and the per-order payments are written
+tables, so both sides of each ``order_id`` join are plain shuffles, which is
+what AQE's skew-join handling needs to split an order that holds a third of
+all items. The joined base is written once too: the dense key counts and
+ranks the table instead of running the joins again. The three dimension
+lookups follow the joins; the planner broadcasts a dimension when it is small
+(AQE measures the shuffled side at run time) and shuffles otherwise."""
 
 from __future__ import annotations
 
@@ -18,6 +17,7 @@ from martline import schemas
 from martline.functions.time import calendar_days
 from martline.operators.dedup import first_per_key
 from martline.operators.dense_key import dense_key
+from martline.session import written
 
 ORDER_COLS = ["order_id", "customer_id", "order_status", *schemas.ORDER_TS_COLS]
 ITEM_COLS = ["order_id", "order_item_id", "product_id", "seller_id", "shipping_limit_date",
@@ -87,7 +87,10 @@ def sales(orders: DataFrame, items: DataFrame, dim_customer: DataFrame, dim_prod
         i = first_per_key(i, ["order_id", "order_item_id"])
     base = i.join(o, "order_id", "inner")
     if payments is not None:
-        base = _payment_measures(base.join(payments_per_order(payments), "order_id", "left"))
+        # Written between the joins: a second join on the same key would reuse
+        # the first one's partitioning, which rules the skew split out.
+        base = _payment_measures(written(base, "fact-items").join(
+            written(payments_per_order(payments), "order-payments"), "order_id", "left"))
     if narrow_lookup:
         ids = ["order_id", "order_item_id"]
         narrow = _dim_keys(base.select(*ids, "customer_id", "product_id", "seller_id"),
@@ -95,11 +98,8 @@ def sales(orders: DataFrame, items: DataFrame, dim_customer: DataFrame, dim_prod
         base = base.join(narrow.select(*ids, "customer_key", "product_key", "seller_key"), ids)
     else:
         base = _dim_keys(base, dim_customer, dim_product, dim_seller)
-    base = _derived(base)
-    # Key-only copy of the fact's rows for the dense key's count and sample.
-    keys_src = i.select("order_id", "order_item_id").join(o.select("order_id"), "order_id")
-    fact = dense_key(base, ["order_id", "order_item_id"], "fact_sales_key",
-                     keys_src=keys_src, **key_opts)
+    base = written(_derived(base), "fact-base")
+    fact = dense_key(base, ["order_id", "order_item_id"], "fact_sales_key", **key_opts)
     schema = schemas.FACT_SALES_ENRICHED if payments is not None else schemas.FACT_SALES
     return schemas.conform(fact, schema)
 
@@ -108,5 +108,6 @@ def enrich(fact_sales: DataFrame, payments: DataFrame) -> DataFrame:
     """``fact_sales_enriched`` from an existing ``fact_sales`` table. The
     payment totals repeat on every item row of an order, so summing
     ``total_payment_value`` over this table over-counts."""
-    df = _payment_measures(fact_sales.join(payments_per_order(payments), "order_id", "left"))
+    per_order = written(payments_per_order(payments), "order-payments")
+    df = _payment_measures(fact_sales.join(per_order, "order_id", "left"))
     return schemas.conform(df, schemas.FACT_SALES_ENRICHED)

@@ -42,6 +42,16 @@ def summary(runlog: DataFrame) -> DataFrame:
     )
 
 
+def one_run(runlog: DataFrame, run_id: str | None = None) -> DataFrame:
+    """The tasks of one run: the one named, or the one that started last (ties:
+    the greater id)."""
+    if run_id is not None:
+        return runlog.filter(F.col("run_id") == run_id)
+    started = runlog.groupBy("run_id").agg(F.min("start_date").alias("_start"))
+    last = started.orderBy(F.col("_start").desc_nulls_last(), F.col("run_id").desc()).limit(1)
+    return runlog.join(last.select("run_id"), "run_id", "left_semi")
+
+
 def gates(run_summary: DataFrame, final_rows: int, min_rows: int = MIN_ROWS,
           max_seconds: int = MAX_SECONDS) -> DataFrame:
     """PASS/FAIL per run for rows (``final_rows >= min_rows``), runtime

@@ -1,13 +1,18 @@
 """Streaming consumers: messages -> typed rows -> consumer rules ->
-(first-wins: stateful dedup) -> foreachBatch keyed upsert.
+foreachBatch keyed upsert, and a reject stream beside it.
 
 ``run`` starts one query. ``available_now=True`` drains what is there and
 stops (the replacement of the deprecated trigger-once); otherwise it polls
 with a processing-time trigger. Progress is kept under
-``checkpoint``, so a restart continues after the last committed batch."""
+``checkpoint``, so a restart continues after the last committed batch.
+
+The upsert orders versions itself, so nothing is deduplicated before it and no
+state grows with the keys; ``consumer_stream`` with policy ``first`` is the
+stateful variant for append-only sinks."""
 
 from __future__ import annotations
 
+import json
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +24,17 @@ from martline.functions.time import ntz_to_instant
 from martline.plans import stage
 from martline.streaming import upsert
 
+CARRY = ["_time", "_partition", "_offset"]  # of the message
+
+
+def parsed_stream(entity: str, messages: DataFrame) -> DataFrame:
+    """Typed rows with the message's time, partition and offset and its text
+    as ``_value``; malformed messages have null columns."""
+    return stage.parse(entity, messages.select(
+        "value", F.col("value").alias("_value"), F.col("timestamp").alias("_time"),
+        F.col("partition").alias("_partition"), F.col("offset").alias("_offset")),
+        carry=[*CARRY, "_value"])
+
 
 def consumer_stream(entity: str, messages: DataFrame, policy: str = "first",
                     dedup_watermark: tuple[str, str] | None = None) -> DataFrame:
@@ -26,10 +42,7 @@ def consumer_stream(entity: str, messages: DataFrame, policy: str = "first",
     key in its state store (RocksDB) and drops later messages of a key; with
     ``dedup_watermark=(time_col, delay)`` the state is bounded instead
     (``dropDuplicatesWithinWatermark``)."""
-    parsed = stage.parse(entity, messages.select(
-        "value", F.col("partition").alias("_partition"), F.col("offset").alias("_offset")),
-        carry=["_partition", "_offset"])
-    valid = stage.validate(entity, parsed)
+    valid = stage.validate(entity, parsed_stream(entity, messages)).drop("_value")
     if policy != "first":
         return valid
     keys = schemas.KEYS[entity]
@@ -43,38 +56,48 @@ def consumer_stream(entity: str, messages: DataFrame, policy: str = "first",
     return valid.dropDuplicates(keys)
 
 
+def _stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a checkpoint's metadata file."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
+
+
 def run(entity: str, messages: DataFrame, target: str, checkpoint: str, policy: str = "first",
         available_now: bool = True, interval: str = "10 seconds",
-        compact_every: int | None = None) -> StreamingQuery:
-    """Start the consumer. ``compact_every=N`` folds the upsert log into a
-    snapshot after every N-th micro-batch."""
-    keys = schemas.KEYS[entity]
-    columns = stage.TABLE_SCHEMA[entity].names
-    w = (consumer_stream(entity, messages, policy).writeStream
-         .foreachBatch(partial(_batch, target=target, keys=keys, columns=columns, policy=policy,
-                               schema=stage.TABLE_SCHEMA[entity], compact_every=compact_every))
+        rejects: str | None = None) -> StreamingQuery:
+    """Start the consumer. ``rejects``: a folder for the messages that break a
+    rule or can't be parsed, with their text and the rules they break."""
+    upsert.create(messages.sparkSession, target, stage.TABLE_SCHEMA[entity])
+    w = (parsed_stream(entity, messages).writeStream
+         .foreachBatch(partial(_batch, entity=entity, target=target, policy=policy,
+                               checkpoint=checkpoint, rejects=rejects))
          .option("checkpointLocation", checkpoint)
          .queryName(f"consumer_{entity}_{policy}"))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=interval)
     return w.start()
 
 
-def _batch(df: DataFrame, batch_id: int, *, target: str, keys: list[str], columns: list[str],
-           policy: str, schema=None, compact_every: int | None = None) -> None:
-    upsert.write_batch(df, batch_id, target, keys, columns, policy)
-    if compact_every and (batch_id + 1) % compact_every == 0:
-        upsert.compact(df.sparkSession, target, keys, schema, policy)
+def _batch(df: DataFrame, batch_id: int, *, entity: str, target: str, policy: str,
+           checkpoint: str, rejects: str | None) -> None:
+    run_id = _stream_id(df.sparkSession, checkpoint)
+    upsert.write_batch(stage.validate(entity, df), batch_id, target, schemas.KEYS[entity],
+                       stage.TABLE_SCHEMA[entity].names, policy, run_id)
+    if rejects:
+        (stage.reject_rows(entity, df).select("_value", *CARRY, "reject_reasons")
+         .write.mode("overwrite").parquet(
+             f"{rejects.rstrip('/')}/{upsert.RUN_COL}={run_id}/{upsert.BATCH_COL}={batch_id}"))
 
 
-def drain(entity: str, messages: DataFrame, target: str, checkpoint: str,
-          policy: str = "first", compact_every: int | None = None) -> None:
-    """Run to the end of the available input and wait for it."""
-    q = run(entity, messages, target, checkpoint, policy, available_now=True,
-            compact_every=compact_every)
+def _finish(q: StreamingQuery) -> None:
     q.awaitTermination()
     if q.exception():
         raise RuntimeError(str(q.exception()))
 
 
+def drain(entity: str, messages: DataFrame, target: str, checkpoint: str,
+          policy: str = "first", rejects: str | None = None) -> None:
+    """Run to the end of the available input and wait for it."""
+    _finish(run(entity, messages, target, checkpoint, policy, available_now=True, rejects=rejects))
+
+
 def staged_table(spark: SparkSession, entity: str, target: str, policy: str = "first") -> DataFrame:
     return upsert.read(spark, target, schemas.KEYS[entity], stage.TABLE_SCHEMA[entity], policy)

@@ -3,7 +3,8 @@ them, and end-to-end consumer runs over them.
 
 Batches (every row of the entity flows through each full batch):
 0. orders with an even order id,  1. odd order ids,  2. a full replay,
-3. a full replay with updates (orders: ``shipped`` became ``delivered``),
+3. a full replay with updates (orders: ``shipped`` became ``delivered``;
+   items and payments: one more on the price or value),
 4. malformed messages only: truncated JSON and wrongly typed fields.
 """
 
@@ -20,16 +21,18 @@ from martline.session import scratch_path
 from martline.streaming import consumer
 from martline.streaming.sources import message_file_stream, publish
 
-# Fixed value: the update carried by batch 3 of the orders stream.
+# The updates that batch 3 carries.
 ORDER_STATUS_UPDATE = ("shipped", "delivered")
+PRICE_UPDATE = 1.0
 
 
 def _updated(entity: str, clean_df: DataFrame) -> DataFrame:
-    if entity != "orders":
-        return clean_df
-    old, new = ORDER_STATUS_UPDATE
-    return clean_df.withColumn(
-        "order_status", F.when(F.col("order_status") == old, F.lit(new)).otherwise(F.col("order_status")))
+    if entity == "orders":
+        old, new = ORDER_STATUS_UPDATE
+        return clean_df.withColumn("order_status", F.when(
+            F.col("order_status") == old, F.lit(new)).otherwise(F.col("order_status")))
+    column = "price" if entity == "items" else "payment_value"
+    return clean_df.withColumn(column, F.col(column) + PRICE_UPDATE)
 
 
 def _malformed(entity: str, msgs: DataFrame) -> DataFrame:
@@ -72,17 +75,19 @@ def publish_batches(spark: SparkSession, sf_dir: str, entity: str, root: str,
 
 
 def run_scenario(spark: SparkSession, sf_dir: str, entity: str, policy: str,
-                 steps: list[list[int]], compact_every: int | None = 2) -> DataFrame:
+                 steps: list[list[int]], lose_checkpoint: bool = False,
+                 recreate_topic: bool = False) -> DataFrame:
     """Publish the batch groups in ``steps`` one after another, draining the
-    consumer (same checkpoint: a restart each time) after each group, and
-    return the staged table without its insert time. The upsert log is
-    compacted every ``compact_every`` micro-batches."""
+    consumer after each group, and return the staged table without its insert
+    time. The consumer restarts from its checkpoint each time, or from a new
+    one; offsets go on, or start anew as in a recreated topic."""
     root = scratch_path(spark, f"topic-{entity}")
     target = scratch_path(spark, f"staging-{entity}")
     ckpt = scratch_path(spark, f"ckpt-{entity}")
     offset = 0
     for group in steps:
-        offset = publish_batches(spark, sf_dir, entity, root, group, offset)
-        consumer.drain(entity, message_file_stream(spark, root), target, ckpt, policy,
-                       compact_every)
+        offset = publish_batches(spark, sf_dir, entity, root, group, 0 if recreate_topic else offset)
+        if lose_checkpoint:
+            ckpt = scratch_path(spark, f"ckpt-{entity}")
+        consumer.drain(entity, message_file_stream(spark, root), target, ckpt, policy)
     return consumer.staged_table(spark, entity, target, policy).drop("kafka_ingested_at")

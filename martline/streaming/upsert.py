@@ -1,115 +1,77 @@
 """Keyed upsert table for ``foreachBatch`` (the staging tables).
 
-No table-format jar is available, so the table is a merge-on-read log of
-Parquet: each micro-batch writes its rows, already reduced to one per key,
-into its own folder ``merge_batch=<id>``. Reading resolves every key by the
-conflict policy:
+Each micro-batch appends its rows, reduced to one per key, as one folder
+``run=<stream id>/merge_batch=<batch id>`` of Parquet. The stream id is the one
+in the checkpoint: a retried batch overwrites its own folder with the same
+rows, and a stream that starts again from a new checkpoint writes beside the
+old folders, never over them.
 
-* ``first`` — the earliest version wins (what a stream with stateful
-  dedup delivers: later messages of a key never reach the sink);
-* ``last`` — the latest version wins (``INSERT … ON CONFLICT DO UPDATE``).
+Reading resolves every key by the conflict policy:
 
-Ordering of versions is ``(merge_batch, partition, offset)``; the insert
-time ``kafka_ingested_at`` is that of the key's first version and is kept on
-update.
+* ``first`` — the earliest version wins;
+* ``last`` — the latest version wins (``INSERT … ON CONFLICT DO UPDATE``).
 
-Exactly once: a retried batch id overwrites its own folder with the same
-rows (the stream's offset log fixes the batch content), so replays and
-retries never double-count. Resolution is a grouped aggregate with
-map-side combining, so a key with many versions is pre-reduced per task.
+Versions are ordered by the message's time, partition and offset, so the order
+holds over a lost checkpoint (the same messages again are the same versions)
+and a recreated topic (offsets start anew, time goes on). The insert time
+``kafka_ingested_at`` is the message time of the key's first version and is
+kept on update and on retries.
 
-``compact`` folds the log into a snapshot (one winning version per key) and
-records it in a manifest; reads then take the newest snapshot plus only the
-batches after it, so read cost follows the table size, not its history."""
+Resolution is a grouped aggregate with map-side combining, so a key with many
+versions is pre-reduced per task. The log keeps every version; folding it is
+the work of a table format or a database, which a deployment puts in its place.
+"""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-from martline.operators.dedup import first_per_key
+from pyspark.sql.types import IntegerType, LongType, StructType, TimestampNTZType
 
 BATCH_COL = "merge_batch"
-META = ["_partition", "_offset", "_ingested_at"]
+RUN_COL = "run"
+META = ["_time", "_partition", "_offset"]
 
 
-def reduce_batch(batch: DataFrame, keys: list[str], policy: str) -> DataFrame:
-    """One row per key within a micro-batch: lowest (first) or highest
-    (last) ``(partition, offset)``."""
-    if policy == "first":
-        order = [F.col("_partition"), F.col("_offset")]
-    elif policy == "last":
-        order = [-F.col("_partition"), -F.col("_offset")]
-    else:
+def _pick(policy: str):
+    if policy not in ("first", "last"):
         raise ValueError(f"unknown policy {policy!r}")
-    return first_per_key(batch, keys, order)
+    return F.min_by if policy == "first" else F.max_by
+
+
+def reduce_batch(batch: DataFrame, keys: list[str], columns: list[str], policy: str) -> DataFrame:
+    """One row per key of a micro-batch, the first or last version, with the
+    time of the key's first one as ``_first``."""
+    rest = [c for c in columns if c not in keys] + META
+    picked = batch.groupBy(*keys).agg(
+        _pick(policy)(F.struct(*rest), F.struct(*META)).alias("_row"), F.min("_time").alias("_first"))
+    return picked.select(*[c if c in keys else F.col(f"_row.{c}").alias(c) for c in [*columns, *META]],
+                         "_first")
 
 
 def write_batch(batch: DataFrame, batch_id: int, target: str, keys: list[str],
-                columns: list[str], policy: str) -> None:
+                columns: list[str], policy: str, run: str = "0") -> None:
     """foreachBatch body: skip an empty batch, reduce, write the batch's
     folder (overwrite, so a retry is idempotent)."""
     batch = batch.persist()
     try:
-        if batch.isEmpty():
-            return
-        rows = reduce_batch(batch, keys, policy).select(
-            *columns, "_partition", "_offset", F.localtimestamp().alias("_ingested_at"))
-        rows.write.mode("overwrite").parquet(f"{target.rstrip('/')}/{BATCH_COL}={batch_id}")
+        if not batch.isEmpty():
+            reduce_batch(batch, keys, columns, policy).write.mode("overwrite").parquet(
+                f"{target.rstrip('/')}/{RUN_COL}={run}/{BATCH_COL}={batch_id}")
     finally:
         batch.unpersist()
 
 
-def _log_versions(spark: SparkSession, target: str, columns: list[str], after: int | None):
-    """Rows of the log as versions ``(columns…, merge_batch, _partition,
-    _offset, _ingested_at)``; only batches after ``after`` (partition
-    pruning on ``merge_batch``)."""
-    try:
-        log = spark.read.parquet(target)
-    except Exception as e:  # noqa: BLE001 - an empty table has no folder yet
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        return None
-    if after is not None:
-        log = log.filter(F.col(BATCH_COL) > after)
-    return log.select(*columns, BATCH_COL, *META)
-
-
-def _latest_snapshot(spark: SparkSession, target: str):
-    """``(upto, path)`` of the newest completed snapshot, or None."""
-    try:
-        m = spark.read.parquet(manifest_path(target))
-    except Exception as e:  # noqa: BLE001 - no compaction yet
-        if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
-        return None
-    row = m.orderBy(F.col("upto").desc()).first()
-    return None if row is None else (row["upto"], row["path"])
-
+def log_schema(schema: StructType) -> StructType:
+    return (StructType(list(schema.fields)).add("_time", TimestampNTZType())
+            .add("_partition", IntegerType()).add("_offset", LongType())
+            .add("_first", TimestampNTZType()))
 
-def manifest_path(target: str) -> str:
-    return f"{target.rstrip('/')}_manifest"
 
-
-def _versions(spark: SparkSession, target: str, columns: list[str]):
-    snap = _latest_snapshot(spark, target)
-    log = _log_versions(spark, target, columns, snap[0] if snap else None)
-    if snap is None:
-        return log
-    base = spark.read.parquet(snap[1]).select(*columns, BATCH_COL, *META)
-    return base if log is None else base.unionByName(log)
-
-
-def _resolve(versions: DataFrame, keys: list[str], columns: list[str], policy: str) -> DataFrame:
-    version = F.struct(F.col(BATCH_COL), F.col("_partition"), F.col("_offset"))
-    rest = [c for c in columns if c not in keys]
-    pick = F.min_by if policy == "first" else F.max_by
-    return versions.groupBy(*keys).agg(
-        pick(F.struct(*rest, BATCH_COL, "_partition", "_offset"), version).alias("_row"),
-        F.min("_ingested_at").alias("_ingested_at"))
+def create(spark: SparkSession, target: str, schema: StructType) -> None:
+    """An empty table, so that reading never depends on the first batch."""
+    (spark.createDataFrame([], log_schema(schema)).write.mode("ignore")
+     .parquet(f"{target.rstrip('/')}/{RUN_COL}=0/{BATCH_COL}=-1"))
 
 
 def read(spark: SparkSession, target: str, keys: list[str], schema: StructType,
@@ -117,39 +79,10 @@ def read(spark: SparkSession, target: str, keys: list[str], schema: StructType,
     """Current table: one row per key, ``schema`` columns +
     ``kafka_ingested_at``."""
     columns = schema.names
-    versions = _versions(spark, target, columns)
-    if versions is None:
-        empty = spark.createDataFrame([], schema)
-        return empty.withColumn("kafka_ingested_at", F.lit(None).cast("timestamp_ntz"))
-    resolved = _resolve(versions, keys, columns, policy)
+    create(spark, target, schema)
+    versions = spark.read.schema(log_schema(schema)).parquet(f"{target.rstrip('/')}/{RUN_COL}=*/*")
+    rest = [c for c in columns if c not in keys]
+    resolved = versions.groupBy(*keys).agg(
+        _pick(policy)(F.struct(*rest), F.struct(*META)).alias("_row"), F.min("_first").alias("_first"))
     return resolved.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c)
-                             for c in columns], F.col("_ingested_at").alias("kafka_ingested_at"))
-
-
-def compact(spark: SparkSession, target: str, keys: list[str], schema: StructType,
-            policy: str) -> int | None:
-    """Fold every batch written so far into a snapshot. The snapshot keeps
-    each key's winning version and first insert time, so later batches still
-    resolve against it exactly as against the full log. The manifest row is
-    appended only after the snapshot is written, so readers never see a
-    partial snapshot; log folders up to ``upto`` are then skipped by
-    partition pruning. Returns the batch id covered, or None if empty."""
-    columns = schema.names
-    snap = _latest_snapshot(spark, target)
-    tail = _log_versions(spark, target, columns, snap[0] if snap else None)
-    newest = tail.agg(F.max(BATCH_COL)).first()[0] if tail is not None else None
-    if newest is None:
-        return snap[0] if snap else None   # nothing newer than the last snapshot
-    versions = _versions(spark, target, columns)
-    upto = newest
-    resolved = _resolve(versions.filter(F.col(BATCH_COL) <= upto), keys, columns, policy)
-    snap = resolved.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in columns if c not in keys],
-                           F.col(f"_row.{BATCH_COL}").alias(BATCH_COL),
-                           F.col("_row._partition").alias("_partition"),
-                           F.col("_row._offset").alias("_offset"), "_ingested_at")
-    # A fresh folder per snapshot: never overwrite what a reader may be using.
-    path = f"{target.rstrip('/')}_snapshots/upto={upto}-{uuid.uuid4().hex[:8]}"
-    snap.write.mode("overwrite").parquet(path)
-    (spark.createDataFrame([(int(upto), path)], "upto long, path string")
-     .write.mode("append").parquet(manifest_path(target)))
-    return int(upto)
+                             for c in columns], F.col("_first").alias("kafka_ingested_at"))

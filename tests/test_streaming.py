@@ -4,7 +4,7 @@ import datetime as dt
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType, TimestampNTZType
 
 from martline import schemas
 from martline.plans import stage
@@ -16,9 +16,12 @@ COLS = stage.TABLE_SCHEMA["orders"].names
 
 def _batch(spark, rows):
     """rows: (order_id, status, offset)"""
-    data = [(o, "c", s, None, None, None, None, None, 0, off) for o, s, off in rows]
-    schema = StructType(schemas.ORDERS.fields + [StructField("_partition", IntegerType()),
-                                                 StructField("_offset", LongType())])
+    day = dt.datetime(2024, 1, 1)
+    data = [(o, "c", s, None, None, None, None, None, day + dt.timedelta(seconds=off), 0, off)
+            for o, s, off in rows]
+    schema = StructType(schemas.ORDERS.fields + [
+        StructField("_time", TimestampNTZType()), StructField("_partition", IntegerType()),
+        StructField("_offset", LongType())])
     return spark.createDataFrame(data, schema)
 
 
@@ -88,23 +91,13 @@ def test_watermark_guard_keeps_later_batches(spark, scratch):
     assert unguarded.filter(F.hour("window_start") == 5).count() == 0
 
 
-@pytest.mark.parametrize("policy", ["first", "last"])
-def test_compaction_keeps_results(spark, scratch, policy):
-    target = scratch("upsert-compact")
-    upsert.write_batch(_batch(spark, [("a", "created", 1), ("b", "created", 2)]), 0,
-                       target, KEYS, COLS, policy)
-    upsert.write_batch(_batch(spark, [("a", "paid", 3)]), 1, target, KEYS, COLS, policy)
-    t0 = upsert.read(spark, target, KEYS, schemas.ORDERS, "last").first().kafka_ingested_at
-    before = _table(spark, target, policy)
-    assert upsert.compact(spark, target, KEYS, schemas.ORDERS, policy) == 1
-    assert _table(spark, target, policy) == before
-    upsert.write_batch(_batch(spark, [("a", "shipped", 4), ("c", "created", 5)]), 2,
-                       target, KEYS, COLS, policy)
-    after = _table(spark, target, policy)
-    expected_a = "created" if policy == "first" else "shipped"
-    assert after == {"a": expected_a, "b": "created", "c": "created"}
-    row = upsert.read(spark, target, KEYS, schemas.ORDERS, policy).filter("order_id = 'a'").first()
-    assert row.kafka_ingested_at <= t0 or policy == "first"
+def test_new_run_never_overwrites(spark, scratch):
+    target = scratch("upsert-runs")
+    upsert.write_batch(_batch(spark, [("a", "created", 1)]), 0, target, KEYS, COLS, "last", "one")
+    upsert.write_batch(_batch(spark, [("b", "created", 2)]), 0, target, KEYS, COLS, "last", "two")
+    # The first message again, read by the new run: the same version.
+    upsert.write_batch(_batch(spark, [("a", "created", 1)]), 1, target, KEYS, COLS, "last", "two")
+    assert _table(spark, target, "last") == {"a": "created", "b": "created"}
 
 
 from hypothesis import HealthCheck, given, settings  # noqa: E402
@@ -164,16 +157,3 @@ def test_processing_time_trigger(spark, scratch):
     finally:
         q.stop()
     assert consumer.staged_table(spark, "orders", target, "last").count() == 1
-
-
-def test_compaction_prunes_old_batches(spark, scratch):
-    target = scratch("upsert-prune")
-    for b in range(3):
-        upsert.write_batch(_batch(spark, [("a", f"s{b}", b), (f"k{b}", "x", 10 + b)]), b,
-                           target, KEYS, COLS, "last")
-    assert upsert.compact(spark, target, KEYS, schemas.ORDERS, "last") == 2
-    upsert.write_batch(_batch(spark, [("a", "s3", 20)]), 3, target, KEYS, COLS, "last")
-    df = upsert.read(spark, target, KEYS, schemas.ORDERS, "last")
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(merge_batch" in plan and "(merge_batch" in plan
-    assert _table(spark, target, "last") == {"a": "s3", "k0": "x", "k1": "x", "k2": "x"}
