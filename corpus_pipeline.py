@@ -24,8 +24,8 @@ RANKS = "byte_bpe_50k.tiktoken"
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language: no text or letters, or no language with half
-    of the words, and a document goes."""
+    """Documents with a language: no text or letters, or no language with three
+    tenths of the words, and a document goes."""
     model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))))
     return langid.accepted(docs, model) if model.languages else docs
 

@@ -224,7 +224,7 @@ def predict(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
     return df.select(*keep, text).mapInPandas(run, schema)
 
 
-def accepted(df: DataFrame, model: Model, text: str = "text", least: float = 0.5) -> DataFrame:
+def accepted(df: DataFrame, model: Model, text: str = "text", least: float = 0.3) -> DataFrame:
     """The rows whose text has a language: not ``und``, and one language that
     holds at least the share ``least`` of the words."""
     shared = df.sparkSession.sparkContext.broadcast((model.languages, model.logs))
