@@ -60,7 +60,7 @@ PERCENT = 85
 #: A token of more sets than 2**FREQUENT is of a frequent class.
 FREQUENT = 5
 DICTIONARY = 4_000_000
-MANY = 48
+MANY = 12
 ROUNDS = 2
 #: Ids (8 bytes each) that may be broadcast instead of shuffling the texts.
 BROADCAST_IDS = 2_000_000
