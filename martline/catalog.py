@@ -532,8 +532,9 @@ def q_stream_dedup_bounded_orders(spark, sf_dir):
     the purchase time only. All orders, then all of them again 20,000 days
     later, then those again. A key is forgotten when the watermark, the newest
     time less the delay, reaches its own time plus the delay: so the second
-    load passes but for the newest order, and all of the third is late or
-    remembered."""
+    load passes and all of the third is late or remembered. Whether the newest
+    key is forgotten just in time depends on when the engine evicts, so its
+    copies are left out of the result."""
     from martline.streaming import consumer
     root = scratch_path(spark, "topic-orders")
     out, ckpt = scratch_path(spark, "dedup-bounded"), scratch_path(spark, "ckpt-bounded")
@@ -551,7 +552,9 @@ def q_stream_dedup_bounded_orders(spark, sf_dir):
              .option("path", out).option("checkpointLocation", ckpt)
              .trigger(availableNow=True).start())
         q.awaitTermination()
-    return spark.read.parquet(out)
+    newest = later.agg(F.max("order_purchase_timestamp")).first()[0]
+    return spark.read.parquet(out).filter(
+        F.col("order_purchase_timestamp") < F.lit(newest.isoformat(sep=" ")).cast("timestamp_ntz"))
 
 
 @register("stream_file_source", oracle.sql("SELECT * FROM raw_payments", "raw_payments"))
