@@ -15,8 +15,11 @@ of Latin-1 within their runs, anything else stays. A date is its day number in
 the 400 years from 1800 (146,097 = 189 x 773 days, two digits), an IPv4
 address four digits of radix 256, a hex token digits of radix 16.
 
-Everything is a column expression: the text is cut at the matches of one
-pattern, the matches are replaced and the pieces joined again.
+Everything is a column expression: the text is cut at the places where a value
+may start. At each place the possible extents are tried, the likeliest first
+(a card's printed groups, an IBAN's length by country, a phone number that
+ends where another value starts), and the first valid one counts; the values
+taken from left to right are replaced and the pieces joined again.
 
 Edges: null text stays null, empty text stays empty, with no findings; values
 that fail their validation (check digits, calendar, octets, length) stay as
@@ -38,10 +41,11 @@ ROUNDS = 10
 RUNS = [(48, 10), (65, 26), (97, 26), (0xC0, 23), (0xD8, 7), (0xDF, 24), (0xF8, 8)]
 
 # Kind -> (what may not or must stand before, the value); no letter or digit
-# may follow. The first kind that matches at a place wins.
+# may follow. A place is where a value of any kind may start.
 _ALONE = "(?<![\\p{L}\\p{N}])"
+_END = "(?![\\p{L}\\p{N}])"
 PATTERNS = {
-    "email": ("", "[\\p{L}\\p{N}][\\p{L}\\p{N}._%+-]*@(?:[A-Za-z0-9-]+\\.)+[A-Za-z]{2,}"),
+    "email": (_ALONE, "[\\p{L}\\p{N}][\\p{L}\\p{N}._%+-]*@(?:[A-Za-z0-9-]+\\.)+[A-Za-z]{2,}"),
     "secret": ("(?<=[\"'=: ])", "(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})"),
     "iban": (_ALONE, "[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"),
     "ipv4": ("(?<![\\p{L}\\p{N}.])", "[0-9]{1,3}(?:\\.[0-9]{1,3}){3}(?!\\.[0-9])"),
@@ -51,7 +55,42 @@ PATTERNS = {
                   "|\\([0-9]{3}\\) ?[0-9]{3}-[0-9]{4}|(?<![\\p{L}\\p{N}])[0-9]{3}-[0-9]{3}-[0-9]{4})"),
     "card": (_ALONE, "[0-9](?:[ -]?[0-9]){12,18}"),
 }
-ANY = "(?:" + "|".join(f"{b}{p}" for b, p in PATTERNS.values()) + ")(?![\\p{L}\\p{N}])"
+PLACE = "(?:" + "|".join(f"{b}(?=(?:{p}){_END})" for b, p in PATTERNS.values()) + ")"
+#: The text from a place on, as far as a value there may reach.
+WINDOW = f"{PLACE}(?=({PATTERNS['email'][1]}{_END}|(?s:.{{1,80}})))"
+
+# Length of an IBAN by country.
+_IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK",
+    21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG YE", 25: "LY PT ST", 26: "IS TR",
+    27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU", 31: "MT SC", 32: "LC", 33: "RU"}
+# The printed shapes of a card number: unbroken, or in groups.
+_CARDS = ["[0-9]{13,19}", "[0-9]{4}(?:[ -][0-9]{4}){3}", "[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5}",
+          "[0-9]{4}(?:[ -][0-9]{4}){3}[ -][0-9]{3}"]
+# What is a value of its own after a phone number's separator; groups of four
+# that go on may have the card later.
+_OTHER = "(?:" + "|".join([PATTERNS[k][1] for k in ("ipv4", "date", "ssn")] + _CARDS[:1] + [
+    _CARDS[1] + "(?![ -][0-9]{4}(?![0-9]))", _CARDS[2], "[0-9]{3}-[0-9]{3}-[0-9]{4}", "[0-9]{1,2}/[0-9]{2}(?:[0-9]{2})?"]) + f"){_END}"
+_GROUP = f"(?:[ .-](?!{_OTHER}))?[0-9]{{2,4}}"
+
+
+def _iban_groups(n: int) -> str:
+    rest = f"(?: ?[A-Z0-9]{{{n % 4}}})" if n % 4 else ""
+    return f"[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{{n // 4 - 1}}}{rest}"
+
+
+#: What a value of a kind may be at a place, the likeliest first; the first
+#: that is valid counts. Other kinds have one pattern of a fixed extent.
+ALTERNATIVES = {
+    "iban": ["(?:" + "|".join(f"(?:{c.replace(' ', '|')}){_iban_groups(n)}" for n, c in _IBAN_LENGTHS.items()) + ")",
+             *[f"[A-Z]{{2}}{_iban_groups(n)}" for n in range(35, 11, -1)]],
+    "phone": ["\\+1[ .-]?\\(?[0-9]{3}\\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}",
+              *[f"\\+[0-9]{{1,3}}[ .-]?\\(?[0-9]{{2,4}}\\)?{_GROUP}{_GROUP}{more}" for more in (f"(?:{_GROUP})?", "")],
+              PATTERNS["phone"][1], "\\+[0-9]{1,3}[ .-]?\\(?[0-9]{2,4}\\)?(?:[ .-]?[0-9]{2,4}){2}"],
+    "card": _CARDS + [f"[0-9](?:[ -]?[0-9]){{{n - 1}}}" for n in range(19, 12, -1)],
+}
 
 
 def _shifts(half: Column, other: Column, n_before: Column, key: str, tweak: Column, rnd: Column) -> Column:
@@ -234,35 +273,72 @@ _MOVES = {"email": _email, "secret": _secret, "iban": _iban, "ipv4": _ipv4, "dat
           "ssn": _ssn, "phone": _phone, "card": _card}
 
 
-def pseudonym(value: Column, key: str) -> Column:
-    """Struct (kind, pseudonym) of one match; nulls if it isn't valid. Kinds
-    are tried in the order of PATTERNS on the whole match."""
+def pseudonym(window: Column, before: Column, key: str) -> Column:
+    """Struct (kind, value, pseudonym, loose) of the value at the start of
+    ``window``, the text from a place on; null if none is valid. ``before`` is
+    the text up to the place. Kinds are tried in the order of PATTERNS and the
+    alternatives of a kind in theirs. ``loose``: a card number in no printed
+    shape after another number, which may be that one's middle."""
     def named(kind: str) -> Column:
-        moved = F.when(value.rlike(f"^{PATTERNS[kind][1]}$"), _MOVES[kind](value, key))
-        return let(moved, lambda v: F.when(v.isNotNull(), F.struct(
-            F.lit(kind).alias("kind"), v.alias("pseudonym"))))
+        behind, whole = PATTERNS[kind]
+        some = F.array(*[F.regexp_extract(window, f"^(?:{p}){_END}", 0) for p in ALTERNATIVES.get(kind, [whole])])
+        starts = window.rlike(f"^(?:{whole}){_END}")
+        if kind in ("secret", "ipv4"):
+            starts = starts & F.concat(before, F.lit("0")).rlike(f"{behind}0$")
+        loose = F.lit(False) if kind != "card" else before.rlike("[0-9][ -]$")
+        tried = F.transform(F.array_distinct(F.filter(some, lambda v: v != "")), lambda v: F.struct(
+            F.lit(kind).alias("kind"), v.alias("value"), _MOVES[kind](v, key).alias("pseudonym"),
+            (loose & ~v.rlike("^(?:" + "|".join(_CARDS) + ")$")).alias("loose")))
+        return F.when(starts, F.get(F.filter(tried, lambda x: x["pseudonym"].isNotNull()), F.lit(0)))
     return F.coalesce(*map(named, PATTERNS))
 
 
+def _chosen(pieces: Column, at: Column) -> Column:
+    """For each piece (skip: its characters that belong to a value, taken:
+    whether a value is replaced at its start), from left to right: the values
+    ``at`` the pieces' starts that overlap none before. A loose one must
+    follow a value directly."""
+    def step(a: Column, x: Column) -> Column:
+        free = (a["until"] <= a["pos"]) & (~x["loose"] | (a["pos"] - a["until"] <= 1))
+        taken = F.coalesce(x["reach"].isNotNull() & free, F.lit(False))
+        until = F.when(taken, a["pos"] + x["reach"]).otherwise(a["until"])
+        return F.struct(
+            (a["pos"] + x["n"]).alias("pos"), until.alias("until"),
+            F.concat(a["out"], F.array(F.struct(
+                F.least(F.greatest(until - a["pos"], F.lit(0)), x["n"]).alias("skip"),
+                taken.alias("taken")))).alias("out"))
+    sizes = F.transform(pieces, lambda x, i: F.struct(
+        F.length(x).alias("n"), F.length(F.get(at, i)["value"]).alias("reach"), F.get(at, i)["loose"].alias("loose")))
+    start = F.struct(F.lit(0).alias("pos"), F.lit(-10).alias("until"),
+                     F.array().cast("array<struct<skip:int,taken:boolean>>").alias("out"))
+    return F.aggregate(sizes, start, step, lambda a: a["out"])
+
+
 def pseudonymise(df: DataFrame, key: str, text: str = "text", found: str = "pii") -> DataFrame:
     """``df`` with ``text`` rewritten, plus the column ``found``: array of (kind,
     pseudonym) structs in the order of the text. The key is a secret of the
     caller; the same key gives the same pseudonyms in every run."""
     t = F.col(text)
-    raw = F.when(t.rlike("[0-9@]"), F.regexp_extract_all(t, F.lit(ANY), F.lit(0)))
-    # (match, kind, pseudonym) of each match; null kind where it isn't valid.
-    moved = F.when(F.size(raw) > 0, F.transform(
-        raw, lambda v: let(pseudonym(v, key), lambda p: F.struct(
-            v.alias("value"), p["kind"].alias("kind"), p["pseudonym"].alias("pseudonym")))))
-    work = df.withColumn("_pii_new", moved)
-    new = F.col("_pii_new")
-    joined = F.array_join(F.transform(
-        F.split(t, ANY, -1),
-        lambda x, i: F.concat(x, F.coalesce(F.get(new, i)["pseudonym"], F.get(new, i)["value"], F.lit("")))), "")
-    valid = F.filter(new, lambda x: x["kind"].isNotNull())
+    windows, cut = F.col("_pii_windows"), F.split(t, PLACE, -1)
+    # One piece before the first place, also an empty one, then one a place.
+    pieces = F.when(F.size(windows) > 0, let(cut, lambda x: F.when(
+        F.size(x) > F.size(windows), x).otherwise(F.concat(F.array(F.lit("")), x))))
+    work = df.withColumn("_pii_windows", F.when(
+        t.rlike("[0-9@]"), F.regexp_extract_all(t, F.lit(WINDOW), F.lit(1))))
+    work = work.withColumn("_pii_pieces", pieces)
+    pieces = F.col("_pii_pieces")
+    # The first piece starts at no place.
+    work = work.withColumn("_pii_at", F.transform(pieces, lambda _, i: F.when(i > 0, let(
+        F.substring(F.get(pieces, i - 1), -2, 2), lambda b: pseudonym(F.get(windows, i - 1), b, key)))))
+    work = work.withColumn("_pii_new", _chosen(pieces, F.col("_pii_at")))
+    at, new = F.col("_pii_at"), F.col("_pii_new")
+    valid = F.filter(at, lambda x, i: F.get(new, i)["taken"])
+    joined = F.array_join(F.transform(pieces, lambda x, i: F.concat(
+        F.when(F.get(new, i)["taken"], F.get(at, i)["pseudonym"]).otherwise(F.lit("")),
+        F.substring(x, F.get(new, i)["skip"] + 1, F.length(x)))), "")
     none = F.array().cast("array<struct<kind:string,pseudonym:string>>")
     return (work.withColumns({
         text: F.when(F.size(valid) > 0, joined).otherwise(t),
         found: F.coalesce(F.transform(valid, lambda x: F.struct(
             x["kind"].alias("kind"), x["pseudonym"].alias("pseudonym"))), none)})
-        .drop("_pii_new"))
+        .drop("_pii_windows", "_pii_pieces", "_pii_at", "_pii_new"))

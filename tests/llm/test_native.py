@@ -100,6 +100,32 @@ def test_equal_values_stay_linked_and_different_ones_differ(spark):
     assert len(set(first)) == len(cards) and rows[-1].text.endswith(first[0])
 
 
+def test_adjacent_values_of_every_pair_of_kinds(spark):
+    values = {
+        "card": ["4111111111111111", "4111 1111 1111 1111", "3782 822463 10005"], "iban": ["GB82 WEST 1234 5698 7654 32", "DE89370400440532013000"],
+        "ipv4": ["190.137.223.204"], "date": ["1999-02-28", "31/12/2001", "05.06.1980"], "ssn": ["123-45-6789"],
+        "phone": ["+1 (826) 555-4081", "+44 20 7946 0958", "(555) 123-4567", "555-123-4567"],
+        "email": ["und.34@mail7.example.com"], "secret": ["24be64439e3e49cf46b2d7c90f3602a3d0b907ff"]}
+    flat = [(k, v) for k, vs in values.items() for v in vs]
+    alone = {v: r.pii for (_, v), r in zip(flat, replaced(spark, *[f"a {v}" for _, v in flat]))}
+    assert all([x.kind for x in alone[v]] == [k] for k, v in flat)
+    pairs = [(a, b) for _, a in flat for _, b in flat]
+    for (a, b), row in zip(pairs, replaced(spark, *[f"x {a} {b}. y" for a, b in pairs])):
+        assert row.pii == alone[a] + alone[b], (a, b)
+        assert row.text == f"x {alone[a][0].pseudonym} {alone[b][0].pseudonym}. y"
+
+
+def test_a_number_beside_a_value_hides_nothing(spark):
+    card = "4111111111111111"
+    texts = [f"{card} 12/25", f"12 {card}", "4111 1111 1111 1111 123", "1234 4111 1111 1111 1111", f"{card}-{card}",
+             "41111111 11111111 99", "123-45-6789 41 1111 1111 1111 11"]
+    kinds = [[x.kind for x in r.pii] for r in replaced(spark, *texts)]
+    assert kinds == [["card"]] * 4 + [["card"] * 2, ["card"], ["ssn", "card"]]
+    first = replaced(spark, card)[0].text
+    rows = replaced(spark, *texts[:2])
+    assert [r.text for r in rows] == [f"{first} 12/25", f"12 {first}"]
+
+
 def test_dates_are_permuted(spark):
     days = spark.range(0, 146_097, 7).select(
         F.date_add(F.lit("1800-01-01").cast("date"), F.col("id").cast("int")).cast("string").alias("text"))
