@@ -179,7 +179,7 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's ids, written to token files and read back."""
     path = scratch_path(spark, "token-files")
     token_files.write(documents(spark, sf_dir).select("doc_id", "text"),
-                      public_tokenizers.path(WORD_BPE), WORD_BPE_END, path)
+                      public_tokenizers.path(WORD_BPE), WORD_BPE_END, path, added=True)
     return token_files.digests(spark, path)
 
 

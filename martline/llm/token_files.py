@@ -127,17 +127,31 @@ class _Words:
     always parts the pattern's matches and has no id, so a text's ids are
     those of its words in a row. Words met before come from a bounded cache;
     the others go to the library some hundreds at a time, and each id belongs
-    to the word that its offset lies in."""
+    to the word that its offset lies in.
+
+    ``added``: the tokenizer's added tokens, such as <|endoftext|>, are matched
+    in the raw text, inside words too, and part it, as the library does by
+    default; without, they are text like other text."""
 
     LIMIT = 1_500_000
     CACHED_CHARS = 64
     AT_ONCE = 500
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        # The words that reach the library hold no added token.
         self.tokenizer.encode_special_tokens = True
+        self.added: dict[str, bytes] = {}
+        if added:
+            tokens = self.tokenizer.get_added_tokens_decoder()
+            if any(t.normalized or t.lstrip or t.rstrip or t.single_word or not t.special for t in tokens.values()):
+                raise ValueError("added tokens must be special and match the raw text as they are")
+            self.added = {t.content: np.array([i], "<u4").tobytes() for i, t in tokens.items()}
+        # The library takes the leftmost, then the longest.
+        self.parts = re.compile("(" + "|".join(
+            re.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
         #: Ids of words, as little-endian 32-bit integers.
         self.known: dict[str, bytes] = {}
 
@@ -152,10 +166,18 @@ class _Words:
             for w, x, y in zip(part, cut, cut[1:]):
                 yield w, data[x:y]
 
+    def _split(self, text: str) -> list[str]:
+        """Words and added tokens of ``text``."""
+        if not any(t in text for t in self.added):
+            return _words(text)
+        # Every second piece is an added token.
+        return [w for i, x in enumerate(self.parts.split(text)) for w in ((x,) if i % 2 else _words(x))]
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [_CONTROL.split(t) if _SEPARATOR.search(t) else t.split() for t in texts]
+        split = list(map(self._split, texts))
         if len(self.known) >= self.LIMIT:
             self.known.clear()
+        self.known.update(self.added)
         found = [list(map(self.known.get, ws)) for ws in split]
         new = dict(self._fresh(sorted({  # neighbours share merges
             w for ws, ids in zip(split, found, strict=True) if None in ids
@@ -169,17 +191,22 @@ class _Words:
 # str.split() parts words at these too, which are no white space elsewhere.
 _SEPARATOR = re.compile(r"[\x1c-\x1f]")
 _CONTROL = re.compile(r"[\x20\x09-\x0D]+")
-_tokenizers: dict[str, _Words] = {}
+_tokenizers: dict[tuple[str, bool], _Words] = {}
+
+
+def _words(text: str) -> list[str]:
+    return _CONTROL.split(text) if _SEPARATOR.search(text) else text.split()
 
 
 def write(df: DataFrame, tokenizer_path: str, end_id: int, path: str, *, doc_id: str = "doc_id",
-          text: str = "text", parts: int | None = None) -> None:
+          text: str = "text", parts: int | None = None, added: bool = False) -> None:
     """Encode every text, append ``end_id`` to each, and write the ids as
     segments in ascending ``doc_id`` order (ties by text; null ids first).
 
     Null and empty texts are the end id alone; a text of any length is encoded
     whole, in a segment of its own if long. Equal doc_ids, even many, are
-    dealt over parts by their text.
+    dealt over parts by their text. ``added``: the tokenizer's added tokens in
+    a text get their own ids, the library's default; else they are plain text.
     """
     n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = (df.select(F.col(doc_id).cast("long").alias("doc_id"),
@@ -188,9 +215,9 @@ def write(df: DataFrame, tokenizer_path: str, end_id: int, path: str, *, doc_id:
             .repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if tokenizer_path not in _tokenizers:
-            _tokenizers[tokenizer_path] = _Words(tokenizer_path)
-        words = _tokenizers[tokenizer_path]
+        if (tokenizer_path, added) not in _tokenizers:
+            _tokenizers[tokenizer_path, added] = _Words(tokenizer_path, added)
+        words = _tokenizers[tokenizer_path, added]
         part, seq, docs, ids, held = TaskContext.get().partitionId(), 0, [], [], 0
 
         def segment() -> pd.DataFrame:

@@ -195,6 +195,20 @@ def test_files(spark, scratch, docs, monkeypatch):
         assert (digests[r.start].n_tokens, digests[r.start].ids_crc32) == (len(r.ids), crc)
 
 
+def test_added_tokens_as_the_library_has_them(spark, scratch, tmp_path):
+    """The query's ids equal those of an untouched tokenizer."""
+    from martline.llm.queries import QUERIES
+    from tokenizers import Tokenizer
+    library = Tokenizer.from_file(P.path("word_bpe_49k.json"))
+    texts = ["end of text <|endoftext|> next", "a<|endoftext|><|startoftext|>b'll", "<|endoftext|>", " <|ENDOFTEXT|> x",
+             "<|endoftext <|endoftext|>|>\x1c\x1dé<|startoftext|> e\u0301", "plain words", None, "", "<|endoftext|>" * 300]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r for r in QUERIES["op7_patched_token_files"](spark, str(tmp_path)).collect()}
+    for i, t in enumerate(texts):
+        ids = library.encode(t or "", add_special_tokens=False).ids + [2]
+        assert (rows[i].n_tokens, rows[i].ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())), t
+
+
 def test_empty_and_null_ids(spark, scratch, docs):
     path = P.path("word_bpe_49k.json")
     out = scratch("tokens-empty")
