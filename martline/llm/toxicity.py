@@ -16,7 +16,9 @@ of labelled documents by gradient ascent, the document score by a logistic
 curve on the expected count.
 
 Bounds: ``count_docs`` labelled documents or so for the counts, ``fit_docs``
-for the weights (by a hash of the id); a lexicon of ``LEXICON`` entries with
+of each label for the weights (by a hash of the id), each row weighed by the
+inverse of its label's share in the sample, so that scores do not move with
+the size of the table; a lexicon of ``LEXICON`` entries with
 the largest counts in toxic documents, each met in MIN_DOCS of them at least.
 
 Edges: null, empty and letterless texts score as no toxic token; equal texts
@@ -83,10 +85,12 @@ def _logistic(z):
 
 
 def forward_backward(emit: np.ndarray, starts: np.ndarray, ends: np.ndarray,
-                     pair: np.ndarray, count_pairs: bool = True) -> tuple[np.ndarray, np.ndarray, float]:
+                     pair: np.ndarray, count_pairs: bool = True,
+                     weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, float]:
     """Marginals of tag 1, expected tag pairs (2 x 2) and the log partition,
     for the chains [starts, ends) of ``emit`` (log potential of tag 1 against
-    tag 0); ``pair``: 2 x 2 log potentials of neighbouring tags.
+    tag 0); ``pair``: 2 x 2 log potentials of neighbouring tags; ``weight``:
+    how much each chain's tag pairs count (1 by default).
 
     Chains are cut into chunks. Each chunk's transfer matrix is built by
     running both starting tags through it, all chunks side by side; a walk
@@ -94,6 +98,7 @@ def forward_backward(emit: np.ndarray, starts: np.ndarray, ends: np.ndarray,
     second run within the chunks the marginals. Nothing is approximated.
     """
     chains = [(int(s), int(e)) for s, e in zip(starts, ends, strict=True) if e > s]
+    weight = np.ones(len(chains)) if weight is None else weight[ends > starts]
     if not chains:
         return np.zeros(len(emit)), np.zeros((2, 2)), 0.0
     cuts = [range(s, e, CHUNK) for s, e in chains]
@@ -104,6 +109,7 @@ def forward_backward(emit: np.ndarray, starts: np.ndarray, ends: np.ndarray,
     order = np.argsort(-size, kind="stable")
     rank = np.argsort(order, kind="stable")  # chunk in order of place -> row
     begin, size, first = begin[order], size[order], first[order]
+    weight = np.repeat(weight, [len(r) for r in cuts])[order]
     n, longest = len(begin), int(size[0])
     live = [int(np.searchsorted(-size, -t, "left")) for t in range(longest)]  # chunks longer than t
     move, enter = np.exp(pair), np.full((2, 2), 0.5)  # the first token has no pair
@@ -156,7 +162,7 @@ def forward_backward(emit: np.ndarray, starts: np.ndarray, ends: np.ndarray,
         after[:, 1] *= heat[begin[:k] + t]
         if count_pairs:
             joint = (fwd[t - 1, :k] if t else alpha[:k])[:, :, None] * move * after[:, None, :]
-            joint /= joint.sum(axis=(1, 2), keepdims=True)
+            joint *= (weight[:k] / joint.sum(axis=(1, 2)))[:, None, None]
             pairs += (joint if t else joint[~first[:k]]).sum(axis=0)
         b[:k] = after @ move.T
         b[:k] /= b[:k].sum(axis=1, keepdims=True)
@@ -279,30 +285,38 @@ def fit(labelled: DataFrame, text: str = "text", toxic: str = "toxic", key: str
               .where("odds > 0").orderBy(F.desc("n1"), "unit").limit(LEXICON).toPandas())
     model = Model(dict(zip(counts["unit"], counts["odds"], strict=True)))
     sample = _sample(rows.where(apart), fit_docs, "key").select("text", "toxic").orderBy("toxic", "text").toPandas()
-    _fit_chain(model, sample["text"].tolist(), sample["toxic"].to_numpy())
+    toxic_of = sample["toxic"].to_numpy()
+    whole = {r["toxic"]: r["count"] for r in rows.where(apart).groupBy("toxic").count().collect()}
+    weight = np.ones(len(sample))
+    for label, n in whole.items():
+        mine = toxic_of == label
+        weight[mine] = n / max(1, mine.sum())
+    _fit_chain(model, sample["text"].tolist(), toxic_of, weight * (len(weight) / max(1.0, weight.sum())))
     return model
 
 
-def _fit_chain(model: Model, texts: list[str], toxic: np.ndarray) -> None:
+def _fit_chain(model: Model, texts: list[str], toxic: np.ndarray, weight: np.ndarray) -> None:
     """Conditional likelihood of the token labels, by AdaGrad; then the
-    logistic curve of the documents' labels, by Newton steps."""
+    logistic curve of the documents' labels, by Newton steps. ``weight``: of
+    each document, one on average."""
     tokens = [_TOKEN.findall(t.lower()) for t in texts]
     x = np.array([model.lexicon.features(w) for ws in tokens for w in ws]).reshape(-1, N_FEATURES)
     ends = np.cumsum([len(ws) for ws in tokens])
     starts = ends - [len(ws) for ws in tokens]
     y = ((x[:, -1] > 0) & np.repeat(toxic == 1, ends - starts)).astype(float)
     gold = np.zeros((2, 2))
-    for s, e in zip(starts, ends, strict=True):
+    for s, e, v in zip(starts, ends, weight, strict=True):
         tags = y[s:e].astype(int)
-        np.add.at(gold, (tags[:-1], tags[1:]), 1)
+        np.add.at(gold, (tags[:-1], tags[1:]), v)
+    each = np.repeat(weight, ends - starts)
     # Most tokens of most documents are alike: one vector product a step.
     w, pair = np.zeros(N_FEATURES), np.zeros((2, 2))
     w[0] = -3.0
     seen_w, seen_p = np.full(N_FEATURES, 1e-6), np.full((2, 2), 1e-6)
-    n = max(1, len(y))
+    n = max(1.0, each.sum())
     for _ in range(STEPS):
-        marginal, pairs, _ = forward_backward(x @ w, starts, ends, pair)
-        gw = x.T @ (y - marginal) / n - 1e-6 * w
+        marginal, pairs, _ = forward_backward(x @ w, starts, ends, pair, weight=weight)
+        gw = x.T @ (each * (y - marginal)) / n - 1e-6 * w
         gp = (gold - pairs) / n - 1e-6 * pair
         seen_w += gw ** 2
         seen_p += gp ** 2
@@ -314,8 +328,8 @@ def _fit_chain(model: Model, texts: list[str], toxic: np.ndarray) -> None:
     c = np.zeros(design.shape[1])
     for _ in range(30):
         p = _logistic(design @ c)
-        hess = design.T @ (design * (p * (1 - p))[:, None]) + 0.1 * np.eye(len(c))
-        c += np.linalg.solve(hess, design.T @ (toxic - p) - 0.1 * c)
+        hess = design.T @ (design * (weight * p * (1 - p))[:, None]) + 0.1 * np.eye(len(c))
+        c += np.linalg.solve(hess, design.T @ (weight * (toxic - p)) - 0.1 * c)
     model.curve = tuple(c.tolist())
 
 

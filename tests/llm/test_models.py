@@ -147,6 +147,29 @@ def test_held_out_toxicity(spark, tagger):
     assert sum((r.score >= 0.3) == (r.toxic == 1) for r in rows) >= 0.97 * len(rows)
 
 
+def test_scores_do_not_move_with_the_size_of_the_table(spark, docs):
+    """The same rows ten times, under new ids: the sample of each label is
+    capped, the share of toxic rows is not."""
+    rnd = random.Random(8)
+    rows = []
+    for i in range(1500):
+        w = [rnd.choice([f"word{k}" for k in range(40)]) for _ in range(rnd.randrange(20, 40))]
+        toxic = int(rnd.random() < 0.1)
+        # A weak hit: in half of the toxic rows and in some of the clean ones.
+        w += ["vilex"] * (rnd.random() < (0.5 if toxic else 0.03)) + ["grunk"] * (toxic and rnd.random() < 0.3)
+        rows.append((" ".join(w), toxic))
+    texts = docs([(0, "word1 word2 word3 " * 8), (1, "word1 word2 word3 " * 8 + "vilex"),
+                  (2, "word1 word2 word3 " * 8 + "vilex grunk")])
+    found = []
+    for times in (1, 10):
+        table = [(k * len(rows) + i, t, x) for k in range(times) for i, (t, x) in enumerate(rows)]
+        model = toxicity.fit(spark.createDataFrame(table, "doc_id long, text string, toxic int"), fit_docs=250)
+        found.append({r.doc_id: r.score for r in toxicity.score(texts, model).collect()})
+    assert all(abs(found[0][i] - found[1][i]) < 0.15 for i in found[0]), found
+    odds = [math.log(f[0] / (1 - f[0])) for f in found]
+    assert abs(odds[0] - odds[1]) < 0.7, found
+
+
 # --- token files -------------------------------------------------------------------
 
 P = pytest.importorskip("public_tokenizers")
