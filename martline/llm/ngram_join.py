@@ -1,6 +1,7 @@
 """Exact Jaccard self-join on word n-grams by token-combination prefixes.
 
-A text's tokens are its distinct shingles of four words, as 64-bit hashes. All
+A text's tokens are its distinct shingles of so many words (four by default, up
+to six), as 64-bit hashes. All
 tokens have one order: rare ones first, then by how many sets hold them, then
 by hash. Two sets of sizes n <= m link at the threshold t when they share at
 least t / (1 + t) (n + m) tokens, which is at least 2 t / (1 + t) n and t m. So
@@ -35,7 +36,7 @@ tokens of more sets are in it, and the others count as rare), and up to
 ``BROADCAST_IDS`` ids of the documents to verify, beyond which they are joined.
 
 Edges: null, empty and wordless texts have the empty set and link with
-nothing; texts of one to three words are one shingle; equal texts link; very
+nothing; texts of fewer words than a shingle has are one; equal texts link; very
 long texts are taken whole; null or repeated doc_ids are replaced by row
 numbers within, so every row is a document of its own; other columns are
 ignored; an empty table gives an empty result.
@@ -111,6 +112,8 @@ def _word_hashes(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 def shingle_sets(texts: list[str | None], words: int = WORDS) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
+    if not 1 <= words <= 6:
+        raise ValueError("a shingle has one to six words")
     h, ends = _word_hashes(texts)
     if len(h) >= words:
         grams = np.zeros(len(h) - words + 1, np.uint64)
@@ -129,7 +132,7 @@ def shingle_sets(texts: list[str | None], words: int = WORDS) -> list[np.ndarray
     return out
 
 
-def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+def _pieces(batches: Iterator[pd.DataFrame], words: int) -> Iterator[tuple[list[int], list[np.ndarray]]]:
     """(ids, sets) of about PIECE characters of texts at a time."""
     for batch in batches:
         ids, texts, at = batch["doc_id"].tolist(), batch["text"].tolist(), 0
@@ -138,7 +141,7 @@ def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[list[int], list[n
             while upto < len(ids) and (upto == at or size < PIECE):
                 size += len(texts[upto]) if isinstance(texts[upto], str) else 0
                 upto += 1
-            yield ids[at:upto], shingle_sets(texts[at:upto])
+            yield ids[at:upto], shingle_sets(texts[at:upto], words)
             at = upto
 
 
@@ -182,7 +185,7 @@ def _unpacked(data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(data, "<u4" if len(data) == 4 * n else "<i8").astype(np.int64)
 
 
-def _survey(docs: DataFrame, bits: int) -> DataFrame:
+def _survey(docs: DataFrame, bits: int, words: int) -> DataFrame:
     """One pass over the texts. Rows of kind 0: a document's set size and set
     hash; of kind 1: a bucket's tokens of some thousand sets, each once, with
     the counts above one."""
@@ -198,7 +201,7 @@ def _survey(docs: DataFrame, bits: int) -> DataFrame:
                              counts[a:b][more].astype("<u4").tobytes()))
             return pd.DataFrame(rows, columns=["bucket", "tokens", "more", "counts"]).assign(kind=1)
 
-        for ids, sets in _pieces(batches):
+        for ids, sets in _pieces(batches, words):
             hashes = [_digest(s) for s in sets]
             yield pd.DataFrame({"kind": 0, "doc_id": ids, "n": list(map(len, sets)),
                                 "c1": [c[0] for c in hashes], "c2": [c[1] for c in hashes]})
@@ -322,10 +325,10 @@ def prefix_keys(s: np.ndarray, level: np.ndarray, percent: int = PERCENT, freque
                   np.concatenate([at[j] - 1, near]), np.repeat([1, 0], [len(i), len(single)]))
 
 
-def _index(docs: DataFrame, words: Dictionary, *options: int) -> DataFrame:
+def _index(docs: DataFrame, frequent: Dictionary, words: int, *options: int) -> DataFrame:
     """A second pass. Rows of kind 0: an index key of a frequent class (role 1)
     or a look-up (role 0); of kind 1: a bucket's rare tokens and their ids."""
-    shared = docs.sparkSession.sparkContext.broadcast((words.bits, words.keys, words.levels))
+    shared = docs.sparkSession.sparkContext.broadcast((frequent.bits, frequent.keys, frequent.levels))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         d = Dictionary(*shared.value)
@@ -340,7 +343,7 @@ def _index(docs: DataFrame, words: Dictionary, *options: int) -> DataFrame:
                                   _packed(f[a:b]) if f.max() >= 1 << 16 else f[a:b].astype("<u2").tobytes()) for bucket, a, b in _cut(k, d.bits)],
                                 columns=["kind", "bucket", "tokens", "ids", "places"])
 
-        for ids, sets in _pieces(batches):
+        for ids, sets in _pieces(batches, words):
             flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
             levels, at, more = d.level(flat), 0, []
             for i, s in zip(ids, sets, strict=True):
@@ -424,9 +427,9 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return met.mapInPandas(run, "a long, b long, common long, total long")
 
 
-def _sets(docs: DataFrame) -> DataFrame:
+def _sets(docs: DataFrame, words: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for ids, sets in _pieces(batches):
+        for ids, sets in _pieces(batches, words):
             yield pd.DataFrame({"doc_id": ids, "tokens": [s.astype("<u8").tobytes() for s in sets]})
 
     return docs.mapInPandas(run, "doc_id long, tokens binary")
@@ -443,11 +446,11 @@ def classes(survey: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, members: DataFrame, survey: DataFrame, bits: int,
           percent: int = PERCENT, frequent_level: int = FREQUENT, many: int = MANY,
-          dictionary: int = DICTIONARY) -> tuple[DataFrame, DataFrame]:
+          dictionary: int = DICTIONARY, words: int = WORDS) -> tuple[DataFrame, DataFrame]:
     """(links found, component labels) between class representatives. Links
     inside a component beyond those that join it are not all listed."""
-    words = _dictionary(materialise(_frequent(survey), "ngram-frequent"), bits, dictionary)
-    index = materialise(_index(docs, words, percent, frequent_level, many), "ngram-index")
+    frequent = _dictionary(materialise(_frequent(survey), "ngram-frequent"), bits, dictionary)
+    index = materialise(_index(docs, frequent, words, percent, frequent_level, many), "ngram-index")
     # Copies give the entries of their representative.
     entries = (index.where("kind = 0").select("key", "doc_id", "place", "role")
                .unionByName(_shared_tokens(index)).join(members, "doc_id")
@@ -462,7 +465,7 @@ def links(docs: DataFrame, members: DataFrame, survey: DataFrame, bits: int,
     wanted = materialise(entries.select("doc_id").distinct(), "ngram-wanted")
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)  # saves a shuffle of the texts
-    sets = materialise(_sets(docs.join(wanted, "doc_id", "left_semi")), "ngram-sets")
+    sets = materialise(_sets(docs.join(wanted, "doc_id", "left_semi"), words), "ngram-sets")
     spark = docs.sparkSession
     close = F.expr(f"""role_a + role_b > 0 AND 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)
         AND least(room_a, room_b) * (100 + {percent}) >= {percent} * (n_a + n_b)""")
@@ -504,12 +507,12 @@ def links(docs: DataFrame, members: DataFrame, survey: DataFrame, bits: int,
     return found, labels
 
 
-def _members(docs: DataFrame, percent: int, **classes_of_tokens: int) -> DataFrame:
+def _members(docs: DataFrame, percent: int, words: int = WORDS, **classes_of_tokens: int) -> DataFrame:
     """(doc_id, n, rep, label) of documents with unique ids."""
     bits = min(24, max(6, math.ceil(math.log2(docs.count() / 2000 + 1))))
-    survey = materialise(_survey(docs, bits), "ngram-survey")
+    survey = materialise(_survey(docs, bits, words), "ngram-survey")
     members = materialise(classes(survey), "ngram-classes")
-    _, labels = links(docs, members, survey, bits, percent, **classes_of_tokens)
+    _, labels = links(docs, members, survey, bits, percent, words=words, **classes_of_tokens)
     return members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
         "label", F.coalesce("label", "rep"))
 
@@ -524,19 +527,20 @@ def _numbered(df: DataFrame, doc_id: str) -> DataFrame | None:
 
 
 def join(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = PERCENT,
-         **classes_of_tokens: int) -> DataFrame:
-    """(doc_id, n_shingles, class_id, component_id) of every row: equal sets
-    share a class, and linked classes a component; both are named by the least
-    doc_id (null where no row has one). ``classes_of_tokens``: frequent_level,
-    many and dictionary, which change the work and not the result."""
+         words: int = WORDS, **classes_of_tokens: int) -> DataFrame:
+    """(doc_id, n_shingles, class_id, component_id) of every row, by shingles
+    of ``words`` words and a Jaccard of ``percent`` or more: equal sets share a
+    class, and linked classes a component; both are named by the least doc_id
+    (null where no row has one). ``classes_of_tokens``: frequent_level, many
+    and dictionary, which change the work and not the result."""
     docs = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = _numbered(docs, "doc_id")
     if rows is None:
-        return _members(docs, percent, **classes_of_tokens).select(
+        return _members(docs, percent, words, **classes_of_tokens).select(
             "doc_id", F.col("n").alias("n_shingles"), F.col("rep").alias("class_id"),
             F.col("label").alias("component_id"))
     found = materialise(
-        _members(rows.select(F.col("_row").alias("doc_id"), "text"), percent, **classes_of_tokens)
+        _members(rows.select(F.col("_row").alias("doc_id"), "text"), percent, words, **classes_of_tokens)
         .withColumnRenamed("doc_id", "_row").join(rows.select("_row", "doc_id"), "_row"), "ngram-rows")
     name = lambda c, out: found.groupBy(c).agg(F.min("doc_id").alias(out))
     return (found.join(name("rep", "class_id"), "rep").join(name("label", "component_id"), "label")
@@ -544,15 +548,15 @@ def join(df: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int
 
 
 def representatives(df: DataFrame, doc_id: str = "doc_id", text: str = "text",
-                    percent: int = PERCENT) -> DataFrame:
+                    percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """The rows of ``df`` that stand for their component: the one of the least
     doc_id, or of the first row where ids are null or repeated. All columns
     pass unchanged."""
     rows = _numbered(df, doc_id)
     if rows is None:
-        kept = _members(df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), percent)
+        kept = _members(df.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")), percent, words)
         kept = kept.where("doc_id = label").select(F.col("doc_id").alias("_kept"))
         return df.join(kept, df[doc_id].cast("long") == kept["_kept"], "left_semi")
-    kept = _members(rows.select(F.col("_row").alias("doc_id"), F.col(text).alias("text")), percent)
+    kept = _members(rows.select(F.col("_row").alias("doc_id"), F.col(text).alias("text")), percent, words)
     kept = kept.where("doc_id = label").select(F.col("doc_id").alias("_kept"))
     return rows.join(kept, rows["_row"] == kept["_kept"], "left_semi").drop("_row")

@@ -39,6 +39,21 @@ def test_stage_decisions(spark, docs):
     assert "10.1.2.3" not in text[71] and text[60] is None
 
 
+def test_near_duplicates_equal_brute_force(spark, docs):
+    """Five words and 80 %: appended and cut copies just above and below."""
+    rnd = random.Random(12)
+    rows = []
+    for extra in (45, 52, -34, -44, 20, 60):
+        base = [f"w{rnd.randrange(5000)}" for _ in range(200)]
+        copy = base + [f"w{rnd.randrange(5000)}" for _ in range(extra)] if extra > 0 else base[:extra]
+        rows += [(len(rows), " ".join(base)), (len(rows) + 1, " ".join(copy))]
+    sets = [frozenset(zip(*[t.split()[k:] for k in range(5)])) for _, t in rows]
+    near = [{i for i in range(len(rows)) if 100 * len(s & sets[i]) >= 80 * len(s | sets[i])} for s in sets]
+    want = {i for i, group in enumerate(near) if i == min(group)}
+    assert 196 / 241 > 0.8 and {1, 5} & want == set() and {3, 7} < want
+    assert {r.doc_id for r in C.near_duplicates(spark, docs(rows), SF).collect()} == want
+
+
 @pytest.mark.parametrize("k", range(4))
 def test_empty_table_and_clashing_columns(spark, docs, k):
     from pyspark.sql import functions as F
