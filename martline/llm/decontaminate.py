@@ -19,7 +19,8 @@ large the benchmark, and every block meets every document, in pieces of
 ``PIECE`` characters that overlap by more than a passage.
 
 Edges: null and empty texts match nothing; null and empty passages are never
-found; equal passages are all reported; an empty table gives an empty result.
+found; a passage with a null id counts like others (those found in a document
+are one row with a null item_id); equal passages are all reported; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -174,14 +175,14 @@ class Block:
                 yield self.ids[k], edits, low + start, low + end
 
 
-def blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[list[tuple[int, str]]]:
+def blocks(benchmark: DataFrame, item: str, text: str) -> Iterator[list[tuple[int | None, str]]]:
     """The passages, in blocks of about BLOCK_CHARS characters; one block is
     on the driver at a time."""
     rows = benchmark.select(F.col(item).cast("long").alias("item"), F.col(text).alias("text"))
     held, size = [], 0
     for row in rows.toLocalIterator():
         passage = normalise(row["text"])
-        if row["item"] is None or not passage:
+        if not passage:
             continue
         held.append((row["item"], passage))
         size += len(passage)
@@ -210,7 +211,9 @@ def find(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text:
                 out = [(key, *place) for key, raw in zip(batch["doc_id"], batch["text"], strict=True)
                        for place in block.places(raw)]
                 if out:
-                    yield pd.DataFrame(out, columns=["doc_id", "item_id", "edits", "start", "end"])
+                    key, item, edits, start, end = zip(*out, strict=True)
+                    yield pd.DataFrame({"doc_id": key, "item_id": pd.array(item, "Int64"), "edits": edits,
+                                        "start": start, "end": end})
 
         found = found.unionByName(narrow.mapInPandas(run, schema))
     best = F.min(F.struct("edits", "start", "end"))

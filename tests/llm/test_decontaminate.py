@@ -89,6 +89,16 @@ def test_empty_tables(spark, docs):
     assert kept.columns == odd.columns and kept.count() == 2
 
 
+def test_passages_with_a_null_id_count(spark, docs):
+    bench = spark.createDataFrame([(None, "some passage of text here"), (None, "another passage without id"),
+                                   (2**60 + 1, "a passage with an id")], "item_id long, text string")
+    df = docs([(1, "x some passage of text here and another passage without id"), (2, "clean"),
+               (3, "x a passage with an id, some passage of text here"), (4, "a passage with an id")])
+    assert [r.doc_id for r in D.clean(df, bench).collect()] == [2]
+    got = {(r.doc_id, r.item_id, r.edits, r.start) for r in D.find(df, bench).collect()}
+    assert got == {(1, None, 0, 2), (3, None, 0, 24), (3, 2**60 + 1, 0, 2), (4, 2**60 + 1, 0, 0)}
+
+
 def test_grams_are_equal_only_for_equal_text():
     c = D.codes("abcdefghijklmnop abcdefghijklmnoq")
     h = D.grams(c)
