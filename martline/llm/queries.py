@@ -15,7 +15,10 @@ from martline.llm import (
     langid,
     licenses,
     ngram_join,
+    packing,
+    periodic,
     pii,
+    prefix_trie,
     quality,
     sharding,
     token_files,
@@ -216,3 +219,43 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model).select(
         "doc_id", "held_out", "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
         F.size("spans").cast("long").alias("n_spans"))
+
+
+@register("op11_word_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every document's words, a tenth of them with a periodic tail."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    tail = periodic.periodic_tail(
+        F.col("text"), start=lambda n: g % n, period=lambda n, a: 1 + F.floor((n - a) / (3 + g % 8)))
+    docs = documents(spark, sf_dir).select("doc_id", F.when(h % 10 == 0, tail).otherwise(F.col("text")).alias("text"))
+    found = periodic.detect(docs)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("longest", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.start")).alias("start"),
+        F.col("longest.length").alias("length"), (-F.col("longest.period")).alias("period"),
+        F.expr("1000 * longest.length div -longest.period").alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+BYTE_BPE = "byte_bpe_50k.json"
+BYTE_BPE_END = 0
+
+
+@register("op12_grouped_packing")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' tokens packed into sequences of 2048."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path(BYTE_BPE), BYTE_BPE_END).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+@register("op13_conversation_trie")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of the rebuilt conversations."""
+    turns = spark.read.parquet(table_path(sf_dir, "conversations"))
+    convs = prefix_trie.with_borrowed_starts(prefix_trie.conversations(turns))
+    return prefix_trie.trie(prefix_trie.strings(convs))

@@ -69,5 +69,5 @@ def test_empty_table_and_clashing_columns(spark, docs, k):
 def test_registered():
     import __spark_entry__ as e
     names = set(e.queries())
-    assert {f"op{n}_" for n in range(1, 11)} == {q.split("_")[0] + "_" for q in QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {q.split("_")[0] + "_" for q in QUERIES}
     assert set(QUERIES) | {"pipeline"} <= names and set(ORACLE) <= set(e.oracle_sql())
