@@ -15,9 +15,10 @@ from martline.functions.text import clean_text, code_text, composite_key, title_
 from martline.functions.time import calendar_days
 from martline.operators.dedup import first_per_key
 from martline.operators.dense_key import dense_key
+from martline.operators.incremental_key import KeyStore
 from martline.operators.filters import dropna_subset, filter_non_negative, filter_not_null
 from martline.operators.sample import sample_head
-from martline.plans import clean, dims, quality, rfm, runlog, stage
+from martline.plans import clean, dims, quality, quality_state, rfm, runlog, stage, unvalidated
 from martline.plans import warehouse as wh
 from martline.session import scratch_path, written
 from martline.sources import files, fixtures, jdbc
@@ -137,6 +138,50 @@ def q_quality_fact_sales_enriched(spark, sf_dir):
                        quality.fact_sales_enriched_checks())
 
 
+_DIRTY_ITEMS = ("SELECT *, 1 AS delivery FROM raw_items UNION ALL SELECT *, 2 FROM raw_items "
+                f"WHERE shipping_limit_date >= TIMESTAMP '{unvalidated.DELIVERED_TWICE_FROM}'")
+oracle._def("dirty_fact", ["raw_items", "raw_orders", "raw_payments", "dim_customer", "dim_product", "dim_seller"], f"""
+SELECT i.order_id, i.order_item_id, o.customer_id, i.product_id, i.seller_id,
+       c.customer_key, p.product_key, s.seller_key, i.price + i.freight_value AS gross_sales_value,
+       i.freight_value * sign(i.price) AS freight_value, t.total_payment_value, t.payment_count
+FROM ({_DIRTY_ITEMS}) i JOIN raw_orders o ON i.order_id = o.order_id
+LEFT JOIN (SELECT order_id, sum(payment_value) AS total_payment_value, sum(sign(payment_value)) AS payment_count
+           FROM raw_payments GROUP BY order_id) t ON i.order_id = t.order_id
+LEFT JOIN dim_customer c ON o.customer_id = c.customer_id
+LEFT JOIN dim_product p ON i.product_id = p.product_id AND p.product_category_name IS NOT NULL
+LEFT JOIN dim_seller s ON i.seller_id = s.seller_id AND s.seller_state <> '{unvalidated.LOST_SELLERS_STATE}'""")
+
+_DIRTY_SQL = oracle.sql(_qc_sql("dirty_fact", [
+    *((f"null_{d}_key_count", f"SELECT count(*) FROM dirty_fact WHERE {d}_key IS NULL")
+      for d in ("customer", "product", "seller")),
+    ("negative_gross_sales_rows", "SELECT count(*) FROM dirty_fact WHERE gross_sales_value < 0"),
+    ("negative_freight_rows", "SELECT count(*) FROM dirty_fact WHERE freight_value < 0"),
+    ("negative_payment_rows", "SELECT count(*) FROM dirty_fact WHERE total_payment_value < 0"),
+    ("mismatched_payment_count", "SELECT count(*) FROM dirty_fact WHERE payment_count < 0"),
+    *((f"duplicate_{n}_rows", _dup_sql("dirty_fact", cols)) for n, cols in (
+        ("order_item", "order_id, order_item_id"), ("order", "order_id"),
+        ("customer_product", "customer_id, product_id"), ("order_seller", "order_id, seller_id"))),
+]), "dirty_fact")
+
+
+@register("quality_unvalidated_fact", _DIRTY_SQL)
+def q_quality_unvalidated_fact(spark, sf_dir):
+    """The checks of both facts and four key sets, in one scan of the facts as
+    they would be without the cleaning rules: every check fails."""
+    first, again = unvalidated.deliveries(spark, sf_dir)
+    return quality.run(unvalidated.fact(spark, sf_dir, first.unionByName(again)), unvalidated.checks())
+
+
+@register("quality_over_loads", _DIRTY_SQL)
+def q_quality_over_loads(spark, sf_dir):
+    """The same from the merged states of two loads, each read once. The
+    duplicates lie across the loads."""
+    state = quality_state.QualityState(spark, scratch_path(spark, "quality-state"), unvalidated.checks(), buckets=8)
+    for load, items in enumerate(unvalidated.deliveries(spark, sf_dir), 1):
+        state.add(unvalidated.fact(spark, sf_dir, items), load)
+    return state.results()
+
+
 # ---- filters, dedup, projections, scalars --------------------------------------------
 
 @register("filter_not_null", oracle.sql(
@@ -365,6 +410,43 @@ def q_dense_key_composite(spark, sf_dir):
                      sample_src=raw.select("order_id", "order_item_id"))
 
 
+def _two_loads(spark, rows, keys, first, name, **opts):
+    """Keys after a load of the rows where ``first`` and a load of all rows."""
+    rows = written(rows.select(*keys, F.coalesce(first, F.lit(False)).alias("_first")), "key-loads")
+    store = KeyStore(spark, scratch_path(spark, "key-store"), rows.select(*keys).schema, name, buckets=8, **opts)
+    store.load(rows.where("_first"))
+    return store.load(rows).drop("load")
+
+
+def _two_loads_sql(table: str, keys: str, name: str, first: str) -> str:
+    """Keys of the first load's rows, then of the others, from there on."""
+    return (f"SELECT {keys}, CAST(row_number() OVER (ORDER BY CASE WHEN {first} THEN 0 ELSE 1 END, {keys}) AS BIGINT) "
+            f"AS {name} FROM {table}")
+
+
+@register("dense_key_second_load", oracle.sql(
+    _two_loads_sql("staged_orders", "order_id", "order_key", "coalesce(order_status = 'delivered', false)"), "staged_orders"))
+def q_dense_key_second_load(spark, sf_dir):
+    """Persistent order keys: the delivered orders are loaded, then all orders;
+    the second load keys the others only, from the highest key on."""
+    orders = wh.staged(spark, sf_dir, "orders")
+    return _two_loads(spark, orders, ["order_id"], F.col("order_status") == "delivered", "order_key")
+
+
+_EARLY = "1998-06-01"
+
+
+@register("dense_key_second_load_items", oracle.sql(
+    _two_loads_sql("staged_items", "order_id, order_item_id", "item_key",
+                   f"coalesce(shipping_limit_date < TIMESTAMP '{_EARLY}', false)"), "staged_items"))
+def q_dense_key_second_load_items(spark, sf_dir):
+    """Persistent keys over two columns: the items shipped early, then all; the
+    new boundaries of the second load are taken as the first are too coarse."""
+    early = F.col("shipping_limit_date") < F.lit(_EARLY).cast("timestamp_ntz")
+    return _two_loads(spark, wh.staged(spark, sf_dir, "items"), ["order_id", "order_item_id"], early, "item_key",
+                      rows_per_bucket=1 << 14)
+
+
 @register("sample_head", oracle.sql(
     f"SELECT * FROM clean_orders ORDER BY order_purchase_timestamp NULLS LAST, order_id NULLS LAST, "
     f"customer_id NULLS LAST, order_status NULLS LAST, order_approved_at NULLS LAST, "

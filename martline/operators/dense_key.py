@@ -138,17 +138,36 @@ def _assigner(key: Column, bounds: list[tuple], key_type, spark):
 def range_buckets(keys_src: DataFrame, order: list[str | Column], *,
                   rows_per_bucket: int = 1_000_000, min_rows_per_bucket: int = 10_000,
                   samples_per_bucket: int = 32, seed: int = 7,
-                  size_hint: int | None = None, sample_src: DataFrame | None = None):
+                  size_hint: int | None = None, sample_src: DataFrame | None = None,
+                  bounds: list[tuple] | None = None):
     """Plan the bucketing for ``order`` from a key-only DataFrame. Returns
     ``(assign, bucket_count)`` where ``assign(df)`` adds ``_bucket``. Runs a
     count unless ``size_hint`` (any upper bound of the row count, e.g. the
     input table's count) is given, and one bounded sampling job when more
-    than one bucket is needed."""
+    than one bucket is needed; neither if ``bounds`` (of ``boundaries``) are
+    given."""
+    if bounds is None:
+        bounds = boundaries(keys_src, order, rows_per_bucket=rows_per_bucket,
+                            min_rows_per_bucket=min_rows_per_bucket, samples_per_bucket=samples_per_bucket,
+                            seed=seed, size_hint=size_hint, sample_src=sample_src)
+    if not bounds:
+        return (lambda df: df.withColumn("_bucket", F.lit(0))), 1
+    key = _key_struct(order)
+    kind = keys_src.select(key.alias("k")).schema["k"].dataType
+    return _assigner(key, bounds, kind, keys_src.sparkSession), len(bounds) + 1
+
+
+def boundaries(keys_src: DataFrame, order: list[str | Column], *,
+               rows_per_bucket: int = 1_000_000, min_rows_per_bucket: int = 10_000,
+               samples_per_bucket: int = 32, seed: int = 7,
+               size_hint: int | None = None, sample_src: DataFrame | None = None) -> list[tuple]:
+    """Range boundaries of the buckets for ``order`` (see ``range_buckets``),
+    each a key with a null flag before each column; none for one bucket."""
     n = size_hint if size_hint is not None else keys_src.count()
     spark = keys_src.sparkSession
     b = bucket_count(n, default_parallelism(spark), rows_per_bucket, min_rows_per_bucket)
     if b == 1:
-        return (lambda df: df.withColumn("_bucket", F.lit(0))), 1
+        return []
     key = _key_struct(order)
     frac = min(1.0, 1.2 * b * samples_per_bucket / n)
     keyed = (sample_src if sample_src is not None else keys_src).select(key.alias("k"))
@@ -160,26 +179,27 @@ def range_buckets(keys_src: DataFrame, order: list[str | Column], *,
         if cand is not None and cand != last:
             bounds.append(cand)
             last = cand
-    return _assigner(key, bounds, keyed.schema["k"].dataType, spark), len(bounds) + 1
+    return bounds
 
 
 def dense_key(df: DataFrame, order: list[str | Column], name: str, *,
               keys_src: DataFrame | None = None, sample_src: DataFrame | None = None,
               rows_per_bucket: int = 1_000_000, min_rows_per_bucket: int = 10_000,
               samples_per_bucket: int = 32,
-              size_hint: int | None = None) -> DataFrame:
+              size_hint: int | None = None, bounds: list[tuple] | None = None) -> DataFrame:
     """Add ``name`` = dense 1-based BIGINT rank of each row by ``order``.
 
     ``keys_src`` may give a cheaper DataFrame with the same rows' order
     columns (e.g. the join keys only); by default the order columns of
     ``df`` are used, which Catalyst prunes to a key-only scan.
     ``size_hint``: an upper bound of the row count that saves the count job.
-    ``sample_src``: a cheaper superset of the rows to sample boundaries from."""
+    ``sample_src``: a cheaper superset of the rows to sample boundaries from.
+    ``bounds``: boundaries known from an earlier load, instead of both."""
     keys = [f"_k{i}" for i in range(len(order))]
     src = _named(keys_src if keys_src is not None else df, order).select(*keys)
     assign, nb = range_buckets(
         src, keys, rows_per_bucket=rows_per_bucket, min_rows_per_bucket=min_rows_per_bucket,
-        samples_per_bucket=samples_per_bucket, size_hint=size_hint,
+        samples_per_bucket=samples_per_bucket, size_hint=size_hint, bounds=bounds,
         sample_src=None if sample_src is None else _named(sample_src, order).select(*keys))
     rows = assign(_named(df, order))
     w = Window.partitionBy("_bucket").orderBy(*[F.col(k).asc_nulls_last() for k in keys])

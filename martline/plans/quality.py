@@ -4,11 +4,15 @@ A check is ``(name, kind, expression)`` with expected result 0:
 * ``count_if``: rows where a predicate holds;
 * ``duplicate_keys``: keys of a column list that occur more than once.
 
-``run`` evaluates every check of one table in a single grouped pass: rows
-are grouped by the duplicate-check key (map-side combined), per-group
-predicate counts are summed in the second, global step. Output:
-``(check, result, expected, passed)``. ``enforce`` raises listing every
-failed check."""
+``run`` evaluates every check of one table in one scan, for any number of key
+sets: a single set groups the rows by its key (map-side combined) and sums the
+groups' predicate counts; several sets are one expansion (grouping sets), each
+row once for each set and once for the predicates, combined before anything is
+exchanged. Output: ``(check, result, expected, passed)``. ``enforce`` raises
+listing every failed check.
+
+The same groups, with a digest in place of the key, are a mergeable state
+(``grouped``, ``merged``): ``quality_state`` keeps it for each load."""
 
 from __future__ import annotations
 
@@ -60,32 +64,76 @@ def key_checks(table: str, pk: list[str], natural: list[str] | None = None) -> l
     return checks
 
 
-def run(df: DataFrame, checks: list[Check]) -> DataFrame:
+def _split(checks: list[Check]) -> tuple[list[tuple[str, Column]], dict[tuple[str, ...], list[str]]]:
+    """(name, predicate) of the row checks, and the duplicate checks by key."""
     preds = [(n, p) for n, kind, p in checks if kind == "count_if"]
-    dups = [(n, cols) for n, kind, cols in checks if kind == "duplicate_keys"]
-    if dups:
-        # One grouping per distinct duplicate-check key set; the usual case
-        # is one (the table's key).
-        frames = []
-        for gi, cols in enumerate(sorted({tuple(c) for _, c in dups})):
-            g = df.groupBy(*cols).agg(
-                F.count(F.lit(1)).alias("_rows"),
-                *[F.count_if(p).alias(f"_p_{i}") for i, (_, p) in enumerate(preds)] if gi == 0 else [])
-            aggs = [F.count_if(F.col("_rows") > 1).alias(n) for n, c in dups if tuple(c) == cols]
-            if gi == 0:
-                aggs += [F.coalesce(F.sum(f"_p_{i}"), F.lit(0)).cast("long").alias(n)
-                         for i, (n, _) in enumerate(preds)]
-            frames.append(g.agg(*aggs))
+    sets: dict[tuple[str, ...], list[str]] = {}
+    for n, kind, cols in checks:
+        if kind == "duplicate_keys":
+            sets.setdefault(tuple(cols), []).append(n)
+    return preds, sets
+
+
+def grouped(df: DataFrame, checks: list[Check]) -> DataFrame:
+    """One scan: a row for each key of each key set (``set``: its number, from
+    0; ``digest``: 128 bits of the key; ``n``: its rows) and, as set -1, one
+    with the predicates' counts. Rows of equal set and digest add up."""
+    preds, sets = _split(checks)
+    columns = list(dict.fromkeys(c for cols in sets for c in cols))
+    # A set's grouping id has a bit for each column it leaves out.
+    ids = {sum(1 << (len(columns) - 1 - i) for i, c in enumerate(columns) if c not in cols): k
+           for k, cols in enumerate(sets)}
+    counts = F.array(*[F.count_if(p) for _, p in preds]).cast("array<bigint>")
+    if not columns:
+        return df.agg(F.count(F.lit(1)).alias("n"), counts.alias("counts")).select(
+            F.lit(-1).alias("set"), F.lit(b"").alias("digest"), "n", "counts")
+    of = F.lit(-1)
+    for gid, k in ids.items():
+        of = F.when(F.col("_gid") == gid, k).otherwise(of)
+    g = df.groupingSets([[F.col(c) for c in cols] for cols in sets] + [[]], *[F.col(c) for c in columns]).agg(
+        F.count(F.lit(1)).alias("n"), counts.alias("counts"), F.grouping_id().alias("_gid"))
+    values = F.to_json(F.struct(*[F.col(c) for c in columns]))
+    return g.withColumn("set", of).select(
+        "set", F.unhex(F.substring(F.sha2(values, 256), 1, 32)).alias("digest"), "n",
+        F.when(F.col("set") == -1, F.col("counts")).alias("counts"))
+
+
+def merged(groups: DataFrame, checks: list[Check], combined: bool = False) -> DataFrame:
+    """Results of ``checks`` from the rows of ``grouped``, of one table or of
+    several loads of it (then the rows of a key are added up first)."""
+    preds, sets = _split(checks)
+    keys = groups if combined else groups.where("set >= 0").groupBy("set", "digest").agg(F.sum("n").alias("n"))
+    results = [F.coalesce(F.count_if((F.col("set") == k) & (F.col("n") > 1)), F.lit(0)).alias(n)
+               for k, names in enumerate(sets.values()) for n in names]
+    row = lambda c, v: F.struct(F.lit(c).alias("check"), v.cast("long").alias("result"))
+    sums = [F.coalesce(F.sum(F.when(F.col("set") == -1, F.col("counts")[i])), F.lit(0)).alias(n)
+            for i, (n, _) in enumerate(preds)]
+    if combined:
+        wide = [keys.agg(*results, *sums)]
     else:
-        frames = [df.agg(*[F.count_if(p).alias(n) for n, p in preds])]
-    rows = None
-    for fr in frames:
-        cols = fr.columns
-        long = fr.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("check"), F.col(f"`{c}`").cast("long").alias("result"))
-            for c in cols])).alias("r")).select("r.*")
-        rows = long if rows is None else rows.unionByName(long)
-    return (rows.withColumn("expected", F.lit(0).cast("long"))
+        wide = [df.agg(*aggs) for df, aggs in ((keys, results), (groups.where("set = -1"), sums)) if aggs]
+    out = None
+    for df in wide:
+        long = df.select(F.explode(F.array(*[row(c, F.col(f"`{c}`")) for c in df.columns])).alias("r")).select("r.*")
+        out = long if out is None else out.unionByName(long)
+    return (out.withColumn("expected", F.lit(0).cast("long"))
+            .withColumn("passed", F.col("result") == F.col("expected")))
+
+
+def run(df: DataFrame, checks: list[Check]) -> DataFrame:
+    preds, sets = _split(checks)
+    if len(sets) != 1:
+        return merged(grouped(df, checks), checks, combined=True)
+    # One key set: its groups carry the predicates' counts, nothing expands.
+    (cols, names), = sets.items()
+    aggs = [F.count_if(p).alias(f"_p_{i}") for i, (_, p) in enumerate(preds)]
+    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_rows"), *aggs)
+    wide = g.agg(*[F.count_if(F.col("_rows") > 1).alias(n) for n in names],
+                 *[F.coalesce(F.sum(f"_p_{i}"), F.lit(0)).cast("long").alias(n) for i, (n, _) in enumerate(preds)])
+    long = wide.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("check"), F.col(f"`{c}`").cast("long").alias("result"))
+        for c in wide.columns])).alias("r")).select("r.*")
+    return (long.withColumn("expected", F.lit(0).cast("long"))
             .withColumn("passed", F.col("result") == F.col("expected")))
 
 

@@ -5,8 +5,10 @@ purchase in the data, ``frequency`` = orders (staged orders are unique), ``monet
 the customer's payments (from the payments table, not from the item-level
 fact, where order totals repeat per item). Each measure gets a quintile
 score 1..5 (5 = best: most recent, most frequent, highest spend), equal to
-``ntile(5)`` over (measure, customer_id) but computed from a distributed
-dense rank instead of a one-partition window."""
+``ntile(5)`` over (measure, customer_id): the first customer of each tile is
+found by radix histograms of all three measures (``multi_quantile``), and a
+customer's score is the number of these that stand at or before it. The
+measures are neither sorted nor exchanged for it."""
 
 from __future__ import annotations
 
@@ -14,22 +16,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martline.functions.time import calendar_days
-from martline.operators.dense_key import dense_key
+from martline.operators.multi_quantile import at_or_after, keys_at_ranks
 from martline.plans.facts import payments_per_order
 from martline.session import written
 
 QUINTILES = 5
 
 
-def ntile_from_rank(rank: Column, n: int, tiles: int = QUINTILES) -> Column:
-    """``ntile(tiles)`` of the row with 1-based ``rank`` among ``n`` rows:
-    the first ``n mod tiles`` tiles hold one row more."""
+def tile_starts(n: int, tiles: int = QUINTILES) -> list[int]:
+    """Ranks (from 1) of the first row of tiles 2, 3, … of ``ntile(tiles)``
+    over ``n`` rows: the first ``n mod tiles`` tiles hold one row more."""
     q, m = divmod(n, tiles)
-    big = m * (q + 1)
-    if q == 0:
-        return rank.cast("int")
-    return F.when(rank <= big, F.floor((rank - 1) / (q + 1)) + 1) \
-            .otherwise(F.floor((rank - 1 - big) / q) + m + 1).cast("int")
+    return [t * q + min(t, m) + 1 for t in range(1, tiles)]
 
 
 # Segment names by score rules, checked in this order.
@@ -59,22 +57,17 @@ def measures(orders: DataFrame, payments: DataFrame) -> DataFrame:
     )
 
 
-def segments(orders: DataFrame, payments: DataFrame, **key_opts) -> DataFrame:
-    m = table = written(measures(orders, payments), "rfm-measures")
-    n = table.count()
-    # Ascending rank r means a better score for frequency and monetary; for
-    # recency fewer days is better, so rank by descending days.
-    # Three narrow rank tables over the written measures, joined by customer.
-    for rank, order in (("_rr", -F.col("recency_days")), ("_fr", F.col("frequency")),
-                        ("_mr", F.col("monetary"))):
-        narrow = table.select("customer_id", order.alias("_measure"))
-        m = m.join(dense_key(narrow, ["_measure", "customer_id"], rank, size_hint=n, **key_opts)
-                   .drop("_measure"), "customer_id")
-    scored = m.select(
-        "customer_id", "recency_days", "frequency", "monetary",
-        ntile_from_rank(F.col("_rr"), n).alias("r_score"),
-        ntile_from_rank(F.col("_fr"), n).alias("f_score"),
-        ntile_from_rank(F.col("_mr"), n).alias("m_score"))
+def segments(orders: DataFrame, payments: DataFrame) -> DataFrame:
+    m = written(measures(orders, payments), "rfm-measures")
+    # A higher tile is a better score: fewer days, more orders, more money
+    # (in cents, so that all are whole numbers).
+    scores = {"r_score": -F.col("recency_days").cast("long"), "f_score": F.col("frequency"),
+              "m_score": F.round(F.col("monetary") * 100).cast("long")}
+    _, cuts = keys_at_ranks(m, scores, "customer_id", tile_starts)
+    key = F.col("customer_id")
+    scored = m.withColumns({
+        name: sum((at_or_after(c, key, cut).cast("int") for cut in cuts[name] if cut is not None), F.lit(1))
+        for name, c in scores.items()})
     seg = F.lit(OTHER_SEGMENT)
     for name, rule in reversed(SEGMENTS):
         seg = F.when(F.expr(rule), F.lit(name)).otherwise(seg)
