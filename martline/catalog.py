@@ -18,10 +18,21 @@ from martline.operators.dense_key import dense_key
 from martline.operators.incremental_key import KeyStore
 from martline.operators.filters import dropna_subset, filter_non_negative, filter_not_null
 from martline.operators.sample import sample_head
-from martline.plans import clean, dims, quality, quality_state, rfm, runlog, stage, unvalidated
+from martline.plans import (
+    clean,
+    copartitioned,
+    dims,
+    maintained,
+    quality,
+    quality_state,
+    rfm,
+    runlog,
+    stage,
+    unvalidated,
+)
 from martline.plans import warehouse as wh
 from martline.session import scratch_path, written
-from martline.sources import files, fixtures, jdbc
+from martline.sources import files, fixtures, infer, jdbc
 from martline.streaming import replay
 from martline.streaming import upsert as _upsert
 from martline.streaming import watermark
@@ -96,6 +107,38 @@ def q_fact_sales_enriched(spark, sf_dir):
             .withColumns(cents("avg_payment_value", digits=4)))
 
 
+@register("fact_sales_copartitioned", ORACLE["fact_sales_enriched"])
+def q_fact_sales_copartitioned(spark, sf_dir):
+    """The enriched fact from order tables bucketed alike: the joins on the
+    order read the buckets as they lie."""
+    tables = copartitioned.OrderTables.stage(
+        spark, scratch_path(spark, "order-tables"), *(wh.staged(spark, sf_dir, e) for e in ("orders", "items", "payments")),
+        buckets=16)
+    bounds = wh.input_bounds(spark, sf_dir)
+    fact = copartitioned.sales(tables, wh.dim_customer(spark, sf_dir, bounds), wh.dim_product(spark, sf_dir, bounds),
+                               wh.dim_seller(spark, sf_dir, bounds), size_hint=bounds["items"],
+                               sample_src=wh.raw(spark, sf_dir, "items").select("order_id", "order_item_id"))
+    return fact.withColumns(cents("total_payment_value")).withColumns(cents("avg_payment_value", digits=4))
+
+
+@register("payments_agg_maintained", ORACLE["payments_agg"])
+def q_payments_agg_maintained(spark, sf_dir):
+    """Payment totals kept up over changes. Before: no vouchers yet, the boletos
+    with other values, the card payments twice. Then the vouchers come, the
+    boletos are corrected, the second card payments go; many maxima with them."""
+    now = written(wh.staged(spark, sf_dir, "payments"), "payments-now")
+    boletos, cards = (now.where(F.col("payment_type") == t) for t in ("boleto", "credit_card"))
+    wrong = boletos.withColumns({"payment_value": F.col("payment_value") + 10, "payment_installments": F.col("payment_installments") + 20})
+    twice = cards.withColumn("payment_installments", F.col("payment_installments") + 30)
+    before = wrong.unionByName(cards).unionByName(twice)
+    totals = maintained.PaymentTotals(spark, scratch_path(spark, "payment-totals"), buckets=8)
+    totals.apply(maintained.signed(before, 1), before, 1)
+    changes = [(now.where(F.col("payment_type") == "voucher"), 1), (wrong, -1), (boletos, 1), (twice, -1)]
+    signed = [maintained.signed(df, sign) for df, sign in changes]
+    totals.apply(signed[0].unionByName(signed[1]).unionByName(signed[2]).unionByName(signed[3]), now, 2)
+    return totals.totals().withColumns(cents("total_payment_value"))
+
+
 # ---- quality ---------------------------------------------------------------------
 
 _QC_BODY = """
@@ -678,6 +721,21 @@ def q_scan_csv_inferred(spark, sf_dir):
     return files.read_csv(spark, path)
 
 
+@register("scan_csv_lossless", oracle.sql(
+    "SELECT lpad(seller_id, 6, '0') AS seller_id, seller_zip_code_prefix, seller_city, seller_state, "
+    "CAST(seller_zip_code_prefix AS BIGINT) * 10000000 AS big, seller_zip_code_prefix / 4.0 AS part, "
+    "DATE '2020-01-01' AS day FROM raw_sellers", "raw_sellers"))
+def q_scan_csv_lossless(spark, sf_dir):
+    """Sellers through CSV, types inferred without loss: ids with leading zeros
+    stay text, the other columns get the narrowest type that says them."""
+    path = scratch_path(spark, "csv-sellers")
+    zip_ = F.col("seller_zip_code_prefix")
+    files.write_csv(wh.raw(spark, sf_dir, "sellers").withColumns({
+        "seller_id": F.lpad("seller_id", 6, "0"), "big": zip_.cast("long") * 10000000, "part": zip_ / 4,
+        "day": F.lit("2020-01-01")}), path)
+    return infer.read_csv_lossless(spark, path)
+
+
 @register("scan_csv_strict", oracle.sql("SELECT * FROM raw_orders", "raw_orders"))
 def q_scan_csv_strict(spark, sf_dir):
     """Orders through CSV, read back in FAILFAST mode (a value that does not
@@ -832,17 +890,15 @@ def q_stage_orders_batch(spark, sf_dir):
         for e in ["orders", "items", "payments"]) + ") t",
     "raw_orders", "raw_items", "raw_payments", "staged_orders", "staged_items", "staged_payments"))
 def q_reconcile_counts(spark, sf_dir):
-    """Raw vs valid vs stored (written, read back) counts per entity."""
-    out = None
+    """Raw vs valid vs stored counts per entity: raw and valid rows are counted
+    by the pass that writes them, the stored ones by the files' footers."""
+    rows = []
     for e in ["orders", "items", "payments"]:
-        valid = wh.staged(spark, sf_dir, e)
-        stored = files.overwrite_table(valid, scratch_path(spark, f"reconcile-{e}"))
-        long = quality.reconcile({"raw_count": wh.raw(spark, sf_dir, e), "valid_count": valid,
-                                  "stored_count": stored})
-        wide = (long.groupBy().pivot("stage", ["raw_count", "valid_count", "stored_count"])
-                .agg(F.sum("row_count")).select(F.lit(e).alias("entity"), "*"))
-        out = wide if out is None else out.unionByName(wide)
-    return out
+        counts = quality.observed_write(
+            wh.raw(spark, sf_dir, e), lambda raw, e=e: stage.validate(e, clean.CLEANERS[e](raw)).select(
+                *stage.TABLE_SCHEMA[e].names), scratch_path(spark, f"reconcile-{e}"))
+        rows.append((e, *counts))
+    return spark.createDataFrame(rows, "entity string, raw_count long, valid_count long, stored_count long")
 
 
 # (table, primary key, UNIQUE natural key) as declared in ``schemas``.

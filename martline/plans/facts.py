@@ -1,12 +1,14 @@
 """Sales fact (one row per order item) and the payment-enriched fact.
 
-Plan shape: staged orders and items and the per-order payments are written
-tables, so both sides of each ``order_id`` join are plain shuffles, which is
-what AQE's skew-join handling needs to split an order that holds a third of
-all items. The joined base is written once too: the dense key counts and
-ranks the table instead of running the joins again. The three dimension
-lookups follow the joins; the planner broadcasts a dimension when it is small
-(AQE measures the shuffled side at run time) and shuffles otherwise."""
+Plan shape: the orders, with their payments where asked for, are one written
+table, a row an order, so items meet them in one ``order_id`` join with both
+sides plain shuffles, which is what AQE's skew-join handling needs to split an
+order that holds a third of all items. The joined base is written too where the
+dense key needs more than one bucket: the key counts and ranks the table
+instead of running the join again. The three dimension lookups follow; the
+planner broadcasts a dimension when it is small (AQE measures the shuffled side
+at run time) and shuffles otherwise. ``copartitioned`` has the same facts from
+bucketed tables, without a shuffle at the join."""
 
 from __future__ import annotations
 
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 from martline import schemas
 from martline.functions.time import calendar_days
 from martline.operators.dedup import first_per_key
-from martline.operators.dense_key import dense_key
+from martline.operators.dense_key import boundaries, dense_key
 from martline.session import written
 
 ORDER_COLS = ["order_id", "customer_id", "order_status", *schemas.ORDER_TS_COLS]
@@ -85,12 +87,19 @@ def sales(orders: DataFrame, items: DataFrame, dim_customer: DataFrame, dim_prod
     if dedup_inputs:
         o = first_per_key(o, ["order_id"])
         i = first_per_key(i, ["order_id", "order_item_id"])
-    base = i.join(o, "order_id", "inner")
     if payments is not None:
-        # Written between the joins: a second join on the same key would reuse
-        # the first one's partitioning, which rules the skew split out.
-        base = _payment_measures(written(base, "fact-items").join(
-            written(payments_per_order(payments), "order-payments"), "order_id", "left"))
+        # Both sides have an order once, so neither can be skewed.
+        o = o.join(payments_per_order(payments), "order_id", "left")
+    base = i.join(written(o, "fact-orders"), "order_id", "inner")
+    return finished(base, dim_customer, dim_product, dim_seller, enriched=payments is not None,
+                    narrow_lookup=narrow_lookup, **key_opts)
+
+
+def finished(base: DataFrame, dim_customer: DataFrame, dim_product: DataFrame, dim_seller: DataFrame, *,
+             enriched: bool, narrow_lookup: bool = False, **key_opts) -> DataFrame:
+    """The fact from items joined with their orders (and payments)."""
+    if enriched:
+        base = _payment_measures(base)
     if narrow_lookup:
         ids = ["order_id", "order_item_id"]
         narrow = _dim_keys(base.select(*ids, "customer_id", "product_id", "seller_id"),
@@ -98,9 +107,13 @@ def sales(orders: DataFrame, items: DataFrame, dim_customer: DataFrame, dim_prod
         base = base.join(narrow.select(*ids, "customer_key", "product_key", "seller_key"), ids)
     else:
         base = _dim_keys(base, dim_customer, dim_product, dim_seller)
-    base = written(_derived(base), "fact-base")
-    fact = dense_key(base, ["order_id", "order_item_id"], "fact_sales_key", **key_opts)
-    schema = schemas.FACT_SALES_ENRICHED if payments is not None else schemas.FACT_SALES
+    order = ["order_id", "order_item_id"]
+    base = _derived(base)
+    bounds = boundaries(base.select(*order), order, **key_opts)
+    if bounds:
+        base = written(base, "fact-base")
+    fact = dense_key(base, order, "fact_sales_key", bounds=bounds)
+    schema = schemas.FACT_SALES_ENRICHED if enriched else schemas.FACT_SALES
     return schemas.conform(fact, schema)
 
 

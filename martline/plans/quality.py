@@ -16,7 +16,7 @@ The same groups, with a digest in place of the key, are a mergeable state
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 Check = tuple[str, str, object]
@@ -146,6 +146,17 @@ def enforce(results: DataFrame) -> None:
         raise AssertionError(f"data quality failed: {detail}")
 
 
+def observed_write(raw: DataFrame, valid_of, path: str) -> tuple[int, int, int]:
+    """Write ``valid_of(raw)`` and return the rows read, the valid ones, and
+    those stored: the first two are observed by the writing pass itself, the
+    last comes from the footers of the files. A task that is run again after a
+    lost executor may be observed twice; what is stored is exact."""
+    seen, valid = Observation(), Observation()
+    one = F.count(F.lit(1)).alias("rows")
+    valid_of(raw.observe(seen, one)).observe(valid, one).write.mode("overwrite").parquet(path)
+    return seen.get["rows"], valid.get["rows"], raw.sparkSession.read.parquet(path).count()
+
+
 def reconcile(counts: dict[str, DataFrame]) -> DataFrame:
     """Stage-by-stage row counts ``(stage, row_count)`` of named DataFrames,
     e.g. raw -> valid -> stored. Each count is a partial aggregation."""

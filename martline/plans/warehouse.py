@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from martline.plans import clean as clean_plans
 from martline.plans import dims, facts, stage
-from martline.session import written
 from martline.sources import fixtures
 
 
@@ -81,8 +80,8 @@ def dim_seller(spark: SparkSession, sf_dir: str, bounds: dict | None = None,
 def fact_sales(spark: SparkSession, sf_dir: str, enriched: bool = False, **key_opts) -> DataFrame:
     bounds = input_bounds(spark, sf_dir)
     return facts.sales(
-        written(staged(spark, sf_dir, "orders"), "staged-orders"),
-        written(staged(spark, sf_dir, "items"), "staged-items"),
+        staged(spark, sf_dir, "orders"),
+        staged(spark, sf_dir, "items"),
         dim_customer(spark, sf_dir, bounds, **key_opts),
         dim_product(spark, sf_dir, bounds, **key_opts),
         dim_seller(spark, sf_dir, bounds, **key_opts),

@@ -166,3 +166,67 @@ def test_every_check_fails_on_unvalidated_facts(spark):
     assert len(rows) == 11 and all(r["result"] > 0 and not r["passed"] for r in rows), rows
     with pytest.raises(AssertionError, match="mismatched_payment_count"):
         quality.enforce(got)
+
+
+def test_order_tables_join_without_exchange(spark):
+    """Also with an order that has a third of the items: it fills many parts."""
+    from martline.plans import copartitioned, facts
+    from martline.plans import warehouse as wh
+    orders, items, payments = (wh.staged(spark, SF_SMALL, e) for e in ("orders", "items", "payments"))
+    hot = orders.first()["order_id"]
+    more = items.limit(1).crossJoin(spark.range(2500)).withColumns(
+        {"order_id": F.lit(hot), "order_item_id": (F.col("id") + 1000).cast("int")}).drop("id").select(*items.columns)
+    items = items.unionByName(more.select(*[F.col(f.name).cast(f.dataType) for f in items.schema.fields]))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        tables = copartitioned.OrderTables.stage(spark, scratch_path(spark, "tables"), orders, items, payments,
+                                                 buckets=4, hot_rows=300)
+        got = tables.joined()
+        assert "Exchange" not in plan(got) and "Bucketed: true" in plan(got)
+        parts = tables.items.read(1).where(F.col("order_id") == hot).groupBy("_part").count().collect()
+        assert len(parts) >= 8 and max(r["count"] for r in parts) < 500
+        want = (items.select(*facts.ITEM_COLS).join(orders.select(*facts.ORDER_COLS), "order_id")
+                .join(facts.payments_per_order(payments), "order_id", "left").select(*got.columns))
+        assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_totals_follow_changes(spark):
+    from martline.plans import facts, maintained
+    rnd = random.Random(6)
+    schema = "order_id string, payment_sequential int, payment_value double, payment_installments int"
+    now: dict = {}
+    totals = maintained.PaymentTotals(spark, scratch_path(spark, "totals"), buckets=3)
+    for load in range(1, 6):
+        changes = []
+        for _ in range(60):
+            key = (f"o{rnd.randrange(12)}", rnd.randrange(6))
+            if key in now and rnd.random() < 0.6:
+                changes.append((-1, key[0], *now.pop(key)))
+            if key not in now and rnd.random() < 0.7:
+                now[key] = (rnd.randrange(1000) / 100, rnd.choice([None, *range(9)]))
+                changes.append((1, key[0], *now[key]))
+        rows = spark.createDataFrame([(*k, *v) for k, v in now.items()], schema)
+        df = spark.createDataFrame(changes, "sign int, order_id string, payment_value double, payment_installments int")
+        for _ in range(1 + load % 2):  # some loads are applied twice
+            totals.apply(df, rows, load)
+        key = lambda r: (r.order_id, round(r.total_payment_value, 2), r.payment_count, r.max_installments)
+        assert sorted(map(key, totals.totals().collect()), key=str) == sorted(
+            map(key, facts.payments_per_order(rows).collect()), key=str)
+
+
+def test_lossless_types(spark):
+    from martline.sources import infer
+    cols = {"zeros": ["01409", "7", None], "whole": ["0", "-12", "2147483647"], "big": ["2147483648", "1", None],
+            "huge": ["99999999999999999999", "1", "2"], "real": ["1.50", "-0.25", "3"], "long_real": ["0.1234567890123456", "1", "2"],
+            "exp": ["1e5", "2", "3"], "minus": ["-0", "1", "2"], "flag": ["true", "false", None], "day": ["2024-02-29", None, "1999-12-31"],
+            "bad_day": ["2023-02-29", None, "1999-12-31"], "time": ["2024-01-01 10:00:00", "2024-01-01", None],
+            "words": ["x", "1", ""], "none": [None, None, None], "space": [" 1", "2", "3"]}
+    df = spark.createDataFrame(list(zip(*cols.values(), strict=True)), ", ".join(f"`{c}` string" for c in cols))
+    got = {f.name: f.dataType.simpleString() for f in infer.infer(df).fields}
+    assert got == {"zeros": "string", "whole": "int", "big": "bigint", "huge": "string", "real": "double", "long_real": "string",
+                   "exp": "string", "minus": "string", "flag": "boolean", "day": "date", "bad_day": "string",
+                   "time": "timestamp_ntz", "words": "string", "none": "string", "space": "string"}
+    assert {f.dataType.simpleString() for f in infer.infer(df.limit(0)).fields} == {"string"}
