@@ -38,6 +38,7 @@ def main(argv: list[str] | None = None) -> None:
     b.add_argument("--sf-dir", required=True)
     b.add_argument("--out", required=True)
     b.add_argument("--stream", action="store_true", help="stage through the streaming consumers")
+    b.add_argument("--messages", help="with --stream: folder with each entity's message files")
     b.add_argument("--enforce", action="store_true", help="fail on any quality check")
     q = sub.add_parser("query", help="run one registered query")
     q.add_argument("name")
@@ -49,7 +50,7 @@ def main(argv: list[str] | None = None) -> None:
     c.add_argument("--checkpoint", required=True)
     src = c.add_mutually_exclusive_group(required=True)
     src.add_argument("--kafka", nargs=2, metavar=("SERVERS", "TOPIC"))
-    src.add_argument("--messages", help="folder of message files (test double)")
+    src.add_argument("--messages", help="folder of folders of message files (key, value, timestamp)")
     c.add_argument("--policy", choices=["first", "last"], default="first")
     c.add_argument("--continuous", action="store_true", help="keep polling (default: drain and stop)")
     c.add_argument("--interval", default="10 seconds")
@@ -71,7 +72,7 @@ def main(argv: list[str] | None = None) -> None:
         from martline.jobs import build_warehouse
         from martline.plans import runlog
         run = build_warehouse(spark, args.sf_dir, args.out, via_stream=args.stream,
-                              enforce=args.enforce)
+                              enforce=args.enforce, messages=args.messages)
         for table, rows in run.rows_written.items():
             print(f"{table}: {rows} rows")
         runlog.summary(run.read("runlog").filter(f"run_id = '{run.run_id}'")).show(truncate=False)

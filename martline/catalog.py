@@ -36,7 +36,7 @@ from martline.sources import files, fixtures, infer, jdbc
 from martline.streaming import replay
 from martline.streaming import upsert as _upsert
 from martline.streaming import watermark
-from martline.streaming.sources import MESSAGE_FILE_SCHEMA, file_stream, message_file_stream
+from martline.streaming.sources import file_stream, message_file_stream, message_files, write_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -548,7 +548,8 @@ def q_upsert_lost_checkpoint(spark, sf_dir):
 
 @register("upsert_recreated_topic", _BOTH_SQL)
 def q_upsert_recreated_topic(spark, sf_dir):
-    """Offsets start anew at every step: the message time keeps the order."""
+    """A new folder of messages at every step, where places start anew: the
+    message time keeps the order."""
     return _both_policies(spark, sf_dir, [[2], [3]], recreate_topic=True)
 
 
@@ -559,13 +560,12 @@ def q_upsert_recreated_topic(spark, sf_dir):
 def q_stream_rejects(spark, sf_dir):
     """Malformed messages kept in the reject stream, by the rules they break:
     truncated JSON lacks both keys, the other half lacks its customer."""
-    root, bad = scratch_path(spark, "topic-orders"), scratch_path(spark, "rejects")
-    replay.publish_batches(spark, sf_dir, "orders", root, [0, 4])
+    root, bad, target = (scratch_path(spark, n) for n in ("topic-orders", "rejects", "staging"))
+    replay.write_batches(spark, sf_dir, "orders", root, [0, 4])
     from martline.streaming import consumer
-    consumer.drain("orders", message_file_stream(spark, root), scratch_path(spark, "staging"),
-                   scratch_path(spark, "ckpt"), rejects=bad)
+    consumer.drain("orders", message_file_stream(spark, root), target, scratch_path(spark, "ckpt"), rejects=bad)
     names = F.transform("reject_reasons", lambda r: F.regexp_extract(r, "[a-z_]+_id", 0))
-    return (spark.read.parquet(bad).select(F.array_join(names, ",").alias("reject_reasons"))
+    return (consumer.rejected(spark, target, bad).select(F.array_join(names, ",").alias("reject_reasons"))
             .groupBy("reject_reasons").agg(F.count(F.lit(1)).alias("row_count")))
 
 
@@ -592,18 +592,18 @@ def q_stream_restart_exactly_once(spark, sf_dir):
     root = scratch_path(spark, "topic-orders")
     target = scratch_path(spark, "staging-orders")
     ckpt = scratch_path(spark, "ckpt-orders")
-    off = replay.publish_batches(spark, sf_dir, "orders", root, [0])
+    replay.write_batches(spark, sf_dir, "orders", root, [0])
     consumer.drain("orders", message_file_stream(spark, root), target, ckpt)
-    off = replay.publish_batches(spark, sf_dir, "orders", root, [1], off)
+    replay.write_batches(spark, sf_dir, "orders", root, [1])
     consumer.drain("orders", message_file_stream(spark, root), target, ckpt)
     consumer.drain("orders", message_file_stream(spark, root), target, ckpt)
     # A foreachBatch retry: batch id 1 again with the same input rows.
-    batch1 = spark.read.schema(MESSAGE_FILE_SCHEMA).json(f"{root}/batch-000001")
+    batch1 = message_files(spark, f"{root}/1-*")
     parsed = stage.validate("orders", consumer.parsed_stream("orders", batch1))
     upsert.write_batch(parsed, 1, target, schemas.KEYS["orders"],
                        stage.TABLE_SCHEMA["orders"].names, "first",
                        consumer._stream_id(spark, ckpt))
-    off = replay.publish_batches(spark, sf_dir, "orders", root, [2], off)
+    replay.write_batches(spark, sf_dir, "orders", root, [2])
     consumer.drain("orders", message_file_stream(spark, root), target, ckpt)
     return consumer.staged_table(spark, "orders", target).drop("kafka_ingested_at")
 
@@ -613,7 +613,7 @@ def q_stream_parse_orders(spark, sf_dir):
     """Bytes -> text -> struct -> columns, rules applied, malformed dropped;
     written by the exactly-once file sink."""
     root = scratch_path(spark, "topic-orders")
-    replay.publish_batches(spark, sf_dir, "orders", root, [0, 1, 4])
+    replay.write_batches(spark, sf_dir, "orders", root, [0, 1, 4])
     out, ckpt = scratch_path(spark, "parsed-orders"), scratch_path(spark, "ckpt-parse")
     msgs = message_file_stream(spark, root).select(
         F.col("value").cast("binary").alias("value"))  # as the broker delivers it
@@ -631,9 +631,8 @@ def q_stream_dedup_items(spark, sf_dir):
     from martline.streaming import consumer
     root = scratch_path(spark, "topic-items")
     out, ckpt = scratch_path(spark, "dedup-items"), scratch_path(spark, "ckpt-dedup")
-    offset = 0
     for group in ([0, 1], [2]):
-        offset = replay.publish_batches(spark, sf_dir, "items", root, group, offset)
+        replay.write_batches(spark, sf_dir, "items", root, group)
         stream = consumer.consumer_stream("items", message_file_stream(spark, root), "first")
         q = (stream.drop(*consumer.CARRY).writeStream.format("parquet").option("path", out)
              .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
@@ -650,36 +649,37 @@ REPLAY_GAP_DAYS = 20_000
 @register("stream_dedup_bounded_orders", oracle.sql(
     "SELECT * FROM staged_orders UNION ALL SELECT * REPLACE ("
     f"order_purchase_timestamp + {REPLAY_GAP_DAYS} * INTERVAL '1' DAY AS order_purchase_timestamp) "
-    "FROM staged_orders WHERE order_purchase_timestamp < (SELECT max(order_purchase_timestamp) "
-    "FROM staged_orders)", "staged_orders"))
+    "FROM staged_orders", "staged_orders"))
 def q_stream_dedup_bounded_orders(spark, sf_dir):
     """Dedup with bounded state: keys are remembered within the watermark on
     the purchase time only. All orders, then all of them again 20,000 days
-    later, then those again. A key is forgotten when the watermark, the newest
-    time less the delay, reaches its own time plus the delay: so the second
-    load passes and all of the third is late or remembered. Whether the newest
-    key is forgotten just in time depends on when the engine evicts, so its
-    copies are left out of the result."""
+    later, then those again. A marker message a day after the newest order
+    follows each load: it moves the watermark past every key of the load, so
+    the second load passes whole and all of the third is late. The markers
+    aside, each row has one defined result."""
     from martline.streaming import consumer
     root = scratch_path(spark, "topic-orders")
     out, ckpt = scratch_path(spark, "dedup-bounded"), scratch_path(spark, "ckpt-bounded")
     clean_df = wh.cleaned(spark, sf_dir, "orders")
-    later = clean_df.withColumn("order_purchase_timestamp", F.col("order_purchase_timestamp")
-                                + F.make_dt_interval(days=F.lit(REPLAY_GAP_DAYS)))
-    offset = 0
-    for i, df in enumerate((clean_df, later, later)):
-        msgs = stage.encode("orders", df).withColumn("order_id", F.col("key"))
-        offset = replay.publish(msgs, root, i, "retail.orders", offset, ["order_id"])
+    time = "order_purchase_timestamp"
+    later = clean_df.withColumn(time, F.col(time) + F.make_dt_interval(days=F.lit(REPLAY_GAP_DAYS)))
+
+    def marker(df):
+        newest = df.agg((F.max(time) + F.make_dt_interval(days=F.lit(1))).alias(time))
+        columns = {"order_id": F.lit("marker"), "customer_id": F.lit("marker")}
+        return newest.select(*[F.col(c) if c == time else columns.get(c, F.lit(None)).cast(df.schema[c].dataType).alias(c)
+                               for c in df.columns])
+
+    for i, df in enumerate((clean_df, marker(clean_df), later, marker(later), later)):
+        write_messages(stage.encode("orders", df), f"{root}/{i}")
         stream = consumer.consumer_stream(
             "orders", message_file_stream(spark, root), "first",
-            dedup_watermark=("order_purchase_timestamp", BOUNDED_DELAY))
+            dedup_watermark=(time, BOUNDED_DELAY))
         q = (stream.drop(*consumer.CARRY).writeStream.format("parquet")
              .option("path", out).option("checkpointLocation", ckpt)
              .trigger(availableNow=True).start())
         q.awaitTermination()
-    newest = later.agg(F.max("order_purchase_timestamp")).first()[0]
-    return spark.read.parquet(out).filter(
-        F.col("order_purchase_timestamp") < F.lit(newest.isoformat(sep=" ")).cast("timestamp_ntz"))
+    return spark.read.parquet(out).filter("order_id <> 'marker'")
 
 
 @register("stream_file_source", oracle.sql("SELECT * FROM raw_payments", "raw_payments"))

@@ -93,13 +93,17 @@ class Run:
         self.rows_written[table] = obs.get["rows"]
 
 
-def _stream_stage(spark: SparkSession, sf_dir: str, run: Run, entity: str) -> None:
-    """Producer -> topic -> streaming consumer -> keyed upsert table, then the
-    resolved staging table written for the downstream jobs."""
+def _stream_stage(spark: SparkSession, sf_dir: str, run: Run, entity: str, messages: str | None) -> None:
+    """Message files -> streaming consumer -> keyed upsert table, then the
+    resolved staging table written for the downstream jobs. ``messages``: the
+    folder that has the entity's message files; without one they are written
+    from the inputs first."""
     from martline.streaming import consumer, replay
     from martline.streaming.sources import message_file_stream
-    root, target = run.path(f"topic_{entity}"), run.path(f"upsert_{entity}")
-    replay.publish_batches(spark, sf_dir, entity, root, [2])      # one full load
+    target = run.path(f"upsert_{entity}")
+    root = f"{messages.rstrip('/')}/{entity}" if messages else run.path(f"messages_{entity}")
+    if not messages:
+        replay.write_batches(spark, sf_dir, entity, root, [2])      # one full load
     consumer.drain(entity, message_file_stream(spark, root), target,
                    run.path(f"_checkpoint_{entity}"))
     run.write(f"staged_{entity}",
@@ -108,15 +112,15 @@ def _stream_stage(spark: SparkSession, sf_dir: str, run: Run, entity: str) -> No
 
 def build_warehouse(spark: SparkSession, sf_dir: str, out: str, run_id: str | None = None,
                     enforce: bool = False, via_stream: bool = False,
-                    parallel: bool = True) -> Run:
-    """Staging (batch path, or ``via_stream``: published messages consumed by
-    the streaming consumers), dimensions, facts, quality. Within a layer
+                    parallel: bool = True, messages: str | None = None) -> Run:
+    """Staging (batch path, or ``via_stream``: message files, of the folder
+    ``messages`` if given, consumed by the streaming consumers), dimensions, facts, quality. Within a layer
     (the three staging tables; the three dimensions) tasks run concurrently
     unless ``parallel`` is False."""
     run = Run(spark, out, run_id)
     entities = ["orders", "items", "payments"]
     if via_stream:
-        run.layer({f"stage_{e}": (lambda e=e: _stream_stage(spark, sf_dir, run, e))
+        run.layer({f"stage_{e}": (lambda e=e: _stream_stage(spark, sf_dir, run, e, messages))
                    for e in entities}, parallel)
     else:
         run.layer({f"stage_{e}": (lambda e=e: run.write(f"staged_{e}", wh.staged(spark, sf_dir, e)))

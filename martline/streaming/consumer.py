@@ -18,6 +18,15 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import (
+    ArrayType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampNTZType,
+)
 
 from martline import schemas
 from martline.functions.time import ntz_to_instant
@@ -25,6 +34,9 @@ from martline.plans import stage
 from martline.streaming import upsert
 
 CARRY = ["_time", "_partition", "_offset"]  # of the message
+REJECT = StructType([StructField("_value", StringType()), StructField("_time", TimestampNTZType()),
+                     StructField("_partition", IntegerType()), StructField("_offset", LongType()),
+                     StructField("reject_reasons", ArrayType(StringType()))])
 
 
 def parsed_stream(entity: str, messages: DataFrame) -> DataFrame:
@@ -78,13 +90,22 @@ def run(entity: str, messages: DataFrame, target: str, checkpoint: str, policy:
 
 def _batch(df: DataFrame, batch_id: int, *, entity: str, target: str, policy: str,
            checkpoint: str, rejects: str | None) -> None:
-    run_id = _stream_id(df.sparkSession, checkpoint)
-    upsert.write_batch(stage.validate(entity, df), batch_id, target, schemas.KEYS[entity],
-                       stage.TABLE_SCHEMA[entity].names, policy, run_id)
+    if df.isEmpty():
+        return
+    spark, run_id = df.sparkSession, _stream_id(df.sparkSession, checkpoint)
     if rejects:
-        (stage.reject_rows(entity, df).select("_value", *CARRY, "reject_reasons")
-         .write.mode("overwrite").parquet(
-             f"{rejects.rstrip('/')}/{upsert.RUN_COL}={run_id}/{upsert.BATCH_COL}={batch_id}"))
+        df = df.persist()  # parsed once for both
+    try:
+        upsert.write_batch(stage.validate(entity, df), batch_id, target, schemas.KEYS[entity],
+                           stage.TABLE_SCHEMA[entity].names, policy, run_id, commit_now=False)
+        if rejects:
+            (stage.reject_rows(entity, df).select(*REJECT.names)
+             .write.mode("overwrite").parquet(
+                 f"{rejects.rstrip('/')}/{upsert.RUN_COL}={run_id}/{upsert.BATCH_COL}={batch_id}"))
+    finally:
+        if rejects:
+            df.unpersist()
+    upsert.commit(spark, target, run_id, batch_id)
 
 
 def _finish(q: StreamingQuery) -> None:
@@ -101,3 +122,10 @@ def drain(entity: str, messages: DataFrame, target: str, checkpoint: str,
 
 def staged_table(spark: SparkSession, entity: str, target: str, policy: str = "first") -> DataFrame:
     return upsert.read(spark, target, schemas.KEYS[entity], stage.TABLE_SCHEMA[entity], policy)
+
+
+def rejected(spark: SparkSession, target: str, rejects: str) -> DataFrame:
+    """The messages that broke a rule, of the batches that ``target`` counts:
+    a batch's accepted and rejected messages are seen together or not at all."""
+    rows = upsert.committed(upsert.batches_of(spark, rejects, REJECT), target)
+    return rows.drop(upsert.RUN_COL, upsert.BATCH_COL)

@@ -1,5 +1,5 @@
-"""Message batches over the stand-in data, as the producer would publish
-them, and end-to-end consumer runs over them.
+"""Message files over the stand-in data, as a producer would write them, and
+end-to-end consumer runs over them.
 
 Batches (every row of the entity flows through each full batch):
 0. orders with an even order id,  1. odd order ids,  2. a full replay,
@@ -10,16 +10,17 @@ Batches (every row of the entity flows through each full batch):
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martline.functions.json import encode_value
-from martline.plans import clean as clean_plans
 from martline.plans import stage
 from martline.plans import warehouse as wh
 from martline.session import scratch_path
 from martline.streaming import consumer
-from martline.streaming.sources import message_file_stream, publish
+from martline.streaming.sources import message_file_stream, write_messages
 
 # The updates that batch 3 carries.
 ORDER_STATUS_UPDATE = ("shipped", "delivered")
@@ -48,13 +49,10 @@ def _malformed(entity: str, msgs: DataFrame) -> DataFrame:
 def batches(spark: SparkSession, sf_dir: str, entity: str) -> list[DataFrame]:
     clean_df = wh.cleaned(spark, sf_dir, entity)
     parity = F.col("order_id").cast("long") % 2
-    order = clean_plans.SEND_ORDER[entity]
 
     def sendable(df: DataFrame) -> DataFrame:
-        # The message plus the columns that fix its publication order.
         return df.select(stage.message_key(entity).alias("key"),
-                         encode_value(df, stage.TABLE_SCHEMA[entity].names).alias("value"),
-                         *order)
+                         encode_value(df, stage.TABLE_SCHEMA[entity].names).alias("value"))
 
     return [
         sendable(clean_df.filter(parity == 0)),
@@ -65,29 +63,30 @@ def batches(spark: SparkSession, sf_dir: str, entity: str) -> list[DataFrame]:
     ]
 
 
-def publish_batches(spark: SparkSession, sf_dir: str, entity: str, root: str,
-                    which: list[int], base_offset: int = 0) -> int:
+def write_batches(spark: SparkSession, sf_dir: str, entity: str, root: str, which: list[int]) -> None:
+    """Write some of the batches, one after another, each as a folder of
+    message files under ``root`` (a batch may come again)."""
     all_batches = batches(spark, sf_dir, entity)
-    order = clean_plans.SEND_ORDER[entity] + ["key"]
     for i in which:
-        base_offset = publish(all_batches[i], root, i, f"retail.{entity}", base_offset, order)
-    return base_offset
+        write_messages(all_batches[i], f"{root}/{i}-{uuid.uuid4().hex[:8]}")
 
 
 def run_scenario(spark: SparkSession, sf_dir: str, entity: str, policy: str,
                  steps: list[list[int]], lose_checkpoint: bool = False,
                  recreate_topic: bool = False) -> DataFrame:
-    """Publish the batch groups in ``steps`` one after another, draining the
+    """Write the batch groups in ``steps`` one after another, draining the
     consumer after each group, and return the staged table without its insert
     time. The consumer restarts from its checkpoint each time, or from a new
-    one; offsets go on, or start anew as in a recreated topic."""
+    one; the messages go to one folder, or to a new one at each step, where
+    places start anew, and with it a new checkpoint."""
     root = scratch_path(spark, f"topic-{entity}")
     target = scratch_path(spark, f"staging-{entity}")
     ckpt = scratch_path(spark, f"ckpt-{entity}")
-    offset = 0
     for group in steps:
-        offset = publish_batches(spark, sf_dir, entity, root, group, 0 if recreate_topic else offset)
-        if lose_checkpoint:
+        if recreate_topic:
+            root = scratch_path(spark, f"topic-{entity}")
+        if lose_checkpoint or recreate_topic:
             ckpt = scratch_path(spark, f"ckpt-{entity}")
+        write_batches(spark, sf_dir, entity, root, group)
         consumer.drain(entity, message_file_stream(spark, root), target, ckpt, policy)
     return consumer.staged_table(spark, entity, target, policy).drop("kafka_ingested_at")

@@ -1,23 +1,19 @@
 """Stream sources and the message sink.
 
-Messages have Kafka's shape: ``key``, ``value`` (text), ``topic``,
-``partition``, ``offset``, ``timestamp``. On a cluster they come from
-Kafka; in tests from JSON-lines files of the same columns (the Kafka
-connector jar is not on this classpath)."""
+Messages are ``key``, ``value`` (text) and ``timestamp``, the producer's time,
+with a position for those of equal time: from Kafka its partition and offset;
+from a folder of message files, which any producer can append to, the file and
+the row's place in it."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (IntegerType, LongType, StringType, StructField, StructType,
-                               TimestampNTZType)
+from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType
 
 MESSAGE_FILE_SCHEMA = StructType([
     StructField("key", StringType()),
     StructField("value", StringType()),
-    StructField("topic", StringType()),
-    StructField("partition", IntegerType()),
-    StructField("offset", LongType()),
     StructField("timestamp", TimestampNTZType()),
 ])
 
@@ -44,14 +40,25 @@ def kafka_stream(spark: SparkSession, servers: str, topic: str,
         "topic", "partition", "offset", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
 
 
+def _positioned(files: DataFrame) -> DataFrame:
+    return files.select(
+        "key", "value", F.hash("_metadata.file_name").alias("partition"),
+        F.col("_metadata.row_index").alias("offset"), "timestamp")
+
+
 def message_file_stream(spark: SparkSession, root: str,
                         max_files_per_trigger: int | None = None) -> DataFrame:
-    """Stream of message files written by ``publish`` under ``root``: each
-    published batch is a sub-folder, picked up once, in arrival order."""
+    """Stream of the message files in the sub-folders of ``root``: each file
+    is picked up once."""
     r = spark.readStream.schema(MESSAGE_FILE_SCHEMA)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.json(f"{root.rstrip('/')}/*")
+    return _positioned(r.parquet(f"{root.rstrip('/')}/*"))
+
+
+def message_files(spark: SparkSession, path: str) -> DataFrame:
+    """The messages of the files in a folder, as the stream gives them."""
+    return _positioned(spark.read.schema(MESSAGE_FILE_SCHEMA).parquet(path))
 
 
 def file_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "csv",
@@ -64,25 +71,11 @@ def file_stream(spark: SparkSession, path: str, schema: StructType, fmt: str = "
     return r.load(path)
 
 
-def publish(messages: DataFrame, root: str, batch: int, topic: str, base_offset: int,
-            order: list[str]) -> int:
-    """Producer sink test double: append ``(key, value)`` messages as one new
-    batch folder under ``root``, with offsets increasing in ``order`` from
-    ``base_offset`` (gaps allowed, as in Kafka). Returns the next free offset.
-
-    On Kafka the same DataFrame goes to
-    ``select("key", "value").write.format("kafka")``; the broker assigns the
-    offsets."""
-    sorted_msgs = messages.orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    out = sorted_msgs.select(
-        "key", "value", F.lit(topic).alias("topic"), F.lit(0).alias("partition"),
-        (F.lit(base_offset) + F.monotonically_increasing_id()).alias("offset"),
-        F.localtimestamp().alias("timestamp"))
-    path = f"{root.rstrip('/')}/batch-{batch:06d}"
-    out.write.mode("overwrite").json(path)
-    written = out.sparkSession.read.schema(MESSAGE_FILE_SCHEMA).json(path)
-    top = written.agg(F.max("offset")).first()[0]
-    return base_offset if top is None else top + 1
+def write_messages(messages: DataFrame, path: str) -> None:
+    """Write ``(key, value)`` messages as files of a new folder, in parallel: a
+    key's messages lie in one file, the time is that of the write."""
+    (messages.select("key", "value", F.localtimestamp().alias("timestamp"))
+     .repartition("key").write.mode("overwrite").parquet(path))
 
 
 def kafka_publish(messages: DataFrame, servers: str, topic: str) -> None:

@@ -6,6 +6,11 @@ in the checkpoint: a retried batch overwrites its own folder with the same
 rows, and a stream that starts again from a new checkpoint writes beside the
 old folders, never over them.
 
+A batch counts once it is committed: a record of its own, written after the
+batch's rows and, where the consumer keeps them, its rejected messages. Readers
+of both take committed batches only, so a stop between the writes leaves
+nothing half done; the retry writes all of it again.
+
 Reading resolves every key by the conflict policy:
 
 * ``first`` — the earliest version wins;
@@ -50,16 +55,40 @@ def reduce_batch(batch: DataFrame, keys: list[str], columns: list[str], policy:
 
 
 def write_batch(batch: DataFrame, batch_id: int, target: str, keys: list[str],
-                columns: list[str], policy: str, run: str = "0") -> None:
-    """foreachBatch body: skip an empty batch, reduce, write the batch's
-    folder (overwrite, so a retry is idempotent)."""
-    batch = batch.persist()
+                columns: list[str], policy: str, run: str = "0", commit_now: bool = True) -> None:
+    """foreachBatch body: reduce, write the batch's folder (overwrite, so a
+    retry is idempotent), commit. An empty batch is an empty folder."""
+    reduce_batch(batch, keys, columns, policy).write.mode("overwrite").parquet(
+        f"{target.rstrip('/')}/{RUN_COL}={run}/{BATCH_COL}={batch_id}")
+    if commit_now:
+        commit(batch.sparkSession, target, run, batch_id)
+
+
+COMMIT = f"{RUN_COL} string, {BATCH_COL} long"
+
+
+def commit(spark: SparkSession, target: str, run: str, batch_id: int) -> None:
+    """Record that everything of a batch is written."""
+    (spark.createDataFrame([(run, batch_id)], COMMIT).coalesce(1).write.mode("overwrite")
+     .parquet(f"{target.rstrip('/')}/_commits/{run}-{batch_id}"))
+
+
+def committed(rows: DataFrame, target: str) -> DataFrame:
+    """The rows (with run and batch) of committed batches."""
     try:
-        if not batch.isEmpty():
-            reduce_batch(batch, keys, columns, policy).write.mode("overwrite").parquet(
-                f"{target.rstrip('/')}/{RUN_COL}={run}/{BATCH_COL}={batch_id}")
-    finally:
-        batch.unpersist()
+        commits = rows.sparkSession.read.schema(COMMIT).parquet(f"{target.rstrip('/')}/_commits/*")
+    except Exception as e:  # noqa: BLE001 - no batch yet
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return rows.limit(0)
+    return rows.join(commits, [RUN_COL, BATCH_COL], "left_semi")
+
+
+def batches_of(spark: SparkSession, folder: str, schema: StructType) -> DataFrame:
+    """Everything under a folder of batches, with run and batch."""
+    whole = StructType(list(schema.fields)).add(RUN_COL, "string").add(BATCH_COL, "long")
+    folder = folder.rstrip("/")
+    return spark.read.schema(whole).option("basePath", folder).parquet(f"{folder}/{RUN_COL}=*/*")
 
 
 def log_schema(schema: StructType) -> StructType:
@@ -80,7 +109,7 @@ def read(spark: SparkSession, target: str, keys: list[str], schema: StructType,
     ``kafka_ingested_at``."""
     columns = schema.names
     create(spark, target, schema)
-    versions = spark.read.schema(log_schema(schema)).parquet(f"{target.rstrip('/')}/{RUN_COL}=*/*")
+    versions = committed(batches_of(spark, target, log_schema(schema)), target)
     rest = [c for c in columns if c not in keys]
     resolved = versions.groupBy(*keys).agg(
         _pick(policy)(F.struct(*rest), F.struct(*META)).alias("_row"), F.min("_first").alias("_first"))

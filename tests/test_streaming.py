@@ -126,15 +126,15 @@ def test_last_wins_is_order_independent_within_a_batch(spark, scratch, msgs, rnd
 
 def test_bounded_state_dedup_within_watermark(spark, scratch):
     from martline.streaming import consumer
-    from martline.streaming.sources import message_file_stream, publish
+    from martline.streaming.sources import message_file_stream, write_messages
     orders = spark.createDataFrame([
         ("o1", "c", "created", dt.datetime(2024, 1, 1, 10), None, None, None, None),
         ("o2", "c", "created", dt.datetime(2024, 1, 1, 11), None, None, None, None)],
         schemas.ORDERS)
-    msgs = stage.encode("orders", orders).withColumn("o", F.col("key"))
+    msgs = stage.encode("orders", orders)
     root, out, ckpt = scratch("wm-topic"), scratch("wm-out"), scratch("wm-ckpt")
-    off = publish(msgs, root, 0, "t", 0, ["o"])
-    publish(msgs, root, 1, "t", off, ["o"])              # the same messages again
+    write_messages(msgs, f"{root}/0")
+    write_messages(msgs, f"{root}/1")              # the same messages again
     s = consumer.consumer_stream("orders", message_file_stream(spark, root, 1), "first",
                                  dedup_watermark=("order_purchase_timestamp", "1 day"))
     q = (s.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt)
@@ -145,11 +145,11 @@ def test_bounded_state_dedup_within_watermark(spark, scratch):
 
 def test_processing_time_trigger(spark, scratch):
     from martline.streaming import consumer
-    from martline.streaming.sources import message_file_stream, publish
+    from martline.streaming.sources import message_file_stream, write_messages
     orders = spark.createDataFrame([("o1", "c", "created", None, None, None, None, None)],
                                    schemas.ORDERS)
     root, target, ckpt = scratch("pt-topic"), scratch("pt-target"), scratch("pt-ckpt")
-    publish(stage.encode("orders", orders), root, 0, "t", 0, ["key"])
+    write_messages(stage.encode("orders", orders), f"{root}/0")
     q = consumer.run("orders", message_file_stream(spark, root), target, ckpt, "last",
                      available_now=False, interval="1 second")
     try:
@@ -157,3 +157,26 @@ def test_processing_time_trigger(spark, scratch):
     finally:
         q.stop()
     assert consumer.staged_table(spark, "orders", target, "last").count() == 1
+
+
+def test_accepted_and_rejected_rows_are_committed_together(spark, scratch, monkeypatch):
+    """A stop between the two writes, then one before the commit, then a run to
+    the end: readers never see half a batch."""
+    from martline.streaming import consumer
+    from martline.streaming.sources import message_file_stream, write_messages
+    root, target, ckpt, bad = scratch("cm-topic"), scratch("cm-target"), scratch("cm-ckpt"), scratch("cm-bad")
+    good = spark.createDataFrame([("o1", "c", "created", None, None, None, None, None)], schemas.ORDERS)
+    write_messages(stage.encode("orders", good).unionByName(
+        spark.createDataFrame([("k", '{"order_id":')], "key string, value string")), f"{root}/0")
+    go = lambda: consumer.drain("orders", message_file_stream(spark, root), target, ckpt, "last", rejects=bad)
+    stop = lambda *a, **k: (_ for _ in ()).throw(RuntimeError("stopped"))
+    for place, name in ((stage, "reject_rows"), (upsert, "commit")):
+        with monkeypatch.context() as m:
+            m.setattr(place, name, stop)
+            with pytest.raises(Exception, match="stopped"):
+                go()
+        assert consumer.staged_table(spark, "orders", target, "last").count() == 0
+    assert consumer.rejected(spark, target, bad).count() == 0  # written, not committed
+    go()
+    assert consumer.staged_table(spark, "orders", target, "last").count() == 1
+    assert [r["_value"] for r in consumer.rejected(spark, target, bad).collect()] == ['{"order_id":']
