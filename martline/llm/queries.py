@@ -215,7 +215,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text").withColumn(
         "held_out", toxicity.held_out(F.col("doc_id")))
     labels = spark.read.parquet(table_path(sf_dir, "labels")).select("doc_id", "toxic")
-    model = toxicity.fit(docs.where("NOT held_out").join(labels, "doc_id"))
+    model = toxicity.fit(docs, labels=labels.where(~toxicity.held_out(F.col("doc_id"))))
     return toxicity.score(docs, model).select(
         "doc_id", "held_out", "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"),
         F.size("spans").cast("long").alias("n_spans"))

@@ -18,8 +18,8 @@ curve on the expected count.
 Bounds: ``count_docs`` labelled documents or so for the counts, ``fit_docs``
 of each label for the weights (by a hash of the id), each row weighed by the
 inverse of its label's share in the sample, so that scores do not move with
-the size of the table; a lexicon of ``LEXICON`` entries with
-the largest counts in toxic documents, each met in MIN_DOCS of them at least.
+the size of the table. The lexicon holds every unit that the counted documents
+have more of in toxic ones, met in MIN_DOCS of these at least.
 
 Edges: null, empty and letterless texts score as no toxic token; equal texts
 score alike; long texts are tagged whole, in chunks joined exactly by their
@@ -40,9 +40,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from martline.llm.common import materialise
+
 COUNT_DOCS = 60_000
 FIT_DOCS = 500
-LEXICON = 200_000
 MIN_DOCS = 3
 CHUNK = 128
 PIECE_TOKENS = 400_000
@@ -227,32 +228,42 @@ def _aggregate(marginal, starts, ends) -> np.ndarray:
                      np.log1p(ends - starts)], 1)
 
 
-def _sample(labelled: DataFrame, docs: int, key: str) -> DataFrame:
-    """About ``docs`` rows of each label, by a hash of the id."""
-    sizes = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
-    out = None
-    for label, n in sizes.items():
-        part = labelled.where((F.col("toxic") == label) & (
-            F.pmod(F.xxhash64(F.lit(29), F.col(key)), F.lit(1_000_000)) < int(np.ceil(1e6 * min(1, docs / n)))))
-        out = part if out is None else out.unionByName(part)
-    return labelled if out is None else out
+#: Sampled ids that are broadcast to the texts; more are joined.
+BROADCAST_IDS = 1_000_000
 
 
-def fit(labelled: DataFrame, text: str = "text", toxic: str = "toxic", key: str = "doc_id",
-        count_docs: int = COUNT_DOCS, fit_docs: int = FIT_DOCS) -> Model:
+def fit(docs: DataFrame, text: str = "text", toxic: str = "toxic", key: str = "doc_id",
+        count_docs: int = COUNT_DOCS, fit_docs: int = FIT_DOCS, labels: DataFrame | None = None) -> Model:
     """Counts, chain weights and score curve from labelled documents; rows
-    with a null label don't count, null texts are empty ones."""
-    rows = labelled.where(F.col(toxic).isNotNull()).select(
-        F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"),
-        F.col(toxic).cast("int").alias("toxic"))
-    sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
-    n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
+    with a label other than 0 and 1 don't count, null texts are empty ones.
+
+    ``labels`` (``key``, ``toxic``) where the labels are a table of their own:
+    the sample is drawn from it, and the texts of the sample, whose size is
+    bounded, are all that is read of ``docs``. Else ``docs`` has the labels."""
+    known = (docs if labels is None else labels).where(F.col(toxic).isin(0, 1)).select(
+        F.col(key).alias("key"), F.col(toxic).cast("int").alias("toxic"),
+        # A fifth of the documents, by hash, is for the weights alone: counts
+        # that hold by chance must not look reliable there.
+        (F.pmod(F.xxhash64(F.lit(31), F.col(key)), F.lit(5)) == 0).alias("apart"),
+        *([F.col(text).alias("text")] if labels is None else []))
+    sizes = {(r["apart"], r["toxic"]): r["count"] for r in known.groupBy("apart", "toxic").count().collect()}
+    n0, n1 = (sum(n for (_, label), n in sizes.items() if label == k) for k in (0, 1))
     if not n0 or not n1:
         return Model({}, prior=float(bool(n1)))
-    # A fifth of the documents, by hash, is for the weights alone: counts that
-    # hold by chance must not look reliable there.
-    apart = F.pmod(F.xxhash64(F.lit(31), "key"), F.lit(5)) == 0
-    counted = _sample(rows.where(~apart), count_docs, "key")
+    # About so many documents of each label and part, by a hash of the id.
+    draw = F.pmod(F.xxhash64(F.lit(29), F.col("key")), F.lit(1_000_000))
+    chosen = F.lit(False)
+    for (apart, label), n in sizes.items():
+        rate = min(1, (fit_docs if apart else count_docs) / n)
+        chosen |= (F.col("apart") == apart) & (F.col("toxic") == label) & (draw < int(np.ceil(1e6 * rate)))
+    sample = known.where(chosen)
+    if labels is not None:
+        sample = materialise(sample, "toxicity-ids")
+        if sample.count() <= BROADCAST_IDS:
+            sample = F.broadcast(sample)
+        sample = docs.select(F.col(key).alias("key"), F.col(text).alias("text")).join(sample, "key")
+    sample = materialise(sample.select("toxic", "apart", F.coalesce("text", F.lit("")).alias("text")), "toxicity-sample")
+    counted = sample.where(~F.col("apart"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[str, list[int]] = {}
@@ -282,15 +293,14 @@ def fit(labelled: DataFrame, text: str = "text", toxic: str = "toxic", key: str
               .where(F.col("n1") >= MIN_DOCS)
               .withColumn("p", (F.col("n1") + SHRINK * base) / (F.col("n0") + F.col("n1") + SHRINK))
               .withColumn("odds", F.log(F.col("p") / (1 - F.col("p"))) - math.log(base / (1 - base)))
-              .where("odds > 0").orderBy(F.desc("n1"), "unit").limit(LEXICON).toPandas())
+              .where("odds > 0").toPandas().sort_values("unit"))
     model = Model(dict(zip(counts["unit"], counts["odds"], strict=True)))
-    sample = _sample(rows.where(apart), fit_docs, "key").select("text", "toxic").orderBy("toxic", "text").toPandas()
+    sample = sample.where("apart").select("text", "toxic").toPandas().sort_values(["toxic", "text"])
     toxic_of = sample["toxic"].to_numpy()
-    whole = {r["toxic"]: r["count"] for r in rows.where(apart).groupBy("toxic").count().collect()}
     weight = np.ones(len(sample))
-    for label, n in whole.items():
+    for label in (0, 1):
         mine = toxic_of == label
-        weight[mine] = n / max(1, mine.sum())
+        weight[mine] = sizes.get((True, label), 0) / max(1, mine.sum())
     _fit_chain(model, sample["text"].tolist(), toxic_of, weight * (len(weight) / max(1.0, weight.sum())))
     return model
 

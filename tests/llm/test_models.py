@@ -140,6 +140,18 @@ def test_without_both_labels(spark, docs):
     assert toxicity.score(docs([(1, "a")]).where("doc_id < 0"), toxicity.fit(rows.where("toxic = 2"))).count() == 0
 
 
+def test_labels_in_a_table_of_their_own(spark, docs):
+    """The same model as from labelled documents; labels other than 0 and 1,
+    and those of documents that aren't there, count nothing."""
+    rows = toxic_rows(400)
+    whole = spark.createDataFrame(rows + [(9000, "vilex", None), (9001, "vilex", 7)], "doc_id long, text string, toxic int")
+    one = toxicity.fit(whole)
+    two = toxicity.fit(whole.drop("toxic"), labels=whole.select("doc_id", "toxic"))
+    texts = docs([(i, t) for i, (_, t, _) in enumerate(rows[:50])])
+    a, b = ({r.doc_id: round(r.score, 9) for r in toxicity.score(texts, m).collect()} for m in (one, two))
+    assert a == b and len(set(a.values())) > 2
+
+
 def test_held_out_toxicity(spark, tagger):
     fresh = [(10_000 + i, t, x) for i, t, x in toxic_rows(700)[400:]]
     df = spark.createDataFrame(fresh, "doc_id long, text string, toxic int")
