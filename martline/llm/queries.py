@@ -45,12 +45,9 @@ def register(name: str, sql: str | None = None):
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards whose row counts differ by one at most."""
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    docs = documents(spark, sf_dir).select(
-        "doc_id", (F.length(text).cast("long") + 8).alias("size"),
-        F.crc32(text).alias("text_crc32"))
-    return sharding.shuffle_shards(docs, 24).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
-        F.lit(None).cast("int").alias("grown_shard"))
+    return sharding.shuffle_shards(documents(spark, sf_dir).select("doc_id", "text"), 24).select(
+        "doc_id", (F.length(text).cast("long") + 8).alias("size"), F.crc32(text).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def _quality_sql() -> str:

@@ -11,12 +11,13 @@ sums are the n_i and whose column sums are the s_j, exactly), then
 2. every piece goes to its shard,
 3. every shard is permuted again, which fixes the slots.
 
-The matrix is all that the driver holds: P grows with N / ``part_rows``, so it
-has S * N / part_rows entries (24 shards, 1e10 rows: 240,000 at the default
-part size). Rows get an id once, in a written table, so that equal rows, and a
-third of all rows being one row, spread like any others, and a retried task
-sees the same ids. The second permutation works on sub-ranges of the random
-sort key, so a shard never has to fit one task.
+The parts are the input's partitions: a part is sorted by random numbers where
+it lies and written, its rows numbered in that order, so equal rows, and a third
+of all rows being one row, spread like any others, and a retried task sees the
+same numbers. Whole rows then move once, to their shards. The second
+permutation works on sub-ranges of the random sort key, so a shard never has to
+fit one task. The matrix is all that the driver holds, ``MAX_ENTRIES`` numbers
+at most: beyond, partitions are read together as larger parts.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ from pyspark.sql import functions as F
 
 from martline.llm.common import materialise
 
+#: Rows of a shard's sub-range that one task sorts, about.
 PART_ROWS = 1_000_000
-MIN_PARTS = 32
 MAX_ENTRIES = 50_000_000
 
 
@@ -52,15 +53,27 @@ def draw_matrix(sizes: list[int], shards: int, seed: int = 0) -> np.ndarray:
     return out
 
 
+#: numpy draws from urns of fewer balls of each kind than this.
+NUMPY_URN = 1_000_000_000
+
+
 def _hypergeometric(rng, good: int, bad: int, draws: int) -> int:
-    """numpy draws from urns of up to 1e9 of each kind. Beyond that the count
-    is a rounded normal draw with the law's mean and variance, held to the
-    possible range: the sums stay exact, only the spread is approximate."""
-    if max(good, bad) < 1_000_000_000:
+    """Number of good balls among ``draws`` without replacement. Urns too large
+    for numpy are drawn from by inversion: the probabilities from the mode
+    outwards, each by its ratio to the next, as far as they are not below
+    1e-30 of it, added up and looked up with one uniform number."""
+    if max(good, bad) < NUMPY_URN:
         return int(rng.hypergeometric(good, bad, draws))
-    total, p = good + bad, good / (good + bad)
-    sd = (draws * p * (1 - p) * (total - draws) / max(1, total - 1)) ** 0.5
-    return int(np.clip(round(rng.normal(draws * p, sd)), max(0, draws - bad), min(good, draws)))
+    low, high = max(0, draws - bad), min(good, draws)
+    mode = min(high, max(low, (draws + 1) * (good + 1) // (good + bad + 2)))
+    spread = (draws * (good / (good + bad)) * (bad / (good + bad))) ** 0.5
+    reach = int(12 * spread) + 200  # beyond, less than 1e-30 in all
+    k = np.arange(max(low, mode - reach), min(high, mode + reach) + 1, dtype=np.float64)
+    up = np.log(good - k[:-1]) + np.log(draws - k[:-1]) - np.log(k[1:]) - np.log(bad - draws + k[1:])
+    logs = np.concatenate(([0.0], np.cumsum(up)))
+    p = np.exp(logs - logs.max())
+    total = np.cumsum(p)
+    return int(k[np.searchsorted(total, rng.random() * total[-1], "right")])
 
 
 def shuffle_shards(df: DataFrame, shards: int, seed: int = 7, *,
@@ -76,28 +89,28 @@ def shuffle_shards(df: DataFrame, shards: int, seed: int = 7, *,
     taken = [c for c in df.columns if c.lower() in ("shard", "slot") or c.startswith("_shard_")]
     if taken:
         raise ValueError(f"rename these columns first: {taken}")
-    rows = materialise(df.withColumn("_shard_row", F.monotonically_increasing_id()), "shard-rows")
-    total = rows.count()
+    spark = df.sparkSession
+    parts = df.rdd.getNumPartitions()
+    if parts * shards > MAX_ENTRIES:
+        df = df.coalesce(max(1, MAX_ENTRIES // shards))
+    # Permuted where they lie; the row number is (part, place), 33 bits each way.
+    rows = materialise(df.withColumn("_shard_random", F.rand(seed)).sortWithinPartitions("_shard_random")
+                       .drop("_shard_random").withColumn("_shard_row", F.monotonically_increasing_id()), "shard-rows")
+    part, place = F.shiftright("_shard_row", 33), F.col("_shard_row").bitwiseAND(F.lit((1 << 33) - 1))
+    rows = rows.withColumn("_shard_part", part)
+    counts = rows.groupBy("_shard_part").count().orderBy("_shard_part").collect()  # a row for each part
+    total = sum(r["count"] for r in counts)
     if total == 0:
-        return rows.drop("_shard_row").select(
+        return rows.drop("_shard_row", "_shard_part").select(
             "*", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("slot"))
-    spark = df.sparkSession
-    n_parts = max(MIN_PARTS, -(-total // part_rows))
-    if n_parts * shards > MAX_ENTRIES:
-        raise ValueError(f"matrix of {n_parts} x {shards}: raise part_rows")
     key = lambda k: F.xxhash64(F.lit(seed * 2 + k), F.col("_shard_row"))
-    part = F.pmod(F.xxhash64(F.lit(seed * 2 + 5), F.col("_shard_row")), F.lit(n_parts)).cast("int")
-    rows = rows.withColumn("_shard_part", part)
-    sizes = dict(rows.groupBy("_shard_part").count().collect())  # n_parts rows
-    matrix = draw_matrix([sizes.get(i, 0) for i in range(n_parts)], shards, seed)
+    matrix = draw_matrix([r["count"] for r in counts], shards, seed)
     ends = spark.createDataFrame(
-        [(i, [int(x) for x in row]) for i, row in enumerate(matrix.cumsum(axis=1))],
-        "_shard_part int, _shard_ends array<bigint>")
-    local = Window.partitionBy("_shard_part").orderBy(key(0), "_shard_row")
-    cut = (rows.withColumn("_shard_rank", F.row_number().over(local) - 1)
-           .join(ends, "_shard_part")
-           .withColumn("shard", F.size(F.filter("_shard_ends", lambda e: e <= F.col("_shard_rank"))))
-           .drop("_shard_part", "_shard_ends", "_shard_rank"))
+        [(r["_shard_part"], [int(x) for x in row]) for r, row in zip(counts, matrix.cumsum(axis=1), strict=True)],
+        "_shard_part long, _shard_ends array<bigint>")
+    cut = (rows.join(F.broadcast(ends), "_shard_part")  # MAX_ENTRIES numbers at most
+           .withColumn("shard", F.size(F.filter("_shard_ends", lambda e: e <= place)))
+           .drop("_shard_part", "_shard_ends"))
     # Second permutation: the sort key's leading bits are a sub-range.
     ranges = max(1, -(-total // (shards * part_rows)))
     step = -(-(1 << 32) // ranges)
