@@ -96,6 +96,11 @@ GAP = 3
 #: A stop with the signs that cling to it, then white space.
 _END = "[.!?:;]+[^\\p{L}\\p{N}\\s]*\\s+"
 _LINE_END = _END + "|[\\r\\n]+"
+# The same cuts for a matcher that backtracks: a run of signs is taken whole,
+# from its start on, once. Signs before the stop count nothing in a sentence.
+_SIGN, _STOPS = "[^\\p{L}\\p{N}\\s]", ".!?:;"
+_ONCE = f"(?<!{_SIGN})[^\\p{{L}}\\p{{N}}\\s{_STOPS}]*+[{_STOPS}]{_SIGN}*+\\s++"
+_LINE_ONCE = _ONCE + "|[\\r\\n]++"
 
 
 def normalise(sentence: Column) -> Column:
@@ -136,8 +141,8 @@ def scan(df: DataFrame, text: str = "text") -> DataFrame:
     none = F.array().cast("array<struct<at:int,id:string>>")
     marked = F.lower(t).rlike(MARKERS)
     out = df.withColumns({
-        "_lines": F.when(marked, _ids(t, _LINE_END)).otherwise(none),
-        "_wrapped": F.when(marked, _ids(F.regexp_replace(t, "[\\r\\n]+", " "), _END)).otherwise(none)})
+        "_lines": F.when(marked, _ids(t, _LINE_ONCE)).otherwise(none),
+        "_wrapped": F.when(marked, _ids(F.regexp_replace(t, "[\\r\\n]+", " "), _ONCE)).otherwise(none)})
     any_rule = lambda rule: _matches(F.col("_lines"), rule) | _matches(F.col("_wrapped"), rule)
     best = []
     for name, rules in RULES.items():
