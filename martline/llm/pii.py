@@ -36,6 +36,8 @@ from pyspark.sql import functions as F
 from martline.llm.common import let
 
 ROUNDS = 10
+#: Places of a text that are gone through at a time.
+_BLOCK = 256
 
 # Runs of code points that are shifted within themselves.
 RUNS = [(48, 10), (65, 26), (97, 26), (0xC0, 23), (0xD8, 7), (0xDF, 24), (0xF8, 8)]
@@ -45,7 +47,8 @@ RUNS = [(48, 10), (65, 26), (97, 26), (0xC0, 23), (0xD8, 7), (0xDF, 24), (0xF8,
 _ALONE = "(?<![\\p{L}\\p{N}])"
 _END = "(?![\\p{L}\\p{N}])"
 PATTERNS = {
-    "email": (_ALONE, "[\\p{L}\\p{N}][\\p{L}\\p{N}._%+-]*@(?:[A-Za-z0-9-]+\\.)+[A-Za-z]{2,}"),
+    # 64 characters before the @, 126 labels of 63 behind it, at most.
+    "email": (_ALONE, "[\\p{L}\\p{N}][\\p{L}\\p{N}._%+-]{0,63}+@(?:[A-Za-z0-9-]{1,63}+\\.){1,126}[A-Za-z]{2,63}+"),
     "secret": ("(?<=[\"'=: ])", "(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})"),
     "iban": (_ALONE, "[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?"),
     "ipv4": ("(?<![\\p{L}\\p{N}.])", "[0-9]{1,3}(?:\\.[0-9]{1,3}){3}(?!\\.[0-9])"),
@@ -302,16 +305,25 @@ def _chosen(pieces: Column, at: Column) -> Column:
         free = (a["until"] <= a["pos"]) & (~x["loose"] | (a["pos"] - a["until"] <= 1))
         taken = F.coalesce(x["reach"].isNotNull() & free, F.lit(False))
         until = F.when(taken, a["pos"] + x["reach"]).otherwise(a["until"])
-        return F.struct(
-            (a["pos"] + x["n"]).alias("pos"), until.alias("until"),
-            F.concat(a["out"], F.array(F.struct(
-                F.least(F.greatest(until - a["pos"], F.lit(0)), x["n"]).alias("skip"),
-                taken.alias("taken")))).alias("out"))
+        skip = F.least(F.greatest(until - a["pos"], F.lit(0)), x["n"])
+        return F.struct((a["pos"] + x["n"]).alias("pos"), until.alias("until"), F.concat(
+            a["out"], skip.cast("string"), F.when(taken, "t").otherwise("f"), F.lit(",")).alias("out"))
+
+    def block(a: Column, xs: Column) -> Column:
+        inner = F.aggregate(xs, F.struct(a["pos"].alias("pos"), a["until"].alias("until"), F.lit("").alias("out")), step)
+        return let(inner, lambda i: F.struct(
+            i["pos"].alias("pos"), i["until"].alias("until"), F.concat(a["out"], i["out"]).alias("out")))
+
     sizes = F.transform(pieces, lambda x, i: F.struct(
         F.length(x).alias("n"), F.length(F.get(at, i)["value"]).alias("reach"), F.get(at, i)["loose"].alias("loose")))
-    start = F.struct(F.lit(0).alias("pos"), F.lit(-10).alias("until"),
-                     F.array().cast("array<struct<skip:int,taken:boolean>>").alias("out"))
-    return F.aggregate(sizes, start, step, lambda a: a["out"])
+    # What is found is gathered as text, by blocks: an array that grows by an
+    # element at each place would be copied at each.
+    blocks = let(sizes, lambda xs: F.transform(
+        F.sequence(F.lit(0), F.floor((F.size(xs) - 1) / _BLOCK).cast("int")), lambda i: F.slice(xs, i * _BLOCK + 1, _BLOCK)))
+    start = F.struct(F.lit(0).alias("pos"), F.lit(-10).alias("until"), F.lit("").alias("out"))
+    found = F.aggregate(blocks, start, block, lambda a: a["out"])
+    return F.transform(F.filter(F.split(found, ","), lambda x: x != ""), lambda x: F.struct(
+        F.regexp_extract(x, "[0-9]+", 0).cast("int").alias("skip"), x.endswith("t").alias("taken")))
 
 
 def pseudonymise(df: DataFrame, key: str, text: str = "text", found: str = "pii") -> DataFrame:
