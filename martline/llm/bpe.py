@@ -21,6 +21,7 @@ import base64
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,20 +52,31 @@ class Vocabulary:
         self.ranks = ranks
         self.tokens = {i: b for b, i in ranks.items()}
         self.longest = max(map(len, ranks))
+        #: Length of the longest token that ends in two given bytes.
+        self.reach: dict[bytes, int] = {}
+        for token in ranks:
+            if len(token) > self.reach.get(token[-2:], 1):
+                self.reach[token[-2:]] = len(token)
         self.pairs: dict[int, bool] = {}
         self._single: dict[int, bool] = {}
 
     def merge(self, data: bytes) -> list[int]:
         """Encoding by merging the lowest-ranked neighbours, again and again;
         used on the few bytes of a token pair."""
+        rank, none = self.ranks.get, 1 << 40
         parts = [data[i:i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            ranks = [self.ranks.get(a + b, 1 << 40) for a, b in zip(parts, parts[1:])]
+        ranks = [rank(data[i:i + 2], none) for i in range(len(data) - 1)]
+        while ranks:
             best = min(ranks)
-            if best == 1 << 40:
+            if best == none:
                 break
             at = ranks.index(best)
             parts[at:at + 2] = [parts[at] + parts[at + 1]]
+            del ranks[at]  # the pairs on either side are other ones now
+            if at:
+                ranks[at - 1] = rank(parts[at - 1] + parts[at], none)
+            if at < len(ranks):
+                ranks[at] = rank(parts[at] + parts[at + 1], none)
         return [self.ranks[p] for p in parts]
 
     def reachable(self, token: int) -> bool:
@@ -94,10 +106,12 @@ class PrefixTable:
 
     def append(self, more: bytes) -> None:
         v, last = self.vocabulary, self.last
-        rank, known, longest, start = v.ranks.get, v.pairs.get, v.longest, len(self.data)
+        rank, known, reach, start = v.ranks.get, v.pairs.get, v.reach.get, len(self.data)
         self.data = data = self.data + more
         for end in range(start + 1, len(data) + 1):
-            for begin in range(end - longest if end > longest else 0, end):
+            # No token that ends here begins before.
+            first = end - reach(data[end - 2:end], 1) if end > 1 else 0
+            for begin in range(first if first > 0 else 0, end):
                 token = rank(data[begin:end])
                 if token is None:
                     continue
@@ -159,7 +173,7 @@ class Encoder:
                 ids = table.tokens()
             else:
                 ids = [whole]
-            out[word] = np.array(ids, "<i4").tobytes()
+            out[word] = array("i", ids).tobytes()
         if len(table.data) > 1 << 16:
             table.truncate(0)
         return out
@@ -170,22 +184,19 @@ class Encoder:
             self._runs.clear()
         if len(self._words) >= CACHE_WORDS:
             self._words.clear()
+        known, words = self._runs, self._words
         runs = [_RUN.findall(t) for t in texts]
-        found = [list(map(self._runs.get, rs)) for rs in runs]
-        cut = {r: self.pattern.findall(r) for r in {
-            r for rs, ids in zip(runs, found, strict=True) if None in ids
-            for r, x in zip(rs, ids, strict=True) if x is None}}
-        known = self._words
-        words = {w for ws in cut.values() for w in ws}
-        ids = {w: known[w] for w in words if w in known}
-        fresh = self._new_words(words.difference(ids))
-        known.update((w, b) for w, b in fresh.items() if len(w) <= CACHED_CHARS)
-        ids.update(fresh)
-        new = {r: b"".join([ids[w] for w in ws]) for r, ws in cut.items()}
-        self._runs.update((r, b) for r, b in new.items() if len(r) <= CACHED_CHARS)
-        return [np.frombuffer(b"".join(
-            [new[r] if x is None else x for r, x in zip(rs, ids_of, strict=True)] if None in ids_of else ids_of),
-            "<i4") for rs, ids_of in zip(runs, found, strict=True)]
+        new = set().union(*runs).difference(known)
+        cut = {r: self.pattern.findall(r) for r in new}
+        fresh = self._new_words(set().union(*cut.values()).difference(words))
+        words.update(fresh)
+        known.update((r, b"".join(map(words.__getitem__, ws))) for r, ws in cut.items())
+        out = [np.frombuffer(b"".join(map(known.__getitem__, rs)), "<i4") for rs in runs]
+        for held, names in ((known, new), (words, fresh)):
+            for name in names:
+                if len(name) > CACHED_CHARS:
+                    del held[name]
+        return out
 
     def encode(self, text: str) -> list[int]:
         return self.encode_batch([text])[0].tolist()
