@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +28,23 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table that ``materialise`` wrote and nothing reads any more."""
+    spark = df.sparkSession
+    for file in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    release(spark)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished plans now: its cleaner
+    does so when the driver collects what refers to them, which a job of many
+    rounds can't wait for. Call it once the round's results are written."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def words(text: Column) -> Column:
     """Array of the words of ``text`` (null: empty array)."""
     return F.filter(F.split(F.coalesce(text, F.lit("")), WORD_SPLIT), lambda w: w != "")

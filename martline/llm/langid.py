@@ -40,7 +40,7 @@ MAX_LANGUAGES = 512
 ROUNDS = 12
 PENALTY = 2.0
 #: Characters scored at a time; a longer text is a piece of its own.
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 _CODE = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 _letters: np.ndarray | None = None

@@ -53,7 +53,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martline.llm.common import materialise
+from martline.llm.common import discard, materialise, release
 from martline.llm.components import connected
 
 WORDS = 4
@@ -65,7 +65,10 @@ MANY = 12
 ROUNDS = 2
 #: Ids (8 bytes each) that may be broadcast instead of shuffling the texts.
 BROADCAST_IDS = 2_000_000
-PIECE = 1 << 20
+#: Pairs of one document that are verified together.
+GROUP = 256
+#: Characters hashed at a time, tokens held before they are written.
+PIECE = 1 << 18
 FLUSH = 1 << 20
 
 _TABLE = np.random.default_rng(20_240_229).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -186,9 +189,8 @@ def _unpacked(data: bytes, n: int) -> np.ndarray:
 
 
 def _survey(docs: DataFrame, bits: int, words: int) -> DataFrame:
-    """One pass over the texts. Rows of kind 0: a document's set size and set
-    hash; of kind 1: a bucket's tokens of some thousand sets, each once, with
-    the counts above one."""
+    """Rows of (bucket, tokens, more, counts): a bucket's tokens of some
+    thousand sets, each once, with the counts above one."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held, size, seen = [], 0, set()
 
@@ -199,13 +201,11 @@ def _survey(docs: DataFrame, bits: int, words: int) -> DataFrame:
                 more = np.flatnonzero(counts[a:b] > 1)
                 rows.append((bucket, _three_bytes(keys[a:b], bits), more.astype("<u4").tobytes(),
                              counts[a:b][more].astype("<u4").tobytes()))
-            return pd.DataFrame(rows, columns=["bucket", "tokens", "more", "counts"]).assign(kind=1)
+            return pd.DataFrame(rows, columns=["bucket", "tokens", "more", "counts"])
 
-        for ids, sets in _pieces(batches, words):
-            hashes = [_digest(s) for s in sets]
-            yield pd.DataFrame({"kind": 0, "doc_id": ids, "n": list(map(len, sets)),
-                                "c1": [c[0] for c in hashes], "c2": [c[1] for c in hashes]})
-            for s, c in zip(sets, hashes, strict=True):
+        for _, sets in _pieces(batches, words):
+            for s in sets:
+                c = _digest(s)
                 if len(s) and c not in seen:
                     seen.add(c)
                     held.append(s)
@@ -216,14 +216,18 @@ def _survey(docs: DataFrame, bits: int, words: int) -> DataFrame:
         if held:
             yield flush()
 
-    def filled(batches):
-        columns = ["kind", "doc_id", "n", "c1", "c2", "bucket", "tokens", "more", "counts"]
-        for frame in run(batches):
-            yield frame.reindex(columns=columns)
+    return docs.mapInPandas(run, "bucket long, tokens binary, more binary, counts binary")
 
-    return docs.mapInPandas(
-        filled, "kind int, doc_id long, n long, c1 long, c2 long, bucket long, "
-                "tokens binary, more binary, counts binary")
+
+def _sizes(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, n, c1, c2): size and 128-bit hash of every document's set."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for ids, sets in _pieces(batches, words):
+            hashes = [_digest(s) for s in sets]
+            yield pd.DataFrame({"doc_id": ids, "n": list(map(len, sets)),
+                                "c1": [c[0] for c in hashes], "c2": [c[1] for c in hashes]})
+
+    return docs.mapInPandas(run, "doc_id long, n long, c1 long, c2 long")
 
 
 def _frequent(survey: DataFrame) -> DataFrame:
@@ -248,8 +252,7 @@ def _frequent(survey: DataFrame) -> DataFrame:
                              "levels": [level.tobytes()],
                              "sizes": [np.bincount(level, minlength=64).tolist()]})
 
-    return survey.where("kind = 1").select("bucket", "tokens", "more", "counts").groupBy(
-        "bucket").applyInPandas(run, "bucket long, tokens binary, levels binary, sizes array<long>")
+    return survey.groupBy("bucket").applyInPandas(run, "bucket long, tokens binary, levels binary, sizes array<long>")
 
 
 class Dictionary:
@@ -395,11 +398,18 @@ def _shared_tokens(index: DataFrame) -> DataFrame:
 
 def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, common, total) of the pairs: sizes of intersection and union.
-    The set of b travels with the pair; the pairs of some a meet its set
-    there, in one group per a and salt, so no group is large."""
-    spread = 64
-    carried = (pairs.join(sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("of_b")), "b")
-               .withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(spread)).cast("int")))
+    Of a pair, the one with fewer pairs travels with it; the pairs of the other
+    meet its set there, in one group for each and salt, with ``GROUP`` pairs or
+    so, so no group is large and a leader's set is sent once for many pairs."""
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).groupBy("doc_id").agg(F.count("*").alias("pairs"))
+    of = lambda c: ends.select(F.col("doc_id").alias(c), F.col("pairs").alias(f"{c}_pairs"))
+    more = F.col("a_pairs") >= F.col("b_pairs")
+    turned = pairs.join(of("a"), "a").join(of("b"), "b").select(
+        F.when(more, F.col("a")).otherwise(F.col("b")).alias("a"), F.when(more, F.col("b")).otherwise(F.col("a")).alias("b"),
+        F.greatest("a_pairs", "b_pairs").alias("pairs"))
+    spread = F.ceil(F.col("pairs") / GROUP)
+    carried = (turned.withColumn("salt", F.pmod(F.xxhash64("b"), spread).cast("int")).drop("pairs")
+               .join(sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("of_b")), "b"))
     own = (carried.select("a", "salt").distinct()
            .join(sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("of_a")), "a"))
     met = (carried.select("a", "b", "salt", "of_b", F.lit(None).cast("binary").alias("of_a"))
@@ -420,7 +430,7 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 at = np.searchsorted(mine, other)
                 at[at == len(mine)] = 0
                 common = int((mine[at] == other).sum())
-                out.append((row.a, row.b, common, len(mine) + len(other) - common))
+                out.append((min(row.a, row.b), max(row.a, row.b), common, len(mine) + len(other) - common))
             if out:
                 yield pd.DataFrame(out, columns=["a", "b", "common", "total"])
 
@@ -435,21 +445,23 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInPandas(run, "doc_id long, tokens binary")
 
 
-def classes(survey: DataFrame) -> DataFrame:
-    """(doc_id, n, rep) of every document: rep is the least doc_id with the
-    same set; a document with the empty set represents itself."""
-    rows = survey.where("kind = 0").select("doc_id", "n", "c1", "c2")
+def classes(rows: DataFrame) -> DataFrame:
+    """(doc_id, n, rep) of every document, from ``_sizes``: rep is the least
+    doc_id with the same set; a document with the empty set represents itself."""
     reps = rows.where("n > 0").groupBy("c1", "c2").agg(F.min("doc_id").alias("rep"))
     return (rows.join(reps, ["c1", "c2"], "left")
             .select("doc_id", "n", F.when(F.col("n") > 0, F.col("rep")).otherwise(F.col("doc_id")).alias("rep")))
 
 
-def links(docs: DataFrame, members: DataFrame, survey: DataFrame, bits: int,
+def links(docs: DataFrame, members: DataFrame, bits: int,
           percent: int = PERCENT, frequent_level: int = FREQUENT, many: int = MANY,
           dictionary: int = DICTIONARY, words: int = WORDS) -> tuple[DataFrame, DataFrame]:
     """(links found, component labels) between class representatives. Links
     inside a component beyond those that join it are not all listed."""
-    frequent = _dictionary(materialise(_frequent(survey), "ngram-frequent"), bits, dictionary)
+    # Texts are hashed again for each use; what is counted is not written.
+    counted = materialise(_frequent(_survey(docs, bits, words)), "ngram-frequent")
+    frequent = _dictionary(counted, bits, dictionary)
+    discard(counted)
     index = materialise(_index(docs, frequent, words, percent, frequent_level, many), "ngram-index")
     # Copies give the entries of their representative.
     entries = (index.where("kind = 0").select("key", "doc_id", "place", "role")
@@ -457,11 +469,13 @@ def links(docs: DataFrame, members: DataFrame, survey: DataFrame, bits: int,
                .groupBy("key", F.col("rep").alias("doc_id"), "n")
                .agg((F.col("n") - F.min("place")).alias("room"), F.max("role").alias("role"))
                .withColumn("short", F.expr(f"room * (100 + {percent}) >= {2 * percent} * n")))
-    entries = materialise(entries, "ngram-entries")
+    entries = every = materialise(entries, "ngram-entries")
+    discard(index)
     shared = entries.groupBy("key").agg(
         F.count("*").alias("c"), F.max("role").alias("r"), F.max("short").alias("s")).where(
         "c > 1 AND r = 1 AND s").select("key")
     entries = materialise(entries.join(shared, "key"), "ngram-shared")
+    discard(every)
     wanted = materialise(entries.select("doc_id").distinct(), "ngram-wanted")
     if wanted.count() <= BROADCAST_IDS:
         wanted = F.broadcast(wanted)  # saves a shuffle of the texts
@@ -499,20 +513,21 @@ def links(docs: DataFrame, members: DataFrame, survey: DataFrame, bits: int,
         if seen is not None:
             pairs = pairs.join(seen.select("a", "b"), ["a", "b"], "left_anti")
         checked = materialise(_verify(pairs, sets), f"ngram-checked-{rnd}")
+        release(spark)
         seen = checked if seen is None else seen.unionByName(checked)
         new = checked.where(f"100 * common >= {percent} * total")
         found = found.unionByName(new)
         if labels is None or not new.isEmpty():
             labels = connected(found.select("a", "b"))
+            release(spark)
     return found, labels
 
 
 def _members(docs: DataFrame, percent: int, words: int = WORDS, **classes_of_tokens: int) -> DataFrame:
     """(doc_id, n, rep, label) of documents with unique ids."""
     bits = min(24, max(6, math.ceil(math.log2(docs.count() / 2000 + 1))))
-    survey = materialise(_survey(docs, bits, words), "ngram-survey")
-    members = materialise(classes(survey), "ngram-classes")
-    _, labels = links(docs, members, survey, bits, percent, words=words, **classes_of_tokens)
+    members = materialise(classes(materialise(_sizes(docs, words), "ngram-sizes")), "ngram-classes")
+    _, labels = links(docs, members, bits, percent, words=words, **classes_of_tokens)
     return members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
         "label", F.coalesce("label", "rep"))
 
