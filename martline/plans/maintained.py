@@ -3,8 +3,8 @@
 A change is a payment with a sign: +1 for a row that came, -1 for one that
 went; an update is one of each. Sums and counts take the signed changes as they
 are (sums in cents, so nothing drifts). A maximum takes what came; where a row
-went that had the maximum, and nothing as large came, the order's rows that are
-left are looked at again, and only theirs.
+went that had the maximum, the order's rows that are left are looked at again,
+and only theirs.
 
 Totals lie in a table bucketed by order, a load for each batch of changes with
 the new totals of the orders that changed. The old totals are read where they
@@ -48,8 +48,8 @@ class PaymentTotals:
         old = self._current(load - 1).withColumnsRenamed({c: f"o_{c}" for c in TOTALS.names[1:]})
         best = F.greatest("o_max_installments", "came")
         # Spark's greatest passes over nulls, so a missing side counts nothing.
-        lost = F.col("went").isNotNull() & F.coalesce(F.col("went") >= best, F.lit(True)) & (
-            F.col("came").isNull() | (F.col("came") < F.col("went")))
+        # What came may be what went, so its size is no proof.
+        lost = F.col("went").isNotNull() & F.coalesce(F.col("went") >= best, F.lit(True))
         new = written(delta.join(old, "order_id", "left").select(
             "order_id", (F.coalesce("o_total_cents", F.lit(0)) + F.coalesce("d_cents", F.lit(0))).alias("total_cents"),
             (F.coalesce("o_payment_count", F.lit(0)) + F.col("d_count")).alias("payment_count"),

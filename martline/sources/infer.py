@@ -34,7 +34,7 @@ def _has(value: Column, kind: str) -> Column:
     fits = value.rlike(f"^{FORMS[kind]}$") & value.try_cast(kind).isNotNull() & (value != "-0")
     if kind == "double":
         fits &= F.length(F.regexp_replace(value, "[^0-9]", "")) <= 15
-    return fits
+    return F.when(value.isNotNull(), fits)
 
 
 def infer(text: DataFrame) -> StructType:
