@@ -93,18 +93,12 @@ def _batch(df: DataFrame, batch_id: int, *, entity: str, target: str, policy: st
     if df.isEmpty():
         return
     spark, run_id = df.sparkSession, _stream_id(df.sparkSession, checkpoint)
-    if rejects:
-        df = df.persist()  # parsed once for both
-    try:
-        upsert.write_batch(stage.validate(entity, df), batch_id, target, schemas.KEYS[entity],
-                           stage.TABLE_SCHEMA[entity].names, policy, run_id, commit_now=False)
-        if rejects:
-            (stage.reject_rows(entity, df).select(*REJECT.names)
-             .write.mode("overwrite").parquet(
-                 f"{rejects.rstrip('/')}/{upsert.RUN_COL}={run_id}/{upsert.BATCH_COL}={batch_id}"))
-    finally:
-        if rejects:
-            df.unpersist()
+    upsert.write_batch(stage.validate(entity, df), batch_id, target, schemas.KEYS[entity],
+                       stage.TABLE_SCHEMA[entity].names, policy, run_id, commit_now=False)
+    if rejects:  # parsed again: a batch held in memory is many times its files
+        (stage.reject_rows(entity, df).select(*REJECT.names)
+         .write.mode("overwrite").parquet(
+             f"{rejects.rstrip('/')}/{upsert.RUN_COL}={run_id}/{upsert.BATCH_COL}={batch_id}"))
     upsert.commit(spark, target, run_id, batch_id)
 
 
