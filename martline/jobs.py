@@ -103,7 +103,7 @@ def _stream_stage(spark: SparkSession, sf_dir: str, run: Run, entity: str, messa
     target = run.path(f"upsert_{entity}")
     root = f"{messages.rstrip('/')}/{entity}" if messages else run.path(f"messages_{entity}")
     if not messages:
-        replay.write_batches(spark, sf_dir, entity, root, [2])      # one full load
+        replay.write_batches(entity, replay.cleaned_table(spark, sf_dir, entity), root, [2])      # one full load
     consumer.drain(entity, message_file_stream(spark, root), target,
                    run.path(f"_checkpoint_{entity}"))
     run.write(f"staged_{entity}",

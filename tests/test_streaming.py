@@ -180,3 +180,39 @@ def test_accepted_and_rejected_rows_are_committed_together(spark, scratch, monke
     go()
     assert consumer.staged_table(spark, "orders", target, "last").count() == 1
     assert [r["_value"] for r in consumer.rejected(spark, target, bad).collect()] == ['{"order_id":']
+
+
+def test_rules_decode_each_message_once(spark):
+    """No rule is pushed below the decoding, where each would decode again."""
+    msgs = spark.createDataFrame([("a", '{"order_id":"o","order_item_id":1}'), ("b", '{"order_'), ("c", None)],
+                                 "key string, value string")
+    parsed = stage.parse("items", msgs, carry=["key"])
+    assert {r.key: r.order_id for r in parsed.collect()} == {"a": "o", "b": None, "c": None}
+    plan = stage.validate("items", parsed)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
+def test_batches_of_messages_exchange_nothing(spark, scratch):
+    """The batches come from one cleaned table, a row a key, so both malformed
+    messages of a key lie in one file without an exchange."""
+    from martline.streaming import replay
+    clean_df = replay.cleaned_table(spark, "/root/testdata/sf0.001", "items")
+    for df in replay.batches("items", clean_df):
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+    root = scratch("lie")
+    replay.write_batches("items", clean_df, root, [4])
+    files = (spark.read.parquet(f"{root}/*").groupBy("key")
+             .agg(F.countDistinct(F.col("_metadata.file_path")).alias("files"), F.count(F.lit(1)).alias("n")))
+    assert files.where("files > 1 OR n <> 2").count() == 0 and files.count() == clean_df.count()
+
+
+def test_rejects_hold_no_batch_in_memory(spark, scratch, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    from martline.streaming import consumer
+    from martline.streaming.sources import message_file_stream, write_messages
+    root, target, ckpt, bad = scratch("np-topic"), scratch("np-target"), scratch("np-ckpt"), scratch("np-bad")
+    write_messages(spark.createDataFrame([("k", '{"order_id":')], "key string, value string"), f"{root}/0")
+    monkeypatch.setattr(DataFrame, "persist", lambda *a, **k: (_ for _ in ()).throw(AssertionError("persisted")))
+    consumer.drain("orders", message_file_stream(spark, root), target, ckpt, "last", rejects=bad)
+    assert consumer.rejected(spark, target, bad).count() == 1
