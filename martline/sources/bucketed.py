@@ -17,6 +17,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 LOAD = "load"
+#: Rows that one bucket may have: a task sorts or groups one, whatever the table's size.
+ROWS_PER_BUCKET = 1_000_000
+
+
+def buckets_for(rows: int, least: int) -> int:
+    """Buckets of a table of up to ``rows`` rows."""
+    return max(least, -(-rows // ROWS_PER_BUCKET))
 
 
 class BucketedTable:
