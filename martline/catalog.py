@@ -112,12 +112,12 @@ def q_fact_sales_enriched(spark, sf_dir):
 def q_fact_sales_copartitioned(spark, sf_dir):
     """The enriched fact from order tables bucketed alike: the joins on the
     order read the buckets as they lie."""
+    bounds = wh.input_bounds(spark, sf_dir)
     tables = copartitioned.OrderTables.stage(
         spark, scratch_path(spark, "order-tables"), *(wh.staged(spark, sf_dir, e) for e in ("orders", "items", "payments")),
-        buckets=16)
-    bounds = wh.input_bounds(spark, sf_dir)
-    fact = copartitioned.sales(tables, wh.dim_customer(spark, sf_dir, bounds), wh.dim_product(spark, sf_dir, bounds),
-                               wh.dim_seller(spark, sf_dir, bounds), size_hint=bounds["items"],
+        dims=(wh.dim_customer(spark, sf_dir, bounds), wh.dim_product(spark, sf_dir, bounds), wh.dim_seller(spark, sf_dir, bounds)),
+        buckets=buckets_for(bounds["items"], 16))
+    fact = copartitioned.sales(tables, size_hint=bounds["items"],
                                sample_src=wh.raw(spark, sf_dir, "items").select("order_id", "order_item_id"))
     return fact.withColumns(cents("total_payment_value")).withColumns(cents("avg_payment_value", digits=4))
 

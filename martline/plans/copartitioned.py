@@ -38,9 +38,13 @@ class OrderTables:
 
     @classmethod
     def stage(cls, spark: SparkSession, path: str, orders: DataFrame, items: DataFrame, payments: DataFrame,
-              **opts) -> OrderTables:
-        """Write the tables from staged rows; payments are totalled by order."""
+              dims: tuple[DataFrame, DataFrame, DataFrame] | None = None, **opts) -> OrderTables:
+        """Write the tables from staged rows; payments are totalled by order.
+        With ``dims`` (customer, product, seller) the rows get their surrogate
+        keys here, while they are narrow."""
         orders, items = orders.select(*facts.ORDER_COLS), items.select(*facts.ITEM_COLS)
+        if dims:
+            orders, items = facts.with_order_keys(orders, dims[0]), facts.with_item_keys(items, *dims[1:])
         totals = facts.payments_per_order(payments)
         self = cls(spark, path, orders.schema, items.schema, totals.schema, **opts)
         items = written(items, "staged-items")
@@ -67,7 +71,6 @@ class OrderTables:
                 .join(read(self.payments, "order_id"), PART, "left").drop(PART))
 
 
-def sales(tables: OrderTables, dim_customer: DataFrame, dim_product: DataFrame, dim_seller: DataFrame,
-          **key_opts) -> DataFrame:
-    """``fact_sales_enriched`` from the bucketed tables."""
-    return facts.finished(tables.joined(), dim_customer, dim_product, dim_seller, enriched=True, **key_opts)
+def sales(tables: OrderTables, **key_opts) -> DataFrame:
+    """``fact_sales_enriched`` from bucketed tables staged with their keys."""
+    return facts.finished(tables.joined(), enriched=True, **key_opts)

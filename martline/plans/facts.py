@@ -5,9 +5,9 @@ table, a row an order, so items meet them in one ``order_id`` join with both
 sides plain shuffles, which is what AQE's skew-join handling needs to split an
 order that holds a third of all items. The joined base is written too where the
 dense key needs more than one bucket: the key counts and ranks the table
-instead of running the join again. The three dimension lookups follow; the
-planner broadcasts a dimension when it is small (AQE measures the shuffled side
-at run time) and shuffles otherwise. ``copartitioned`` has the same facts from
+instead of running the join again. The dimensions are looked up before that
+join, the customer a row an order, product and seller on the narrow items, so no
+wide row moves for them; a small dimension is broadcast. ``copartitioned`` has the same facts from
 bucketed tables, without a shuffle at the join."""
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from martline import schemas
 from martline.functions.time import calendar_days
 from martline.operators.dedup import first_per_key
 from martline.operators.dense_key import boundaries, dense_key
+from martline.operators.joins import bounded_broadcast
 from martline.session import written
 
 ORDER_COLS = ["order_id", "customer_id", "order_status", *schemas.ORDER_TS_COLS]
@@ -60,6 +61,26 @@ def _derived(df: DataFrame) -> DataFrame:
     })
 
 
+#: A dimension with no more rows is broadcast to its look-up (an id and a key each).
+BROADCAST_DIM = 500_000
+
+
+def lookup(dim: DataFrame, key: str, natural: str) -> DataFrame:
+    """A dimension's look-up table, written once and broadcast if it is small."""
+    return bounded_broadcast(written(dim.select(key, natural), f"fact-{key}"), BROADCAST_DIM)
+
+
+def with_order_keys(orders: DataFrame, dim_customer: DataFrame) -> DataFrame:
+    """A customer belongs to the order: looked up a row an order."""
+    return orders.join(lookup(dim_customer, "customer_key", "customer_id"), "customer_id", "left")
+
+
+def with_item_keys(items: DataFrame, dim_product: DataFrame, dim_seller: DataFrame) -> DataFrame:
+    """Product and seller looked up on the items, before they carry their order."""
+    return (items.join(lookup(dim_product, "product_key", "product_id"), "product_id", "left")
+            .join(lookup(dim_seller, "seller_key", "seller_id"), "seller_id", "left"))
+
+
 def _dim_keys(df: DataFrame, dim_customer: DataFrame, dim_product: DataFrame,
               dim_seller: DataFrame) -> DataFrame:
     return (df
@@ -90,29 +111,28 @@ def sales(orders: DataFrame, items: DataFrame, dim_customer: DataFrame, dim_prod
     if payments is not None:
         # Both sides have an order once, so neither can be skewed.
         o = o.join(payments_per_order(payments), "order_id", "left")
+    if not narrow_lookup:
+        o, i = with_order_keys(o, dim_customer), with_item_keys(i, dim_product, dim_seller)
     base = i.join(written(o, "fact-orders"), "order_id", "inner")
-    return finished(base, dim_customer, dim_product, dim_seller, enriched=payments is not None,
-                    narrow_lookup=narrow_lookup, **key_opts)
-
-
-def finished(base: DataFrame, dim_customer: DataFrame, dim_product: DataFrame, dim_seller: DataFrame, *,
-             enriched: bool, narrow_lookup: bool = False, **key_opts) -> DataFrame:
-    """The fact from items joined with their orders (and payments)."""
-    if enriched:
-        base = _payment_measures(base)
     if narrow_lookup:
         ids = ["order_id", "order_item_id"]
         narrow = _dim_keys(base.select(*ids, "customer_id", "product_id", "seller_id"),
                            dim_customer, dim_product, dim_seller)
         base = base.join(narrow.select(*ids, "customer_key", "product_key", "seller_key"), ids)
-    else:
-        base = _dim_keys(base, dim_customer, dim_product, dim_seller)
+    return finished(base, enriched=payments is not None, **key_opts)
+
+
+def finished(base: DataFrame, *, enriched: bool, **key_opts) -> DataFrame:
+    """The fact from items joined with their orders (and payments) and the
+    dimensions' keys. What follows from a row's other columns is added last:
+    it is neither written nor exchanged."""
     order = ["order_id", "order_item_id"]
-    base = _derived(base)
     bounds = boundaries(base.select(*order), order, **key_opts)
     if bounds:
         base = written(base, "fact-base")
-    fact = dense_key(base, order, "fact_sales_key", bounds=bounds)
+    fact = _derived(dense_key(base, order, "fact_sales_key", bounds=bounds))
+    if enriched:
+        fact = _payment_measures(fact)
     schema = schemas.FACT_SALES_ENRICHED if enriched else schemas.FACT_SALES
     return schemas.conform(fact, schema)
 
