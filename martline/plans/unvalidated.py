@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martline.plans import dims, quality
+from martline.plans import dims, facts, quality
 from martline.plans import warehouse as wh
 
 #: From when on items came twice, and the state without sellers.
@@ -36,12 +36,14 @@ def fact(spark: SparkSession, sf_dir: str, items: DataFrame) -> DataFrame:
                .select("seller_id", F.lit(1).alias("seller_key")))
     payments = wh.raw(spark, sf_dir, "payments").groupBy("order_id").agg(
         F.sum("payment_value").alias("total_payment_value"), F.sum(F.signum("payment_value")).cast("long").alias("payment_count"))
-    return (items.join(orders, "order_id").join(payments, "order_id", "left")
-            .join(customers, "customer_id", "left").join(products, "product_id", "left").join(sellers, "seller_id", "left")
+    items = items.select(*KEYS, "product_id", "seller_id",
+                         (F.col("price") + F.col("freight_value")).alias("gross_sales_value"),
+                         (F.col("freight_value") * F.signum("price")).alias("freight_value"))
+    # Look-ups on either side of the one join on the order, as in ``facts``.
+    orders = facts.with_order_keys(orders.join(payments, "order_id", "left"), customers)
+    return (facts.with_item_keys(items, products, sellers).join(orders, "order_id")
             .select(*KEYS, "customer_id", "product_id", "seller_id", "customer_key", "product_key", "seller_key",
-                    (F.col("price") + F.col("freight_value")).alias("gross_sales_value"),
-                    (F.col("freight_value") * F.signum("price")).alias("freight_value"),
-                    "total_payment_value", "payment_count"))
+                    "gross_sales_value", "freight_value", "total_payment_value", "payment_count"))
 
 
 def checks() -> list[quality.Check]:
