@@ -161,3 +161,83 @@ def test_rfm_scans_the_measures_only(spark, monkeypatch):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "orders.parquet" not in plan and "lineitem.parquet" not in plan
     assert sorted(map(tuple, df.collect())) == sorted(map(tuple, one.collect()))
+
+
+@pytest.fixture
+def no_broadcast(spark, monkeypatch):
+    from martline.plans import facts
+    monkeypatch.setattr(facts, "BROADCAST_DIM", 0)
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = {k: spark.conf.get(k, None) for k in keys}
+    for k in keys:
+        spark.conf.set(k, "-1")
+    yield
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_wide_fact_rows_move_for_no_dimension(spark, monkeypatch, no_broadcast):
+    """Dimensions are looked up before the order join, and what follows from
+    other columns is neither written nor exchanged."""
+    from martline.plans import facts
+    from martline.plans import warehouse as wh
+    tables = {}
+    keep = facts.written
+    monkeypatch.setattr(facts, "written", lambda df, name: tables.setdefault(name, (_plan(df), keep(df, name)))[1])
+    fact = wh.fact_sales(spark, SF_SMALL, enriched=True, rows_per_bucket=1000)
+    plan, base = tables["fact-base"]
+    joins = [ln for ln in plan.splitlines() if "SortMergeJoin" in ln]
+    assert "[order_id" in joins[0] and any("[product_id" in j for j in joins[1:])
+    assert not any("[customer_id" in j for j in joins) and "customer_key" in tables["fact-orders"][1].columns
+    assert not {"gross_sales_value", "delivery_days", "is_delayed", "avg_payment_value"} & set(base.columns)
+    got = fact.collect()
+    one = wh.fact_sales(spark, SF_SMALL, enriched=True).collect()
+    assert len(got) > 1000 and sorted(r.fact_sales_key for r in got) == list(range(1, len(got) + 1))
+    cut = lambda r: tuple(round(v, 4) if isinstance(v, float) else v for v in r)
+    assert sorted(map(cut, got), key=str) == sorted(map(cut, one), key=str)
+
+
+def test_unvalidated_fact_looks_up_below_the_order_join(spark, no_broadcast):
+    from martline.plans import unvalidated
+    plan = _plan(unvalidated.fact(spark, SF_SMALL, unvalidated.deliveries(spark, SF_SMALL)[0]))
+    joins = [ln for ln in plan.splitlines() if "SortMergeJoin" in ln]
+    assert "[order_id" in joins[0] and any("[customer_id" in j for j in joins[1:])
+
+
+def test_quality_keys_reads_the_written_staging(spark):
+    """The fact is built from the staging tables that are checked, not from
+    the inputs again: only the payments' check scans them."""
+    from pyspark.sql import DataFrame, DataFrameReader
+    scans = []
+    keep = DataFrameReader.parquet
+
+    def parquet(self, *paths, **options):
+        scans.extend(p for p in paths if p.endswith(("/lineitem.parquet", "/orders.parquet")))
+        return keep(self, *paths, **options)
+
+    DataFrameReader.parquet = parquet
+    try:
+        df = entry.queries()["quality_keys"](spark, SF_SMALL)
+    finally:
+        DataFrameReader.parquet = keep
+    assert isinstance(df, DataFrame) and df.where("NOT passed").count() == 0
+    # A count of each, one read for each staging table.
+    assert sorted(p.rsplit("/", 1)[1] for p in scans) == ["lineitem.parquet"] * 3 + ["orders.parquet"] * 2
+
+
+@pytest.mark.parametrize("name, rows", [("quality_over_loads", 4), ("fact_sales_copartitioned", 1)])
+def test_buckets_grow_with_the_input(spark, monkeypatch, name, rows):
+    from martline.plans import warehouse as wh
+    from martline.sources import bucketed
+    made = []
+    keep = bucketed.BucketedTable.__init__
+
+    def init(self, spark, path, schema, keys, buckets):
+        made.append(buckets)
+        keep(self, spark, path, schema, keys, buckets)
+
+    monkeypatch.setattr(bucketed.BucketedTable, "__init__", init)
+    monkeypatch.setattr(bucketed, "ROWS_PER_BUCKET", 200)
+    items = wh.input_bounds(spark, SF_SMALL, "items")["items"]
+    entry.queries()[name](spark, SF_SMALL)
+    assert set(made) == {-(-rows * items // 200)}
