@@ -85,9 +85,16 @@ def _sort_key(row):
     return tuple(one(x) for x in row)
 
 
+def _key_names(order: list[str | Column]) -> list[str]:
+    """The columns that hold the order: its own, ``_k0``, ``_k1``, … for
+    expressions. A row is not exchanged with its key twice."""
+    return [o if isinstance(o, str) else f"_k{i}" for i, o in enumerate(order)]
+
+
 def _named(df: DataFrame, order: list[str | Column]) -> DataFrame:
-    """``df`` with the order expressions as columns ``_k0``, ``_k1``, …"""
-    return df.withColumns({f"_k{i}": c for i, c in enumerate(_cols(order))})
+    """``df`` with the order expressions as columns."""
+    made = {n: o for n, o in zip(_key_names(order), order) if not isinstance(o, str)}
+    return df.withColumns(made) if made else df
 
 
 def bucket_count(n: int, parallelism: int, rows_per_bucket: int, min_rows_per_bucket: int) -> int:
@@ -195,7 +202,8 @@ def dense_key(df: DataFrame, order: list[str | Column], name: str, *,
     ``size_hint``: an upper bound of the row count that saves the count job.
     ``sample_src``: a cheaper superset of the rows to sample boundaries from.
     ``bounds``: boundaries known from an earlier load, instead of both."""
-    keys = [f"_k{i}" for i in range(len(order))]
+    keys = _key_names(order)
+    made = [k for k, o in zip(keys, order) if not isinstance(o, str)]
     src = _named(keys_src if keys_src is not None else df, order).select(*keys)
     assign, nb = range_buckets(
         src, keys, rows_per_bucket=rows_per_bucket, min_rows_per_bucket=min_rows_per_bucket,
@@ -206,7 +214,7 @@ def dense_key(df: DataFrame, order: list[str | Column], name: str, *,
     rank = F.row_number().over(w).cast("long")
     if nb == 1:
         # At most ``rows_per_bucket`` rows: one bucket, offset 0.
-        return rows.withColumn(name, rank).drop("_bucket", *keys)
+        return rows.withColumn(name, rank).drop("_bucket", *made)
     counts = assign(src).groupBy("_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
     # Window over the per-bucket counts only (B rows).
     offsets = counts.select(
@@ -214,4 +222,4 @@ def dense_key(df: DataFrame, order: list[str | Column], name: str, *,
         (F.sum("_cnt").over(Window.orderBy("_bucket")) - F.col("_cnt")).alias("_off"))
     known = F.coalesce("_off", F.raise_error(F.lit("a key is missing from keys_src")).cast("long"))
     return (rows.join(F.broadcast(offsets), "_bucket", "left")
-            .withColumn(name, rank + known).drop("_bucket", "_off", *keys))
+            .withColumn(name, rank + known).drop("_bucket", "_off", *made))

@@ -47,7 +47,7 @@ class OrderTables:
             orders, items = facts.with_order_keys(orders, dims[0]), facts.with_item_keys(items, *dims[1:])
         totals = facts.payments_per_order(payments)
         self = cls(spark, path, orders.schema, items.schema, totals.schema, **opts)
-        items = written(items, "staged-items")
+        items = written(items, "staged-items", compression="zstd")
         hot = written(items.groupBy("order_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > self.hot_rows)
                       .select("order_id", F.ceil(F.col("n") / self.hot_rows).cast("int").alias("_slots")), "hot-orders")
         hot = bounded_broadcast(hot, BROADCAST_HOT)

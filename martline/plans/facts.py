@@ -113,7 +113,7 @@ def sales(orders: DataFrame, items: DataFrame, dim_customer: DataFrame, dim_prod
         o = o.join(payments_per_order(payments), "order_id", "left")
     if not narrow_lookup:
         o, i = with_order_keys(o, dim_customer), with_item_keys(i, dim_product, dim_seller)
-    base = i.join(written(o, "fact-orders"), "order_id", "inner")
+    base = i.join(written(o, "fact-orders", compression="zstd"), "order_id", "inner")
     if narrow_lookup:
         ids = ["order_id", "order_item_id"]
         narrow = _dim_keys(base.select(*ids, "customer_id", "product_id", "seller_id"),
@@ -129,7 +129,7 @@ def finished(base: DataFrame, *, enriched: bool, **key_opts) -> DataFrame:
     order = ["order_id", "order_item_id"]
     bounds = boundaries(base.select(*order), order, **key_opts)
     if bounds:
-        base = written(base, "fact-base")
+        base = written(base, "fact-base", compression="zstd")
     fact = _derived(dense_key(base, order, "fact_sales_key", bounds=bounds))
     if enriched:
         fact = _payment_measures(fact)

@@ -110,12 +110,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/martline/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` written once to a fresh folder under the shared checkpoint folder
     and read back: later plans start from the table, whatever executors are
-    lost."""
+    lost. ``options`` of the Parquet writer."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -33,7 +33,7 @@ class BucketedTable:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         by = ", ".join(f"`{k}`" for k in keys)
         spark.sql(f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}, {LOAD} INT) USING parquet "
-                  f"PARTITIONED BY ({LOAD}) CLUSTERED BY ({by}) INTO {buckets} BUCKETS "
+                  f"OPTIONS (compression 'zstd') PARTITIONED BY ({LOAD}) CLUSTERED BY ({by}) INTO {buckets} BUCKETS "
                   f"LOCATION '{self.path}'")
         try:
             spark.catalog.recoverPartitions(self.name)  # loads that other sessions wrote

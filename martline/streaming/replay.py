@@ -47,7 +47,7 @@ def _malformed(entity: str, msgs: DataFrame) -> DataFrame:
 
 def cleaned_table(spark: SparkSession, sf_dir: str, entity: str) -> DataFrame:
     """The rows that all batches are made of, cleaned once: a row a key."""
-    return written(wh.cleaned(spark, sf_dir, entity), f"cleaned-{entity}")
+    return written(wh.cleaned(spark, sf_dir, entity), f"cleaned-{entity}", compression="zstd")
 
 
 def batches(entity: str, clean_df: DataFrame) -> list[DataFrame]:

@@ -121,3 +121,14 @@ def test_cluster_conf_sizes():
     assert int(small["spark.sql.shuffle.partitions"]) == 128
     assert int(big["spark.sql.shuffle.partitions"]) == 50_000       # capped
     assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
+
+
+def test_key_columns_are_not_exchanged_twice(spark):
+    from pyspark.sql import functions as F
+
+    from martline.operators.dense_key import dense_key
+    df = spark.range(3000).select((F.col("id") * 7 % 3000).alias("a"), F.lit("x").alias("b"))
+    out = dense_key(df, ["a", F.upper("b")], "k", rows_per_bucket=500)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "_k0" not in plan and "_k1" in plan and out.columns == ["a", "b", "k"]
+    assert {(r.a, r.k) for r in out.collect()} == {(i, i + 1) for i in range(3000)}
