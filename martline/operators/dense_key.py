@@ -85,15 +85,15 @@ def _sort_key(row):
     return tuple(one(x) for x in row)
 
 
-def _key_names(order: list[str | Column]) -> list[str]:
-    """The columns that hold the order: its own, ``_k0``, ``_k1``, … for
-    expressions. A row is not exchanged with its key twice."""
-    return [o if isinstance(o, str) else f"_k{i}" for i, o in enumerate(order)]
+def _key_names(df: DataFrame, order: list[str | Column]) -> list[str]:
+    """The columns that hold the order: those of ``df``, and ``_k0``, ``_k1``, …
+    for expressions. A row is not exchanged with its key twice."""
+    return [o if isinstance(o, str) and o in df.columns else f"_k{i}" for i, o in enumerate(order)]
 
 
-def _named(df: DataFrame, order: list[str | Column]) -> DataFrame:
-    """``df`` with the order expressions as columns."""
-    made = {n: o for n, o in zip(_key_names(order), order) if not isinstance(o, str)}
+def _named(df: DataFrame, order: list[str | Column], keys: list[str]) -> DataFrame:
+    """``df`` with the order expressions as columns, named by ``keys``."""
+    made = {k: c for k, o, c in zip(keys, order, _cols(order)) if not (isinstance(o, str) and k == o)}
     return df.withColumns(made) if made else df
 
 
@@ -202,14 +202,14 @@ def dense_key(df: DataFrame, order: list[str | Column], name: str, *,
     ``size_hint``: an upper bound of the row count that saves the count job.
     ``sample_src``: a cheaper superset of the rows to sample boundaries from.
     ``bounds``: boundaries known from an earlier load, instead of both."""
-    keys = _key_names(order)
-    made = [k for k, o in zip(keys, order) if not isinstance(o, str)]
-    src = _named(keys_src if keys_src is not None else df, order).select(*keys)
+    keys = _key_names(df, order)
+    made = [k for k, o in zip(keys, order) if not (isinstance(o, str) and k == o)]
+    src = _named(keys_src if keys_src is not None else df, order, keys).select(*keys)
     assign, nb = range_buckets(
         src, keys, rows_per_bucket=rows_per_bucket, min_rows_per_bucket=min_rows_per_bucket,
         samples_per_bucket=samples_per_bucket, size_hint=size_hint, bounds=bounds,
-        sample_src=None if sample_src is None else _named(sample_src, order).select(*keys))
-    rows = assign(_named(df, order))
+        sample_src=None if sample_src is None else _named(sample_src, order, keys).select(*keys))
+    rows = assign(_named(df, order, keys))
     w = Window.partitionBy("_bucket").orderBy(*[F.col(k).asc_nulls_last() for k in keys])
     rank = F.row_number().over(w).cast("long")
     if nb == 1:

@@ -127,7 +127,7 @@ def test_key_columns_are_not_exchanged_twice(spark):
     from pyspark.sql import functions as F
 
     from martline.operators.dense_key import dense_key
-    df = spark.range(3000).select((F.col("id") * 7 % 3000).alias("a"), F.lit("x").alias("b"))
+    df = spark.range(3000).select((F.col("id") * 7 % 3000).alias("a"), F.col("id").cast("string").alias("b"))
     out = dense_key(df, ["a", F.upper("b")], "k", rows_per_bucket=500)
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "_k0" not in plan and "_k1" in plan and out.columns == ["a", "b", "k"]
