@@ -183,7 +183,8 @@ def test_wide_fact_rows_move_for_no_dimension(spark, monkeypatch, no_broadcast):
     from martline.plans import warehouse as wh
     tables = {}
     keep = facts.written
-    monkeypatch.setattr(facts, "written", lambda df, name: tables.setdefault(name, (_plan(df), keep(df, name)))[1])
+    monkeypatch.setattr(facts, "written", lambda df, name, **o: tables.setdefault(
+        name, (_plan(df), keep(df, name, **o)))[1])
     fact = wh.fact_sales(spark, SF_SMALL, enriched=True, rows_per_bucket=1000)
     plan, base = tables["fact-base"]
     joins = [ln for ln in plan.splitlines() if "SortMergeJoin" in ln]
