@@ -29,6 +29,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from martline.llm.common import kept
+
 #: Entries of a worker's caches (strings without white space inside, matches
 #: of the pattern, token pairs); a full cache starts anew.
 CACHE_RUNS = 700_000
@@ -256,16 +258,14 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def _encoder(ranks: bytes, pattern: str) -> Encoder:
     """The worker's encoder for the broadcast rank file."""
+    encoders = kept("bpe")
     key = hashlib.sha256(ranks).hexdigest() + pattern
-    if key not in _encoders:
-        _encoders[key] = Encoder({base64.b64decode(a): int(b) for a, b in map(
+    if key not in encoders:
+        encoders[key] = Encoder({base64.b64decode(a): int(b) for a, b in map(
             bytes.split, ranks.splitlines())}, pattern)
-    return _encoders[key]
+    return encoders[key]
 
 
 def _shared(df: DataFrame, ranks_path: str):

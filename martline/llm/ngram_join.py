@@ -50,10 +50,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martline.llm.common import discard, materialise, release
+from martline.llm.common import batch_rows, discard, kept, materialise, release
 from martline.llm.components import connected
 
 WORDS = 4
@@ -67,9 +69,11 @@ ROUNDS = 2
 BROADCAST_IDS = 2_000_000
 #: Pairs of one document that are verified together.
 GROUP = 256
-#: Characters hashed at a time, tokens held before they are written.
+#: Bytes hashed at a time, tokens held before they are written.
 PIECE = 1 << 18
-FLUSH = 1 << 20
+FLUSH = 1 << 19
+#: Rows, of texts or sets, that go to Python at a time.
+BATCH_ROWS = 1000
 
 _TABLE = np.random.default_rng(20_240_229).integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 _A = np.random.default_rng(5).integers(1, 1 << 63, 8, dtype=np.uint64) | np.uint64(1)
@@ -135,16 +139,17 @@ def shingle_sets(texts: list[str | None], words: int = WORDS) -> list[np.ndarray
     return out
 
 
-def _pieces(batches: Iterator[pd.DataFrame], words: int) -> Iterator[tuple[list[int], list[np.ndarray]]]:
-    """(ids, sets) of about PIECE characters of texts at a time."""
+def _pieces(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+    """(ids, sets) of about PIECE bytes of texts at a time."""
+    kept("ngrams")
     for batch in batches:
-        ids, texts, at = batch["doc_id"].tolist(), batch["text"].tolist(), 0
+        ids, texts = batch.column("doc_id"), batch.column("text")
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
         while at < len(ids):
-            upto, size = at, 0
-            while upto < len(ids) and (upto == at or size < PIECE):
-                size += len(texts[upto]) if isinstance(texts[upto], str) else 0
-                upto += 1
-            yield ids[at:upto], shingle_sets(texts[at:upto], words)
+            upto = min(len(ids), 1 + int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PIECE)))
+            yield (ids.slice(at, upto - at).to_pylist(),
+                   shingle_sets(texts.slice(at, upto - at).to_pylist(), words))
             at = upto
 
 
@@ -191,7 +196,7 @@ def _unpacked(data: bytes, n: int) -> np.ndarray:
 def _survey(docs: DataFrame, bits: int, words: int) -> DataFrame:
     """Rows of (bucket, tokens, more, counts): a bucket's tokens of some
     thousand sets, each once, with the counts above one."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, seen = [], 0, set()
 
         def flush():
@@ -201,7 +206,9 @@ def _survey(docs: DataFrame, bits: int, words: int) -> DataFrame:
                 more = np.flatnonzero(counts[a:b] > 1)
                 rows.append((bucket, _three_bytes(keys[a:b], bits), more.astype("<u4").tobytes(),
                              counts[a:b][more].astype("<u4").tobytes()))
-            return pd.DataFrame(rows, columns=["bucket", "tokens", "more", "counts"])
+            bucket, *data = zip(*rows, strict=True)
+            return _batch(bucket=pa.array(bucket, pa.int64()), **{
+                c: pa.array(x, pa.binary()) for c, x in zip(("tokens", "more", "counts"), data, strict=True)})
 
         for _, sets in _pieces(batches, words):
             for s in sets:
@@ -216,18 +223,22 @@ def _survey(docs: DataFrame, bits: int, words: int) -> DataFrame:
         if held:
             yield flush()
 
-    return docs.mapInPandas(run, "bucket long, tokens binary, more binary, counts binary")
+    return docs.mapInArrow(run, "bucket long, tokens binary, more binary, counts binary")
+
+
+def _batch(**columns: pa.Array) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
 
 def _sizes(docs: DataFrame, words: int) -> DataFrame:
     """(doc_id, n, c1, c2): size and 128-bit hash of every document's set."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, sets in _pieces(batches, words):
-            hashes = [_digest(s) for s in sets]
-            yield pd.DataFrame({"doc_id": ids, "n": list(map(len, sets)),
-                                "c1": [c[0] for c in hashes], "c2": [c[1] for c in hashes]})
+            c1, c2 = zip(*map(_digest, sets), strict=True)
+            yield _batch(**{c: pa.array(x, pa.int64()) for c, x in (
+                ("doc_id", ids), ("n", list(map(len, sets))), ("c1", c1), ("c2", c2))})
 
-    return docs.mapInPandas(run, "doc_id long, n long, c1 long, c2 long")
+    return docs.mapInArrow(run, "doc_id long, n long, c1 long, c2 long")
 
 
 def _frequent(survey: DataFrame) -> DataFrame:
@@ -333,7 +344,18 @@ def _index(docs: DataFrame, frequent: Dictionary, words: int, *options: int) ->
     or a look-up (role 0); of kind 1: a bucket's rare tokens and their ids."""
     shared = docs.sparkSession.sparkContext.broadcast((frequent.bits, frequent.keys, frequent.levels))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    schema = pa.schema([("kind", pa.int32()), ("key", pa.int64()), ("doc_id", pa.int64()), ("place", pa.int64()),
+                        ("role", pa.int32()), ("bucket", pa.int64()), ("tokens", pa.binary()),
+                        ("ids", pa.binary()), ("places", pa.binary())])
+
+    def filled(kind: int, n: int, **columns) -> pa.RecordBatch:
+        """Rows of a kind; null in the other kind's columns."""
+        return pa.RecordBatch.from_arrays([
+            pa.array(np.full(n, kind), f.type) if f.name == "kind" else
+            pa.array(columns[f.name], f.type) if f.name in columns else pa.nulls(n, f.type)
+            for f in schema], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = Dictionary(*shared.value)
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         size = 0
@@ -342,9 +364,11 @@ def _index(docs: DataFrame, frequent: Dictionary, words: int, *options: int) ->
             k, o, f = (np.concatenate(x) for x in zip(*held, strict=True))
             order = np.argsort(k, kind="stable")
             k, o, f = k[order], o[order], f[order]
-            return pd.DataFrame([(1, bucket, _short(k[a:b], d.bits).tobytes(), _packed(o[a:b]),
-                                  _packed(f[a:b]) if f.max() >= 1 << 16 else f[a:b].astype("<u2").tobytes()) for bucket, a, b in _cut(k, d.bits)],
-                                columns=["kind", "bucket", "tokens", "ids", "places"])
+            rows = [(bucket, _short(k[a:b], d.bits).tobytes(), _packed(o[a:b]),
+                     _packed(f[a:b]) if f.max() >= 1 << 16 else f[a:b].astype("<u2").tobytes())
+                    for bucket, a, b in _cut(k, d.bits)]
+            return filled(1, len(rows), **dict(zip(
+                ("bucket", "tokens", "ids", "places"), map(list, zip(*rows, strict=True)), strict=True)))
 
         for ids, sets in _pieces(batches, words):
             flat = np.concatenate(sets) if sets else np.empty(0, np.uint64)
@@ -356,24 +380,19 @@ def _index(docs: DataFrame, frequent: Dictionary, words: int, *options: int) ->
                     held.append((rare, np.full(len(rare), i, np.int64), space))
                     size += len(rare)
                 if len(keys):
-                    more.append(pd.DataFrame({"kind": 0, "key": keys.view(np.int64), "doc_id": i,
-                                              "place": place, "role": role}))
+                    more.append((keys.view(np.int64), np.full(len(keys), i, np.int64), place, role))
             if more:
-                yield pd.concat(more)
+                key, doc, place, role = (np.concatenate(x) for x in zip(*more, strict=True))
+                yield filled(0, len(key), key=key, doc_id=doc, place=place, role=role)
             if size >= FLUSH:
                 yield flush()
                 held, size = [], 0
         if held:
             yield flush()
 
-    def filled(batches):
-        for frame in run(batches):
-            yield frame.reindex(columns=["kind", "key", "doc_id", "place", "role", "bucket", "tokens",
-                                         "ids", "places"])
-
-    return docs.mapInPandas(
-        filled, "kind int, key long, doc_id long, place long, role int, bucket long, "
-                "tokens binary, ids binary, places binary")
+    return docs.mapInArrow(
+        run, "kind int, key long, doc_id long, place long, role int, bucket long, "
+             "tokens binary, ids binary, places binary")
 
 
 def _shared_tokens(index: DataFrame) -> DataFrame:
@@ -418,31 +437,33 @@ def _verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     n = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = met.repartition(n, "a", "salt").sortWithinPartitions("a", "salt", F.col("of_a").isNull())
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = None
         for batch in batches:
-            out = []
-            for row in batch.itertuples(index=False):
-                if row.of_a is not None:
-                    mine = np.frombuffer(row.of_a, "<u8")
+            out, of_a, of_b = [], batch.column("of_a"), batch.column("of_b")
+            for k, (a, b) in enumerate(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)):
+                if of_a[k].is_valid:
+                    mine = np.frombuffer(of_a[k].as_py(), "<u8")
                     continue
-                other = np.frombuffer(row.of_b, "<u8")
+                other = np.frombuffer(of_b[k].as_buffer(), "<u8")
                 at = np.searchsorted(mine, other)
                 at[at == len(mine)] = 0
                 common = int((mine[at] == other).sum())
-                out.append((min(row.a, row.b), max(row.a, row.b), common, len(mine) + len(other) - common))
+                out.append((min(a, b), max(a, b), common, len(mine) + len(other) - common))
             if out:
-                yield pd.DataFrame(out, columns=["a", "b", "common", "total"])
+                yield _batch(**{c: pa.array(x, pa.int64()) for c, x in zip(
+                    ("a", "b", "common", "total"), zip(*out, strict=True), strict=True)})
 
-    return met.mapInPandas(run, "a long, b long, common long, total long")
+    return met.mapInArrow(run, "a long, b long, common long, total long")
 
 
 def _sets(docs: DataFrame, words: int) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, sets in _pieces(batches, words):
-            yield pd.DataFrame({"doc_id": ids, "tokens": [s.astype("<u8").tobytes() for s in sets]})
+            yield _batch(doc_id=pa.array(ids, pa.int64()),
+                         tokens=pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary()))
 
-    return docs.mapInPandas(run, "doc_id long, tokens binary")
+    return docs.mapInArrow(run, "doc_id long, tokens binary")
 
 
 def classes(rows: DataFrame) -> DataFrame:
@@ -483,8 +504,7 @@ def links(docs: DataFrame, members: DataFrame, bits: int,
     spark = docs.sparkSession
     close = F.expr(f"""role_a + role_b > 0 AND 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)
         AND least(room_a, room_b) * (100 + {percent}) >= {percent} * (n_a + n_b)""")
-    found = spark.createDataFrame([], "a long, b long, common long, total long")
-    labels, seen = None, None
+    found, labels, seen = None, None, None
     for rnd in range(ROUNDS + 1):
         e = entries.withColumn("label", F.col("doc_id")) if labels is None else (
             entries.join(labels.withColumnRenamed("node", "doc_id"), "doc_id", "left")
@@ -516,7 +536,7 @@ def links(docs: DataFrame, members: DataFrame, bits: int,
         release(spark)
         seen = checked if seen is None else seen.unionByName(checked)
         new = checked.where(f"100 * common >= {percent} * total")
-        found = found.unionByName(new)
+        found = new if found is None else found.unionByName(new)
         if labels is None or not new.isEmpty():
             labels = connected(found.select("a", "b"))
             release(spark)
@@ -526,8 +546,9 @@ def links(docs: DataFrame, members: DataFrame, bits: int,
 def _members(docs: DataFrame, percent: int, words: int = WORDS, **classes_of_tokens: int) -> DataFrame:
     """(doc_id, n, rep, label) of documents with unique ids."""
     bits = min(24, max(6, math.ceil(math.log2(docs.count() / 2000 + 1))))
-    members = materialise(classes(materialise(_sizes(docs, words), "ngram-sizes")), "ngram-classes")
-    _, labels = links(docs, members, bits, percent, words=words, **classes_of_tokens)
+    with batch_rows(docs.sparkSession, BATCH_ROWS):
+        members = materialise(classes(materialise(_sizes(docs, words), "ngram-sizes")), "ngram-classes")
+        _, labels = links(docs, members, bits, percent, words=words, **classes_of_tokens)
     return members.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn(
         "label", F.coalesce("label", "rep"))
 

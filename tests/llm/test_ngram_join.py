@@ -141,3 +141,22 @@ def test_components(spark):
     got = dict(connected(spark.createDataFrame(edges, "a long, b long")).collect())
     assert got == {1: 1, 2: 1, 3: 1, 8: 8, 9: 8, **{i: 20 for i in range(20, 61)}}
     assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_passes_take_few_rows_and_workers_keep_one_operators_state(spark, docs):
+    from martline.llm import common
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+
+    def sizes(batches):
+        for batch in batches:
+            yield batch.slice(0, 1).set_column(0, "n", common.pa.array([batch.num_rows], common.pa.int64()))
+
+    rows = spark.range(50).selectExpr("id AS n").coalesce(1)
+    with common.batch_rows(spark, 20):
+        assert sorted(r.n for r in rows.mapInArrow(sizes, "n long").collect()) == [10, 20, 20]
+    assert spark.conf.get(key) == before
+    common.kept("a")["x"] = 1
+    assert common.kept("a") == {"x": 1}
+    assert common.kept("b") == {}
+    assert common.kept("a") == {}
