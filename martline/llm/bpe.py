@@ -32,8 +32,9 @@ from pyspark.sql import DataFrame
 from martline.llm.common import kept
 
 #: Entries of a worker's caches (strings without white space inside, matches
-#: of the pattern, token pairs); a full cache starts anew.
-CACHE_RUNS = 700_000
+#: of the pattern, token pairs); a full cache starts anew, that of the strings
+#: with those of the texts at hand.
+CACHE_RUNS = 300_000
 CACHE_WORDS = 300_000
 CACHE_PAIRS = 300_000
 CACHED_CHARS = 64
@@ -237,13 +238,14 @@ class Encoder:
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, as an array."""
-        if len(self._runs) >= CACHE_RUNS:
-            self._runs.clear()
         if len(self._words) >= CACHE_WORDS:
             self._words.clear()
-        known, words = self._runs, self._words
         runs = [_RUN.findall(t) for t in texts]
-        new = set().union(*runs).difference(known)
+        used = set().union(*runs)
+        if len(self._runs) >= CACHE_RUNS:
+            self._runs = {r: self._runs[r] for r in used if r in self._runs}
+        known, words = self._runs, self._words
+        new = used.difference(known)
         cut = {r: self.pattern.findall(r) for r in new}
         fresh = self._new_words(set().union(*cut.values()).difference(words))
         words.update(fresh)

@@ -120,3 +120,13 @@ def test_lists_are_decoded_at_once():
     for bad in (-1, len(RANKS) + 5):
         with pytest.raises(KeyError):
             ENCODER.decode_lists(bpe.pa.array([[bad]], bpe.pa.list_(bpe.pa.int32())))
+
+
+def test_a_full_cache_keeps_the_strings_in_use(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_RUNS", 3)
+    e = bpe.Encoder(RANKS, P.PATTERN)
+    for text in ("the cat sat", "the dog ran off", " the cat\n\n", "", "dog the"):
+        assert e.encode(text) == LIBRARY.encode_ordinary(text)
+        assert len(e._runs) <= 3 + 4
+    e.encode("the end")
+    assert "the" in e._runs
