@@ -17,6 +17,7 @@ ids before a segment are the sum over the earlier ones.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -24,17 +25,27 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from martline.llm.id_lists import IdLists, strings
+
 BLOCK = 256
 SHARE = 0.9
 #: Ids of a segment, about; a longer document is a segment of its own.
 SEGMENT_IDS = 1 << 18
+#: Bytes of texts that are encoded together.
+PIECE = 1 << 23
 
 SCHEMA = ("part int, seq int, n_ids long, doc_ids array<long>, lengths array<long>, "
           "crcs array<long>, starts binary, blocks binary")
+_ARROW_SCHEMA = pa.schema([
+    ("part", pa.int32()), ("seq", pa.int32()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
+    ("lengths", pa.list_(pa.int64())), ("crcs", pa.list_(pa.int64())), ("starts", pa.binary()),
+    ("blocks", pa.binary())])
 _HEAD = np.dtype([("low", "<u4"), ("count", "<u2"), ("width", "u1"), ("extra", "u1")])
 
 
@@ -68,20 +79,30 @@ def pack(ids: np.ndarray, share: float = SHARE) -> tuple[bytes, bytes]:
     cost[widths[None, :] < least[:, None]] = 1 << 40
     cost[over > 255] = 1 << 40
     width = cost.argmin(axis=1)
-    parts: list[bytes] = [b""] * count
+    extra = over[np.arange(count), width]
+    starts = np.cumsum(_HEAD.itemsize + width * (BLOCK // 8) + extra * 5)
+    out = np.empty(starts[-1], np.uint8)
+    starts = np.concatenate(([0], starts[:-1]))
+    heads = np.zeros(count, _HEAD)
+    heads["low"], heads["count"], heads["width"], heads["extra"] = low, BLOCK, width, extra
+    heads["count"][-1] = n - (count - 1) * BLOCK
+    out[starts[:, None] + np.arange(_HEAD.itemsize)] = heads.view(np.uint8).reshape(count, -1)
     for w in np.unique(width):
         rows = np.flatnonzero(width == w)
+        body = starts[rows] + _HEAD.itemsize
         raw = diff[rows].astype("<u4").view(np.uint8).reshape(len(rows), BLOCK, 4)
         bits = np.unpackbits(raw[:, :, :max(1, -(-int(w) // 8))], axis=2, bitorder="little")[:, :, :w]
         packed = np.packbits(bits.reshape(len(rows), -1), axis=1, bitorder="little")
+        out[body[:, None] + np.arange(packed.shape[1])] = packed
         high = diff[rows].astype(np.uint64) >> np.uint64(w)
-        for k, row in enumerate(rows):
-            at = np.flatnonzero(high[k])
-            head = np.array([(low[row], min(BLOCK, n - row * BLOCK), w, len(at))], _HEAD)
-            parts[row] = b"".join((head.tobytes(), packed[k].tobytes(), at.astype(np.uint8).tobytes(),
-                                   high[k][at].astype("<u4").tobytes()))
-    starts = np.cumsum([0, *map(len, parts[:-1])]).astype("<u8")
-    return b"".join(parts), starts.tobytes()
+        row, at = np.nonzero(high)
+        after, many = body + int(w) * (BLOCK // 8), extra[rows]
+        # A block's exceptions in a row: each one's place among them.
+        place = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+        out[after[row] + place] = at
+        out[(after[row] + many[row] + 4 * place)[:, None] + np.arange(4)] = (
+            high[row, at].astype("<u4").view(np.uint8).reshape(-1, 4))
+    return out.tobytes(), starts.astype("<u8").tobytes()
 
 
 def unpack(blocks: bytes, index: bytes, first: int = 0, last: int | None = None) -> np.ndarray:
@@ -122,19 +143,35 @@ def unpack(blocks: bytes, index: bytes, first: int = 0, last: int | None = None)
     return flat[first - a * BLOCK:None if last is None else last - a * BLOCK]
 
 
+#: Normalizers and pre-tokenizers whose matches in plain words are known: what
+#: a plain word holds, its letters in lower case, and the matches there.
+_PLAIN_RULES = ({"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]})
+_LETTERS = "a-z\u00df-\u00f6\u00f8-\u00ff"
+_PLAIN = "^[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+$"
+_MATCH = f"('s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+)"
+
+
 class _Words:
-    """Ids of a text by the tokenizers library, word by word: white space
+    """Ids of texts by the tokenizers library, word by word: white space
     always parts the pattern's matches and has no id, so a text's ids are
     those of its words in a row. Words met before come from a bounded cache;
     the others go to the library some hundreds at a time, and each id belongs
     to the word that its offset lies in.
 
+    Where the tokenizer's rules are known, a word of ASCII and Latin-1 letters
+    goes as its lower-case matches, which many words share; any other word
+    (and every word under other rules) goes as it is.
+
     ``added``: the tokenizer's added tokens, such as <|endoftext|>, are matched
     in the raw text, inside words too, and part it, as the library does by
     default; without, they are text like other text."""
 
     LIMIT = 1_500_000
-    CACHED_CHARS = 64
     AT_ONCE = 500
 
     def __init__(self, path: str, added: bool = False):
@@ -143,59 +180,86 @@ class _Words:
         self.tokenizer = Tokenizer.from_file(path)
         # The words that reach the library hold no added token.
         self.tokenizer.encode_special_tokens = True
-        self.added: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as f:
+            rules = json.load(f)
+        self.plain = (rules["normalizer"], rules["pre_tokenizer"]) == _PLAIN_RULES
+        self.added: dict[str, int] = {}
         if added:
             tokens = self.tokenizer.get_added_tokens_decoder()
             if any(t.normalized or t.lstrip or t.rstrip or t.single_word or not t.special for t in tokens.values()):
                 raise ValueError("added tokens must be special and match the raw text as they are")
-            self.added = {t.content: np.array([i], "<u4").tobytes() for i, t in tokens.items()}
+            self.added = {t.content: i for i, t in tokens.items()}
+            # A word's lower-case match must not be taken for an added token.
+            self.plain = self.plain and not any(re.fullmatch(_MATCH, t) for t in self.added)
         # The library takes the leftmost, then the longest.
-        self.parts = re.compile("(" + "|".join(
-            re.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
-        #: Ids of words, as little-endian 32-bit integers.
-        self.known: dict[str, bytes] = {}
+        self.parts = "(" + "|".join(
+            re.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")" if self.added else None
+        self.known = IdLists(self.LIMIT)
 
-    def _fresh(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+    def _library(self, words: list[str]) -> None:
+        """Add the library's ids of distinct unknown words."""
+        ids, sizes = [], []
         for i in range(0, len(words), self.AT_ONCE):
             part = words[i:i + self.AT_ONCE]
             found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            starts = np.cumsum([0, *[len(w) + 1 for w in part]])
-            at = np.fromiter((x for x, _ in found.offsets), np.int64)
-            cut = (np.searchsorted(at, starts) * 4).tolist()
-            data = np.array(found.ids, "<u4").tobytes()
-            for w, x, y in zip(part, cut, cut[1:]):
-                yield w, data[x:y]
-
-    def _split(self, text: str) -> list[str]:
-        """Words and added tokens of ``text``."""
-        if not any(t in text for t in self.added):
-            return _words(text)
-        # Every second piece is an added token.
-        return [w for i, x in enumerate(self.parts.split(text)) for w in ((x,) if i % 2 else _words(x))]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = list(map(self._split, texts))
-        if len(self.known) >= self.LIMIT:
-            self.known.clear()
-        self.known.update(self.added)
-        found = [list(map(self.known.get, ws)) for ws in split]
-        new = dict(self._fresh(sorted({  # neighbours share merges
-            w for ws, ids in zip(split, found, strict=True) if None in ids
-            for w, x in zip(ws, ids, strict=True) if x is None})))
-        self.known.update((w, b) for w, b in new.items() if len(w) <= self.CACHED_CHARS)
-        return [np.frombuffer(b"".join(
-            [new[w] if x is None else x for w, x in zip(ws, ids, strict=True)] if None in ids else ids), "<u4")
-            for ws, ids in zip(split, found, strict=True)]
-
-
-# str.split() parts words at these too, which are no white space elsewhere.
-_SEPARATOR = re.compile(r"[\x1c-\x1f]")
-_CONTROL = re.compile(r"[\x20\x09-\x0D]+")
-_tokenizers: dict[tuple[str, bool], _Words] = {}
+            starts = np.cumsum([0, *[n + 1 for n in map(len, part)]])
+            at = np.array([x for x, _ in found.offsets], np.int64)
+            sizes.append(np.diff(np.searchsorted(at, starts)))
+            ids.append(np.array(found.ids, np.uint32))
+        if words:
+            self.known.add(words, np.concatenate(ids), np.concatenate(sizes))
+
+    def _learn(self, words: pa.Array) -> np.ndarray:
+        """Add the ids of distinct unknown words; returns their numbers."""
+        cut = words
+        if self.plain:
+            low = pc.utf8_lower(words)
+            plain = pc.match_substring_regex(words, _PLAIN)
+            apart = pc.and_not(plain, pc.utf8_is_alpha(words))
+            cut = pc.replace_with_mask(pc.if_else(plain, low, words), apart, pc.ascii_rtrim_whitespace(
+                pc.replace_substring_regex(low.filter(apart), _MATCH, "\\1 ")))
+        lists = pc.ascii_split_whitespace(cut)
+        matches = lists.flatten().dictionary_encode()
+        distinct, numbers = self.known.find(matches.dictionary)
+        unknown = np.flatnonzero(numbers < 0)
+        numbers[unknown] = len(self.known) + np.arange(len(unknown))
+        self._library([distinct[i] for i in unknown.tolist()])
+        numbers = numbers[matches.indices.to_numpy()]
+        starts = lists.offsets.to_numpy()
+        out = numbers[starts[:-1]]  # right for a word that is its own match
+        rest = pc.not_equal(cut, words)
+        if pc.any(rest).as_py():
+            ids, sizes = self.known.gather(numbers)
+            mask = rest.to_numpy(zero_copy_only=False)
+            sizes_of = np.diff(np.concatenate(([0], np.cumsum(sizes)))[starts])
+            out[mask] = len(self.known) + np.arange(mask.sum())
+            self.known.add(strings(words.filter(rest)), ids[np.repeat(mask, sizes_of)], sizes_of[mask])
+        return out
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text (null: none)."""
+        texts = pc.fill_null(texts, "")
+        if self.parts and pc.any(pc.match_substring_regex(texts, self.parts)).as_py():
+            texts = pc.replace_substring_regex(texts, self.parts, " \\1 ")
+        lists = pc.ascii_split_whitespace(texts)
+        found = lists.flatten().dictionary_encode()
+        self.known.trim(found.dictionary)
+        for name, i in {"": None, **self.added}.items():
+            if name not in self.known.index:
+                ids = np.array([] if i is None else [i], np.uint32)
+                self.known.add([name], ids, np.array([len(ids)]))
+        before = len(self.known)
+        _, numbers = self.known.find(found.dictionary)
+        new = numbers < 0
+        if new.any():
+            numbers[new] = self._learn(found.dictionary.filter(pa.array(new)))
+        ids, sizes = self.known.gather(numbers[found.indices.to_numpy()])
+        self.known.forget_long(before)
+        ends = np.concatenate(([0], np.cumsum(sizes)))[lists.offsets.to_numpy()].tolist()
+        return [ids[x:y] for x, y in zip(ends, ends[1:])]
 
 
-def _words(text: str) -> list[str]:
-    return _CONTROL.split(text) if _SEPARATOR.search(text) else text.split()
+_tokenizers: dict[tuple[str, bool], _Words] = {}
 
 
 def write(df: DataFrame, tokenizer_path: str, end_id: int, path: str, *, doc_id: str = "doc_id",
@@ -214,44 +278,46 @@ def write(df: DataFrame, tokenizer_path: str, end_id: int, path: str, *, doc_id:
             .withColumn("tie", F.xxhash64("text"))
             .repartitionByRange(n, "doc_id", "tie").sortWithinPartitions("doc_id", "tie"))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if (tokenizer_path, added) not in _tokenizers:
             _tokenizers[tokenizer_path, added] = _Words(tokenizer_path, added)
         words = _tokenizers[tokenizer_path, added]
         part, seq, docs, ids, held = TaskContext.get().partitionId(), 0, [], [], 0
 
-        def segment() -> pd.DataFrame:
+        def segment() -> pa.RecordBatch:
             flat = np.concatenate(ids)
             blocks, starts = pack(flat)
-            return pd.DataFrame({
-                "part": [part], "seq": [seq], "n_ids": [len(flat)], "doc_ids": [docs],
-                "lengths": [[len(x) for x in ids]],
-                "crcs": [[zlib.crc32(x.astype("<u4").tobytes()) for x in ids]],
-                "starts": [starts], "blocks": [blocks]})
-
-        for batch in batches:
-            texts, keys = batch["text"].tolist(), batch["doc_id"].tolist()
-            at = 0
-            while at < len(texts):
-                upto, size = at, 0
-                while upto < len(texts) and (upto == at or size < 1 << 20):
-                    size += len(texts[upto])
-                    upto += 1
-                for key, one in zip(keys[at:upto], words.encode(texts[at:upto]), strict=True):
-                    docs.append(None if key is None or key != key else int(key))
-                    ids.append(np.append(one, np.uint32(end_id)))
-                    held += len(one) + 1
-                    if held >= SEGMENT_IDS:
-                        yield segment()
-                        seq, docs, ids, held = seq + 1, [], [], 0
-                at = upto
+            return pa.RecordBatch.from_pylist([{
+                "part": part, "seq": seq, "n_ids": len(flat), "doc_ids": docs,
+                "lengths": [len(x) for x in ids], "crcs": [zlib.crc32(x.astype("<u4").tobytes()) for x in ids],
+                "starts": starts, "blocks": blocks}], _ARROW_SCHEMA)
+
+        for keys, texts in _pieces(batches):
+            for key, one in zip(keys.to_pylist(), words.encode(texts), strict=True):
+                docs.append(key)
+                ids.append(np.append(one, np.uint32(end_id)))
+                held += len(one) + 1
+                if held >= SEGMENT_IDS:
+                    yield segment()
+                    seq, docs, ids, held = seq + 1, [], [], 0
         if docs:
             yield segment()
 
-    rows.select("doc_id", "text").mapInPandas(run, SCHEMA).write.option(
+    rows.select("doc_id", "text").mapInArrow(run, SCHEMA).write.option(
         "compression", "none").parquet(path)
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """(doc_ids, texts) of about PIECE bytes of text at a time."""
+    for batch in batches:
+        texts = batch.column("text")
+        piece = pc.cumulative_sum(pc.binary_length(texts).cast(pa.int64())).to_numpy() // PIECE
+        cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(texts)]
+        for a, b in zip(cuts, cuts[1:]):
+            if a < b:
+                yield batch.column("doc_id").slice(a, b - a), texts.slice(a, b - a)
+
+
 def _documents(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
     """(row, ids of each document, ids before each) of the segments' rows."""
     for batch in batches:
