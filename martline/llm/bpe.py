@@ -19,9 +19,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,22 +29,26 @@ import regex
 from pyspark.sql import DataFrame
 
 from martline.llm.common import kept
+from martline.llm.id_lists import IdLists, pieces, strings
 
-#: Entries of a worker's caches (strings without white space inside, matches
-#: of the pattern, token pairs); a full cache starts anew, that of the strings
-#: with those of the texts at hand.
+#: Entries of a worker's caches (white space with what follows it, matches of
+#: the pattern, token pairs); a full cache starts anew, that of the strings
+#: and matches with those of the texts at hand.
 CACHE_RUNS = 300_000
 CACHE_WORDS = 300_000
 CACHE_PAIRS = 300_000
 CACHED_CHARS = 64
-#: Characters of texts that are encoded together.
+#: Last bytes by which the tokens that can end somewhere are looked up.
+SUFFIX = 4
+#: Bytes of texts that are encoded together.
 PIECE = 1 << 20
 
-# A run without white space and the space before it, or white space: the
-# pattern's matches never reach across these, so they are cut and cached first.
+# A text is cut where white space follows other characters: the pattern's
+# matches never reach across, so these runs are cut and cached first.
 # The characters with the White_Space property.
 _SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_RUN = re.compile(f" ?[^{_SPACES}]+|[{_SPACES}]+(?![^{_SPACES}])|[{_SPACES}]+")
+_PAIR = f"[{_SPACES}][{_SPACES}]"
+_EDGE = f"([^{_SPACES}])([{_SPACES}])"
 
 
 class Vocabulary:
@@ -55,11 +58,14 @@ class Vocabulary:
         self.ranks = ranks
         self.tokens = {i: b for b, i in ranks.items()}
         self.longest = max(map(len, ranks))
-        #: Length of the longest token that ends in two given bytes.
-        self.reach: dict[bytes, int] = {}
+        sizes: dict[bytes, set[int]] = {}
         for token in ranks:
-            if len(token) > self.reach.get(token[-2:], 1):
-                self.reach[token[-2:]] = len(token)
+            if len(token) >= SUFFIX:
+                sizes.setdefault(token[-SUFFIX:], set()).add(len(token))
+        #: Sizes that a shorter token may have.
+        self.short = tuple(range(SUFFIX - 1, 0, -1))
+        #: Sizes of the tokens that end in given SUFFIX bytes, the largest first.
+        self.ends = {end: (*sorted(found, reverse=True), *self.short) for end, found in sizes.items()}
         self.pairs: dict[int, bool] = {}
         self._single: dict[int, bool] = {}
         self._halves: dict[int, tuple[int, int]] = {}
@@ -160,12 +166,14 @@ class PrefixTable:
 
     def append(self, more: bytes) -> None:
         v, last = self.vocabulary, self.last
-        rank, known, reach, start = v.ranks.get, v.pairs.get, v.reach.get, len(self.data)
+        rank, known, ends, short, start = v.ranks.get, v.pairs.get, v.ends.get, v.short, len(self.data)
         self.data = data = self.data + more
         for end in range(start + 1, len(data) + 1):
-            # No token that ends here begins before.
-            first = end - reach(data[end - 2:end], 1) if end > 1 else 0
-            for begin in range(first if first > 0 else 0, end):
+            # No token of another size ends here.
+            for size in ends(data[end - SUFFIX:end], short) if end >= SUFFIX else short:
+                begin = end - size
+                if begin < 0:
+                    continue
                 token = rank(data[begin:end])
                 if token is None:
                     continue
@@ -216,53 +224,81 @@ class Encoder:
         self.vocabulary = Vocabulary(ranks)
         self.pattern = regex.compile(pattern)
         self.table = PrefixTable(self.vocabulary)
-        #: Ids of runs and of matches, as little-endian 32-bit integers.
-        self._runs: dict[str, bytes] = {}
-        self._words: dict[str, bytes] = {}
+        #: Ids of runs and of matches.
+        self._runs = IdLists(CACHE_RUNS, CACHED_CHARS)
+        self._words = IdLists(CACHE_WORDS, CACHED_CHARS)
 
-    def _new_words(self, words) -> dict[str, bytes]:
+    def _new_words(self, words: list[str]) -> list[list[int]]:
         """Ids of matches. A whole word of the vocabulary is its own token;
         the others are encoded in order, so that neighbours share a prefix."""
-        out, ranks, table = {}, self.vocabulary.ranks, self.table
-        for data, word in sorted((w.encode(), w) for w in words):
+        out, ranks, table = [[]] * len(words), self.vocabulary.ranks, self.table
+        for data, i in sorted((w.encode(), i) for i, w in enumerate(words)):
             whole = ranks.get(data)
             if whole is None:
                 table.become(data)
-                ids = table.tokens()
+                out[i] = table.tokens()
             else:
-                ids = [whole]
-            out[word] = array("i", ids).tobytes()
+                out[i] = [whole]
         if len(table.data) > 1 << 16:
             table.truncate(0)
         return out
 
+    def _new_runs(self, runs: pa.Array) -> np.ndarray:
+        """Add the ids of distinct unknown runs; returns their numbers."""
+        names, held = strings(runs), self._words
+        cut = list(map(self.pattern.findall, names))
+        matches = pa.array(list(chain.from_iterable(cut)), pa.string()).dictionary_encode()
+        held.trim(matches.dictionary)
+        before = len(held)
+        words, numbers = held.find(matches.dictionary)
+        new = np.flatnonzero(numbers < 0)
+        numbers[new] = before + np.arange(len(new))
+        fresh = [words[i] for i in new.tolist()]
+        lists = self._new_words(fresh)
+        held.add(fresh, np.fromiter(chain.from_iterable(lists), np.uint32), np.fromiter(map(len, lists), np.int64))
+        ids, sizes = held.gather(numbers[matches.indices.to_numpy()])
+        held.forget_long(before)
+        starts = np.concatenate(([0], np.cumsum(np.fromiter(map(len, cut), np.int64))))
+        sizes = np.diff(np.concatenate(([0], np.cumsum(sizes)))[starts])
+        before = len(self._runs)
+        self._runs.add(names, ids, sizes)
+        return before + np.arange(len(names))
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, where each text's begin and the last
+        one's end); a null is an empty text."""
+        texts, mark = pc.fill_null(texts, ""), "\x01"
+        while pc.any(pc.match_substring(texts, mark)).as_py():
+            mark += "\x02"
+        # Single spaces are marked at once; next to more white space only an
+        # edge is one.
+        pairs = pc.match_substring_regex(texts, _PAIR)
+        marked = pc.replace_with_mask(
+            pc.replace_substring(texts, " ", f"{mark} "), pairs,
+            pc.replace_substring_regex(texts.filter(pairs), _EDGE, f"\\1{mark}\\2"))
+        lists = pc.split_pattern(marked, mark)
+        runs = lists.flatten().dictionary_encode()
+        self._runs.trim(runs.dictionary)
+        before = len(self._runs)
+        _, numbers = self._runs.find(runs.dictionary)
+        new = numbers < 0
+        if new.any():
+            numbers[new] = self._new_runs(runs.dictionary.filter(pa.array(new)))
+        ids, sizes = self._runs.gather(numbers[runs.indices.to_numpy()])
+        self._runs.forget_long(before)
+        return ids.view(np.int32), np.concatenate(([0], np.cumsum(sizes)))[lists.offsets.to_numpy()]
+
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, as an array."""
-        if len(self._words) >= CACHE_WORDS:
-            self._words.clear()
-        runs = [_RUN.findall(t) for t in texts]
-        used = set().union(*runs)
-        if len(self._runs) >= CACHE_RUNS:
-            self._runs = {r: self._runs[r] for r in used if r in self._runs}
-        known, words = self._runs, self._words
-        new = used.difference(known)
-        cut = {r: self.pattern.findall(r) for r in new}
-        fresh = self._new_words(set().union(*cut.values()).difference(words))
-        words.update(fresh)
-        known.update((r, b"".join(map(words.__getitem__, ws))) for r, ws in cut.items())
-        out = [np.frombuffer(b"".join(map(known.__getitem__, rs)), "<i4") for rs in runs]
-        for held, names in ((known, new), (words, fresh)):
-            for name in names:
-                if len(name) > CACHED_CHARS:
-                    del held[name]
-        return out
+        ids, ends = self.encode_column(pa.array(texts, pa.string()))
+        return [ids[x:y] for x, y in zip(ends.tolist(), ends[1:].tolist())]
 
     def encode(self, text: str) -> list[int]:
         return self.encode_batch([text])[0].tolist()
 
     def word(self, word: str) -> list[int]:
         """Ids of one match of the pattern."""
-        return np.frombuffer(self._new_words([word])[word], "<i4").tolist()
+        return self._new_words([word])[0]
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.vocabulary.tokens.__getitem__, ids))
@@ -346,19 +382,6 @@ def _shared(df: DataFrame, ranks_path: str):
         return df.sparkSession.sparkContext.broadcast(f.read())
 
 
-def _pieces(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
-    """(first row, texts) of about PIECE characters at a time."""
-    texts, first, size = [], 0, 0
-    for i in range(len(column)):
-        texts.append(column[i].as_py() or "")
-        size += len(texts[-1])
-        if size >= PIECE:
-            yield first, texts
-            texts, first, size = [], i + 1, 0
-    if texts:
-        yield first, texts
-
-
 def _replace(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
     names = [c for c in batch.schema.names if c != name]
     return pa.RecordBatch.from_arrays([batch.column(c) for c in names] + [values], [*names, name])
@@ -382,12 +405,11 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, text: str = "text",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value, pattern)
         for batch in batches:
-            for at, texts in _pieces(batch.column(text)):
-                rows = encoder.encode_batch(texts)
-                ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows)))
-                part = batch.slice(at, len(rows)).select(keep)
-                yield pa.RecordBatch.from_arrays([*part.columns, lists], [*keep, ids])
+            for a, b in pieces(batch.column(text), PIECE):
+                part = batch.slice(a, b - a)
+                found, ends = encoder.encode_column(part.column(text))
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(found))
+                yield pa.RecordBatch.from_arrays([*part.select(keep).columns, lists], [*keep, ids])
 
     return df.select(*keep, text).mapInArrow(run, _schema(df, text, f"{ids} array<int>"))
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 
 class IdLists:
@@ -28,6 +30,9 @@ class IdLists:
     def __len__(self) -> int:
         return len(self.index)
 
+    def __contains__(self, string: str) -> bool:
+        return string in self.index
+
     def find(self, column: pa.Array) -> tuple[list[str], np.ndarray]:
         """The strings, and the number of each (-1 of an unknown one)."""
         names = strings(column)
@@ -79,3 +84,10 @@ class IdLists:
 
 def strings(column: pa.Array) -> list[str]:
     return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def pieces(texts: pa.Array, size: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about ``size`` bytes of text."""
+    piece = pc.cumulative_sum(pc.fill_null(pc.binary_length(texts), 0).cast(pa.int64())).to_numpy() // size
+    cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(texts)]
+    yield from ((a, b) for a, b in zip(cuts, cuts[1:]) if a < b)

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martline.llm.id_lists import IdLists, strings
+from martline.llm.id_lists import IdLists, pieces, strings
 
 BLOCK = 256
 SHARE = 0.9
@@ -292,14 +292,16 @@ def write(df: DataFrame, tokenizer_path: str, end_id: int, path: str, *, doc_id:
                 "lengths": [len(x) for x in ids], "crcs": [zlib.crc32(x.astype("<u4").tobytes()) for x in ids],
                 "starts": starts, "blocks": blocks}], _ARROW_SCHEMA)
 
-        for keys, texts in _pieces(batches):
-            for key, one in zip(keys.to_pylist(), words.encode(texts), strict=True):
-                docs.append(key)
-                ids.append(np.append(one, np.uint32(end_id)))
-                held += len(one) + 1
-                if held >= SEGMENT_IDS:
-                    yield segment()
-                    seq, docs, ids, held = seq + 1, [], [], 0
+        for batch in batches:
+            for a, b in pieces(batch.column("text"), PIECE):
+                keys = batch.column("doc_id").slice(a, b - a).to_pylist()
+                for key, one in zip(keys, words.encode(batch.column("text").slice(a, b - a)), strict=True):
+                    docs.append(key)
+                    ids.append(np.append(one, np.uint32(end_id)))
+                    held += len(one) + 1
+                    if held >= SEGMENT_IDS:
+                        yield segment()
+                        seq, docs, ids, held = seq + 1, [], [], 0
         if docs:
             yield segment()
 
@@ -307,17 +309,6 @@ def write(df: DataFrame, tokenizer_path: str, end_id: int, path: str, *, doc_id:
         "compression", "none").parquet(path)
 
 
-def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
-    """(doc_ids, texts) of about PIECE bytes of text at a time."""
-    for batch in batches:
-        texts = batch.column("text")
-        piece = pc.cumulative_sum(pc.binary_length(texts).cast(pa.int64())).to_numpy() // PIECE
-        cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(texts)]
-        for a, b in zip(cuts, cuts[1:]):
-            if a < b:
-                yield batch.column("doc_id").slice(a, b - a), texts.slice(a, b - a)
-
-
 def _documents(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
     """(row, ids of each document, ids before each) of the segments' rows."""
     for batch in batches:

@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from martline.llm import token_files
+from martline.llm import bpe, token_files
 from martline.llm.id_lists import IdLists
 
 P = pytest.importorskip("public_tokenizers")
@@ -59,3 +59,46 @@ def test_ids_are_the_librarys(library, texts):
     wanted = [library.encode(t, add_special_tokens=False).ids for t in texts]
     for words in (_words, _words_small):  # with and without what earlier texts left
         assert [x.tolist() for x in words.encode(pa.array(texts, pa.string()))] == wanted
+
+
+class Counting(dict):
+    asked = 0
+
+    def get(self, key, default=None):
+        Counting.asked += 1
+        return dict.get(self, key, default)
+
+
+def test_prefixes_ask_for_sizes_that_tokens_have():
+    ranks = bpe.load_ranks(P.path("byte_bpe_50k.tiktoken"))
+    vocabulary = bpe.Vocabulary(Counting(ranks))
+    data = b" internationalization of misunderstandings and straightforwardly characterizations" * 3
+    Counting.asked = 0
+    tokens = bpe.PrefixTable(vocabulary, data).tokens()
+    once = Counting.asked
+    assert b"".join(vocabulary.tokens[t] for t in tokens) == data
+    bpe.PrefixTable(vocabulary, data)  # the pairs are known now
+    assert Counting.asked - once < 4 * len(data)
+
+
+@pytest.fixture(scope="module")
+def byte_library():
+    import tiktoken
+    return tiktoken.Encoding("b", pat_str=P.PATTERN, special_tokens={},
+                             mergeable_ranks=bpe.load_ranks(P.path("byte_bpe_50k.tiktoken")))
+
+
+_encoder = bpe.Encoder(bpe.load_ranks(P.path("byte_bpe_50k.tiktoken")), P.PATTERN)
+_encoder_small = bpe.Encoder(bpe.load_ranks(P.path("byte_bpe_50k.tiktoken")), P.PATTERN)
+_encoder_small._runs.limit = _encoder_small._words.limit = 5
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.text(st.one_of(
+    st.sampled_from("a's1.  \n\n\t\r\x01\x02\x1c\x85\xa0 　é日"), st.characters(codec="utf-8")), max_size=40), max_size=4))
+def test_white_space_is_cut_as_the_pattern_has_it(byte_library, texts):
+    wanted = [byte_library.encode_ordinary(t) for t in texts]
+    for encoder in (_encoder, _encoder_small):
+        assert [x.tolist() for x in encoder.encode_batch(texts)] == wanted
+        long = " ".join(texts) + "y" * 100  # longer than what is kept
+        assert encoder.encode(long) == byte_library.encode_ordinary(long)
