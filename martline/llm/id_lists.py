@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import islice
+from itertools import islice, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,7 @@ class IdLists:
     def find(self, column: pa.Array) -> tuple[list[str], np.ndarray]:
         """The strings, and the number of each (-1 of an unknown one)."""
         names = strings(column)
-        return names, np.array([-1 if i is None else i for i in map(self.index.get, names)], np.int64)
+        return names, np.fromiter(map(self.index.get, names, repeat(-1)), np.int64, len(names))
 
     def add(self, strings: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         """Distinct unknown strings, with their ids in a row."""

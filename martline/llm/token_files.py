@@ -164,8 +164,9 @@ class _Words:
     to the word that its offset lies in.
 
     Where the tokenizer's rules are known, a word of ASCII and Latin-1 letters
-    goes as its lower-case matches, which many words share; any other word
-    (and every word under other rules) goes as it is.
+    goes as its lower-case matches, which many words share, and these straight
+    to the library's model: normalizer and pre-tokenizer would leave each as it
+    is. Any other word (and every word under other rules) goes as it is.
 
     ``added``: the tokenizer's added tokens, such as <|endoftext|>, are matched
     in the raw text, inside words too, and part it, as the library does by
@@ -176,10 +177,14 @@ class _Words:
 
     def __init__(self, path: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark deals out the cores
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         # The words that reach the library hold no added token.
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
+        #: The byte-level names of the letters beyond ASCII.
+        name = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        self.names = {i: name(chr(i))[0][0] for i in range(0xc0, 0x100)}
         with open(path, encoding="utf-8") as f:
             rules = json.load(f)
         self.plain = (rules["normalizer"], rules["pre_tokenizer"]) == _PLAIN_RULES
@@ -196,9 +201,18 @@ class _Words:
             re.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")" if self.added else None
         self.known = IdLists(self.LIMIT)
 
-    def _library(self, words: list[str]) -> None:
-        """Add the library's ids of distinct unknown words."""
-        ids, sizes = [], []
+    def _matches(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids in a row, how many each has) of lower-case matches of plain words."""
+        ids, sizes, model = [], [], self.model.tokenize
+        for word in words:
+            found = model(word if word.isascii() else word.translate(self.names))
+            sizes.append(len(found))
+            ids += [token.id for token in found]
+        return np.array(ids, np.uint32), np.array(sizes, np.int64)
+
+    def _others(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids in a row, how many each has) of any words."""
+        ids, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
         for i in range(0, len(words), self.AT_ONCE):
             part = words[i:i + self.AT_ONCE]
             found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
@@ -206,8 +220,21 @@ class _Words:
             at = np.array([x for x, _ in found.offsets], np.int64)
             sizes.append(np.diff(np.searchsorted(at, starts)))
             ids.append(np.array(found.ids, np.uint32))
-        if words:
-            self.known.add(words, np.concatenate(ids), np.concatenate(sizes))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _library(self, words: list[str]) -> None:
+        """Add the library's ids of distinct unknown words."""
+        match = np.zeros(len(words), bool)
+        if self.plain:  # a word that isn't plain doesn't read like a match of one
+            match = pc.match_substring_regex(pa.array(words, pa.string()), _PLAIN).to_numpy(zero_copy_only=False)
+        names = np.array(words, object)
+        ids, sizes = self._matches(names[match].tolist())
+        more, many = self._others(names[~match].tolist())
+        size = np.empty(len(words), np.int64)
+        size[match], size[~match] = sizes, many
+        both, of = np.empty(len(ids) + len(more), np.uint32), np.repeat(match, size)
+        both[of], both[~of] = ids, more
+        self.known.add(words, both, size)
 
     def _learn(self, words: pa.Array) -> np.ndarray:
         """Add the ids of distinct unknown words; returns their numbers."""

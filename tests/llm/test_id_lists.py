@@ -47,6 +47,21 @@ def test_words_reach_the_library_as_matches_and_once():
     assert len(sent) == len(set(sent))
 
 
+def test_matches_of_plain_words_go_straight_to_the_model(library):
+    words, sent = token_files._Words(PATH), []
+
+    class Spy:
+        def encode(self, text, **options):
+            sent.append(text)
+            return library.encode(text, **options)
+
+    words.tokenizer = Spy()
+    texts = ["Überall, überall. ÇÀÿß! don't 'S x1", "日本 don't İx naïve\x7f DON'T"]
+    wanted = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for x in words.encode(pa.array(texts))] == wanted
+    assert sorted(" ".join(sent).split(" ")) == ["naïve\x7f", "İx", "日本"]
+
+
 _words = token_files._Words(PATH)
 _words_small = token_files._Words(PATH)
 _words_small.known.limit = 5
