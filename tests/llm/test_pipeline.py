@@ -4,7 +4,8 @@ import random
 
 import corpus_pipeline as C
 import pytest
-from martline.llm.common import materialise
+from martline.llm import common
+from martline.llm.common import batch_rows, materialise
 from martline.llm.queries import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -66,6 +67,35 @@ def test_empty_table_and_clashing_columns(spark, docs, k):
     assert stage(spark, odd.where("doc_id < 0"), SF).count() == 0
 
 
+def test_stages_pass_few_rows_at_a_time_to_python(spark, docs):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    df = docs([(1, "The committee will meet again in the morning and read the report.")])
+    try:
+        for stage in (C.language_id, C.benchmark_leaks, C.token_ids):
+            for limit, wanted in (("10000", "1000"), ("0", "1000"), ("10", "10")):
+                spark.conf.set(key, limit)
+                stage(spark, df, SF)
+                assert spark.conf.get(key) == wanted  # when the result is written
+        spark.conf.set(key, "10000")
+        with batch_rows(spark, C.BATCH_ROWS):
+            C.token_ids(spark, df, SF)
+        assert spark.conf.get(key) == "10000"
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_another_operators_memory_goes_back(monkeypatch):
+    calls = []
+    monkeypatch.setattr(common, "_kept", {"before": {"cache": 1}})
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(dict(common._kept)))
+    common.kept("before")
+    assert not calls
+    common.kept("bpe")["encoder"] = 2
+    assert calls == [{}]  # given back once nothing refers to it
+    assert common.kept("bpe") == {"encoder": 2} and len(calls) == 1
+
+
 def test_registered():
     import __spark_entry__ as e
     names = set(e.queries())
